@@ -85,13 +85,29 @@ def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
         spark.catalog.dropTempView(view)
 
 
+def partition_columns(spark: SparkSession, table: str) -> list[str]:
+    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+
+
+def _rebalanced(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
+    """Cluster rows by the table's partition columns before writing.
+
+    ``REBALANCE`` lets AQE pick the write tasks: small table partitions
+    are coalesced into one task (one file each instead of one per input
+    task), and a table partition holding a large share of the rows is
+    split over several tasks instead of landing in one.
+    """
+    parts = partition_columns(spark, table)
+    return df.hint("rebalance", *parts) if parts else df
+
+
 def insert_overwrite_dynamic(spark: SparkSession, df: DataFrame, table: str) -> None:
     """Overwrite only the partitions present in ``df`` (dynamic mode)."""
     cols = table_columns(spark, table)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
     try:
-        df.select(*cols).write.insertInto(table, overwrite=True)
+        _rebalanced(spark, df.select(*cols), table).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
@@ -102,7 +118,7 @@ def insert_overwrite_table(spark: SparkSession, df: DataFrame, table: str) -> No
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
     try:
-        df.select(*cols).write.insertInto(table, overwrite=True)
+        _rebalanced(spark, df.select(*cols), table).write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
 
