@@ -90,7 +90,7 @@ def run_day(spark: SparkSession, landing: str, ds: str | dt.date, prod: str, cum
     cum = spark.table(cumulative).filter(F.col("ds") == prev)
     today = spark.table(prod).filter(F.col("ds") == F.lit(str(ds)).cast("date"))
     step = B.last7_step(cum, today, ds, keep)
-    S.insert_overwrite_partition(spark, step.drop("ds"), cumulative, {"ds": str(ds)})
+    S.overwrite_partition_staged(spark, step.drop("ds"), cumulative, {"ds": str(ds)})
 
 
 # ---------------------------------------------------------------------------

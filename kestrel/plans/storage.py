@@ -85,6 +85,26 @@ def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
         spark.catalog.dropTempView(view)
 
 
+def overwrite_partition_staged(spark: SparkSession, df: DataFrame, table: str,
+                               partition: dict[str, object]) -> None:
+    """Static partition overwrite of a frame that reads ``table`` itself
+    (e.g. today's state from yesterday's partition).
+
+    The frame is first written to a staging table (same schema, same
+    shared folder), which cuts its lineage to the target; the partition
+    is then replaced from the staging copy and the copy dropped.
+    """
+    stage = new_table_name("stage")
+    schema = spark.table(table).schema
+    cols = [f for f in schema.fields if f.name not in partition]
+    ensure_table(spark, stage, T.StructType(cols))
+    insert_overwrite_table(spark, df.select(*[f.name for f in cols]), stage)
+    try:
+        insert_overwrite_partition(spark, spark.table(stage), table, partition)
+    finally:
+        drop_table(spark, stage)
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
