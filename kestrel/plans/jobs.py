@@ -77,20 +77,27 @@ def publish_bars_day(spark: SparkSession, bars: DataFrame, ds: str | dt.date,
     return spark.table(prod).select(*schemas.BARS.fieldNames())
 
 
+def cumulate_day(spark: SparkSession, prod: str, cumulative: str, ds: str | dt.date,
+                 keep: int = B.KEEP) -> None:
+    """S4 as a table step: yesterday's arrays + today's published bars ->
+    today's partition of the cumulative table (keyed per ds, so a rerun
+    or an older day never touches other days)."""
+    S.ensure_table(spark, cumulative, schemas.LAST7, ("ds",))
+    day = F.lit(str(ds)).cast("date")
+    cum = spark.table(cumulative).filter(F.col("ds") == F.date_sub(day, 1))
+    today = spark.table(prod).filter(F.col("ds") == day)
+    step = B.last7_step(cum, today, ds, keep)
+    S.overwrite_partition_staged(spark, step.drop("ds"), cumulative, {"ds": str(ds)})
+
+
 def run_day(spark: SparkSession, landing: str, ds: str | dt.date, prod: str, cumulative: str,
             keep: int = B.KEEP) -> None:
     """The daily bar job: ingest the landed day -> audit -> publish ->
     last-7 step, each a Spark job; rerunning a day rewrites the same
     partitions."""
     from kestrel.sources.landed import ingest_bars
-    staged = ingest_bars(spark, landing, ds)
-    publish_bars_day(spark, staged, ds, table=prod)
-    S.ensure_table(spark, cumulative, schemas.LAST7, ("ds",))
-    prev = F.date_sub(F.lit(str(ds)).cast("date"), 1)
-    cum = spark.table(cumulative).filter(F.col("ds") == prev)
-    today = spark.table(prod).filter(F.col("ds") == F.lit(str(ds)).cast("date"))
-    step = B.last7_step(cum, today, ds, keep)
-    S.overwrite_partition_staged(spark, step.drop("ds"), cumulative, {"ds": str(ds)})
+    publish_bars_day(spark, ingest_bars(spark, landing, ds), ds, table=prod)
+    cumulate_day(spark, prod, cumulative, ds, keep)
 
 
 # ---------------------------------------------------------------------------

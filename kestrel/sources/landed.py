@@ -56,6 +56,12 @@ def ingest_bars(spark: SparkSession, path: str, ds: str | dt.date | None = None)
     raw = spark.read.schema(LANDED).json(path)
     if ds is not None:
         raw = raw.filter(F.col("ds") == F.lit(str(ds)).cast("date"))
+    return flatten_responses(raw)
+
+
+def flatten_responses(raw: DataFrame) -> DataFrame:
+    """Landed responses (batch or stream) -> bars: skip DELAYED and empty
+    responses, explode ``results``, cast to the bar schema."""
     ok = raw.filter((F.coalesce(F.col("status"), F.lit("")) != "DELAYED")
                     & (F.coalesce(F.col("resultsCount"), F.lit(0)) > 0))
     bars = ok.select("ticker", "ds", F.explode("results").alias("r"))
