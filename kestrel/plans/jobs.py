@@ -16,6 +16,7 @@ from kestrel import schemas
 from kestrel.operators import bars as B
 from kestrel.operators import marts as M
 from kestrel.operators import quality as Q
+from kestrel.operators import states as ST
 from kestrel.plans import publish as P
 from kestrel.plans import storage as S
 from kestrel.sources import fixtures as fx
@@ -100,6 +101,37 @@ def run_day(spark: SparkSession, landing: str, ds: str | dt.date, prod: str, cum
     cumulate_day(spark, prod, cumulative, ds, keep)
 
 
+# ---------------------------------------------------------------------------
+# user state table
+# ---------------------------------------------------------------------------
+
+STATE_BUCKETS = 64
+
+
+def ensure_state_table(spark: SparkSession, table: str, buckets: int = STATE_BUCKETS) -> str:
+    """P1 for the state table: partitioned by ds, each day bucketed by user_id."""
+    return S.ensure_table(spark, table, schemas.USER_STATE, ("ds",),
+                          bucket_by=("user_id",), buckets=buckets)
+
+
+def state_day(spark: SparkSession, daily: DataFrame, table: str, ds: str | dt.date,
+              keep_stale: bool = False) -> None:
+    """A5 as the daily job: yesterday's partition (+) today's activity ->
+    today's partition of the state table.
+
+    Yesterday's partition is read bucketed by user_id, so the full outer
+    join shuffles only today's activity, never the state history.  The
+    result is staged (cutting its lineage to the table it reads) and
+    swapped in with one static partition overwrite; a rerun of the day
+    gives the same rows.
+    """
+    day = F.lit(str(ds)).cast("date")
+    yesterday = spark.table(table).filter(F.col("ds") == F.date_sub(day, 1))
+    today = daily.filter(F.col("ds") == day)
+    step = ST.state_step(yesterday, today, ds, keep_stale)
+    S.overwrite_partition_staged(spark, step.drop("ds"), table, {"ds": str(ds)})
+
+
 # ---------------------------------------------------------------------------
 # mart
 # ---------------------------------------------------------------------------

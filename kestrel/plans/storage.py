@@ -42,19 +42,24 @@ def ddl(schema: T.StructType) -> str:
 
 
 def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
-                 partition_cols: Sequence[str] = (), location: str | None = None) -> str:
+                 partition_cols: Sequence[str] = (), location: str | None = None,
+                 bucket_by: Sequence[str] = (), buckets: int = 0) -> str:
     """``CREATE TABLE IF NOT EXISTS`` a parquet table; returns its name.
 
     Partition columns go last in a partitioned table's schema, as Spark
     stores them; ``location`` defaults to a fresh folder under the shared
-    work folder.
+    work folder.  ``bucket_by`` / ``buckets`` store each partition
+    hash-bucketed by those columns, so a later join or aggregate on them
+    reads the table already partitioned and does not shuffle it.
     """
     loc = location or work_dir(spark, name)
     fields = [f for f in schema.fields if f.name not in partition_cols]
     fields += [schema[c] for c in partition_cols]
     part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
+    bucket = (f" CLUSTERED BY ({', '.join(f'`{c}`' for c in bucket_by)}) INTO {buckets} BUCKETS"
+              if bucket_by and buckets > 0 else "")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({ddl(T.StructType(fields))}) "
-              f"USING parquet{part} LOCATION '{loc}'")
+              f"USING parquet{part}{bucket} LOCATION '{loc}'")
     return name
 
 

@@ -77,3 +77,27 @@ def test_one_row_per_user_per_day(spark):
     assert dup == 0
     states = {r[0] for r in out.select("current_state").distinct().collect()}
     assert "unknown" in states          # gaps >= 4 occur at sf 0.01
+
+
+def test_daily_job_on_bucketed_table_equals_backfill(spark):
+    import contextlib
+    import io
+
+    from kestrel.plans import jobs as J
+    from kestrel.plans import storage as S
+    daily = fx.web_events_daily(spark, SF0001)
+    table = J.ensure_state_table(spark, S.new_table_name("state"), buckets=4)
+    day = D(2024, 1, 1)
+    while day <= D(2024, 1, 8):
+        J.state_day(spark, daily, table, day)
+        day += dt.timedelta(days=1)
+    J.state_day(spark, daily, table, D(2024, 1, 8))                 # rerun of a day
+    back = ST.state_backfill(daily, "2024-01-01", "2024-01-08")
+    assert rows(spark.table(table).select(*back.columns)) == rows(back)
+    # the state side of the daily join is read bucketed: no exchange above its scan
+    y = spark.table(table).filter(F.col("ds") == F.lit(D(2024, 1, 8)))
+    step = ST.state_step(y, daily.filter(F.col("ds") == F.lit(D(2024, 1, 9))), "2024-01-09")
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        step.explain("formatted")
+    assert "Bucketed: true" in buf.getvalue()
