@@ -254,7 +254,8 @@ def build_fact_visits(spark: SparkSession, sf_dir: str, purchase_date: str | dt.
     return P.write_audit_publish(
         spark, audit, AUDIT_CHECKS,
         publish=lambda rows: P.merge_by_key(spark, fact_table, rows, "ticket_id",
-                                            partition_col="purchase_date"),
+                                            partition_col="purchase_date",
+                                            partition_stable=True),
         audit_schema=schemas.FACT_VISITS, model="audit_fact_visits", parents=parents,
         require_rows=False)
 

@@ -98,20 +98,27 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.C
 
 
 def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
-                 partition_col: str | None = None, check_unique: bool = True) -> None:
+                 partition_col: str | None = None, check_unique: bool = True,
+                 partition_stable: bool = False) -> None:
     """Update target rows whose key is in ``source``, insert the rest.
 
     result = (target rows whose key is not in source) UNION ALL source,
     rewritten only for the touched partitions: those holding a source
     key in the target (a left-semi join on the key column alone, so the
-    scan reads two columns) plus those the source writes to.  The new
+    scan reads two columns) plus those the source writes to.  Their
+    values (one per partition) come back to the driver and prune the
+    target scan to those folders.  The new
     partition contents are first written to a staging table (which also
     cuts the lineage to the target), then swapped in with one dynamic
     partition overwrite.  Without ``partition_col`` the whole table is
     rewritten the same way.
 
     ``check_unique`` refuses a source whose key repeats (a merge would
-    otherwise be ambiguous).
+    otherwise be ambiguous).  ``partition_stable=True`` declares that a
+    key never changes partition (a ticket keeps its purchase date): the
+    touched partitions are then exactly the source's, the key search is
+    skipped, and the target is read only in those partitions, so a daily
+    merge costs the size of the day, not of the table.
     """
     if check_unique and not Q.unique(source, key).isEmpty():
         raise GateFailed(f"merge source has repeated {key} values")
@@ -128,11 +135,17 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
         S.insert_overwrite_table(spark, spark.table(stage), target)
         S.drop_table(spark, stage)
         return
-    hit = (tgt.select(key, partition_col).join(src.select(key), key, "left_semi")
-              .select(partition_col))
-    touched = hit.unionByName(src.select(partition_col)).distinct()
-    # rows of the touched partitions, minus the keys being replaced
-    in_touched = tgt.join(touched, partition_col, "left_semi")
+    touched = src.select(partition_col).distinct()
+    if not partition_stable:
+        hit = (tgt.select(key, partition_col).join(src.select(key), key, "left_semi")
+                  .select(partition_col))
+        touched = hit.unionByName(touched).distinct()
+    # one value per touched partition (bounded by the table's partition
+    # count, not its rows): a literal IN filter prunes the target scan
+    values = [r[0] for r in touched.collect()]
+    if not values:
+        return
+    in_touched = tgt.filter(F.col(partition_col).isin(values))
     kept = in_touched.join(src.select(key), key, "left_anti")
     new = kept.unionByName(src)
     stage = S.new_table_name("merge_stage")

@@ -231,7 +231,7 @@ def fact_visits_merge(spark, sf):
     S.ensure_table(spark, table, schemas.FACT_VISITS, ("purchase_date",))
     S.insert_overwrite_dynamic(spark, before.unionByName(stale), table)
     P.merge_by_key(spark, table, audit_fact_visits(spark, sf), "ticket_id",
-                   partition_col="purchase_date")
+                   partition_col="purchase_date", partition_stable=True)
     return spark.table(table).select(*M.FACT_COLUMNS)
 
 

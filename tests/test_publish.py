@@ -84,3 +84,16 @@ def test_write_audit_publish_gates(spark):
         schemas.BARS, ("ds",), model="bars")
     assert not failing.passed
     assert spark.table(table).filter("stock_symbol IS NULL").count() == 0
+
+
+def test_partition_stable_merge_touches_only_source_days(spark):
+    from pyspark.sql import types as T
+    schema = "k long, v string, p date"
+    table = S.new_table_name("merge_s")
+    S.ensure_table(spark, table, T._parse_datatype_string(schema), ("p",))
+    tgt = spark.createDataFrame([(1, "old", D(2024, 1, 1)), (2, "keep", D(2024, 1, 2))], schema)
+    S.insert_overwrite_dynamic(spark, tgt, table)
+    src = spark.createDataFrame([(1, "new", D(2024, 1, 1)), (3, "ins", D(2024, 1, 1))], schema)
+    P.merge_by_key(spark, table, src, "k", partition_col="p", partition_stable=True)
+    assert rows(spark.table(table), "k", "v", "p") == [
+        (1, "new", D(2024, 1, 1)), (2, "keep", D(2024, 1, 2)), (3, "ins", D(2024, 1, 1))]
