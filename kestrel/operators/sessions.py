@@ -7,7 +7,8 @@ computed as a grouped aggregate (min, max, count) and joined back on
 (user_id, event_date).  Unlike a window, the aggregate is combined
 map-side, and the join back is a sort-merge join that AQE's skew-join
 rule splits when one user-day holds a large share of the events, so no
-single task has to hold a hot user-day.
+single task has to hold a hot user-day (``tests/test_skew.py`` shows the
+split on a user-day holding two thirds of all rows).
 
 The running frame (UNBOUNDED PRECEDING to CURRENT ROW) needs each
 event's position inside its user-day.  It is computed in two levels so
@@ -23,6 +24,18 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 KEY = ("user_id", "event_date")
+# null-safe group key for the running frame's windows: PARTITION BY treats
+# a null user (or day) as a group of its own
+NKEY = ("_uk", "_un", "_dk", "_dn")
+
+
+def _with_group_key(df: DataFrame) -> DataFrame:
+    return df.select(
+        "*",
+        F.coalesce(F.col("user_id"), F.lit(0).cast("bigint")).alias("_uk"),
+        F.col("user_id").isNull().alias("_un"),
+        F.coalesce(F.col("event_date"), F.lit("1970-01-01").cast("date")).alias("_dk"),
+        F.col("event_date").isNull().alias("_dn"))
 
 
 def _day_stats(mapped: DataFrame) -> DataFrame:
@@ -32,22 +45,22 @@ def _day_stats(mapped: DataFrame) -> DataFrame:
                        F.count("event_time").alias("total_event_today")))
 
 
-def _join_back(rows: DataFrame, stats: DataFrame, keys) -> DataFrame:
-    """Equi-join on ``keys`` where null equals null (a null user is a group
-    of its own, as in PARTITION BY)."""
-    r, s = rows.alias("r"), stats.alias("s")
-    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in keys]
-    return r.join(s, cond, "inner").select(
-        "r.*", *[F.col(f"s.{c}") for c in stats.columns if c not in keys])
-
-
 def day_windows(mapped: DataFrame) -> DataFrame:
     """Per event row: user_id, event_time, first/last action of its user-day
-    and the number of events that day (full frame)."""
-    ev = mapped.select(*KEY, "event_time")
-    j = _join_back(ev, _day_stats(mapped), KEY)
-    return j.select("user_id", "event_time", "first_action_on_date", "last_action_on_date",
-                    "total_event_today")
+    and the number of events that day (full frame).
+
+    The join back is null-safe (``<=>``), so both of its inputs arrive
+    through their own shuffle on the join keys: the event rows, and the
+    per-day stats (one row per user-day, a small exchange).  That shape is
+    what AQE's skew-join rule needs to split a hot user-day's partition
+    over several tasks and replicate its single stats row to each.
+    """
+    ev = mapped.select(*KEY, "event_time").alias("r")
+    stats = _day_stats(mapped).alias("s")
+    cond = [F.col(f"r.{k}").eqNullSafe(F.col(f"s.{k}")) for k in KEY]
+    j = ev.join(stats, cond, "inner")
+    return j.select("r.user_id", "r.event_time", "s.first_action_on_date",
+                    "s.last_action_on_date", "s.total_event_today")
 
 
 def _minutes(start: str, end: str):
@@ -74,20 +87,20 @@ def sessionize(mapped: DataFrame, frame: str = "full") -> DataFrame:
 
 def running_windows(mapped: DataFrame) -> DataFrame:
     """Running-frame variant: two-level positions, see the module notes."""
-    ev = (mapped.select(*KEY, "event_time")
-                .filter(F.col("event_time").isNotNull())
-                .withColumn("_sec", F.date_trunc("second", F.col("event_time"))))
-    per_sec = ev.groupBy(*KEY, "_sec").agg(F.count(F.lit(1)).alias("_n"),
-                                            F.min("event_time").alias("_sec_first"))
-    day_w = Window.partitionBy(*KEY).orderBy("_sec")
+    ev = _with_group_key(mapped.select(*KEY, "event_time")
+                         .filter(F.col("event_time").isNotNull())
+                         .withColumn("_sec", F.date_trunc("second", F.col("event_time"))))
+    per_sec = ev.groupBy(*NKEY, "_sec").agg(F.count(F.lit(1)).alias("_n"),
+                                             F.min("event_time").alias("_sec_first"))
+    day_w = Window.partitionBy(*NKEY).orderBy("_sec")
     per_sec = per_sec.select(
-        *KEY, "_sec",
+        *NKEY, "_sec",
         F.coalesce(F.sum("_n").over(day_w.rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_before"),
-        F.min("_sec_first").over(Window.partitionBy(*KEY)).alias("first_action_on_date"))
-    sec_w = Window.partitionBy(*KEY, "_sec").orderBy("event_time")
+        F.min("_sec_first").over(Window.partitionBy(*NKEY)).alias("first_action_on_date"))
+    sec_w = Window.partitionBy(*NKEY, "_sec").orderBy("event_time")
     ranked = ev.withColumn("_pos", F.row_number().over(sec_w))
-    j = _join_back(ranked, per_sec, (*KEY, "_sec"))
+    j = ranked.join(per_sec, [*NKEY, "_sec"], "inner")
     return j.select("user_id", "event_time", "first_action_on_date",
                     F.col("event_time").alias("last_action_on_date"),
                     (F.col("_before") + F.col("_pos")).alias("total_event_today"))
