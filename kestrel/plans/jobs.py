@@ -132,6 +132,16 @@ def state_day(spark: SparkSession, daily: DataFrame, table: str, ds: str | dt.da
     S.overwrite_partition_staged(spark, step.drop("ds"), table, {"ds": str(ds)})
 
 
+def backfill_state_table(spark: SparkSession, daily: DataFrame, table: str,
+                         start: str | dt.date, end: str | dt.date,
+                         keep_stale: bool = False) -> None:
+    """A6 into the state table: every day of [start, end] from one window
+    pass, written with one dynamic overwrite of those ``ds`` partitions
+    (instead of one join per day).  Daily ``state_day`` runs continue from
+    the last backfilled day."""
+    S.insert_overwrite_dynamic(spark, ST.state_backfill(daily, start, end, keep_stale), table)
+
+
 # ---------------------------------------------------------------------------
 # mart
 # ---------------------------------------------------------------------------

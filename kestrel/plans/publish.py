@@ -151,5 +151,12 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
     stage = S.new_table_name("merge_stage")
     S.ensure_table(spark, stage, tgt.schema, (partition_col,))
     S.insert_overwrite_dynamic(spark, new, stage)
-    S.insert_overwrite_dynamic(spark, spark.table(stage), target)
+    staged = spark.table(stage)
+    S.insert_overwrite_dynamic(spark, staged, target)
+    # a touched partition left without rows (its only keys moved away) is
+    # not rewritten by a dynamic overwrite: empty it explicitly
+    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
+    for v in values:
+        if v not in present:
+            S.insert_overwrite_partition(spark, staged.limit(0), target, {partition_col: v})
     S.drop_table(spark, stage)

@@ -97,3 +97,16 @@ def test_partition_stable_merge_touches_only_source_days(spark):
     P.merge_by_key(spark, table, src, "k", partition_col="p", partition_stable=True)
     assert rows(spark.table(table), "k", "v", "p") == [
         (1, "new", D(2024, 1, 1)), (2, "keep", D(2024, 1, 2)), (3, "ins", D(2024, 1, 1))]
+
+
+def test_merge_moves_key_out_of_a_partition(spark):
+    from pyspark.sql import types as T
+    schema = "k long, v string, p date"
+    table = S.new_table_name("merge_m")
+    S.ensure_table(spark, table, T._parse_datatype_string(schema), ("p",))
+    tgt = spark.createDataFrame([(1, "a", D(2024, 1, 1)), (2, "b", D(2024, 1, 2))], schema)
+    S.insert_overwrite_dynamic(spark, tgt, table)
+    src = spark.createDataFrame([(1, "moved", D(2024, 1, 3))], schema)
+    P.merge_by_key(spark, table, src, "k", partition_col="p")
+    assert rows(spark.table(table), "k", "v", "p") == [(1, "moved", D(2024, 1, 3)),
+                                                       (2, "b", D(2024, 1, 2))]

@@ -101,3 +101,15 @@ def test_daily_job_on_bucketed_table_equals_backfill(spark):
     with contextlib.redirect_stdout(buf):
         step.explain("formatted")
     assert "Bucketed: true" in buf.getvalue()
+
+
+def test_backfill_then_daily_runs(spark):
+    from kestrel.plans import jobs as J
+    from kestrel.plans import storage as S
+    daily = fx.web_events_daily(spark, SF0001)
+    table = J.ensure_state_table(spark, S.new_table_name("state"), buckets=4)
+    J.backfill_state_table(spark, daily, table, "2024-01-01", "2024-01-10")
+    for d in (D(2024, 1, 11), D(2024, 1, 12)):
+        J.state_day(spark, daily, table, d)
+    back = ST.state_backfill(daily, "2024-01-01", "2024-01-12")
+    assert rows(spark.table(table).select(*back.columns)) == rows(back)
