@@ -73,10 +73,16 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder; set a scratch one only when unset."""
     current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        current = spark.sparkContext.getCheckpointDir()
+        try:
+            current = spark.sparkContext.getCheckpointDir()
+        except Exception:  # a session without a local SparkContext
+            current = None
     if not current:
         current = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-        spark.sparkContext.setCheckpointDir(current)
+        try:
+            spark.sparkContext.setCheckpointDir(current)
+        except Exception:
+            spark.conf.set("spark.checkpoint.dir", current)
     return current.rstrip("/")
 
 
