@@ -1,6 +1,6 @@
 """Print a plan summary (exchanges, joins, pushed filters, read schemas) per query.
 
-    python scripts/plans.py [sf_dir] [name ...]   # add --full to print formatted plans
+    python scripts/plans.py [sf_dir] [name ...]   # --full: formatted plans, --md: table rows
 """
 import contextlib
 import io
@@ -27,6 +27,7 @@ def summary(plan: str) -> dict:
 def main(argv):
     args = [a for a in argv[1:] if not a.startswith("--")]
     full = "--full" in argv
+    md = "--md" in argv
     sf = args[0] if args else "/root/testdata/sf0.01"
     only = set(args[1:])
     import __spark_entry__ as E
@@ -43,7 +44,13 @@ def main(argv):
         plan = buf.getvalue()
         if full:
             print(f"===== {name}\n{plan}")
-        print(name, summary(plan))
+        sm = summary(plan)
+        if md:
+            pushed = "; ".join(sm["pushed"]) or "–"
+            print(f"| `{name}` | {sm['exchanges']} | {sm['bhj']} | {sm['smj']} | {sm['windows']} | "
+                  f"{sm['expand']} | {sm['cartesian']} | {sm['python']} | {pushed} |")
+        else:
+            print(name, sm)
 
 
 if __name__ == "__main__":

@@ -96,3 +96,27 @@ def test_os_rules_are_case_sensitive(spark):
                                "os_type string")
     assert [r.os for r in df.select(classify_os("os_type").alias("os")).collect()] == \
         ["Android", "iOS", "iOS", "other", "other"]
+
+
+def test_growth_matches_exact_half_up_rounding(spark):
+    """pct_growth equals exact rational arithmetic rounded half away from zero."""
+    import random
+    from fractions import Fraction
+
+    from kestrel.functions.growth import pct_growth
+    rnd = random.Random(11)
+    pairs = [(rnd.randint(0, 10**6), rnd.choice([0, rnd.randint(1, 50), rnd.randint(1, 10**6)]))
+             for _ in range(2000)] + [(7, 8), (9, 8), (1, 3), (2, 3), (0, 7), (5, 0)]
+    df = spark.createDataFrame(pairs, "cur long, prev long")
+    got = {(r.cur, r.prev): r.g for r in df.select("cur", "prev",
+                                                    pct_growth("cur", "prev").alias("g")).collect()}
+
+    def exact(cur, prev):
+        if prev == 0:
+            return None
+        x = Fraction(100 * (cur - prev), prev) * 10
+        q = (abs(x.numerator) * 2 + x.denominator) // (2 * x.denominator)
+        return Decimal(q if x >= 0 else -q) / 10
+
+    for (cur, prev), g in got.items():
+        assert g == exact(cur, prev), (cur, prev, g)
