@@ -271,5 +271,5 @@ def build_fact_visits(spark: SparkSession, sf_dir: str, purchase_date: str | dt.
 
 
 def _location(spark: SparkSession, table: str) -> str:
-    from kestrel.session import work_dir
-    return work_dir(spark, table)
+    from kestrel.session import table_dir
+    return table_dir(spark, table)

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.session import work_dir
+from kestrel.session import table_dir
 
 # fixed sentinel for the grand-total level ('' cannot be a partition value)
 TOTAL_LEVEL = "grand_total"
@@ -47,12 +47,15 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     """``CREATE TABLE IF NOT EXISTS`` a parquet table; returns its name.
 
     Partition columns go last in a partitioned table's schema, as Spark
-    stores them; ``location`` defaults to a fresh folder under the shared
-    work folder.  ``bucket_by`` / ``buckets`` store each partition
+    stores them.  ``location`` defaults to the table's stable folder under
+    the shared checkpoint folder, and partitions already there are
+    recovered, so a table outlives the application that wrote it.
+    ``bucket_by`` / ``buckets`` store each partition
     hash-bucketed by those columns, so a later join or aggregate on them
     reads the table already partitioned and does not shuffle it.
     """
-    loc = location or work_dir(spark, name)
+    loc = location or table_dir(spark, name.replace(".", "__"))
+    existed = spark.catalog.tableExists(name)
     fields = [f for f in schema.fields if f.name not in partition_cols]
     fields += [schema[c] for c in partition_cols]
     part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
@@ -60,6 +63,14 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
               if bucket_by and buckets > 0 else "")
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({ddl(T.StructType(fields))}) "
               f"USING parquet{part}{bucket} LOCATION '{loc}'")
+    if partition_cols and not existed:
+        # declared over a folder that may already hold partitions written by
+        # an earlier application: register them (a listing, no data read)
+        try:
+            spark.sql(f"ALTER TABLE {_ident(name)} RECOVER PARTITIONS")
+        except Exception as e:  # a new table: its folder does not exist yet
+            if "does not exist" not in str(e) and "FileNotFound" not in str(e):
+                raise
     return name
 
 

@@ -86,6 +86,14 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return current.rstrip("/")
 
 
+def table_dir(spark: SparkSession, name: str) -> str:
+    """The stable folder of a named table under the shared checkpoint folder.
+
+    Stable, so a later application that declares the same table name finds
+    the data written by an earlier one."""
+    return f"{checkpoint_dir(spark)}/kestrel-tables/{name}"
+
+
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
     """A fresh folder under the shared checkpoint folder for one job's tables."""
     base = checkpoint_dir(spark)

@@ -110,3 +110,15 @@ def test_merge_moves_key_out_of_a_partition(spark):
     P.merge_by_key(spark, table, src, "k", partition_col="p")
     assert rows(spark.table(table), "k", "v", "p") == [(1, "moved", D(2024, 1, 3)),
                                                        (2, "b", D(2024, 1, 2))]
+
+
+def test_table_survives_redeclaration(spark):
+    """A later application re-declaring the table finds the earlier partitions."""
+    bars = _bars(spark)
+    table = S.new_table_name("persist")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, bars, table)
+    spark.sql(f"DROP TABLE {table}")              # external table: files stay
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    assert spark.table(table).count() == 150
+    assert spark.table(table).filter(F.col("ds") == F.lit(D(2024, 1, 3))).count() == 5
