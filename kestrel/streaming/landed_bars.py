@@ -26,7 +26,7 @@ from kestrel import schemas
 from kestrel.operators import bars as B
 from kestrel.plans import jobs as J
 from kestrel.plans import storage as S
-from kestrel.session import work_dir
+from kestrel.session import checkpoint_dir
 from kestrel.sources.landed import LANDED, flatten_responses
 
 
@@ -45,13 +45,20 @@ def process_batch(spark: SparkSession, batch: DataFrame, prod: str, cumulative:
     return days
 
 
+def default_checkpoint(spark: SparkSession, prod: str, cumulative: str) -> str:
+    """Stable per target pair, so each scheduled run resumes where the last stopped."""
+    name = f"{prod}__{cumulative}".replace(".", "_")
+    return f"{checkpoint_dir(spark)}/kestrel-streams/{name}"
+
+
 def start(spark: SparkSession, landing: str, prod: str, cumulative: str,
           checkpoint: str | None = None, available_now: bool = True,
           processing_time: str = "1 hour", max_files_per_trigger: int | None = None
           ) -> StreamingQuery:
     """Start the incremental job; returns the streaming query handle.
 
-    ``checkpoint`` defaults to a folder under the shared checkpoint folder.
+    ``checkpoint`` defaults to a stable folder (per target tables) under
+    the shared checkpoint folder.
     """
     S.ensure_table(spark, prod, schemas.BARS, ("ds",))
     reader = spark.readStream.schema(LANDED)
@@ -60,7 +67,7 @@ def start(spark: SparkSession, landing: str, prod: str, cumulative: str,
     stream = reader.json(landing)
     writer = (stream.writeStream
               .foreachBatch(lambda df, _epoch: process_batch(spark, df, prod, cumulative))
-              .option("checkpointLocation", checkpoint or work_dir(spark, "bars-stream")))
+              .option("checkpointLocation", checkpoint or default_checkpoint(spark, prod, cumulative)))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
     return writer.start()
