@@ -37,6 +37,20 @@ DEFAULT_CONF: dict[str, str] = {
 }
 
 
+# Suggested settings for ~100 TB on a large cluster (pass as ``extra=``):
+# start with many shuffle partitions and let AQE coalesce them towards
+# ~256 MB; split only partitions that are really large; read 256 MB splits.
+CLUSTER_CONF: dict[str, str] = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256MB",
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.files.maxPartitionBytes": "256MB",
+    "spark.sql.sources.bucketing.coalesceBucketsInJoin.enabled": "true",
+}
+
+
 def get_session(master: str | None = None, shuffle_partitions: int | None = None,
                 app_name: str = "kestrel", extra: dict[str, str] | None = None) -> SparkSession:
     """Build (or fetch) a session with the settings above.
