@@ -138,7 +138,12 @@ def _rebalanced(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
 
 
 def insert_overwrite_dynamic(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic mode)."""
+    """Overwrite only the partitions present in ``df`` (dynamic mode).
+
+    The mode is set on the session for the duration of this write and
+    restored after it (``insertInto`` on a catalog table does not honour a
+    per-write ``partitionOverwriteMode`` option; the merge test catches it).
+    """
     cols = table_columns(spark, table)
     prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
     spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
