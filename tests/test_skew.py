@@ -70,3 +70,26 @@ def test_hot_user_day_join_is_split_and_exact(skew_session):
     plan = buf.getvalue()
     assert "isFinalPlan=true" in plan
     assert "skew=true" in plan          # AQE split the hot user-day partitions
+
+
+def test_running_frame_with_hot_second_and_ties(spark):
+    """Running positions stay exact when one user-second (and one exact
+    timestamp) holds most of the events, across many input partitions."""
+    ev = fx.web_events(spark, SF001)
+    same_second = (ev.withColumn("user_id", F.lit(8).cast("bigint"))
+                     .withColumn("event_time", F.expr(
+                         "timestampadd(MICROSECOND, CAST(pmod(hash(url, event_time), 1000) AS INT), "
+                         "TIMESTAMP_NTZ'2024-01-05 10:00:00')")))
+    same_instant = (ev.withColumn("user_id", F.lit(8).cast("bigint"))
+                      .withColumn("event_time", F.lit("2024-01-05 10:00:00.5").cast("timestamp_ntz")))
+    skewed = ev.unionByName(same_second).unionByName(same_instant).repartition(16)
+    m = O.map_dims(skewed, fx.devices(spark, SF001))
+    ours = SS.running_windows(m).select("user_id", "event_time", "total_event_today",
+                                        "first_action_on_date")
+    w = Window.partitionBy("user_id", "event_date").orderBy("event_time")
+    plain = m.select("user_id", "event_time",
+                     F.count("event_time").over(w.rowsBetween(Window.unboundedPreceding, 0))
+                      .alias("total_event_today"),
+                     F.min("event_time").over(Window.partitionBy("user_id", "event_date"))
+                      .alias("first_action_on_date"))
+    assert rows(ours) == rows(plain)
