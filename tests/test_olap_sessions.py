@@ -109,3 +109,17 @@ def test_multi_event_days_filter(spark):
     assert out.filter("total_event_today <= 1").count() == 0
     singles = SS.day_windows(m).filter("total_event_today = 1").count()
     assert out.count() + singles == m.count()
+
+
+def test_null_user_is_its_own_group(spark):
+    ev = [(None, 1, "x", "/a", T(2024, 1, 2, 8)), (None, 1, "x", "/a", T(2024, 1, 2, 9)),
+          (5, 1, "x", "/a", T(2024, 1, 2, 8, 30))]
+    m = _mapped(spark, ev, [(1, "b", "d", "o")])
+    full = rows(SS.sessionize(m), "user_id", "event_time", "total_event_today",
+                "first_action_on_date")
+    assert full == [(5, T(2024, 1, 2, 8, 30), 1, T(2024, 1, 2, 8, 30)),
+                    (None, T(2024, 1, 2, 8), 2, T(2024, 1, 2, 8)),
+                    (None, T(2024, 1, 2, 9), 2, T(2024, 1, 2, 8))]
+    run = rows(SS.sessionize(m, frame="running"), "user_id", "event_time", "total_event_today")
+    assert run == [(5, T(2024, 1, 2, 8, 30), 1), (None, T(2024, 1, 2, 8), 1),
+                   (None, T(2024, 1, 2, 9), 2)]
