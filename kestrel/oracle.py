@@ -373,8 +373,7 @@ SELECT haunted_house_id, house_size,
 FROM stg_haunted_houses"""),
     "fact_visits": _with(STG + [FACT], "SELECT * FROM fact_visits"),
     "audit_fact_visits": _with(STG + [AUDIT], "SELECT * FROM audit_fact_visits"),
-    "fact_visits_merge": _with(STG + [FACT], f"""
-SELECT * FROM fact_visits WHERE purchase_date <= DATE '{Qy.AUDIT_DATE}'"""),
+    "fact_visits_merge": _with(STG + [FACT], "SELECT * FROM fact_visits"),
     # publish
     "wap_gate": _with([BARS], f"""
 SELECT CASE WHEN COUNT(*) = 0 THEN 'fail' ELSE 'pass' END AS dq_check

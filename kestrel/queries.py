@@ -219,19 +219,17 @@ def audit_fact_visits(spark, sf):
 
 
 def fact_visits_merge(spark, sf):
-    """Target: the fact up to the audit day, with the audit day's rows as
-    they were before feedback arrived; merge the audit rows in."""
+    """Target: the whole fact, with the audit day's rows as they were
+    before feedback arrived; merging the audit rows in updates that day."""
     fact = fact_visits(spark, sf)
     day = F.lit(AUDIT_DATE).cast("date")
-    before = fact.filter(F.col("purchase_date") < day)
+    before = fact.filter(~F.col("purchase_date").eqNullSafe(day))
     stale = (fact.filter(F.col("purchase_date") == day)
                  .withColumn("rating", F.lit(None).cast("bigint"))
                  .withColumn("comments", F.lit(None).cast("string")))
-    table = S.new_table_name("fact_visits")
-    S.ensure_table(spark, table, schemas.FACT_VISITS, ("purchase_date",))
-    S.insert_overwrite_dynamic(spark, before.unionByName(stale), table)
-    P.merge_by_key(spark, table, audit_fact_visits(spark, sf), "ticket_id",
-                   partition_col="purchase_date", partition_stable=True)
+    table = J.ensure_fact_table(spark, S.new_table_name("fact_visits"))
+    S.insert_overwrite_dynamic(spark, J.with_fact_partition(before.unionByName(stale)), table)
+    J.merge_into_fact(spark, table, audit_fact_visits(spark, sf))
     return spark.table(table).select(*M.FACT_COLUMNS)
 
 

@@ -98,3 +98,9 @@ FACT_VISITS = T.StructType([
     T.StructField("rating", T.LongType()),
     T.StructField("comments", T.StringType()),
 ])
+
+# the fact as stored: partitioned by purchase month (a ticket never
+# changes month, so a merge touches exactly the months of its source)
+FACT_VISITS_STORED = T.StructType(FACT_VISITS.fields + [
+    T.StructField("purchase_month", T.DateType()),
+])
