@@ -109,27 +109,30 @@ def running_windows(mapped: DataFrame) -> DataFrame:
     chunk = (base.groupBy(*NKEY, "user_id", "event_time", "_pid")
                  .agg(F.count(F.lit(1)).alias("_n"))
                  .withColumn("_sec", F.date_trunc("second", F.col("event_time"))))
-    per_ts = chunk.groupBy(*NKEY, "_sec", "event_time").agg(F.sum("_n").alias("_nt"))
-    per_sec = per_ts.groupBy(*NKEY, "_sec").agg(F.sum("_nt").alias("_ns"),
-                                                F.min("event_time").alias("_sec_first"))
     before = Window.unboundedPreceding
-
+    # level 3: chunks of one timestamp, ordered by input partition
+    ts_w = Window.partitionBy(*NKEY, "event_time").orderBy("_pid")
+    cw = chunk.select(
+        "*",
+        F.coalesce(F.sum("_n").over(ts_w.rowsBetween(before, -1)), F.lit(0)).alias("_b_pid"),
+        F.sum("_n").over(Window.partitionBy(*NKEY, "event_time")).alias("_nt"))
+    # level 2: timestamps of one second (one row per timestamp: its first chunk)
+    sec_w = Window.partitionBy(*NKEY, "_sec").orderBy("event_time")
+    per_ts = cw.filter(F.col("_b_pid") == 0).select(
+        *NKEY, "_sec", "event_time",
+        F.coalesce(F.sum("_nt").over(sec_w.rowsBetween(before, -1)), F.lit(0)).alias("_b_ts"),
+        F.sum("_nt").over(Window.partitionBy(*NKEY, "_sec")).alias("_ns"),
+        F.row_number().over(sec_w).alias("_rn"))
+    # level 1: seconds of one user-day (one row per second: its first timestamp)
     day_w = Window.partitionBy(*NKEY).orderBy("_sec")
-    per_sec = per_sec.select(
+    per_sec = per_ts.filter(F.col("_rn") == 1).select(
         *NKEY, "_sec",
         F.coalesce(F.sum("_ns").over(day_w.rowsBetween(before, -1)), F.lit(0)).alias("_b_sec"),
-        F.min("_sec_first").over(Window.partitionBy(*NKEY)).alias("first_action_on_date"))
-    sec_w = Window.partitionBy(*NKEY, "_sec").orderBy("event_time")
-    per_ts = per_ts.select(
-        *NKEY, "_sec", "event_time",
-        F.coalesce(F.sum("_nt").over(sec_w.rowsBetween(before, -1)), F.lit(0)).alias("_b_ts"))
-    ts_w = Window.partitionBy(*NKEY, "event_time").orderBy("_pid")
-    chunk = chunk.select(
-        *NKEY, "user_id", "_sec", "event_time", "_n",
-        F.coalesce(F.sum("_n").over(ts_w.rowsBetween(before, -1)), F.lit(0)).alias("_b_pid"))
+        F.min("event_time").over(Window.partitionBy(*NKEY)).alias("first_action_on_date"))
 
-    j = (chunk.join(per_ts, [*NKEY, "_sec", "event_time"], "inner")
-              .join(per_sec, [*NKEY, "_sec"], "inner"))
+    j = (cw.select(*NKEY, "user_id", "_sec", "event_time", "_n", "_b_pid")
+           .join(per_ts.select(*NKEY, "event_time", "_b_ts"), [*NKEY, "event_time"], "inner")
+           .join(per_sec, [*NKEY, "_sec"], "inner"))
     start = F.col("_b_sec") + F.col("_b_ts") + F.col("_b_pid") + F.lit(1)
     return j.select("user_id", "event_time", "first_action_on_date",
                     F.col("event_time").alias("last_action_on_date"),
