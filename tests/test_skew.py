@@ -93,3 +93,26 @@ def test_running_frame_with_hot_second_and_ties(spark):
                      F.min("event_time").over(Window.partitionBy("user_id", "event_date"))
                       .alias("first_action_on_date"))
     assert rows(ours) == rows(plain)
+
+
+def test_aqe_splits_a_hot_join_key(skew_session):
+    """The planner-side guard for joins to big dimensions: with a sort-merge
+    join, AQE splits the partition of a device holding most events."""
+    spark = skew_session
+    ev = fx.web_events(spark, SF001)
+    hot = ev.withColumn("device_id", F.lit(7).cast("bigint"))
+    skewed = ev.unionByName(hot).unionByName(hot)
+    dev = (fx.read_table(spark, SF001, "customer").filter("c_custkey < 100")
+             .select(F.col("c_custkey").alias("device_id"), "c_mktsegment"))
+    j = (skewed.join(dev.hint("shuffle_merge"), "device_id")
+               .groupBy("c_mktsegment", "url").agg(F.count("host").alias("n"),
+                                                   F.max("event_time").alias("last")))
+    got = j.collect()
+    plain = (skewed.join(F.broadcast(dev), "device_id")
+                   .groupBy("c_mktsegment", "url").agg(F.count("host").alias("n"),
+                                                       F.max("event_time").alias("last")))
+    assert sorted(tuple(r) for r in got) == sorted(tuple(r) for r in plain.collect())
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        j.explain()
+    assert "skew=true" in buf.getvalue()
