@@ -1,12 +1,14 @@
 """DuckDB oracle SQL for every registered query.
 
 Each string runs on DuckDB over the driver's tables (views ``events``,
-``customer``, ``orders``, ...).  The oracles are written in the shape of
-the original analytics SQL - self-joins for retention, an IN-subquery
-for the e-mail flag and the audit day, a day-by-day recursive fold for
-user states, brute-force "all bars up to the day" for the price arrays -
-so they also check the Spark rewrites (one-pass retention, count-then-
-cube, closed-form states, window arrays).
+``customer``, ``orders``, ...).  Each oracle is an independent SQL
+formulation, deliberately different from the Spark plan it checks: correlated EXISTS per offset for
+retention (Spark: one min/max pass), whole-partition window functions
+for sessions (Spark: aggregate joined back), a transition table folded
+day by day in a recursive CTE for user states (Spark: closed form over
+one window), brute-force "all bars up to the day" for the price arrays
+(Spark: bounded window), and CUBE over raw rows (Spark: count at the
+grain first).
 
 DuckDB differences handled here: ``date_sub('minute', ...)`` for whole
 elapsed minutes, ``concat_ws`` instead of lambdas, BIGINT casts for
@@ -65,10 +67,9 @@ MAPPED = f"""mapped AS (
 
 # the collapsed map of the grouping-set reports (browser not filled)
 MAPPED_DEDUP = f"""mapped AS (
-  SELECT {HOST_CASE} AS h, browser_type AS b, {DEVICE_CASE} AS d,
+  SELECT DISTINCT {HOST_CASE} AS h, browser_type AS b, {DEVICE_CASE} AS d,
     COALESCE(os_type, 'unknown') AS o, url
-  FROM web_events e JOIN devices d ON d.device_id = e.device_id
-  GROUP BY 1, 2, 3, 4, 5)"""
+  FROM web_events e JOIN devices d ON d.device_id = e.device_id)"""
 
 ACTIVITY = "activity AS (SELECT o_custkey AS user_id, o_custkey AS device_id, o_orderdate AS event_time FROM orders)"
 ACTIVITY_DEVICES = """activity_devices AS (
@@ -136,32 +137,21 @@ STG = [
 ]
 VALID_DOMAINS = "valid_domains AS (SELECT * FROM (VALUES ('example.com'), ('example.io')) t(valid_domain))"
 DIM_CUSTOMERS = """dim_customers AS (
-  SELECT c.customer_id, c.age, c.gender, c.email,
-    CASE WHEN email LIKE '%@%.%'
-          AND split_part(c.email, '@', 2) IN (SELECT valid_domain FROM valid_domains)
-         THEN true ELSE false END AS is_valid_email_address
-  FROM stg_haunted_customers c)"""
+  SELECT s.customer_id, s.age, s.gender, s.email,
+    (s.email LIKE '%@%.%' AND v.valid_domain IS NOT NULL) IS TRUE AS is_valid_email_address
+  FROM stg_haunted_customers s
+  LEFT JOIN (SELECT DISTINCT valid_domain FROM valid_domains) v
+    ON split_part(s.email, '@', 2) = v.valid_domain)"""
 DIM_HOUSES = """dim_haunted_houses AS (
   SELECT haunted_house_id, house_name, park_area, theme, fear_level,
     house_size AS house_size_in_ft2, CAST(house_size * 0.3048 AS DECIMAL(16, 2)) AS house_size_in_m2
   FROM stg_haunted_houses)"""
 FACT = """fact_visits AS (
-  SELECT hht.ticket_id, hht.customer_id, hht.haunted_house_id, hht.purchase_date, hht.visit_date,
-    hht.ticket_type, hht.ticket_price, cf.rating, cf.comments
-  FROM stg_haunted_house_tickets hht
-  LEFT JOIN (SELECT ticket_id, rating, comments FROM stg_customer_feedbacks) cf
-    ON hht.ticket_id = cf.ticket_id)"""
+  SELECT t.*, fb.rating, fb.comments
+  FROM stg_haunted_house_tickets t
+  LEFT JOIN stg_customer_feedbacks fb USING (ticket_id))"""
 AUDIT = f"""audit_fact_visits AS (
-  WITH tickets AS (
-    SELECT ticket_id, customer_id, haunted_house_id, purchase_date, visit_date, ticket_type, ticket_price
-    FROM stg_haunted_house_tickets WHERE purchase_date = DATE '{Qy.AUDIT_DATE}'),
-  feedbacks AS (
-    SELECT ticket_id, rating, comments FROM stg_customer_feedbacks
-    WHERE ticket_id IN (SELECT ticket_id FROM tickets))
-  SELECT tickets.ticket_id, tickets.customer_id, tickets.haunted_house_id, tickets.purchase_date,
-    tickets.visit_date, tickets.ticket_type, tickets.ticket_price, feedbacks.rating, feedbacks.comments
-  FROM tickets LEFT JOIN feedbacks ON tickets.ticket_id = feedbacks.ticket_id)"""
-
+  SELECT * FROM fact_visits WHERE purchase_date = DATE '{Qy.AUDIT_DATE}')"""
 
 def _with(ctes: list[str], body: str, recursive: bool = False) -> str:
     head = "WITH RECURSIVE " if recursive else "WITH "
@@ -200,53 +190,50 @@ SELECT CAST(YEAR(m) AS BIGINT) AS activity_year, CAST(MONTH(m) AS BIGINT) AS act
   {_growth('monthly_users_active', 'prior_year_users')} AS yoy_growth_percentage
 FROM my ORDER BY activity_year DESC, activity_month DESC, os""")
 
-RETENTION = _with([ACTIVITY, """user_first_activity AS (
-  SELECT user_id, MIN(CAST(event_time AS DATE)) AS first_active_date FROM activity GROUP BY user_id)""",
-                   """after_activity AS (SELECT user_id, CAST(event_time AS DATE) AS event_date FROM activity)"""],
-                  """
-SELECT CAST(YEAR(f.first_active_date) AS BIGINT) AS first_year,
-  CAST(MONTH(f.first_active_date) AS BIGINT) AS first_month,
-  COUNT(DISTINCT f.user_id) AS total_started,
-  COUNT(DISTINCT CASE WHEN two_weeks_joined.user_id IS NOT NULL THEN f.user_id END) AS two_weeks_active,
-  COUNT(DISTINCT CASE WHEN one_month_joined.user_id IS NOT NULL THEN f.user_id END) AS one_month_active,
-  COUNT(DISTINCT CASE WHEN three_months_joined.user_id IS NOT NULL THEN f.user_id END) AS three_months_active
-FROM user_first_activity f
-LEFT JOIN (SELECT aa.user_id FROM after_activity aa JOIN user_first_activity ufa ON aa.user_id = ufa.user_id
-           WHERE aa.event_date >= CAST(ufa.first_active_date + INTERVAL 14 DAY AS DATE)
-           GROUP BY aa.user_id) two_weeks_joined ON f.user_id = two_weeks_joined.user_id
-LEFT JOIN (SELECT aa.user_id FROM after_activity aa JOIN user_first_activity ufa ON aa.user_id = ufa.user_id
-           WHERE aa.event_date >= CAST(ufa.first_active_date + INTERVAL 1 MONTH AS DATE)
-           GROUP BY aa.user_id) one_month_joined ON f.user_id = one_month_joined.user_id
-LEFT JOIN (SELECT aa.user_id FROM after_activity aa JOIN user_first_activity ufa ON aa.user_id = ufa.user_id
-           WHERE aa.event_date >= CAST(ufa.first_active_date + INTERVAL 3 MONTH AS DATE)
-           GROUP BY aa.user_id) three_months_joined ON f.user_id = three_months_joined.user_id
-GROUP BY YEAR(f.first_active_date), MONTH(f.first_active_date)
-ORDER BY 1 DESC, 2 DESC""")
-
-STATE_CASE = """CASE
-      WHEN y.user_id IS NULL THEN 'new'
-      WHEN y.current_state IN ('new', 'resurrected', 'retained') AND t.user_id IS NULL THEN 'churned'
-      WHEN y.current_state IN ('new', 'resurrected', 'retained') AND t.user_id IS NOT NULL THEN 'retained'
-      WHEN y.current_state IN ('stale', 'churned') AND t.user_id IS NOT NULL THEN 'resurrected'
-      WHEN y.current_state IN ('churned') AND t.user_id IS NULL THEN 'stale'
-      ELSE 'unknown' END"""
+def _later(offset: str) -> str:
+    return (f"EXISTS (SELECT 1 FROM activity a WHERE a.user_id = f.user_id "
+            f"AND CAST(a.event_time AS DATE) >= CAST(f.d0 + {offset} AS DATE))")
+
+
+RETENTION = _with([ACTIVITY, """firsts AS (
+  SELECT user_id, MIN(CAST(event_time AS DATE)) AS d0 FROM activity GROUP BY user_id)""",
+                   f"""flags AS (
+  SELECT f.user_id, f.d0,
+    {_later("INTERVAL 14 DAY")} AS w2,
+    {_later("INTERVAL 1 MONTH")} AS m1,
+    {_later("INTERVAL 3 MONTH")} AS m3
+  FROM firsts f)"""], """
+SELECT CAST(year(d0) AS BIGINT) AS first_year, CAST(month(d0) AS BIGINT) AS first_month,
+  COUNT(user_id) AS total_started,
+  COUNT(user_id) FILTER (WHERE w2) AS two_weeks_active,
+  COUNT(user_id) FILTER (WHERE m1) AS one_month_active,
+  COUNT(user_id) FILTER (WHERE m3) AS three_months_active
+FROM flags GROUP BY 1, 2""")
+
+# the state machine as a transition table (yesterday's state, active today)
+MOVES = """moves(prev_state, active, next_state) AS (VALUES
+  ('new', true, 'retained'), ('new', false, 'churned'),
+  ('retained', true, 'retained'), ('retained', false, 'churned'),
+  ('resurrected', true, 'retained'), ('resurrected', false, 'churned'),
+  ('churned', true, 'resurrected'), ('churned', false, 'stale'),
+  ('stale', true, 'resurrected'), ('stale', false, 'unknown'),
+  ('unknown', true, 'unknown'), ('unknown', false, 'unknown'))"""
 
 # the state table folded one day at a time from each user's first day
 STATE_FOLD = [f"""daily AS (
   SELECT user_id, CAST(ts AS DATE) AS ds, COUNT(*) AS total_page_visits FROM events
   WHERE CAST(ts AS DATE) BETWEEN DATE '{Qy.DAY_START}' AND DATE '{Qy.DAY_END}'
-  GROUP BY 1, 2)""",
-              """firsts AS (SELECT user_id, min(ds) AS f FROM daily GROUP BY user_id)""",
-              f"""st AS (
-  SELECT f.user_id, f.f AS first_active_date, f.f AS last_active_date, 'new' AS current_state,
-    d.total_page_visits AS lifetime_page_visits, f.f AS ds
-  FROM firsts f JOIN daily d ON d.user_id = f.user_id AND d.ds = f.f
+  GROUP BY 1, 2)""", MOVES, f"""st AS (
+  SELECT d.user_id, d.ds AS first_active_date, d.ds AS last_active_date, 'new' AS current_state,
+    d.total_page_visits AS lifetime_page_visits, d.ds
+  FROM daily d
+  WHERE d.ds = (SELECT min(x.ds) FROM daily x WHERE x.user_id = d.user_id)
   UNION ALL
-  SELECT y.user_id, y.first_active_date, COALESCE(t.ds, y.last_active_date),
-    {STATE_CASE},
-    y.lifetime_page_visits + COALESCE(t.total_page_visits, 0),
-    CAST(y.ds + 1 AS DATE)
-  FROM st y LEFT JOIN daily t ON t.user_id = y.user_id AND t.ds = y.ds + 1
+  SELECT y.user_id, y.first_active_date, COALESCE(t.ds, y.last_active_date), m.next_state,
+    y.lifetime_page_visits + COALESCE(t.total_page_visits, 0), CAST(y.ds + 1 AS DATE)
+  FROM st y
+  LEFT JOIN daily t ON t.user_id = y.user_id AND t.ds = y.ds + 1
+  JOIN moves m ON m.prev_state = y.current_state AND m.active = (t.user_id IS NOT NULL)
   WHERE y.ds < DATE '{Qy.DAY_END}')"""]
 
 STATE_BACKFILL = _with(STATE_FOLD, """
@@ -257,11 +244,12 @@ STATE_STEP = _with(STATE_FOLD, f"""
 SELECT COALESCE(t.user_id, y.user_id) AS user_id,
   COALESCE(y.first_active_date, t.ds) AS first_active_date,
   COALESCE(t.ds, y.last_active_date) AS last_active_date,
-  {STATE_CASE} AS current_state,
+  COALESCE(m.next_state, 'new') AS current_state,
   CAST(COALESCE(y.lifetime_page_visits, 0) + COALESCE(t.total_page_visits, 0) AS BIGINT) AS lifetime_page_visits,
   DATE '{Qy.STEP_DAY}' AS ds
 FROM (SELECT * FROM daily WHERE ds = DATE '{Qy.STEP_DAY}') t
-FULL OUTER JOIN (SELECT * FROM st WHERE ds = DATE '{Qy.STEP_DAY}' - 1) y ON t.user_id = y.user_id""",
+FULL OUTER JOIN (SELECT * FROM st WHERE ds = DATE '{Qy.STEP_DAY}' - 1) y ON t.user_id = y.user_id
+LEFT JOIN moves m ON m.prev_state = y.current_state AND m.active = (t.user_id IS NOT NULL)""",
                    recursive=True)
 
 WEB = [EV, WEB_EVENTS, DEVICES]
@@ -289,22 +277,27 @@ SELECT COALESCE(h, '(overall)') AS host, COALESCE(b, '(overall)') AS browser_typ
 FROM mapped GROUP BY CUBE (h, b, d, o)""")
 
 
-def _windowed(frame: str) -> str:
-    over = (f"OVER (PARTITION BY user_id, event_date ORDER BY event_time ROWS BETWEEN "
-            f"UNBOUNDED PRECEDING AND {frame})")
-    return f"""windowed AS (
+DAY_WINDOW = """windowed AS (
+  SELECT user_id, event_time,
+    min(event_time) OVER day AS first_action_on_date,
+    max(event_time) OVER day AS last_action_on_date,
+    count(event_time) OVER day AS total_event_today
+  FROM mapped
+  WINDOW day AS (PARTITION BY user_id, event_date))"""
+RUNNING_WINDOW = """windowed AS (
   SELECT user_id, event_time,
-    FIRST_VALUE(event_time) {over} AS first_action_on_date,
-    LAST_VALUE(event_time) {over} AS last_action_on_date,
-    COUNT(event_time) {over} AS total_event_today
-  FROM mapped)"""
+    min(event_time) OVER upto AS first_action_on_date,
+    event_time AS last_action_on_date,
+    count(event_time) OVER upto AS total_event_today
+  FROM mapped
+  WINDOW upto AS (PARTITION BY user_id, event_date ORDER BY event_time ROWS UNBOUNDED PRECEDING))"""
 
 
-SESSION_FULL = _with(WEB + [MAPPED, _windowed("UNBOUNDED FOLLOWING")], """
+SESSION_FULL = _with(WEB + [MAPPED, DAY_WINDOW], """
 SELECT *, date_sub('minute', first_action_on_date, event_time) AS minutes_since_first FROM windowed""")
-SESSION_RUNNING = _with(WEB + [MAPPED, _windowed("CURRENT ROW")], """
+SESSION_RUNNING = _with(WEB + [MAPPED, RUNNING_WINDOW], """
 SELECT *, date_sub('minute', first_action_on_date, event_time) AS minutes_since_first FROM windowed""")
-MULTI_EVENT = _with(WEB + [MAPPED, _windowed("UNBOUNDED FOLLOWING")], """
+MULTI_EVENT = _with(WEB + [MAPPED, DAY_WINDOW], """
 SELECT * FROM windowed WHERE total_event_today > 1""")
 
 # ---------------------------------------------------------------------------
@@ -372,7 +365,7 @@ SELECT haunted_house_id, house_size,
   CAST(house_size * 0.3048 AS DECIMAL(16, 4)) AS size_m_scale4
 FROM stg_haunted_houses"""),
     "fact_visits": _with(STG + [FACT], "SELECT * FROM fact_visits"),
-    "audit_fact_visits": _with(STG + [AUDIT], "SELECT * FROM audit_fact_visits"),
+    "audit_fact_visits": _with(STG + [FACT, AUDIT], "SELECT * FROM audit_fact_visits"),
     "fact_visits_merge": _with(STG + [FACT], "SELECT * FROM fact_visits"),
     # publish
     "wap_gate": _with([BARS], f"""
@@ -391,7 +384,7 @@ WHERE haunted_house_id IS NOT NULL GROUP BY haunted_house_id HAVING COUNT(*) > 1
 SELECT CAST(rating AS VARCHAR) AS value_field, COUNT(*) AS n_records FROM fact_visits
 WHERE rating IS NOT NULL AND CAST(rating AS VARCHAR) NOT IN ('1', '2', '3', '4', '5')
 GROUP BY 1"""),
-    "dq_relationships": _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS, AUDIT], """
+    "dq_relationships": _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS, FACT, AUDIT], """
 SELECT * FROM audit_fact_visits
 WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM dim_customers)"""),
     "dq_is_positive": "SELECT c_acctbal AS positive_field FROM customer WHERE c_acctbal <= 0",
