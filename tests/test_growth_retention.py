@@ -71,7 +71,7 @@ def test_retention_equals_self_join_form(spark):
     from kestrel.sources import fixtures as fx
     ev = fx.activity(spark, SF0001)
     ev.createOrReplaceTempView("act")
-    spark.sql("""CREATE OR REPLACE TEMP VIEW ufa AS
+    spark.sql("""CREATE OR REPLACE TEMP VIEW first_days AS
                  SELECT user_id, MIN(to_date(event_time)) AS f FROM act GROUP BY user_id""")
     joined = spark.sql("""
       SELECT CAST(year(u.f) AS BIGINT) first_year, CAST(month(u.f) AS BIGINT) first_month,
@@ -79,12 +79,12 @@ def test_retention_equals_self_join_form(spark):
         COUNT(DISTINCT CASE WHEN a.user_id IS NOT NULL THEN u.user_id END) two_weeks_active,
         COUNT(DISTINCT CASE WHEN b.user_id IS NOT NULL THEN u.user_id END) one_month_active,
         COUNT(DISTINCT CASE WHEN c.user_id IS NOT NULL THEN u.user_id END) three_months_active
-      FROM ufa u
-      LEFT JOIN (SELECT DISTINCT x.user_id FROM act x JOIN ufa y ON x.user_id = y.user_id
+      FROM first_days u
+      LEFT JOIN (SELECT DISTINCT x.user_id FROM act x JOIN first_days y ON x.user_id = y.user_id
                  WHERE to_date(x.event_time) >= date_add(y.f, 14)) a ON a.user_id = u.user_id
-      LEFT JOIN (SELECT DISTINCT x.user_id FROM act x JOIN ufa y ON x.user_id = y.user_id
+      LEFT JOIN (SELECT DISTINCT x.user_id FROM act x JOIN first_days y ON x.user_id = y.user_id
                  WHERE to_date(x.event_time) >= add_months(y.f, 1)) b ON b.user_id = u.user_id
-      LEFT JOIN (SELECT DISTINCT x.user_id FROM act x JOIN ufa y ON x.user_id = y.user_id
+      LEFT JOIN (SELECT DISTINCT x.user_id FROM act x JOIN first_days y ON x.user_id = y.user_id
                  WHERE to_date(x.event_time) >= add_months(y.f, 3)) c ON c.user_id = u.user_id
       GROUP BY 1, 2""")
     assert rows(R.retention(ev)) == rows(joined.select(*R.retention(ev).columns))
