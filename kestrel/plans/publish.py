@@ -93,7 +93,7 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.C
     if passed:
         publish(rows)
         if not keep_audit:
-            S.drop_table(spark, audit)
+            S.drop_table(spark, audit, purge=True)
     return AuditResult(passed, results, audit)
 
 
@@ -133,7 +133,7 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
         S.ensure_table(spark, stage, schema)
         S.insert_overwrite_table(spark, new, stage)
         S.insert_overwrite_table(spark, spark.table(stage), target)
-        S.drop_table(spark, stage)
+        S.drop_table(spark, stage, purge=True)
         return
     touched = src.select(partition_col).distinct()
     if not partition_stable:
@@ -159,4 +159,4 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
     for v in values:
         if v not in present:
             S.insert_overwrite_partition(spark, staged.limit(0), target, {partition_col: v})
-    S.drop_table(spark, stage)
+    S.drop_table(spark, stage, purge=True)

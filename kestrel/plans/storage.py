@@ -74,8 +74,16 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     return name
 
 
-def drop_table(spark: SparkSession, name: str) -> None:
-    """``DROP TABLE IF EXISTS`` (the staging copy after a publish)."""
+def drop_table(spark: SparkSession, name: str, purge: bool = False) -> None:
+    """``DROP TABLE IF EXISTS`` (the staging copy after a publish).
+
+    Tables here are external (their folder is given), so DROP keeps the
+    files; ``purge=True`` first overwrites the table with an empty frame,
+    which deletes its data files, so staging copies do not pile up in the
+    shared folder."""
+    if purge and spark.catalog.tableExists(name):
+        empty = spark.createDataFrame([], spark.table(name).schema)
+        insert_overwrite_table(spark, empty, name)
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
 
 
@@ -118,7 +126,7 @@ def overwrite_partition_staged(spark: SparkSession, df: DataFrame, table: str,
     try:
         insert_overwrite_partition(spark, spark.table(stage), table, partition)
     finally:
-        drop_table(spark, stage)
+        drop_table(spark, stage, purge=True)
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:

@@ -122,3 +122,17 @@ def test_table_survives_redeclaration(spark):
     S.ensure_table(spark, table, schemas.BARS, ("ds",))
     assert spark.table(table).count() == 150
     assert spark.table(table).filter(F.col("ds") == F.lit(D(2024, 1, 3))).count() == 5
+
+
+def test_purged_staging_leaves_no_files(spark):
+    import glob
+    table = S.new_table_name("purge")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, _bars(spark), table)
+    loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
+           if r[0] == "Location"][0][1]
+    path = loc.replace("file:", "")
+    assert glob.glob(f"{path}/ds=*/*.parquet")
+    S.drop_table(spark, table, purge=True)
+    assert not spark.catalog.tableExists(table)
+    assert not glob.glob(f"{path}/ds=*/*.parquet")
