@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from kestrel.operators import quality as Q
 from kestrel.plans import storage as S
@@ -107,11 +108,12 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
     key in the target (a left-semi join on the key column alone, so the
     scan reads two columns) plus those the source writes to.  Their
     values (one per partition) come back to the driver and prune the
-    target scan to those folders.  The new
-    partition contents are first written to a staging table (which also
+    target scan to those folders.  The source is written once to a
+    staging table first (every later step reads the same rows); the new
+    partition contents are written to a second staging table (which also
     cuts the lineage to the target), then swapped in with one dynamic
-    partition overwrite.  Without ``partition_col`` the whole table is
-    rewritten the same way.
+    partition overwrite.  Both staging copies are purged afterwards.
+    Without ``partition_col`` the whole table is rewritten the same way.
 
     ``check_unique`` refuses a source whose key repeats (a merge would
     otherwise be ambiguous).  ``partition_stable=True`` declares that a
@@ -120,17 +122,30 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
     skipped, and the target is read only in those partitions, so a daily
     merge costs the size of the day, not of the table.
     """
-    if check_unique and not Q.unique(source, key).isEmpty():
-        raise GateFailed(f"merge source has repeated {key} values")
     cols = S.table_columns(spark, target)
     tgt = spark.table(target)
-    src = source.select(*cols)
+    # the source is written once and read from there: the uniqueness check,
+    # the touched partitions and the new content all see the same rows,
+    # and an expensive source plan is not evaluated three times
+    src_stage = S.new_table_name("merge_src")
+    S.ensure_table(spark, src_stage, T.StructType([tgt.schema[c] for c in cols]))
+    try:
+        S.insert_overwrite_table(spark, source.select(*cols), src_stage)
+        src = spark.table(src_stage)
+        if check_unique and not Q.unique(src, key).isEmpty():
+            raise GateFailed(f"merge source has repeated {key} values")
+        _merge_staged(spark, target, tgt, src, key, partition_col, partition_stable)
+    finally:
+        S.drop_table(spark, src_stage, purge=True)
+
+
+def _merge_staged(spark: SparkSession, target: str, tgt: DataFrame, src: DataFrame, key: str,
+                  partition_col: str | None, partition_stable: bool) -> None:
     if partition_col is None:
         kept = tgt.join(src.select(key), key, "left_anti")
         new = kept.unionByName(src)
         stage = S.new_table_name("merge_stage")
-        schema = tgt.schema
-        S.ensure_table(spark, stage, schema)
+        S.ensure_table(spark, stage, tgt.schema)
         S.insert_overwrite_table(spark, new, stage)
         S.insert_overwrite_table(spark, spark.table(stage), target)
         S.drop_table(spark, stage, purge=True)
