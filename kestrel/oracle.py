@@ -24,7 +24,7 @@ from kestrel import queries as Qy
 # stand-in views (same expressions as kestrel.sources.fixtures)
 # ---------------------------------------------------------------------------
 
-EV = "ev AS (SELECT *, CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"
+EV = "ev AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"
 
 WEB_EVENTS = """web_events AS (
   SELECT user_id, k AS device_id, CAST(NULL AS VARCHAR) AS referrer,

@@ -15,8 +15,11 @@ from kestrel.sources.tables import read_table
 
 
 def _props_k() -> Column:
-    """The integer ``k`` of ``events.props`` (``{"k": 69}``)."""
-    return F.get_json_object("props", "$.k").cast("bigint")
+    """The integer ``k`` of ``events.props`` (``{"k": 69}``).
+
+    ``try_cast``: a malformed value gives null (the event then matches no
+    device) instead of failing a whole ANSI-mode job on one bad row."""
+    return F.get_json_object("props", "$.k").try_cast("bigint")
 
 
 # ---------------------------------------------------------------------------
