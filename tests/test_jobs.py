@@ -51,3 +51,11 @@ def test_run_day_ingest_publish_cumulate(spark, tmp_path):
     assert rows(got, "stock_symbol", "last_7_prices") == rows(expect, "stock_symbol",
                                                               "last_7_prices")
     assert spark.table(prod).count() == bars.count()
+
+
+def test_built_fact_takes_audit_merges(spark):
+    names = J.build_marts(spark, SF0001, prefix="m")
+    before = rows(spark.table(names["fact_visits"]).drop("purchase_month"))
+    res = J.build_fact_visits(spark, SF0001, "1995-06-19", names["fact_visits"])
+    assert res.passed
+    assert rows(spark.table(names["fact_visits"]).drop("purchase_month")) == before
