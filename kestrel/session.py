@@ -47,7 +47,7 @@ CLUSTER_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1GB",
     "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
     "spark.sql.files.maxPartitionBytes": "256MB",
-    "spark.sql.sources.bucketing.coalesceBucketsInJoin.enabled": "true",
+    "spark.sql.bucketing.coalesceBucketsInJoin.enabled": "true",
 }
 
 

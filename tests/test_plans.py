@@ -41,3 +41,11 @@ def test_scan_reads_only_needed_columns(spark):
     schemas = [line for line in plan.splitlines() if line.startswith("ReadSchema")]
     assert schemas == ["ReadSchema: struct<event_id:bigint,ts:timestamp_ntz,"
                        "event_type:string,value:double>"]
+
+
+def test_cluster_profile_keys_are_spark_settings(spark):
+    from kestrel.session import CLUSTER_CONF, DEFAULT_CONF
+    known = {r[0] for r in spark.sql("SET -v").collect()}
+    static_ok = {"spark.ui.enabled", "spark.sql.execution.arrow.pyspark.enabled"}
+    for key in list(CLUSTER_CONF) + list(DEFAULT_CONF):
+        assert key in known or key in static_ok, key
