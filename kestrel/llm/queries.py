@@ -10,7 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import licenses, mixing, secret_scan, warc, wavelet
+from kestrel.llm import (
+    licenses, mixing, neardup, neighbours, quality, secret_scan, warc, wavelet)
 from kestrel.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -29,21 +30,35 @@ def op2_license_sentences(spark, sf_dir):
     return licenses.license_report(read(spark, sf_dir, "documents"))
 
 
+def op3_minhash_postings(spark, sf_dir):
+    return neardup.near_duplicates(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_sainte_lague_mix(spark, sf_dir):
     return mixing.mixed(read(spark, sf_dir, "documents")).select(
         "doc_id", "size", "source_size", "target", "taken")
 
 
+def op5_block_neighbours(spark, sf_dir):
+    return neighbours.search_multiples(read(spark, sf_dir, "embeddings"), 50)
+
+
 def op8_secret_entropy(spark, sf_dir):
     return secret_scan.secret_report(read(spark, sf_dir, "documents"))
 
 
+def op9_quality_scores(spark, sf_dir):
+    return quality.quality_report(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 def op10_warc_archives(spark, sf_dir):
     return warc.archived_pages(read(spark, sf_dir, "pages"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
-    op1_wavelet_tokens, op2_license_sentences, op4_sainte_lague_mix, op8_secret_entropy,
-    op10_warc_archives)}
+    op1_wavelet_tokens, op2_license_sentences, op3_minhash_postings, op4_sainte_lague_mix,
+    op5_block_neighbours, op8_secret_entropy, op9_quality_scores, op10_warc_archives)}
 
-ORACLE_SQL: dict[str, str] = {"op10_warc_archives": warc.ORACLE}
+ORACLE_SQL: dict[str, str] = {
+    "op3_minhash_postings": neardup.ORACLE, "op10_warc_archives": warc.ORACLE}

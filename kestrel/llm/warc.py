@@ -218,7 +218,9 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES,
               .select("path", "file_bytes", F.explode(F.sequence(
                   F.lit(0).cast("long"), F.col("file_bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
               .select("path", "start", F.least("file_bytes", F.col("start") + split_bytes).alias("end")))
-    return splits.repartition("path", "start").mapInPandas(scan, RECORD_SCHEMA)
+    ranges = manifest.agg(F.sum(F.ceil(F.col("file_bytes") / split_bytes))).first()[0] or 1
+    # a task for each range: without a number AQE would merge such short rows
+    return splits.repartition(int(ranges), "path", "start").mapInPandas(scan, RECORD_SCHEMA)
 
 
 def archived_pages(pages: DataFrame, out_dir: str | None = None) -> DataFrame:
