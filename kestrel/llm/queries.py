@@ -11,7 +11,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import (
-    licenses, mixing, neardup, neighbours, quality, secret_scan, warc, wavelet)
+    licenses, mixing, neardup, neighbours, quality, secret_scan, suffixes, tiling,
+    warc, wavelet)
 from kestrel.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -44,6 +45,16 @@ def op5_block_neighbours(spark, sf_dir):
     return neighbours.search_multiples(read(spark, sf_dir, "embeddings"), 50)
 
 
+def op6_string_tiling(spark, sf_dir):
+    return tiling.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark")).select(
+        "doc_id", "item_id", "tiles", "matched_words", "item_words", "coverage")
+
+
+def op7_induced_suffixes(spark, sf_dir):
+    return suffixes.without_repeats(read(spark, sf_dir, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 def op8_secret_entropy(spark, sf_dir):
     return secret_scan.secret_report(read(spark, sf_dir, "documents"))
 
@@ -58,7 +69,8 @@ def op10_warc_archives(spark, sf_dir):
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_license_sentences, op3_minhash_postings, op4_sainte_lague_mix,
-    op5_block_neighbours, op8_secret_entropy, op9_quality_scores, op10_warc_archives)}
+    op5_block_neighbours, op6_string_tiling, op7_induced_suffixes, op8_secret_entropy,
+    op9_quality_scores, op10_warc_archives)}
 
 ORACLE_SQL: dict[str, str] = {
     "op3_minhash_postings": neardup.ORACLE, "op10_warc_archives": warc.ORACLE}
