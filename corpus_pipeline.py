@@ -1,19 +1,60 @@
-"""The training-corpus pipeline over ``documents``."""
+"""The training-corpus pipeline over ``documents``.
+
+Five stages, each over all that the one before it kept:
+
+1. the quality classifier scores every document; those below its threshold go;
+2. of each group of near copies (five words, similarity 0.8 or more) one
+   document stays;
+3. documents that hold a benchmark item, in one piece or in several, go;
+4. the sources are mixed to their target weights: a row for each copy that
+   the mix takes of a document, the last one of a source cut to the quota;
+5. the mix is encoded into wavelet-matrix shards and read back.
+
+A stage's rows are written as Parquet and read again as the next one's
+documents, so a lost executor costs at most a stage.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from kestrel.llm import wavelet
+from kestrel.llm import mixing, neardup, quality, tiling, wavelet
 from kestrel.llm.common import read, stored, work_dir
 from kestrel.llm.queries import tokenizer_path
 
 
+def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    marked = quality.scored(docs.withColumnsRenamed({c: f"__{c}" for c in ("score", "predicted") if c in docs.columns}),
+                            read(spark, sf_dir, "labels"))
+    kept = marked.where("predicted = 1").drop("score", "predicted")
+    return kept.withColumnsRenamed({f"__{c}": c for c in ("score", "predicted")}).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return neardup.one_of_each(docs)
+
+
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return tiling.without_contaminated(docs, read(spark, sf_dir, "benchmark"))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return mixing.drawn(docs)
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return wavelet.tokenized(docs, tokenizer_path())
 
 
-STAGES = [("token-ID / binary output", encode)]
+STAGES = [
+    ("quality classifier", classify),
+    ("MinHash near-dedup", drop_near_copies),
+    ("benchmark decontamination", decontaminate),
+    ("mixing sources to target weights", mix),
+    ("token-ID / binary output", encode),
+]
+
+#: a trained classifier and a tokenizer are outside SQL; see tests/llm
 ORACLE_SQL = None
 
 

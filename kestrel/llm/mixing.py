@@ -41,9 +41,10 @@ SLICE_BITS = 12                  # 2 ** bits hash slices of each source's docume
 
 
 def sized(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source") -> DataFrame:
-    """doc_id, source, size: words of the text."""
+    """doc_id, text_hash, source, size: words of the text."""
     return docs.select(
-        F.col(id_col).alias("doc_id"), F.col(source_col).alias("source"),
+        F.col(id_col).alias("doc_id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"),
+        F.col(source_col).alias("source"),
         F.coalesce(F.regexp_count(F.col(text_col), F.lit(WORD)), F.lit(0)).cast("long").alias("size"))
 
 
@@ -107,14 +108,14 @@ def quotas(goals: DataFrame, max_repeats: int = MAX_REPEATS,
 
 
 def streamed(docs: DataFrame, seed: int = SEED, slice_bits: int = SLICE_BITS) -> DataFrame:
-    """``docs`` (source, size and an ``order_key`` long) with ``start``: the words of
-    the source's documents before it, in seeded order."""
-    docs = docs.withColumn("place", F.xxhash64(F.lit(seed), "order_key"))
+    """``docs`` (doc_id, text_hash, source, size) with ``start``: the words of the
+    source's documents before it, in seeded order."""
+    docs = docs.withColumn("place", F.xxhash64(F.lit(seed), "doc_id", "text_hash"))
     docs = docs.withColumn("slice", F.shiftright("place", 64 - slice_bits))
     slices = docs.groupBy("source", "slice").agg(F.sum("size").alias("words"))
     before = Window.partitionBy("source").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
     slices = slices.withColumn("before", F.coalesce(F.sum("words").over(before), F.lit(0)))
-    inside = (Window.partitionBy("source", "slice").orderBy("place", "order_key", "size")
+    inside = (Window.partitionBy("source", "slice").orderBy("place", "doc_id", "text_hash")
               .rowsBetween(Window.unboundedPreceding, -1))
     docs = docs.withColumn("inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
     joined = docs.alias("d").join(slices.alias("s"), F.expr("d.source <=> s.source and d.slice = s.slice"))
@@ -122,21 +123,57 @@ def streamed(docs: DataFrame, seed: int = SEED, slice_bits: int = SLICE_BITS) ->
         "place", "slice", "inside")
 
 
-def mixed(docs: DataFrame, path: str | None = None, seed: int = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, start, words (that the mix takes
-    of the source's repeated stream) and taken (of this document)."""
+def mixed(docs: DataFrame, path: str | None = None, seed: int = SEED, id_col="doc_id",
+          text_col="text", source_col="source") -> DataFrame:
+    """doc_id, text_hash, source, size, source_size, target, rounds (whole copies),
+    rest (words of one more) and taken (words in all): one row per document."""
     path = path or work_dir(docs.sparkSession, "mixing")
-    sizes = stored(sized(docs), f"{path}/sizes")           # texts are read once
+    sizes = stored(sized(docs, id_col, text_col, source_col), f"{path}/sizes")           # texts are read once
     goals = stored(targets(sizes), f"{path}/targets")      # a row per source
     shares = stored(quotas(goals), f"{path}/quotas")
     words = shares.groupBy("source").agg(
         F.sum(F.col("blocks") * F.col("block_words")).alias("words"))
     goals = (goals.alias("g").join(words.alias("w"), F.expr("g.source <=> w.source"), "left")
              .select("g.*", F.coalesce("words", F.lit(0)).alias("words")))
-    stream = streamed(sizes.withColumn("order_key", F.col("doc_id")), seed)
-    out = stream.alias("d").join(goals.alias("g"), F.expr("d.source <=> g.source")).select(
-        "d.doc_id", "d.source", "d.size", "d.start", "g.source_size", "g.target", "g.words")
-    rounds = F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(0)
-    rest = F.col("words") - rounds * F.col("source_size")
-    return out.withColumn("taken", rounds * F.col("size") + F.greatest(
-        F.lit(0), F.least("size", rest - F.col("start"))))
+    out = streamed(sizes, seed).alias("d").join(goals.alias("g"), F.expr("d.source <=> g.source")).select(
+        "d.doc_id", "d.text_hash", "d.source", "d.size", "d.start", "g.source_size", "g.target", "g.words")
+    out = out.withColumn("rounds", F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(0))
+    left = F.col("words") - F.col("rounds") * F.col("source_size") - F.col("start")
+    out = out.withColumn("rest", F.greatest(F.lit(0), F.least("size", left)))
+    # the last words of a document that the mix takes whole are a copy like the others
+    whole = (F.col("size") > 0) & (F.col("rest") == F.col("size"))
+    out = out.withColumns({"rounds": F.col("rounds") + whole.cast("long"),
+                           "rest": F.when(whole, 0).otherwise(F.col("rest"))})
+    return out.withColumn("taken", F.col("rounds") * F.col("size") + F.col("rest")).drop("start", "words")
+
+
+def first_words(text, count):
+    """The text up to the end of its ``count``-th word."""
+    sizes = lambda parts: F.aggregate(F.transform(F.slice(parts, 1, count), F.length), F.lit(0), lambda a, x: a + x)
+    return F.substring(text, F.lit(1), sizes(F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+                       + sizes(F.split(text, WORD, -1)))
+
+
+def drawn(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source",
+          length_col: str | None = "n_chars") -> DataFrame:
+    """The rows of the mix, with the columns of ``docs``: a row for each whole copy
+    that the mix takes of a document, and one, its text cut, for a last part.
+    Repeated rows are drawn together."""
+    path = work_dir(docs.sparkSession, "drawn")
+    plan = mixed(docs, f"{path}/plan", id_col=id_col, text_col=text_col, source_col=source_col)
+    plan = stored(plan.where("taken > 0").groupBy(
+        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source")).agg(
+        F.sum("rounds").alias("__rounds"), F.collect_list(F.when(F.col("rest") > 0, F.col("rest"))).alias("__rests")),
+        f"{path}/taken")
+    columns = docs.columns
+    rows = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = rows.dropDuplicates([id_col, "__text", source_col]).join(
+        plan, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
+        & F.col(source_col).eqNullSafe(F.col("__source")))
+    rows = rows.withColumn("__words", F.explode(F.concat(
+        F.array_repeat(F.lit(-1).cast("long"), F.col("__rounds").cast("int")), "__rests")))
+    rows = rows.withColumn(text_col, F.when(F.col("__words") < 0, F.col(text_col)).otherwise(
+        first_words(F.col(text_col), F.col("__words").cast("int"))))
+    if length_col in columns:
+        rows = rows.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
+    return rows.select(*columns)
