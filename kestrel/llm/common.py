@@ -39,10 +39,11 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet and return it as read back: cuts the lineage,
-    and lost executors cost a re-read instead of a recomputation."""
-    df.write.parquet(path)
+    and lost executors cost a re-read instead of a recomputation.  ``files``:
+    for tables of a row per task or source, so that each does not get a file."""
+    (df.repartition(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

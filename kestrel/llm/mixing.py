@@ -129,7 +129,7 @@ def mixed(docs: DataFrame, path: str | None = None, seed: int = SEED, id_col="do
     rest (words of one more) and taken (words in all): one row per document."""
     path = path or work_dir(docs.sparkSession, "mixing")
     sizes = stored(sized(docs, id_col, text_col, source_col), f"{path}/sizes")           # texts are read once
-    goals = stored(targets(sizes), f"{path}/targets")      # a row per source
+    goals = stored(targets(sizes), f"{path}/targets", files=1)      # a row per source
     shares = stored(quotas(goals), f"{path}/quotas")
     words = shares.groupBy("source").agg(
         F.sum(F.col("blocks") * F.col("block_words")).alias("words"))

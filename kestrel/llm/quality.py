@@ -216,7 +216,7 @@ def fitted(docs: DataFrame, labels: DataFrame, path: str, training_rows: int = T
 
     rows = stored(text.join(chosen, "__id").mapInPandas(pool, "id long, y int, x binary"), f"{path}/training")
     rows = rows.orderBy("id", "x").limit(training_rows).collect()
-    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), -1)
+    x = np.array([np.frombuffer(r["x"], np.float32) for r in rows], np.float64).reshape(len(rows), 2 * DIMS + 2)
     return vectors, Network(x, np.array([r["y"] for r in rows], np.float64))
 
 

@@ -37,7 +37,8 @@ from kestrel.llm.common import open_in, open_out, stored, work_dir
 
 MIN_REVISIT_BYTES = 100          # shorter payloads are always stored
 FILE_BYTES = 64 << 20            # an archive is closed once it is this long
-SPLIT_BYTES = 16 << 20           # byte range of one reading task
+SPLIT_BYTES = 4 << 20            # byte range that is read on its own
+TASK_BYTES = 4 << 20             # of all ranges that a reading task gets
 READ_BYTES = 1 << 18
 MAGIC = b"\x1f\x8b\x08"
 OPENING = b"WARC/1."
@@ -116,7 +117,7 @@ def write_archives(pages: DataFrame, out_dir: str, file_bytes: int = FILE_BYTES)
 
     rows = pages.select("page_id", "url", "payload", "payload_digest", "payload_bytes", "refers_to")
     return stored(rows.mapInPandas(write, "path string, file_bytes long, records long"),
-                  f"{out_dir}/manifest")
+                  f"{out_dir}/manifest", files=4)
 
 
 def _members(uri: str, start: int, end: int) -> Iterator[bytes]:
@@ -193,7 +194,7 @@ def _parse(member: bytes) -> tuple:
             payload if kind == "response" else None)
 
 
-def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES,
+def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, task_bytes: int = TASK_BYTES,
                   with_payload: bool = True) -> DataFrame:
     """Records (``RECORD_SCHEMA``) of the archives in ``manifest`` (path, file_bytes)."""
 
@@ -218,9 +219,9 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES,
               .select("path", "file_bytes", F.explode(F.sequence(
                   F.lit(0).cast("long"), F.col("file_bytes") - 1, F.lit(split_bytes).cast("long"))).alias("start"))
               .select("path", "start", F.least("file_bytes", F.col("start") + split_bytes).alias("end")))
-    ranges = manifest.agg(F.sum(F.ceil(F.col("file_bytes") / split_bytes))).first()[0] or 1
-    # a task for each range: without a number AQE would merge such short rows
-    return splits.repartition(int(ranges), "path", "start").mapInPandas(scan, RECORD_SCHEMA)
+    # by bytes, not by rows: small archives share a task, long ones have several
+    tasks = 1 + (manifest.agg(F.sum("file_bytes")).first()[0] or 0) // task_bytes
+    return splits.repartition(tasks).mapInPandas(scan, RECORD_SCHEMA)
 
 
 def archived_pages(pages: DataFrame, out_dir: str | None = None) -> DataFrame:

@@ -286,10 +286,10 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, id_col="doc
     rows = (rows.withColumn("tie", F.xxhash64("text")).repartitionByRange("key", "tie")
             .sortWithinPartitions("key", "tie").select("key", "text"))
     return stored(rows.mapInPandas(write, "part int, shard int, path string, docs long, tokens long"),
-                  f"{out_dir}/manifest")
+                  f"{out_dir}/manifest", files=4)
 
 
-def read_shards(manifest: DataFrame) -> DataFrame:
+def read_shards(manifest: DataFrame, task_tokens: int = 4 * SHARD_TOKENS) -> DataFrame:
     """One row per document, from the files: doc_id, start, n_tokens, ids_crc32."""
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -312,7 +312,8 @@ def read_shards(manifest: DataFrame) -> DataFrame:
     tasks = tasks.select("part", F.coalesce(F.sum("sum").over(before), F.lit(0)).alias("before"))
     placed = manifest.withColumn("inside", F.coalesce(F.sum("tokens").over(inside), F.lit(0)))
     placed = placed.join(tasks, "part").select("path", (F.col("before") + F.col("inside")).alias("base"))
-    return placed.repartition("path").mapInPandas(
+    tasks = 1 + (manifest.agg(F.sum("tokens")).first()[0] or 0) // task_tokens
+    return placed.repartition(tasks).mapInPandas(
         scan, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
