@@ -34,47 +34,54 @@ def last7_step(cum: DataFrame, today: DataFrame, ds: str | dt.date, keep: int =
     Both sides are keyed by symbol, one row each, so the full outer join
     moves one row per symbol.
     """
-    n = today.select("stock_symbol", F.col("closing_price").cast("float").alias("new_closing"),
-                     F.col("created_ts").alias("new_ts"))
-    c = cum.select("stock_symbol", F.col("last_7_prices").alias("old_prices"),
-                   F.col("last_update").alias("old_update"))
-    j = n.join(c, "stock_symbol", "full_outer")
-    new_arr = F.array(F.col("new_closing"))
-    combined = (F.when(F.col("old_prices").isNull(), new_arr)
-                .when(F.col("new_closing").isNull(), F.col("old_prices"))
-                .otherwise(F.concat(F.col("old_prices"), new_arr)))
-    start = F.greatest(F.size(combined) - (keep - 1), F.lit(1))
-    return j.select(
+    past = cum.select("stock_symbol", F.col("last_7_prices").alias("held"), F.col("last_update").alias("held_at"))
+    close = today.select("stock_symbol", F.array(F.col("closing_price").cast("float")).alias("added"),
+                         F.col("created_ts").alias("added_at"), F.col("closing_price").isNull().alias("no_price"))
+    none = F.array().cast("array<float>")
+    both = past.join(close, "stock_symbol", "full_outer")
+    # a bar without a price adds nothing to an array, but starts one
+    added = F.when(F.col("added").isNull() | (F.col("no_price") & F.col("held").isNotNull()), none).otherwise(F.col("added"))
+    return both.select(
         "stock_symbol",
-        F.slice(combined, start, F.lit(keep)).alias("last_7_prices"),
-        F.greatest(F.coalesce("new_ts", _ntz(EPOCH)), F.coalesce("old_update", _ntz(EPOCH)))
-         .alias("last_update"),
+        _last(F.concat(F.coalesce("held", none), added), keep).alias("last_7_prices"),
+        F.greatest(F.coalesce("added_at", _ntz(EPOCH)), F.coalesce("held_at", _ntz(EPOCH))).alias("last_update"),
         F.lit(str(ds)).cast("date").alias("ds"),
     )
 
 
+def _last(prices: Column, keep: int) -> Column:
+    return F.when(F.size(prices) > keep, F.slice(prices, -keep, keep)).otherwise(prices)
+
+
 def last7_backfill(bars: DataFrame, start: str | dt.date, end: str | dt.date,
-                   keep: int = KEEP) -> DataFrame:
+                   keep: int = KEEP, previous: DataFrame | None = None) -> DataFrame:
     """The S4 table for every day in [start, end] in one job.
 
+    ``previous`` is the table's day before ``start``; its arrays come first
+    in the windows.  Without it the history starts at ``start``.
+
     A window over each symbol's bars (one row per symbol-day, so the
     partition is bounded by days) collects the last ``keep`` closes; each
     bar day is then carried over the following days without a bar.
     """
     lo, hi = F.lit(str(start)).cast("date"), F.lit(str(end)).cast("date")
-    b = (bars.select("stock_symbol", "ds", "created_ts",
-                     F.col("closing_price").cast("float").alias("closing_price"))
-             .filter((F.col("ds") >= lo) & (F.col("ds") <= hi)))
+    b = (bars.filter((F.col("ds") >= lo) & (F.col("ds") <= hi))
+             .select("stock_symbol", "ds", "created_ts",
+                     F.when(F.col("closing_price").isNotNull(), F.array(F.col("closing_price").cast("float")))
+                      .otherwise(F.array().cast("array<float>")).alias("prices")))
+    if previous is not None:
+        b = b.unionByName(previous.select("stock_symbol", F.date_sub(lo, 1).alias("ds"),
+                                          F.col("last_update").alias("created_ts"), F.col("last_7_prices").alias("prices")))
     w = Window.partitionBy("stock_symbol").orderBy("ds")
     b = b.select(
         "stock_symbol", "ds",
-        F.collect_list("closing_price").over(w.rowsBetween(-(keep - 1), 0)).alias("last_7_prices"),
+        _last(F.flatten(F.collect_list("prices").over(w.rowsBetween(-(keep - 1), 0))), keep).alias("last_7_prices"),
         F.max("created_ts").over(w.rowsBetween(Window.unboundedPreceding, 0)).alias("last_update"),
         F.lead("ds").over(w).alias("next_ds"),
     )
     until = F.coalesce(F.date_sub("next_ds", 1), hi)
-    return b.select("stock_symbol", "last_7_prices", "last_update",
-                    F.explode(F.sequence("ds", until)).alias("ds"))
+    return b.where(until >= lo).select("stock_symbol", "last_7_prices", "last_update",
+                                       F.explode(F.sequence(F.greatest("ds", lo), until)).alias("ds"))
 
 
 def explode_prices(cum: DataFrame) -> DataFrame:

@@ -41,21 +41,16 @@ def stg_tickets(raw: DataFrame) -> DataFrame:
     return raw.select(*STG_COLUMNS["stg_tickets"])
 
 
-def dim_customers(customers: DataFrame, domains: DataFrame, domain_rows: int | None = None,
-                  broadcast_limit: int = 100_000) -> DataFrame:
+def dim_customers(customers: DataFrame, domains: DataFrame) -> DataFrame:
     """Customers with ``is_valid_email_address`` (never null).
 
     Valid = LIKE '%@%.%' and the text after the first '@' is an accepted
-    domain.  The IN-subquery is a left join to the distinct domains; the
-    domain list is broadcast only when its row count (known to the caller
-    that loaded the seed) is under ``broadcast_limit``, else the planner
-    chooses the join from measured sizes.
+    domain.  The IN-subquery is a left join to the distinct domains, an
+    ordinary table: the planner broadcasts it if its files are small.
     """
     c = customers.select("customer_id", "age", "gender", "email")
     d = (domains.select(F.col("valid_domain").alias("_domain")).dropDuplicates()
                 .withColumn("_ok", F.lit(True)))
-    if domain_rows is not None and domain_rows <= broadcast_limit:
-        d = F.broadcast(d)
     j = c.join(d, email_domain("email") == F.col("_domain"), "left")
     flag = F.when(has_email_shape("email") & F.col("_ok").isNotNull(), F.lit(True)) \
             .otherwise(F.lit(False))

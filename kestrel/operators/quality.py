@@ -146,21 +146,32 @@ def run_checks(model: str, df: DataFrame, checks: Iterable[Check],
     """Failure counts of every check on one model:
     (model, column_name, test, failures, status).
 
-    Row-level checks share one scan (a single global aggregate of
-    conditional counts); unique and relationships add one grouped pass
-    each.  The result is a small frame; nothing else reaches the driver.
+    One pass over the model answers the row-level checks and the first
+    ``unique`` check: conditional counts per key, combined map-side, and their
+    sums.  Further unique checks and relationships add one grouped pass each.
+    The result is a small frame; nothing else reaches the driver.
     """
     checks = list(checks)
     spark = df.sparkSession
     parts: list[DataFrame] = []
     row_checks = [c for c in checks if c.test in ROW_TESTS]
-    if row_checks:
-        agg = df.agg(*[F.count(F.when(_row_failure(c), F.lit(1))).alias(f"_c{i}")
-                       for i, c in enumerate(row_checks)])
-        stack = ", ".join(f"'{c.column}', '{c.test}', _c{i}" for i, c in enumerate(row_checks))
-        parts.append(agg.selectExpr(f"stack({len(row_checks)}, {stack}) "
-                                    "as (column_name, test, failures)"))
+    key = next((c for c in checks if c.test == "unique"), None)
+    counts = [F.count(F.when(_row_failure(c), F.lit(1))).alias(f"_c{i}") for i, c in enumerate(row_checks)]
+    one_pass = list(row_checks)
+    if key:
+        held = F.expr(key.where) if key.where else F.lit(True)
+        per_key = df.groupBy(F.col(key.column).alias("_key")).agg(F.count(F.when(held, F.lit(1))).alias("_n"), *counts)
+        one_pass.append(key)
+        agg = per_key.agg(*[F.coalesce(F.sum(f"_c{i}"), F.lit(0)).alias(f"_c{i}") for i in range(len(row_checks))],
+                          F.count(F.when(F.col("_key").isNotNull() & (F.col("_n") > 1), F.lit(1))).alias(f"_c{len(row_checks)}"))
+    elif counts:
+        agg = df.agg(*counts)
+    if one_pass:
+        stack = ", ".join(f"'{c.column}', '{c.test}', _c{i}" for i, c in enumerate(one_pass))
+        parts.append(agg.selectExpr(f"stack({len(one_pass)}, {stack}) as (column_name, test, failures)"))
     for c in checks:
+        if c is key:
+            continue
         if c.test == "unique":
             n = unique(df, c.column, c.where).agg(F.count(F.lit(1)).alias("failures"))
         elif c.test == "relationships":

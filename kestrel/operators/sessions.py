@@ -11,13 +11,10 @@ single task has to hold a hot user-day (``tests/test_skew.py`` shows the
 split on a user-day holding two thirds of all rows).
 
 The running frame (UNBOUNDED PRECEDING to CURRENT ROW) needs each
-event's position inside its user-day.  It is computed in two levels so
-that no window partition grows with a hot user-day: per (user, day,
-second) counts get a running sum over the day's seconds (at most 86,400
-rows per user-day), and a window inside each user-second gives the
-position within that second.  (A count-based rebuild that bounds even a
-single hot second was tried; it shuffles the event volume four to five
-times where timestamps are mostly distinct, so the cheaper form is kept.)
+event's position inside its user-day.  Positions come from a range
+partitioning of the events with a tie-breaker, whose ranges are numbered
+inside and offset by their counts (:func:`running_windows`), so no window
+partition and no task grows with a hot user-day or a hot timestamp.
 """
 
 from __future__ import annotations
@@ -25,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from kestrel.session import work_dir
+
 KEY = ("user_id", "event_date")
 # null-safe group key for the running frame's windows: PARTITION BY treats
 # a null user (or day) as a group of its own
@@ -87,33 +86,47 @@ def sessionize(mapped: DataFrame, frame: str = "full") -> DataFrame:
                           _minutes("first_action_on_date", "event_time"))
 
 
+TIE_SEED = 17
+
+
+def event_ranges(mapped: DataFrame) -> DataFrame:
+    """The events in ranges of (user-day, event time, tie-breaker), numbered in
+    order inside each (``_range``, ``_no``); stored, so both stay as they are."""
+    spark = mapped.sparkSession
+    ev = _with_group_key(mapped.select(*KEY, "event_time").filter(F.col("event_time").isNotNull()))
+    order = [*NKEY, "event_time", "_tie"]
+    ranged = (ev.withColumn("_tie", F.rand(TIE_SEED)).repartitionByRange(*order)
+              .sortWithinPartitions(*order).drop("_tie")
+              .withColumns({"_no": F.monotonically_increasing_id(), "_range": F.spark_partition_id()}))
+    path = work_dir(spark, "running")
+    ranged.write.parquet(path)
+    return spark.read.schema(ranged.schema).parquet(path)
+
+
 def running_windows(mapped: DataFrame) -> DataFrame:
-    """Running frame (ROWS UNBOUNDED PRECEDING .. CURRENT ROW) in two levels.
-
-    Per (user-day, second) counts get a running sum over the day's seconds
-    (a window over at most 86,400 aggregate rows per user-day); a window
-    inside each user-second gives the position within the second.  No task
-    holds more than one user-second of events, so a user-day holding a
-    third of all events is spread over its seconds; one shuffle of the
-    event rows, the rest on aggregates.
+    """Running frame (ROWS UNBOUNDED PRECEDING .. CURRENT ROW) from ranges.
+
+    The events are range-partitioned and sorted by (user, day, event time, a
+    seeded tie-breaker) and written to the shared folder with their running
+    number inside the range.  The tie-breaker splits even a user-day whose
+    events share one timestamp over several ranges, so no task holds more
+    than a range.  A user-day's events stand together in a range, so its
+    count and first number there (a row per user-day and range) give every
+    position: events in earlier ranges + distance from the first number.
+    The join back is skew-splittable; events are exchanged twice in all.
     """
-    ev = _with_group_key(mapped.select(*KEY, "event_time")
-                         .filter(F.col("event_time").isNotNull())
-                         .withColumn("_sec", F.date_trunc("second", F.col("event_time"))))
-    per_sec = ev.groupBy(*NKEY, "_sec").agg(F.count(F.lit(1)).alias("_n"),
-                                             F.min("event_time").alias("_sec_first"))
-    day_w = Window.partitionBy(*NKEY).orderBy("_sec")
-    per_sec = per_sec.select(
-        *NKEY, "_sec",
-        F.coalesce(F.sum("_n").over(day_w.rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_before"),
-        F.min("_sec_first").over(Window.partitionBy(*NKEY)).alias("first_action_on_date"))
-    sec_w = Window.partitionBy(*NKEY, "_sec").orderBy("event_time")
-    ranked = ev.withColumn("_pos", F.row_number().over(sec_w))
-    j = ranked.join(per_sec, [*NKEY, "_sec"], "inner")
+    ranged = event_ranges(mapped)
+    held = ranged.groupBy(*NKEY, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_no").alias("_first"),
+                                               F.min("event_time").alias("_since"))
+    ranges = Window.partitionBy(*NKEY).orderBy("_range")
+    held = held.select(
+        *NKEY, "_range", "_first",
+        F.coalesce(F.sum("_n").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        F.min("_since").over(Window.partitionBy(*NKEY)).alias("first_action_on_date"))
+    j = ranged.join(held, [*NKEY, "_range"])
     return j.select("user_id", "event_time", "first_action_on_date",
                     F.col("event_time").alias("last_action_on_date"),
-                    (F.col("_before") + F.col("_pos")).alias("total_event_today"))
+                    (F.col("_before") + F.col("_no") - F.col("_first") + 1).alias("total_event_today"))
 
 
 def multi_event_days(mapped: DataFrame, min_events: int = 1) -> DataFrame:

@@ -74,23 +74,37 @@ def state_step(yesterday: DataFrame, today: DataFrame, ds: str | dt.date,
 
 
 def state_backfill(daily: DataFrame, start: str | dt.date, end: str | dt.date,
-                   keep_stale: bool = False) -> DataFrame:
+                   keep_stale: bool = False, previous: DataFrame | None = None) -> DataFrame:
     """The state table for every day in [start, end] in one job.
 
+    ``previous`` is the state of the day before ``start``: each of its users
+    joins the window as one row at the last active day, with the lifetime so
+    far and whether the state was absorbed.  Without it the history starts
+    at ``start``.
+
     ``daily`` is (user_id, ds, total_page_visits) with one row per active
     user-day.  The window is partitioned by user over *daily* rows, so a
     partition holds at most one row per day however many events a user
     has; each active day is then expanded over the idle days that follow
-    it (``sequence`` + ``posexplode``), which is the output itself.
+    it (``sequence`` + ``explode``), which is the output itself.
     """
     lo, hi = _date(start), _date(end)
     d = (daily.select("user_id", "ds", "total_page_visits")
-              .filter((F.col("ds") >= lo) & (F.col("ds") <= hi)))
+              .filter((F.col("ds") >= lo) & (F.col("ds") <= hi))
+              .select("*", F.lit(None).cast("date").alias("seed_first"), F.lit(False).alias("seed_unknown")))
+    if previous is not None:
+        d = d.unionByName(previous.select(
+            "user_id", F.col("last_active_date").alias("ds"),
+            F.col("lifetime_page_visits").alias("total_page_visits"),
+            F.col("first_active_date").alias("seed_first"),
+            (F.col("current_state") == "unknown").alias("seed_unknown")))
     w = Window.partitionBy("user_id").orderBy("ds")
     upto = w.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     d = _backfill_columns(d, w, upto)
     until = F.coalesce(F.date_sub("next_ds", 1), hi)
-    x = d.select("*", F.posexplode(F.sequence("ds", until)).alias("idle", "day"))
+    x = (d.where(until >= lo)
+         .select("*", F.explode(F.sequence(F.greatest("ds", lo), until)).alias("day"))
+         .withColumn("idle", F.datediff("day", "ds")))
     gap = F.datediff("ds", "prev_ds")
     idle = F.col("idle")
     if keep_stale:
@@ -98,7 +112,7 @@ def state_backfill(daily: DataFrame, start: str | dt.date, end: str | dt.date,
                         .when(gap == 1, "retained").otherwise("resurrected"))
                  .when(idle == 1, "churned").otherwise("stale"))
     else:
-        absorbed = F.coalesce(F.col("max_gap"), F.lit(0)) >= 4
+        absorbed = (F.coalesce(F.col("max_gap"), F.lit(0)) >= 4) | F.col("was_unknown")
         state = (F.when(absorbed, "unknown")
                  .when(idle == 0, F.when(F.col("prev_ds").isNull(), "new")
                        .when(gap == 1, "retained").otherwise("resurrected"))
@@ -118,11 +132,6 @@ def _backfill_columns(d: DataFrame, w: Window, upto: Window) -> DataFrame:
     d = d.select("*", F.lag("ds").over(w).alias("prev_ds"),
                  F.lead("ds").over(w).alias("next_ds"),
                  F.sum("total_page_visits").over(upto).alias("lifetime"),
-                 F.first("ds").over(upto).alias("first_active_date"))
+                 F.coalesce(F.first("seed_first").over(upto), F.first("ds").over(upto)).alias("first_active_date"),
+                 F.max("seed_unknown").over(upto).alias("was_unknown"))
     return d.withColumn("max_gap", F.max(F.datediff("ds", "prev_ds")).over(upto))
-
-
-def daily_activity(mapped_events: DataFrame, ts_col: str = "event_time") -> DataFrame:
-    """(user_id, ds, total_page_visits) from event rows (partial aggregate)."""
-    return (mapped_events.groupBy("user_id", F.to_date(ts_col).alias("ds"))
-                         .agg(F.count(F.lit(1)).alias("total_page_visits")))

@@ -19,6 +19,8 @@ half-up rounding for the growth percentages.
 from __future__ import annotations
 
 from kestrel import queries as Qy
+from kestrel.functions.rules import DEVICE_RULES, HOST_RULES
+from kestrel.sources.fixtures import EVENT_HOSTS
 
 # ---------------------------------------------------------------------------
 # stand-in views (same expressions as kestrel.sources.fixtures)
@@ -26,14 +28,11 @@ from kestrel import queries as Qy
 
 EV = "ev AS (SELECT *, TRY_CAST(json_extract_string(props, '$.k') AS BIGINT) AS k FROM events)"
 
-WEB_EVENTS = """web_events AS (
+_HOSTS = "\n".join(f"         WHEN event_type = '{kind}' THEN '{name}'" for kind, name in EVENT_HOSTS)
+WEB_EVENTS = f"""web_events AS (
   SELECT user_id, k AS device_id, CAST(NULL AS VARCHAR) AS referrer,
     CASE WHEN event_type = 'error' AND k % 10 = 0 THEN NULL
-         WHEN event_type = 'click' THEN 'www.techcreator.io'
-         WHEN event_type = 'view' THEN 'www.eczachly.com'
-         WHEN event_type = 'purchase' THEN 'zachwilson.tech'
-         WHEN event_type = 'signup' THEN 'learn.dataengineer.io'
-         WHEN event_type = 'error' THEN 'other.example.com' END AS host,
+{_HOSTS} END AS host,
     '/' || event_type || '/' || CAST(k % 7 AS VARCHAR) AS url,
     ts AS event_time
   FROM ev)"""
@@ -43,15 +42,11 @@ DEVICES = """devices AS (
     CASE WHEN c_nationkey % 5 = 0 THEN NULL ELSE c_mktsegment END AS browser_type,
     CASE c_nationkey % 4 WHEN 0 THEN 'Android' WHEN 1 THEN 'iOS' WHEN 3 THEN 'Windows' END AS os_type,
     CASE c_nationkey % 3 WHEN 0 THEN 'Samsung Galaxy' WHEN 1 THEN 'iPhone' END AS device_type
-  FROM customer WHERE c_custkey < 100)"""
+  FROM customer)"""
 
-HOST_CASE = """CASE
-    WHEN host LIKE '%techcreator%' THEN 'TechCreator.io'
-    WHEN host LIKE '%eczachly%' THEN 'EcZachly.com'
-    WHEN host LIKE '%zachwilson%' THEN 'ZachWilson.tech'
-    WHEN host LIKE '%dataengineer%' THEN 'DataEngineer.io'
-    ELSE host END"""
-DEVICE_CASE = "CASE WHEN device_type LIKE '%amsung%' THEN 'Samsung' ELSE COALESCE(device_type, 'unknown') END"
+HOST_CASE = "CASE " + " ".join(f"WHEN host LIKE '{p}' THEN '{name}'" for p, name in HOST_RULES) + " ELSE host END"
+DEVICE_CASE = ("CASE " + " ".join(f"WHEN device_type LIKE '{p}' THEN '{name}'" for p, name in DEVICE_RULES)
+               + " ELSE COALESCE(device_type, 'unknown') END")
 
 WEB_WINDOW = f"w.event_time BETWEEN DATE '{Qy.WEB_START}' AND DATE '{Qy.WEB_END}'"
 
@@ -331,6 +326,8 @@ SELECT user_id, MIN(CAST(event_time AS DATE)) AS first_active_date FROM activity
     "retention_monthly": RETENTION,
     "user_state_step": STATE_STEP,
     "user_state_backfill": STATE_BACKFILL,
+    "user_state_job": f"SELECT * FROM ({STATE_BACKFILL}) WHERE ds >= DATE '{Qy.JOB_START}'",
+    "user_state_late_backfill": STATE_BACKFILL,
     "web_mapped": _with(WEB + [MAPPED], """
 SELECT h AS host, b AS browser_type, d AS device_type, o AS os_type, url, user_id, event_time,
   event_date FROM mapped"""),
@@ -351,6 +348,7 @@ SELECT h AS host, b AS browser_type, d AS device_type, o AS os_type, url FROM ma
 SELECT * FROM bars WHERE trade_count % 7 <> 0 AND trade_count % 11 <> 0"""),
     "bars_by_day": _with([BARS], f"SELECT {BAR_COLS}, ds AS created_at_day FROM bars"),
     "last7_backfill": _with([BARS, LAST7], LAST7_SELECT),
+    "last7_job": _with([BARS, LAST7], LAST7_SELECT + f" AND ds >= DATE '{Qy.JOB_START}'"),
     "last7_step": _with([BARS, LAST7], LAST7_SELECT + f" AND ds = DATE '{Qy.STEP_DAY}'"),
     # mart
     "stg_customers": _with(STG, "SELECT * FROM stg_haunted_customers"),
@@ -366,11 +364,16 @@ SELECT haunted_house_id, house_size,
 FROM stg_haunted_houses"""),
     "fact_visits": _with(STG + [FACT], "SELECT * FROM fact_visits"),
     "audit_fact_visits": _with(STG + [FACT, AUDIT], "SELECT * FROM audit_fact_visits"),
-    "fact_visits_merge": _with(STG + [FACT], "SELECT * FROM fact_visits"),
+    "fact_visits_merge": _with(STG + [FACT], f"""
+SELECT * REPLACE (CASE WHEN purchase_date <> DATE '{Qy.AUDIT_DATE}' AND ticket_id % {Qy.DATELESS} = 0
+  THEN NULL ELSE purchase_date END AS purchase_date) FROM fact_visits"""),
+    "mart_build": _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS, DIM_HOUSES, FACT], """
+SELECT f.*, c.is_valid_email_address, h.house_name, h.house_size_in_m2 FROM fact_visits f
+LEFT JOIN dim_customers c USING (customer_id) LEFT JOIN dim_haunted_houses h USING (haunted_house_id)"""),
     # publish
     "wap_gate": _with([BARS], f"""
-SELECT CASE WHEN COUNT(*) = 0 THEN 'fail' ELSE 'pass' END AS dq_check
-FROM bars WHERE ds = DATE '{Qy.STEP_DAY}'"""),
+SELECT d.ds, CASE WHEN COUNT(b.ds) = 0 THEN 'fail' ELSE 'pass' END AS dq_check
+FROM (VALUES (DATE '{Qy.STEP_DAY}'), (DATE '{Qy.DAY_END}')) d(ds) LEFT JOIN bars b ON b.ds = d.ds GROUP BY d.ds"""),
     "wap_publish": _with([BARS], "SELECT * FROM bars"),
     "audit_then_publish": _with([BARS], f"SELECT * FROM bars WHERE ds <= DATE '{Qy.STEP_DAY}'"),
     "overwrite_snapshot": _with([BARS], f"""
@@ -382,11 +385,11 @@ SELECT haunted_house_id AS unique_field, COUNT(*) AS n_records FROM stg_haunted_
 WHERE haunted_house_id IS NOT NULL GROUP BY haunted_house_id HAVING COUNT(*) > 1"""),
     "dq_accepted_values": _with(STG + [FACT], """
 SELECT CAST(rating AS VARCHAR) AS value_field, COUNT(*) AS n_records FROM fact_visits
-WHERE rating IS NOT NULL AND CAST(rating AS VARCHAR) NOT IN ('1', '2', '3', '4', '5')
+WHERE rating IS NOT NULL AND CAST(rating AS VARCHAR) NOT IN ('1', '2', '3', '4')
 GROUP BY 1"""),
     "dq_relationships": _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS, FACT, AUDIT], """
 SELECT * FROM audit_fact_visits
-WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM dim_customers)"""),
+WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM dim_customers WHERE is_valid_email_address)"""),
     "dq_is_positive": "SELECT c_acctbal AS positive_field FROM customer WHERE c_acctbal <= 0",
     "dq_valid_email": _with(STG, """
 SELECT email FROM stg_haunted_customers
@@ -430,6 +433,17 @@ def _mart_checks() -> str:
 
 
 ORACLE["dq_mart_checks"] = _mart_checks()
+ORACLE["dq_audit_checks"] = _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS, DIM_HOUSES, FACT, AUDIT], """
+SELECT 'audit_fact_visits' AS model, column_name, test, CAST(failures AS BIGINT) AS failures,
+  CASE WHEN failures = 0 THEN 'pass' ELSE 'fail' END AS status
+FROM (
+  SELECT 'ticket_id' AS column_name, 'not_null' AS test, COUNT(*) FILTER (WHERE ticket_id IS NULL) AS failures FROM audit_fact_visits
+  UNION ALL SELECT 'ticket_id', 'unique', COUNT(ticket_id) - COUNT(DISTINCT ticket_id) FROM audit_fact_visits
+  UNION ALL SELECT 'customer_id', 'not_null', COUNT(*) FILTER (WHERE customer_id IS NULL) FROM audit_fact_visits
+  UNION ALL SELECT 'customer_id', 'relationships', COUNT(*) FILTER (WHERE customer_id NOT IN (SELECT customer_id FROM dim_customers)) FROM audit_fact_visits
+  UNION ALL SELECT 'haunted_house_id', 'not_null', COUNT(*) FILTER (WHERE haunted_house_id IS NULL) FROM audit_fact_visits
+  UNION ALL SELECT 'haunted_house_id', 'relationships', COUNT(*) FILTER (WHERE haunted_house_id NOT IN
+    (SELECT haunted_house_id FROM dim_haunted_houses WHERE haunted_house_id > 20)) FROM audit_fact_visits) r""")
 
 
 def oracle_sql() -> dict[str, str]:

@@ -34,25 +34,29 @@ BAR_CHECKS = (
 )
 
 
+def _by_day(bars: DataFrame) -> DataFrame:
+    return bars.select(*[c for c in schemas.BARS_BY_DAY.fieldNames() if c != "created_at_day"],
+                       F.to_date("created_ts").alias("created_at_day"))
+
+
 def write_bars_by_day(spark: SparkSession, bars: DataFrame, table: str) -> None:
     """S3: bars partitioned by the day of ``created_ts`` (a derived
     ``created_at_day`` column); replaces the days present in ``bars``.
-    Symbol and timestamp are required: a null in either refuses the batch."""
+    Symbol and timestamp are required: a null in either refuses the batch.
+    The batch is written once; the check reads that copy."""
     S.ensure_table(spark, table, schemas.BARS_BY_DAY, ("created_at_day",))
-    out = bars.select(*[c for c in schemas.BARS_BY_DAY.fieldNames() if c != "created_at_day"],
-                      F.to_date("created_ts").alias("created_at_day"))
-    bad = out.filter(F.col("stock_symbol").isNull() | F.col("created_ts").isNull())
-    if not bad.isEmpty():
-        raise P.GateFailed("bars with a null stock_symbol or created_ts")
-    S.insert_overwrite_dynamic(spark, out, table)
+    before = spark.table(table).select("created_at_day").limit(0)
+    with S.staged(spark, _by_day(bars), table) as stage:
+        bad = spark.table(stage).filter(F.col("stock_symbol").isNull() | F.col("created_ts").isNull())
+        if not bad.isEmpty():
+            raise P.GateFailed("bars with a null stock_symbol or created_ts")
+        S.swap_in(spark, stage, table, before)
 
 
 def overwrite_bars_by_day(spark: SparkSession, bars: DataFrame, table: str) -> None:
     """Replace the whole day-partitioned table with ``bars``; an empty
     batch is refused."""
-    out = bars.select(*[c for c in schemas.BARS_BY_DAY.fieldNames() if c != "created_at_day"],
-                      F.to_date("created_ts").alias("created_at_day"))
-    P.overwrite_table(spark, out, table)
+    P.overwrite_table(spark, _by_day(bars), table)
 
 
 def publish_bars_day(spark: SparkSession, bars: DataFrame, ds: str | dt.date,
@@ -78,38 +82,77 @@ def publish_bars_day(spark: SparkSession, bars: DataFrame, ds: str | dt.date,
     return spark.table(prod).select(*schemas.BARS.fieldNames())
 
 
+def _day(ds: str | dt.date) -> dt.date:
+    return ds if isinstance(ds, dt.date) else dt.date.fromisoformat(str(ds))
+
+
+def _require_previous(spark: SparkSession, table: str, ds: str | dt.date) -> None:
+    """Refuse a day whose predecessor is not in the cumulative ``table``,
+    unless nothing before it is: the first day starts the history."""
+    days = S.partition_dates(spark, table)
+    if any(d < _day(ds) for d in days) and _day(ds) - dt.timedelta(1) not in days:
+        raise P.GateFailed(f"{table} has earlier days but not the day before {ds}; run that day first")
+
+
 def cumulate_day(spark: SparkSession, prod: str, cumulative: str, ds: str | dt.date,
                  keep: int = B.KEEP) -> None:
     """S4 as a table step: yesterday's arrays + today's published bars ->
     today's partition of the cumulative table (keyed per ds, so a rerun
-    or an older day never touches other days)."""
+    never touches other days).
+
+    A day without bars carries every array forward, so each day has its
+    partition and the next one finds it; a missing previous day is refused
+    instead of restarting the arrays.
+    """
     S.ensure_table(spark, cumulative, schemas.LAST7, ("ds",))
+    _require_previous(spark, cumulative, ds)
     day = F.lit(str(ds)).cast("date")
     cum = spark.table(cumulative).filter(F.col("ds") == F.date_sub(day, 1))
     today = spark.table(prod).filter(F.col("ds") == day)
     step = B.last7_step(cum, today, ds, keep)
-    S.overwrite_partition_staged(spark, step.drop("ds"), cumulative, {"ds": str(ds)})
+    S.insert_overwrite_partition(spark, step.drop("ds"), cumulative, {"ds": str(ds)})
+
+
+def cumulate_through(spark: SparkSession, prod: str, cumulative: str, ds: str | dt.date,
+                     keep: int = B.KEEP) -> None:
+    """Fold day ``ds`` into the cumulative table, in date order: the days since
+    its last one, or, for a late day, every day from ``ds`` on (their arrays
+    hold what ``ds`` changed)."""
+    S.ensure_table(spark, cumulative, schemas.LAST7, ("ds",))
+    days = S.partition_dates(spark, cumulative)
+    first, last = _day(ds), _day(ds)
+    if days:
+        first, last = min(first, days[-1] + dt.timedelta(1)), max(last, days[-1])
+    for k in range((last - first).days + 1):
+        cumulate_day(spark, prod, cumulative, first + dt.timedelta(k), keep)
 
 
 def run_day(spark: SparkSession, landing: str, ds: str | dt.date, prod: str, cumulative: str,
-            keep: int = B.KEEP) -> None:
+            keep: int = B.KEEP) -> bool:
     """The daily bar job: ingest the landed day -> audit -> publish ->
     last-7 step, each a Spark job; rerunning a day rewrites the same
-    partitions."""
+    partitions.  A day without bars publishes nothing and carries the arrays
+    forward; returns whether the day had bars."""
     from kestrel.sources.landed import ingest_bars
-    publish_bars_day(spark, ingest_bars(spark, landing, ds), ds, table=prod)
-    cumulate_day(spark, prod, cumulative, ds, keep)
+    S.ensure_table(spark, prod, schemas.BARS, ("ds",))
+    with S.staged(spark, ingest_bars(spark, landing, ds), prod) as stage:
+        some = not spark.table(stage).isEmpty()
+        if some:
+            publish_bars_day(spark, spark.table(stage), ds, table=prod)
+    cumulate_through(spark, prod, cumulative, ds, keep)
+    return some
 
 
 # ---------------------------------------------------------------------------
 # user state table
 # ---------------------------------------------------------------------------
 
-STATE_BUCKETS = 64
+def ensure_state_table(spark: SparkSession, table: str, buckets: int) -> str:
+    """P1 for the state table: partitioned by ds, each day bucketed by user_id.
 
-
-def ensure_state_table(spark: SparkSession, table: str, buckets: int = STATE_BUCKETS) -> str:
-    """P1 for the state table: partitioned by ds, each day bucketed by user_id."""
+    ``buckets`` bounds the tasks of the daily join on the stored side, so size
+    it to the state: rows of a day / rows that a task should hold.  A day is
+    written as up to (write tasks x buckets) files."""
     return S.ensure_table(spark, table, schemas.USER_STATE, ("ds",),
                           bucket_by=("user_id",), buckets=buckets)
 
@@ -120,16 +163,17 @@ def state_day(spark: SparkSession, daily: DataFrame, table: str, ds: str | dt.da
     today's partition of the state table.
 
     Yesterday's partition is read bucketed by user_id, so the full outer
-    join shuffles only today's activity, never the state history.  The
-    result is staged (cutting its lineage to the table it reads) and
-    swapped in with one static partition overwrite; a rerun of the day
-    gives the same rows.
+    join shuffles only today's activity, never the state history.  A day
+    whose predecessor is missing is refused (everybody would be lost).  The
+    result is staged (cutting its lineage to the table it reads) and swapped
+    in; a rerun of the day gives the same rows.
     """
+    _require_previous(spark, table, ds)
     day = F.lit(str(ds)).cast("date")
     yesterday = spark.table(table).filter(F.col("ds") == F.date_sub(day, 1))
     today = daily.filter(F.col("ds") == day)
     step = ST.state_step(yesterday, today, ds, keep_stale)
-    S.overwrite_partition_staged(spark, step.drop("ds"), table, {"ds": str(ds)})
+    S.insert_overwrite_partition(spark, step.drop("ds"), table, {"ds": str(ds)})
 
 
 def backfill_state_table(spark: SparkSession, daily: DataFrame, table: str,
@@ -137,9 +181,20 @@ def backfill_state_table(spark: SparkSession, daily: DataFrame, table: str,
                          keep_stale: bool = False) -> None:
     """A6 into the state table: every day of [start, end] from one window
     pass, written with one dynamic overwrite of those ``ds`` partitions
-    (instead of one join per day).  Daily ``state_day`` runs continue from
-    the last backfilled day."""
-    S.insert_overwrite_dynamic(spark, ST.state_backfill(daily, start, end, keep_stale), table)
+    (instead of one join per day), continuing from the stored day before
+    ``start``.  Daily ``state_day`` runs continue from the last one."""
+    _require_previous(spark, table, start)
+    before = spark.table(table).filter(F.col("ds") == F.date_sub(F.lit(str(start)).cast("date"), 1))
+    S.insert_overwrite_dynamic(spark, ST.state_backfill(daily, start, end, keep_stale, before), table)
+
+
+def backfill_cumulative(spark: SparkSession, prod: str, cumulative: str, start: str | dt.date,
+                        end: str | dt.date, keep: int = B.KEEP) -> None:
+    """S5 into the cumulative table, continuing from the stored day before ``start``."""
+    S.ensure_table(spark, cumulative, schemas.LAST7, ("ds",))
+    _require_previous(spark, cumulative, start)
+    before = spark.table(cumulative).filter(F.col("ds") == F.date_sub(F.lit(str(start)).cast("date"), 1))
+    S.insert_overwrite_dynamic(spark, B.last7_backfill(spark.table(prod), start, end, keep, before), cumulative)
 
 
 # ---------------------------------------------------------------------------
@@ -199,14 +254,13 @@ AUDIT_CHECKS: tuple[Q.Check, ...] = (
 
 def mart_models(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
     """Staging models and marts as lazy frames (staging = views)."""
-    domains, n = valid_domains(spark)
     models = {
         "stg_customer_feedbacks": M.stg_feedbacks(fx.raw_customer_feedbacks(spark, sf_dir)),
         "stg_haunted_customers": M.stg_customers(fx.raw_customers(spark, sf_dir)),
         "stg_haunted_house_tickets": M.stg_tickets(fx.raw_haunted_house_tickets(spark, sf_dir)),
         "stg_haunted_houses": M.stg_houses(fx.raw_haunted_houses(spark, sf_dir)),
     }
-    models["dim_customers"] = M.dim_customers(models["stg_haunted_customers"], domains, n)
+    models["dim_customers"] = M.dim_customers(models["stg_haunted_customers"], valid_domains(spark))
     models["dim_haunted_houses"] = M.dim_houses(models["stg_haunted_houses"])
     models["fact_visits"] = M.fact_visits(models["stg_haunted_house_tickets"],
                                           models["stg_customer_feedbacks"])
@@ -223,33 +277,54 @@ def mart_check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out
 
 
-def build_marts(spark: SparkSession, sf_dir: str, prefix: str = "mart") -> dict[str, str]:
+STAGING = ("stg_customer_feedbacks", "stg_haunted_customers", "stg_haunted_house_tickets",
+           "stg_haunted_houses")
+# model -> the models that it is built from
+BUILT_FROM = {
+    "dim_customers": ("stg_haunted_customers",),
+    "dim_haunted_houses": ("stg_haunted_houses",),
+    "fact_visits": ("stg_haunted_house_tickets", "stg_customer_feedbacks"),
+}
+
+
+def build_marts(spark: SparkSession, sf_dir: str, prefix: str = "mart",
+                models: dict[str, DataFrame] | None = None) -> dict[str, str]:
     """Staging as temp views, marts as tables, tests after each model.
 
-    Returns model -> table (or view) name.  A failing test stops the
-    models built from it, as the reference's build does.
+    Returns model -> table (or view) name.  Each model is tested right after
+    it is built; one that fails stops those built from it, the others go on,
+    and the failures are raised at the end.  Table names are stable: a run
+    replaces the tables of the one before, and a mart replaces its table
+    only when its own tests pass on the staged copy.
     """
-    models = mart_models(spark, sf_dir)
+    models = models or mart_models(spark, sf_dir)
     names: dict[str, str] = {}
-    for name in ("stg_customer_feedbacks", "stg_haunted_customers", "stg_haunted_house_tickets",
-                 "stg_haunted_houses"):
-        view = f"{prefix}_{name}"
-        models[name].createOrReplaceTempView(view)
-        names[name] = view
-    for name in ("dim_customers", "dim_haunted_houses"):
-        table = S.new_table_name(f"{prefix}_{name}")
-        df = models[name]
-        df.write.mode("overwrite").option("path", _location(spark, table)).saveAsTable(table)
-        names[name] = table
-    # the fact in its stored layout (by purchase month), ready for merges
-    fact = ensure_fact_table(spark, S.new_table_name(f"{prefix}_fact_visits"))
-    S.insert_overwrite_table(spark, with_fact_partition(models["fact_visits"]), fact)
-    names["fact_visits"] = fact
-    failures = []
-    for name, checks in MART_CHECKS.items():
-        rows = Q.run_checks(name, spark.table(names[name]), checks).filter(
-            F.col("status") == "fail").collect()
-        failures.extend(rows)
+    failures: list = []
+
+    def tested(model: str, rows: DataFrame) -> bool:
+        bad = Q.run_checks(model, rows, MART_CHECKS[model]).filter(F.col("status") == "fail").collect()
+        failures.extend(bad)
+        return not bad
+
+    for model in STAGING:
+        view = f"{prefix}_{model}"
+        models[model].createOrReplaceTempView(view)
+        if tested(model, spark.table(view)):
+            names[model] = view
+    for model, parents in BUILT_FROM.items():
+        if not all(p in names for p in parents):
+            continue
+        table = f"{prefix}_{model}"
+        if model == "fact_visits":          # in its stored layout, ready for merges
+            df = with_fact_partition(models[model])
+            ensure_fact_table(spark, table)
+        else:
+            df = models[model]
+            S.ensure_table(spark, table, df.schema)
+        with S.staged(spark, df, table) as stage:
+            if tested(model, spark.table(stage)):
+                S.replace_table(spark, stage, table)
+                names[model] = table
     if failures:
         raise P.GateFailed(f"mart tests failed: {[(r.model, r.column_name, r.test) for r in failures]}")
     return names
@@ -271,10 +346,9 @@ def ensure_fact_table(spark: SparkSession, table: str) -> str:
 
 
 def merge_into_fact(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """D11 on the stored fact: update by ticket_id; only the source's
-    months are read and rewritten."""
-    P.merge_by_key(spark, table, with_fact_partition(rows), "ticket_id",
-                   partition_col=FACT_PARTITION, partition_stable=True)
+    """D11 on the stored fact: update by ticket_id; only the months that hold
+    or get a source ticket are rewritten."""
+    P.merge_by_key(spark, table, with_fact_partition(rows), "ticket_id", partition_col=FACT_PARTITION)
 
 
 def build_fact_visits(spark: SparkSession, sf_dir: str, purchase_date: str | dt.date,
@@ -292,8 +366,3 @@ def build_fact_visits(spark: SparkSession, sf_dir: str, purchase_date: str | dt.
         publish=lambda rows: merge_into_fact(spark, fact_table, rows),
         audit_schema=schemas.FACT_VISITS, model="audit_fact_visits", parents=parents,
         require_rows=False)
-
-
-def _location(spark: SparkSession, table: str) -> str:
-    from kestrel.session import table_dir
-    return table_dir(spark, table)

@@ -1,9 +1,9 @@
 """Write-audit-publish, idempotent partition publish, snapshot overwrite and merge.
 
-Every publish here is a single ``INSERT OVERWRITE`` of the affected
-partitions (or of the whole table), never a delete followed by an
-insert, so a failure between the two cannot lose a day.  Reruns with the
-same input leave the same rows.
+Every publish writes its rows to a staging table first and checks that
+copy; the target's rows are replaced by an overwrite that touches them only
+when it commits (``plans.storage``), so a failure anywhere before leaves the
+published rows.  Reruns with the same input leave the same rows.
 """
 
 from __future__ import annotations
@@ -38,22 +38,28 @@ def publish_partition(spark: SparkSession, staged: DataFrame, table: str, ds: st
                       ds_col: str = "ds", require_rows: bool = True) -> None:
     """Replace the ``ds`` partition of ``table`` with the staged day.
 
-    One static partition overwrite: rerunning the same day gives the same
-    rows.  With ``require_rows`` the gate runs first and an empty staged
-    day raises ``GateFailed`` leaving the target untouched.
+    The day is written once; the gate and the publish read that copy.  With
+    ``require_rows`` an empty staged day raises ``GateFailed`` leaving the
+    target untouched.
     """
     day = staged.filter(F.col(ds_col) == F.lit(str(ds)).cast("date"))
-    if require_rows and not _gate_passes(staged, ds, ds_col):
-        raise GateFailed(f"no staged rows for {ds_col}={ds}")
-    S.insert_overwrite_partition(spark, day.drop(ds_col), table, {ds_col: str(ds)})
+    with S.staged(spark, day, table) as stage:
+        if require_rows and not _gate_passes(spark.table(stage), ds, ds_col):
+            raise GateFailed(f"no staged rows for {ds_col}={ds}")
+        S.replace_partition(spark, stage, table, {ds_col: str(ds)})
 
 
-def overwrite_table(spark: SparkSession, df: DataFrame, table: str) -> None:
+def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
+                    refuse: Callable[[DataFrame], str | None] | None = None) -> None:
     """Replace the whole table with ``df``; an empty batch is refused
-    (it would otherwise publish an empty snapshot)."""
-    if df.isEmpty():
-        raise GateFailed(f"refusing to overwrite {table} with an empty batch")
-    S.insert_overwrite_table(spark, df, table)
+    (it would otherwise publish an empty snapshot), as is one for whose
+    staged copy ``refuse`` gives a reason."""
+    with S.staged(spark, df, table) as stage:
+        if spark.table(stage).isEmpty():
+            raise GateFailed(f"refusing to overwrite {table} with an empty batch")
+        if refuse and (reason := refuse(spark.table(stage))):
+            raise GateFailed(reason)
+        S.replace_table(spark, stage, table)
 
 
 @dataclass
@@ -78,7 +84,7 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.C
     """
     audit = S.new_table_name(f"{model}_audit")
     S.ensure_table(spark, audit, audit_schema, partition_cols)
-    S.insert_overwrite_table(spark, df, audit)
+    df.select(*S.table_columns(spark, audit)).write.insertInto(audit)
     rows = spark.table(audit)
     results = Q.run_checks(model, rows, checks, parents)
     if require_rows:
@@ -94,84 +100,49 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.C
     if passed:
         publish(rows)
         if not keep_audit:
-            S.drop_table(spark, audit, purge=True)
+            S.drop_table(spark, audit)
     return AuditResult(passed, results, audit)
 
 
 def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
-                 partition_col: str | None = None, check_unique: bool = True,
-                 partition_stable: bool = False) -> None:
+                 partition_col: str | None = None, check_unique: bool = True) -> None:
     """Update target rows whose key is in ``source``, insert the rest.
 
     result = (target rows whose key is not in source) UNION ALL source,
     rewritten only for the touched partitions: those holding a source
-    key in the target (a left-semi join on the key column alone, so the
-    scan reads two columns) plus those the source writes to.  Their
-    values (one per partition) come back to the driver and prune the
-    target scan to those folders.  The source is written once to a
-    staging table first (every later step reads the same rows); the new
-    partition contents are written to a second staging table (which also
-    cuts the lineage to the target), then swapped in with one dynamic
-    partition overwrite.  Both staging copies are purged afterwards.
-    Without ``partition_col`` the whole table is rewritten the same way.
+    key in the target (a semi-join on the key column alone, so the scan
+    reads two columns) plus those the source writes to.  A key that changed
+    its partition therefore leaves the old one; a null partition value is a
+    partition like any other.  The source is written once to a staging table
+    (every later step reads the same rows), the new partition contents to a
+    second one (which also cuts the lineage to the target), and swapped in
+    with one overwrite that touches the target when it commits; partitions
+    left without rows are dropped in one catalog statement.  Without
+    ``partition_col`` the whole table is rewritten the same way.
 
     ``check_unique`` refuses a source whose key repeats (a merge would
-    otherwise be ambiguous).  ``partition_stable=True`` declares that a
-    key never changes partition (a ticket keeps its purchase date): the
-    touched partitions are then exactly the source's, the key search is
-    skipped, and the target is read only in those partitions, so a daily
-    merge costs the size of the day, not of the table.
+    otherwise be ambiguous).
     """
-    cols = S.table_columns(spark, target)
     tgt = spark.table(target)
-    # the source is written once and read from there: the uniqueness check,
-    # the touched partitions and the new content all see the same rows,
-    # and an expensive source plan is not evaluated three times
-    src_stage = S.new_table_name("merge_src")
-    S.ensure_table(spark, src_stage, T.StructType([tgt.schema[c] for c in cols]))
-    try:
-        S.insert_overwrite_table(spark, source.select(*cols), src_stage)
+    with S.staged(spark, source, target) as src_stage:
         src = spark.table(src_stage)
         if check_unique and not Q.unique(src, key).isEmpty():
             raise GateFailed(f"merge source has repeated {key} values")
-        _merge_staged(spark, target, tgt, src, key, partition_col, partition_stable)
-    finally:
-        S.drop_table(spark, src_stage, purge=True)
-
-
-def _merge_staged(spark: SparkSession, target: str, tgt: DataFrame, src: DataFrame, key: str,
-                  partition_col: str | None, partition_stable: bool) -> None:
-    if partition_col is None:
-        kept = tgt.join(src.select(key), key, "left_anti")
-        new = kept.unionByName(src)
-        stage = S.new_table_name("merge_stage")
-        S.ensure_table(spark, stage, tgt.schema)
-        S.insert_overwrite_table(spark, new, stage)
-        S.insert_overwrite_table(spark, spark.table(stage), target)
-        S.drop_table(spark, stage, purge=True)
-        return
-    touched = src.select(partition_col).distinct()
-    if not partition_stable:
-        hit = (tgt.select(key, partition_col).join(src.select(key), key, "left_semi")
-                  .select(partition_col))
-        touched = hit.unionByName(touched).distinct()
-    # one value per touched partition (bounded by the table's partition
-    # count, not its rows): a literal IN filter prunes the target scan
-    values = [r[0] for r in touched.collect()]
-    if not values:
-        return
-    in_touched = tgt.filter(F.col(partition_col).isin(values))
-    kept = in_touched.join(src.select(key), key, "left_anti")
-    new = kept.unionByName(src)
-    stage = S.new_table_name("merge_stage")
-    S.ensure_table(spark, stage, tgt.schema, (partition_col,))
-    S.insert_overwrite_dynamic(spark, new, stage)
-    staged = spark.table(stage)
-    S.insert_overwrite_dynamic(spark, staged, target)
-    # a touched partition left without rows (its only keys moved away) is
-    # not rewritten by a dynamic overwrite: empty it explicitly
-    present = {r[0] for r in staged.select(partition_col).distinct().collect()}
-    for v in values:
-        if v not in present:
-            S.insert_overwrite_partition(spark, staged.limit(0), target, {partition_col: v})
-    S.drop_table(spark, stage, purge=True)
+        if partition_col is None:
+            S.insert_overwrite_table(spark, tgt.join(src.select(key), key, "left_anti").unionByName(src), target)
+            return
+        held = tgt.select(key, partition_col).join(src.select(key), key, "left_semi").select(partition_col)
+        touched = held.unionByName(src.select(partition_col)).distinct()
+        # values that are equal prune the target's folders at run time; the
+        # null partition is one folder of its own
+        names = touched.select(F.col(partition_col).alias("_touched"))
+        known = tgt.where(F.col(partition_col).isNotNull()).join(
+            names, F.col(partition_col) == F.col("_touched"), "left_semi")
+        null_touched = not names.where("_touched IS NULL").isEmpty()
+        if null_touched:
+            known = known.unionByName(tgt.where(F.col(partition_col).isNull()))
+        new = known.join(src.select(key), key, "left_anti").unionByName(src)
+        # only partitions that held a source key can end up empty; they are
+        # named before the swap, from a copy of their own
+        with S.staged(spark, new, target) as stage:
+            S.swap_in(spark, stage, target, held)

@@ -1,10 +1,10 @@
 """Catalog tables on parquet: create, partition overwrite, level reads.
 
-Tables are catalog tables (``USING parquet PARTITIONED BY ... LOCATION``)
-whose location is under the shared work folder, so every write is a
-Spark SQL ``INSERT`` with the usual commit protocol: files are written
-to a staging folder and moved into place on commit, and a lost executor
-only reruns its tasks.
+Tables are catalog tables in the session's warehouse, or in a folder that
+the caller names.  Every write evaluates its rows once, into a staging
+table, and publishes from there with an overwrite that touches the old
+rows only when it commits: a failing job leaves the target as it was, and
+a lost executor only reruns its tasks.
 """
 
 from __future__ import annotations
@@ -12,14 +12,13 @@ from __future__ import annotations
 import datetime as dt
 import re
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kestrel.session import table_dir
-
 # fixed sentinel for the grand-total level ('' cannot be a partition value)
 TOTAL_LEVEL = "grand_total"
 
@@ -47,43 +46,32 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     """``CREATE TABLE IF NOT EXISTS`` a parquet table; returns its name.
 
     Partition columns go last in a partitioned table's schema, as Spark
-    stores them.  ``location`` defaults to the table's stable folder under
-    the shared checkpoint folder, and partitions already there are
-    recovered, so a table outlives the application that wrote it.
-    ``bucket_by`` / ``buckets`` store each partition
+    stores them.  Without ``location`` the table is managed: it lives in the
+    session's warehouse and dropping it deletes its files.  A ``location`` is
+    the caller's explicit choice of a folder; partitions already in that
+    folder are registered.  ``bucket_by`` / ``buckets`` store each partition
     hash-bucketed by those columns, so a later join or aggregate on them
     reads the table already partitioned and does not shuffle it.
     """
-    loc = location or table_dir(spark, name.replace(".", "__"))
     existed = spark.catalog.tableExists(name)
     fields = [f for f in schema.fields if f.name not in partition_cols]
     fields += [schema[c] for c in partition_cols]
     part = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_cols)})" if partition_cols else ""
     bucket = (f" CLUSTERED BY ({', '.join(f'`{c}`' for c in bucket_by)}) INTO {buckets} BUCKETS"
               if bucket_by and buckets > 0 else "")
+    place = f" LOCATION {_literal(location)}" if location else ""
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({ddl(T.StructType(fields))}) "
-              f"USING parquet{part}{bucket} LOCATION '{loc}'")
-    if partition_cols and not existed:
-        # declared over a folder that may already hold partitions written by
-        # an earlier application: register them (a listing, no data read)
-        try:
+              f"USING parquet{part}{bucket}{place}")
+    if partition_cols and location and not existed:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(location)
+        if folder.getFileSystem(spark._jsc.hadoopConfiguration()).exists(folder):
             spark.sql(f"ALTER TABLE {_ident(name)} RECOVER PARTITIONS")
-        except Exception as e:  # a new table: its folder does not exist yet
-            if "does not exist" not in str(e) and "FileNotFound" not in str(e):
-                raise
     return name
 
 
-def drop_table(spark: SparkSession, name: str, purge: bool = False) -> None:
-    """``DROP TABLE IF EXISTS`` (the staging copy after a publish).
-
-    Tables here are external (their folder is given), so DROP keeps the
-    files; ``purge=True`` first overwrites the table with an empty frame,
-    which deletes its data files, so staging copies do not pile up in the
-    shared folder."""
-    if purge and spark.catalog.tableExists(name):
-        empty = spark.createDataFrame([], spark.table(name).schema)
-        insert_overwrite_table(spark, empty, name)
+def drop_table(spark: SparkSession, name: str) -> None:
+    """``DROP TABLE IF EXISTS`` (the staging copy after a publish); a
+    managed table's files go with it."""
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
 
 
@@ -91,48 +79,16 @@ def table_columns(spark: SparkSession, name: str) -> list[str]:
     return spark.table(name).columns
 
 
-def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
-                               partition: dict[str, object]) -> None:
-    """Static ``INSERT OVERWRITE t PARTITION (k = v, ...) SELECT ...``.
-
-    The static form replaces exactly the named partition, and an empty
-    frame empties it (a dynamic overwrite would leave it in place).
-    """
-    cols = [c for c in table_columns(spark, table) if c not in partition]
-    view = new_table_name("_kestrel_src")
-    df.select(*cols).createOrReplaceTempView(view)
-    spec = ", ".join(f"`{k}` = {_literal(v)}" for k, v in partition.items())
-    try:
-        spark.sql(f"INSERT OVERWRITE TABLE {_ident(table)} PARTITION ({spec}) "
-                  f"SELECT {', '.join(f'`{c}`' for c in cols)} FROM `{view}`")
-    finally:
-        spark.catalog.dropTempView(view)
-
-
-def overwrite_partition_staged(spark: SparkSession, df: DataFrame, table: str,
-                               partition: dict[str, object]) -> None:
-    """Static partition overwrite of a frame that reads ``table`` itself
-    (e.g. today's state from yesterday's partition).
-
-    The frame is first written to a staging table (same schema, same
-    shared folder), which cuts its lineage to the target; the partition
-    is then replaced from the staging copy and the copy dropped.
-    """
-    stage = new_table_name("stage")
-    schema = spark.table(table).schema
-    cols = [f for f in schema.fields if f.name not in partition]
-    ensure_table(spark, stage, T.StructType(cols))
-    insert_overwrite_table(spark, df.select(*[f.name for f in cols]), stage)
-    try:
-        insert_overwrite_partition(spark, spark.table(stage), table, partition)
-    finally:
-        drop_table(spark, stage, purge=True)
-
-
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def partition_dates(spark: SparkSession, table: str) -> list[dt.date]:
+    """The days of a table partitioned by one date, from the catalog alone."""
+    values = [r[0].partition("=")[2] for r in spark.sql(f"SHOW PARTITIONS {_ident(table)}").collect()]
+    return sorted(dt.date.fromisoformat(v) for v in values if v != "__HIVE_DEFAULT_PARTITION__")
+
+
 def _rebalanced(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     """Cluster rows by the table's partition columns before writing.
 
@@ -145,46 +101,130 @@ def _rebalanced(spark: SparkSession, df: DataFrame, table: str) -> DataFrame:
     return df.hint("rebalance", *parts) if parts else df
 
 
-def insert_overwrite_dynamic(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Overwrite only the partitions present in ``df`` (dynamic mode).
+@contextmanager
+def staged(spark: SparkSession, df: DataFrame, table: str) -> Iterator[str]:
+    """A managed copy of ``df`` with the columns and partitions of ``table``.
 
-    The mode is set on the session for the duration of this write and
-    restored after it (``insertInto`` on a catalog table does not honour a
-    per-write ``partitionOverwriteMode`` option; the merge test catches it).
+    ``df`` is evaluated once, here; a failure in it leaves every other table
+    as it was.  Gates, tests and the publish all read the copy.
     """
+    name = new_table_name("stage")
     cols = table_columns(spark, table)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    schema = spark.table(table).schema
+    ensure_table(spark, name, T.StructType([schema[c] for c in cols]), partition_columns(spark, table))
     try:
-        _rebalanced(spark, df.select(*cols), table).write.insertInto(table, overwrite=True)
+        _rebalanced(spark, df.select(*cols), name).write.insertInto(name)
+        yield name
     finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+        drop_table(spark, name)
 
 
-def insert_overwrite_table(spark: SparkSession, df: DataFrame, table: str) -> None:
-    """Replace the whole table's contents (static overwrite)."""
-    cols = table_columns(spark, table)
-    prev = spark.conf.get("spark.sql.sources.partitionOverwriteMode", "static")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "static")
-    try:
-        _rebalanced(spark, df.select(*cols), table).write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", prev)
+def _swap_partitions(spark: SparkSession, stage: str, table: str) -> None:
+    """Replace the partitions that ``stage`` has by its rows.
+
+    A dynamic overwrite stages its files and touches the old partitions only
+    when the whole job commits, so a failing job leaves them as they were.
+    The mode is set on a session of its own: other jobs of the caller's
+    session never see it.
+    """
+    own = spark.newSession()
+    own.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    _rebalanced(own, own.table(stage), table).write.insertInto(table, overwrite=True)
+    spark.catalog.refreshTable(table)
+
+
+def _drop_partitions(spark: SparkSession, table: str, specs: Sequence[dict[str, object]]) -> None:
+    if specs:
+        listed = ", ".join("PARTITION (" + ", ".join(f"`{k}` = {_literal(v)}" for k, v in s.items()) + ")" for s in specs)
+        spark.sql(f"ALTER TABLE {_ident(table)} DROP IF EXISTS {listed}")
+
+
+def partition_values(spark: SparkSession, table: str) -> list[dict[str, object]]:
+    """The partition values that hold rows: one row per partition."""
+    return [r.asDict() for r in spark.table(table).select(*partition_columns(spark, table)).distinct().collect()]
+
+
+def replace_partition(spark: SparkSession, stage: str, table: str, partition: dict[str, object]) -> None:
+    """Make ``partition`` of ``table`` the rows of the staged copy ``stage``;
+    an empty copy empties it."""
+    if spark.table(stage).isEmpty():
+        _drop_partitions(spark, table, [partition])
+    else:
+        _swap_partitions(spark, stage, table)
+
+
+def insert_overwrite_partition(spark: SparkSession, df: DataFrame, table: str,
+                               partition: dict[str, object]) -> None:
+    """Replace one partition by ``df`` (its columns without the partition's);
+    ``df`` may read ``table`` itself, since it is staged first."""
+    schema = spark.table(table).schema
+    for k, v in partition.items():
+        df = df.withColumn(k, F.lit(v if v is None else str(v)).cast(schema[k].dataType))
+    with staged(spark, df, table) as stage:
+        replace_partition(spark, stage, table, partition)
+
+
+def swap_in(spark: SparkSession, stage: str, table: str, before: DataFrame) -> None:
+    """Replace the partitions that ``stage`` has, and drop those of ``before``
+    (partition columns) that it lacks; only the latter reach the driver."""
+    cols = partition_columns(spark, table)
+    now = spark.table(stage).select(*[F.col(c).alias(f"_{c}") for c in cols]).distinct()
+    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in cols]
+    emptied = [r.asDict() for r in before.distinct().join(now, same, "left_anti").collect()]
+    if not now.isEmpty():
+        _swap_partitions(spark, stage, table)
+    _drop_partitions(spark, table, emptied)
+
+
+def insert_overwrite_dynamic(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Overwrite only the partitions present in ``df``."""
+    with staged(spark, df, table) as stage:
+        _swap_partitions(spark, stage, table)
+
+
+def replace_table(spark: SparkSession, stage: str, table: str) -> None:
+    """Make the whole of ``table`` the rows of the staged copy ``stage``.
+
+    Partitioned: the new partitions are swapped in, then those that the copy
+    lacks are dropped; a failure between the two leaves old rows beside new
+    ones, never fewer, and a rerun ends it.  Otherwise the rows are written
+    to a new folder and the table is pointed at it.
+    """
+    if partition_columns(spark, table):
+        old = partition_values(spark, table)
+        new = partition_values(spark, stage)
+        if new:
+            _swap_partitions(spark, stage, table)
+        _drop_partitions(spark, table, [p for p in old if p not in new])
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    old = path([r[1] for r in spark.sql(f"DESCRIBE TABLE EXTENDED {_ident(table)}").collect() if r[0] == "Location"][-1])
+    new = path(old.getParent(), f"{_ident(table).strip('`').replace('`.`', '.')}-{uuid.uuid4().hex[:10]}")
+    spark.table(stage).write.parquet(new.toString())
+    spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_literal(new.toString())}")
+    spark.catalog.refreshTable(table)
+    old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
 
-def append(spark: SparkSession, df: DataFrame, table: str) -> None:
-    df.select(*table_columns(spark, table)).write.insertInto(table, overwrite=False)
+def insert_overwrite_table(spark: SparkSession, df: DataFrame, table: str) -> None:
+    """Replace the whole table's contents."""
+    with staged(spark, df, table) as stage:
+        replace_table(spark, stage, table)
 
 
 def _literal(v: object) -> str:
+    if v is None:
+        return "NULL"
+    if isinstance(v, dt.datetime):
+        return f"TIMESTAMP_NTZ '{v.isoformat(sep=' ')}'"
     if isinstance(v, dt.date):
         return f"DATE '{v.isoformat()}'"
-    if isinstance(v, (int, float)):
+    if isinstance(v, (bool, int, float)):
         return str(v)
-    s = str(v).replace("'", "\\'")
+    s = str(v)
     if re.fullmatch(r"\d{4}-\d{2}-\d{2}", s):
         return f"DATE '{s}'"
-    return f"'{s}'"
+    return "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 # ---------------------------------------------------------------------------

@@ -8,6 +8,7 @@ folder and return what they read back.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -34,6 +35,7 @@ WEB_START, WEB_END = "2024-01-01", "2024-12-31"      # web window (literal last-
 DAY_START, DAY_END = "2024-01-01", "2024-01-31"      # daily jobs: all of January 2024
 STEP_DAY = "2024-01-15"                              # one incremental run
 AUDIT_DATE = "1996-09-17"                            # purchase date of the audit day
+DATELESS = 50                                        # every so many-th stored ticket lacks its date
 CUBE_LEVEL = "device_type__os_type"                  # level read back from the cube table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -194,8 +196,7 @@ def stg_tickets(spark, sf):
 
 
 def dim_customers(spark, sf):
-    domains, n = valid_domains(spark)
-    return M.dim_customers(stg_customers(spark, sf), domains, domain_rows=n)
+    return M.dim_customers(stg_customers(spark, sf), valid_domains(spark))
 
 
 def dim_houses(spark, sf):
@@ -219,32 +220,109 @@ def audit_fact_visits(spark, sf):
 
 
 def fact_visits_merge(spark, sf):
-    """Target: the whole fact, with the audit day's rows as they were
-    before feedback arrived; merging the audit rows in updates that day."""
-    fact = fact_visits(spark, sf)
+    """Merge the audit day into a stored fact where a quarter of its tickets
+    is missing, a quarter lacks the feedback, a quarter lies in another month
+    and a quarter has no purchase date; some other tickets have none either."""
     day = F.lit(AUDIT_DATE).cast("date")
-    before = fact.filter(~F.col("purchase_date").eqNullSafe(day))
-    stale = (fact.filter(F.col("purchase_date") == day)
-                 .withColumn("rating", F.lit(None).cast("bigint"))
-                 .withColumn("comments", F.lit(None).cast("string")))
+    part = F.col("ticket_id") % 4
+    audited = F.col("purchase_date").eqNullSafe(day)
+    fact = fact_visits(spark, sf).where(~audited | (part != 0))
+    lacks = audited & (part == 1)
+    stored = fact.withColumns({
+        "rating": F.when(~lacks, F.col("rating")),
+        "comments": F.when(~lacks, F.col("comments")),
+        "purchase_date": F.when(audited & (part == 2), F.date_add(day, 45))
+                          .when(~((audited & (part == 3)) | (F.col("ticket_id") % DATELESS == 0)) | lacks,
+                                F.col("purchase_date"))})
     table = J.ensure_fact_table(spark, S.new_table_name("fact_visits"))
-    S.insert_overwrite_dynamic(spark, J.with_fact_partition(before.unionByName(stale)), table)
+    S.insert_overwrite_dynamic(spark, J.with_fact_partition(stored), table)
     J.merge_into_fact(spark, table, audit_fact_visits(spark, sf))
     return spark.table(table).select(*M.FACT_COLUMNS)
 
 
+def mart_build(spark, sf):
+    """Build and test the marts, then read the stored fact back with the
+    columns that it gets from each dimension."""
+    names = J.build_marts(spark, sf, prefix=S.new_table_name("mart"))
+    fact, customers, houses = (spark.table(names[n]) for n in ("fact_visits", "dim_customers", "dim_haunted_houses"))
+    return (fact.join(customers.select("customer_id", "is_valid_email_address"), "customer_id", "left")
+            .join(houses.select("haunted_house_id", "house_name", "house_size_in_m2"), "haunted_house_id", "left")
+            .select(*M.FACT_COLUMNS, "is_valid_email_address", "house_name", "house_size_in_m2"))
+
+
+def dq_audit_checks(spark, sf):
+    """The six declared tests of the audit day, foreign keys to both dimensions
+    included; houses hold only the larger ones, so one of them fails."""
+    parents = {"dim_customers": dim_customers(spark, sf),
+               "dim_haunted_houses": dim_houses(spark, sf).where("haunted_house_id > 20")}
+    return Q.run_checks("audit_fact_visits", audit_fact_visits(spark, sf), J.AUDIT_CHECKS, parents)
+
+
+# --- stored history: several daily runs, a day without rows, a rerun ------------
+
+JOB_START = "2024-01-27"                             # first day run by the daily job
+RERUN_DAY = "2024-01-29"
+
+
+def _job_days():
+    first, last = (dt.date.fromisoformat(d) for d in (JOB_START, DAY_END))
+    return [first + dt.timedelta(k) for k in range((last - first).days + 1)]
+
+
+def last7_job(spark, sf):
+    """Backfill up to the day before, then day by day through the stored table
+    (the last day has no bars), one day rerun; the days that the job ran."""
+    prod, cum = S.new_table_name("stock_bars_prod"), S.new_table_name("last7")
+    S.ensure_table(spark, prod, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, _bars(spark, sf), prod)
+    J.backfill_cumulative(spark, prod, cum, DAY_START, str(_job_days()[0] - dt.timedelta(1)))
+    for day in [*_job_days(), RERUN_DAY]:
+        J.cumulate_day(spark, prod, cum, day)
+    out = spark.table(cum).where(F.col("ds") >= F.lit(JOB_START).cast("date"))
+    return B.explode_prices(out).withColumn("price", F.col("price").cast("double"))
+
+
+STATE_BUCKETS = 8                                    # of the registered queries' small state tables
+
+
+def user_state_job(spark, sf):
+    """The state table by daily runs after a backfill; the last day has no activity."""
+    table = J.ensure_state_table(spark, S.new_table_name("user_state"), STATE_BUCKETS)
+    J.backfill_state_table(spark, _daily(spark, sf), table, DAY_START, str(_job_days()[0] - dt.timedelta(1)))
+    for day in [*_job_days(), RERUN_DAY]:
+        J.state_day(spark, _daily(spark, sf), table, day)
+    return spark.table(table).where(F.col("ds") >= F.lit(JOB_START).cast("date")).select(*schemas.USER_STATE.fieldNames())
+
+
+def user_state_late_backfill(spark, sf):
+    """Two backfills, the second from the middle of the month on."""
+    table = J.ensure_state_table(spark, S.new_table_name("user_state"), STATE_BUCKETS)
+    middle = dt.date.fromisoformat(STEP_DAY)
+    J.backfill_state_table(spark, _daily(spark, sf), table, DAY_START, str(middle - dt.timedelta(1)))
+    J.backfill_state_table(spark, _daily(spark, sf), table, STEP_DAY, DAY_END)
+    return spark.table(table).select(*schemas.USER_STATE.fieldNames())
+
+
 # --- publish ------------------------------------------------------------------
 
 def wap_gate(spark, sf):
-    return P.gate_nonempty(_bars(spark, sf), STEP_DAY)
+    """The gate for a day with bars and for one without."""
+    bars = _bars(spark, sf)
+    gate = lambda ds: P.gate_nonempty(bars, ds).select(F.lit(ds).cast("date").alias("ds"), "dq_check")
+    return gate(STEP_DAY).unionByName(gate(DAY_END))
 
 
 def wap_publish(spark, sf):
-    """Production holds every day; the step day is published twice."""
+    """Production holds every day, the step day with wrong prices and a symbol
+    too many; the step day is published twice."""
     bars = _bars(spark, sf)
     table = S.new_table_name("stock_bars_prod")
     S.ensure_table(spark, table, schemas.BARS, ("ds",))
-    S.insert_overwrite_dynamic(spark, bars, table)
+    wrong = F.col("ds") == F.lit(STEP_DAY).cast("date")
+    prices = {c: F.when(wrong, F.lit(-1)).otherwise(F.col(c)).cast("float").alias(c) for c in ("opening_price", "closing_price")}
+    stale = bars.withColumns(prices)
+    extra = bars.where(wrong).withColumn("stock_symbol", F.concat(F.lit("old_"), "stock_symbol"))
+    S.insert_overwrite_dynamic(spark, stale.unionByName(extra), table)
     for _ in range(2):
         P.publish_partition(spark, bars, table, STEP_DAY)
     return _comparable_bars(spark.table(table).select(*schemas.BARS.fieldNames()))
@@ -279,15 +357,15 @@ def dq_unique(spark, sf):
 
 
 def dq_accepted_values(spark, sf):
-    """The declared rating test of the fact (nulls skipped by ``where``)."""
-    return Q.accepted_values(fact_visits(spark, sf), "rating", [1, 2, 3, 4, 5],
+    """Ratings outside a list that lacks the highest (nulls skipped by ``where``)."""
+    return Q.accepted_values(fact_visits(spark, sf), "rating", [1, 2, 3, 4],
                              where="rating IS NOT NULL")
 
 
 def dq_relationships(spark, sf):
-    """The declared audit-day foreign-key test against the customers dim."""
+    """Audit-day tickets whose customer is not among those with a valid address."""
     return Q.relationships(audit_fact_visits(spark, sf), "customer_id",
-                           dim_customers(spark, sf), "customer_id")
+                           dim_customers(spark, sf).where("is_valid_email_address"), "customer_id")
 
 
 def dq_is_positive(spark, sf):
@@ -316,6 +394,8 @@ QUERIES: dict[str, Query] = {
     "retention_monthly": retention_monthly,
     "user_state_step": user_state_step,
     "user_state_backfill": user_state_backfill,
+    "user_state_job": user_state_job,
+    "user_state_late_backfill": user_state_late_backfill,
     "web_mapped": web_mapped,
     "web_mapped_dedup": web_mapped_dedup,
     "grouping_sets_hits": grouping_sets_hits,
@@ -333,6 +413,7 @@ QUERIES: dict[str, Query] = {
     "bars_by_day": bars_by_day,
     "last7_step": last7_step,
     "last7_backfill": last7_backfill,
+    "last7_job": last7_job,
     # mart
     "stg_customers": stg_customers,
     "stg_feedbacks": stg_feedbacks,
@@ -344,6 +425,7 @@ QUERIES: dict[str, Query] = {
     "fact_visits": fact_visits,
     "audit_fact_visits": audit_fact_visits,
     "fact_visits_merge": fact_visits_merge,
+    "mart_build": mart_build,
     # publish
     "wap_gate": wap_gate,
     "wap_publish": wap_publish,
@@ -358,4 +440,5 @@ QUERIES: dict[str, Query] = {
     "dq_valid_email": dq_valid_email,
     "dq_nonempty": dq_nonempty,
     "dq_mart_checks": dq_mart_checks,
+    "dq_audit_checks": dq_audit_checks,
 }

@@ -12,14 +12,14 @@ The settings are the ones every operator here relies on:
   sort-merge join beyond it;
 * no UI server.
 
-Storage-touching jobs write below :func:`work_dir`, which is the
-cluster's shared ``spark.checkpoint.dir``.  Only when that is unset (a
-test or a laptop) do we pick a scratch folder of our own.
+Tables live in the session's warehouse.  Landed files and stream
+checkpoints lie below the shared folder of :func:`checkpoint_dir`; a session
+without one is refused, since a folder of one machine would lose rows on a
+cluster.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -31,7 +31,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32MB",
     "spark.sql.autoBroadcastJoinThreshold": "32MB",
-    "spark.sql.ansi.enabled": "true",
     "spark.ui.enabled": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
@@ -75,41 +74,19 @@ def get_session(master: str | None = None, shuffle_partitions: int | None = None
 def apply_conf(spark: SparkSession) -> None:
     """Apply the runtime-settable defaults to an existing session."""
     for key, value in DEFAULT_CONF.items():
-        if key.startswith("spark.ui.") or key.startswith("spark.sql.execution.arrow"):
-            continue
-        try:
+        if spark.conf.isModifiable(key):
             spark.conf.set(key, value)
-        except Exception:  # static conf on a shared session: keep what is there
-            pass
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder; set a scratch one only when unset."""
-    current = spark.conf.get("spark.checkpoint.dir", None)
+    """The folder that all executors share: the one that the application has
+    set, else ``spark.checkpoint.dir``.  It is an error if there is none."""
+    current = spark.sparkContext.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not current:
-        try:
-            current = spark.sparkContext.getCheckpointDir()
-        except Exception:  # a session without a local SparkContext
-            current = None
-    if not current:
-        current = tempfile.mkdtemp(prefix="kestrel-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(current)
-        except Exception:
-            spark.conf.set("spark.checkpoint.dir", current)
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return current.rstrip("/")
 
 
-def table_dir(spark: SparkSession, name: str) -> str:
-    """The stable folder of a named table under the shared checkpoint folder.
-
-    Stable, so a later application that declares the same table name finds
-    the data written by an earlier one."""
-    return f"{checkpoint_dir(spark)}/kestrel-tables/{name}"
-
-
 def work_dir(spark: SparkSession, name: str | None = None) -> str:
-    """A fresh folder under the shared checkpoint folder for one job's tables."""
-    base = checkpoint_dir(spark)
-    sub = f"{name or 'job'}-{uuid.uuid4().hex[:12]}"
-    return f"{base}/kestrel-tables/{sub}"
+    """A fresh folder under the shared checkpoint folder, for one job's files."""
+    return f"{checkpoint_dir(spark)}/kestrel-work/{name or 'job'}-{uuid.uuid4().hex[:12]}"

@@ -14,6 +14,17 @@ from pyspark.sql import functions as F
 from kestrel.sources.tables import read_table
 
 
+# fixed values: the host that stands in for each event type; the site names
+# must match the LIKE patterns of functions.rules.HOST_RULES
+EVENT_HOSTS = (
+    ("click", "www.techcreator.io"),
+    ("view", "www.eczachly.com"),
+    ("purchase", "zachwilson.tech"),
+    ("signup", "learn.dataengineer.io"),
+    ("error", "other.example.com"),
+)
+
+
 def _props_k() -> Column:
     """The integer ``k`` of ``events.props`` (``{"k": 69}``).
 
@@ -31,12 +42,9 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = read_table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "props")
     k = _props_k()
     et = F.col("event_type")
-    host = (F.when((et == "error") & (k % 10 == 0), F.lit(None).cast("string"))
-            .when(et == "click", "www.techcreator.io")
-            .when(et == "view", "www.eczachly.com")
-            .when(et == "purchase", "zachwilson.tech")
-            .when(et == "signup", "learn.dataengineer.io")
-            .when(et == "error", "other.example.com"))
+    host = F.when((et == "error") & (k % 10 == 0), F.lit(None).cast("string"))
+    for kind, name in EVENT_HOSTS:
+        host = host.when(et == kind, name)
     return ev.select(
         F.col("user_id"),
         k.alias("device_id"),
@@ -47,29 +55,17 @@ def web_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-DEVICE_KEYS = 100   # devices are the customers with c_custkey < 100
-
-
 def devices(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """device_id, browser_type, os_type, device_type from ``customer``.
+    """device_id, browser_type, os_type, device_type from every ``customer``.
 
-    Marked for broadcast on a proven bound: the filter keeps keys below
-    ``DEVICE_KEYS`` of the unique ``c_custkey``, so at most 100 rows at any
-    scale.  (Left to the planner, the estimate would be the whole customer
-    file and the event side would be shuffled for a sort-merge join.)
-    """
+    The planner picks the join from the measured size of the three columns."""
     c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_mktsegment")
     nk = F.col("c_nationkey")
-    return F.broadcast(c.filter(F.col("c_custkey") < DEVICE_KEYS)
-            .select(
-                F.col("c_custkey").alias("device_id"),
-                F.when(nk % 5 == 0, F.lit(None).cast("string"))
-                 .otherwise(F.col("c_mktsegment")).alias("browser_type"),
-                F.when(nk % 4 == 0, "Android").when(nk % 4 == 1, "iOS")
-                 .when(nk % 4 == 3, "Windows").alias("os_type"),
-                F.when(nk % 3 == 0, "Samsung Galaxy").when(nk % 3 == 1, "iPhone")
-                 .alias("device_type"),
-            ))
+    return c.select(
+        F.col("c_custkey").alias("device_id"),
+        F.when(nk % 5 == 0, F.lit(None).cast("string")).otherwise(F.col("c_mktsegment")).alias("browser_type"),
+        F.when(nk % 4 == 0, "Android").when(nk % 4 == 1, "iOS").when(nk % 4 == 3, "Windows").alias("os_type"),
+        F.when(nk % 3 == 0, "Samsung Galaxy").when(nk % 3 == 1, "iPhone").alias("device_type"))
 
 
 def web_events_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -107,12 +103,15 @@ def activity_devices(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stock_bars_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily OHLC bars with double prices (the form the API delivers).
 
-    Open/close are the first/last value of the day by (ts, event_id);
-    min_by / max_by are partial aggregates, so a symbol-day holding a
-    large share of all events is combined map-side before the shuffle.
+    Open/close are the first/last value of the day by (ts, event_id), held
+    in one fixed-width key (microseconds * 2^64 + event_id), so min_by / max_by
+    run as hash aggregates and a symbol-day holding a large share of all
+    events is combined map-side before the shuffle, without a sort.
     """
     ev = read_table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value")
-    order_key = F.struct("ts", "event_id")
+    order_key = (F.unix_micros(F.col("ts").cast("timestamp")).cast("decimal(18,0)")
+                 * F.lit(str(2 ** 64)).cast("decimal(20,0)")
+                 + F.col("event_id").cast("decimal(19,0)")).cast("decimal(38,0)")
     bars = (ev.groupBy(F.col("event_type").alias("stock_symbol"), F.to_date("ts").alias("ds"))
               .agg(F.min_by("value", order_key).alias("opening_price"),
                    F.max("value").alias("high_price"),
@@ -180,23 +179,3 @@ def raw_customer_feedbacks(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("l_orderkey").alias("ticket_id"),
                     (F.lit(1) + F.col("qty") % 5).alias("rating"),
                     F.concat(F.lit("qty "), F.col("qty").cast("string")).alias("comments"))
-
-
-VIEWS = {
-    "web_events": web_events,
-    "devices": devices,
-    "web_events_daily": web_events_daily,
-    "activity": activity,
-    "activity_devices": activity_devices,
-    "stock_bars_raw": stock_bars_raw,
-    "raw_customers": raw_customers,
-    "raw_haunted_houses": raw_haunted_houses,
-    "raw_haunted_house_tickets": raw_haunted_house_tickets,
-    "raw_customer_feedbacks": raw_customer_feedbacks,
-}
-
-
-def register_views(spark: SparkSession, sf_dir: str) -> None:
-    """Register every stand-in as a temp view of the same name."""
-    for name, build in VIEWS.items():
-        build(spark, sf_dir).createOrReplaceTempView(name)

@@ -1,36 +1,24 @@
 """Seeds: small curated CSV lists shipped with the package.
 
-A seed is read on the driver (it is a hand-maintained list of a few
-lines) and turned into a DataFrame with a declared schema; its row count
-is returned with it, so a join can broadcast it behind a checked size.
-A seed kept on shared storage can be read with ``spark.read`` instead
-(``path=...``).
+A packaged list reaches the cluster with the package: its text becomes a
+text frame that ``from_csv`` parses with the declared schema.  A list kept on shared storage is read from its path the same way.
 """
 
 from __future__ import annotations
 
-import csv
 from importlib import resources
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from kestrel import schemas
 
-MAX_DRIVER_SEED_ROWS = 100_000
 
-
-def _packaged(name: str) -> str:
-    return str(resources.files("kestrel.sources").joinpath("seeds", name))
-
-
-def valid_domains(spark: SparkSession, path: str | None = None) -> tuple[DataFrame, int | None]:
-    """Accepted e-mail domains (``valid_domain``) and the row count
-    (``None`` when read from shared storage, where it is not counted)."""
+def valid_domains(spark: SparkSession, path: str | None = None) -> DataFrame:
+    """Accepted e-mail domains (``valid_domain``)."""
+    reader = spark.read.schema(schemas.VALID_DOMAINS).option("header", True)
     if path is not None:
-        df = spark.read.schema(schemas.VALID_DOMAINS).option("header", True).csv(path)
-        return df, None
-    with open(_packaged("valid_domains.csv"), newline="") as fh:
-        rows = [(r["valid_domain"],) for r in csv.DictReader(fh)]
-    if len(rows) > MAX_DRIVER_SEED_ROWS:
-        raise ValueError("seed too large for a driver-side read; pass path=")
-    return spark.createDataFrame(rows, schemas.VALID_DOMAINS), len(rows)
+        return reader.csv(path)
+    text = resources.files("kestrel.sources").joinpath("seeds", "valid_domains.csv").read_text()
+    lines = spark.createDataFrame([(line,) for line in text.splitlines()[1:]], "value string")
+    return lines.select(F.from_csv("value", "valid_domain string").alias("r")).select("r.valid_domain")

@@ -11,9 +11,10 @@ into the last-7 array, in date order.  The same contract as a stream:
   stops (a scheduled run with catch-up); a processing-time trigger keeps
   it running;
 * each micro-batch runs the daily job for the days it contains, oldest
-  first.  Every write is a partition overwrite, so a batch replayed after
-  a failure rewrites the same partitions (at-least-once delivery,
-  exactly-once table contents).
+  first; rows of a day that earlier batches published stay, and a late day
+  is folded into the later arrays too.  Every write replaces a partition, so
+  a batch replayed after a failure rewrites the same rows (at-least-once
+  delivery, exactly-once table contents).
 """
 
 from __future__ import annotations
@@ -37,11 +38,18 @@ def process_batch(spark: SparkSession, batch: DataFrame, prod: str, cumulative:
     Only the batch's distinct load dates reach the driver (one row per
     day); all row work stays in Spark jobs.
     """
-    bars = flatten_responses(batch)
-    days = sorted(r["ds"] for r in bars.select("ds").distinct().collect())
-    for ds in days:
-        J.publish_bars_day(spark, bars.filter(F.col("ds") == F.lit(ds)), ds, table=prod)
-        J.cumulate_day(spark, prod, cumulative, ds, keep)
+    S.ensure_table(spark, prod, schemas.BARS, ("ds",))
+    with S.staged(spark, flatten_responses(batch), prod) as stage:       # the batch, read once
+        bars = spark.table(stage)
+        days = sorted(r["ds"] for r in bars.select("ds").distinct().collect())
+        for ds in days:
+            day = bars.filter(F.col("ds") == F.lit(ds))
+            # a day may arrive in several batches: what is published stays,
+            # except the symbols that this batch brings again
+            held = spark.table(prod).filter(F.col("ds") == F.lit(ds)).join(day.select("stock_symbol"), "stock_symbol", "left_anti")
+            J.publish_bars_day(spark, day.unionByName(held.select(*day.columns)), ds, table=prod)
+        for ds in days:
+            J.cumulate_through(spark, prod, cumulative, ds, keep)
     return days
 
 

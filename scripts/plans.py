@@ -30,11 +30,11 @@ def main(argv):
     md = "--md" in argv
     sf = args[0] if args else "/root/testdata/sf0.01"
     only = set(args[1:])
-    import __spark_entry__ as E
+    from kestrel.queries import QUERIES
     from kestrel.session import get_session
     spark = get_session("local[8]", 8)
     spark.sparkContext.setLogLevel("ERROR")
-    for name, fn in E.queries().items():
+    for name, fn in QUERIES.items():
         if only and name not in only:
             continue
         df = fn(spark, sf)

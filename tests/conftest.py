@@ -14,10 +14,9 @@ SF001 = "/root/testdata/sf0.01"
 def spark():
     from kestrel.session import get_session
     scratch = tempfile.mkdtemp(prefix="kestrel-test-")
-    # spark.checkpoint.dir comes from the environment when set there;
-    # kestrel.session.checkpoint_dir picks a scratch folder only if unset
     s = get_session("local[*]", shuffle_partitions=8,
-                    extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse"})
+                    extra={"spark.sql.warehouse.dir": f"{scratch}/warehouse",
+                           "spark.checkpoint.dir": f"{scratch}/shared"})
     s.sparkContext.setLogLevel("ERROR")
     yield s
 

@@ -7,9 +7,10 @@ import io
 import pytest
 
 import __spark_entry__ as E
+from kestrel.queries import QUERIES
 from tests.conftest import SF0001
 
-NAMES = sorted(E.queries())
+NAMES = sorted(QUERIES)           # those of kestrel.llm may run Python
 
 
 def _plan(df) -> str:
@@ -49,3 +50,16 @@ def test_cluster_profile_keys_are_spark_settings(spark):
     static_ok = {"spark.ui.enabled", "spark.sql.execution.arrow.pyspark.enabled"}
     for key in list(CLUSTER_CONF) + list(DEFAULT_CONF):
         assert key in known or key in static_ok, key
+
+
+def test_bars_aggregate_without_a_sort(spark):
+    plan = _plan(E.queries()["stock_bars"](spark, SF0001))
+    assert "HashAggregate" in plan and "SortAggregate" not in plan
+
+
+def test_checks_of_a_model_take_one_pass(spark):
+    from kestrel.operators import quality as Q
+    from kestrel.plans.jobs import MART_CHECKS
+    fact = E.queries()["fact_visits"](spark, SF0001)
+    scans = lambda df: sum(line.startswith("Location: ") for line in _plan(df).splitlines())
+    assert scans(Q.run_checks("fact_visits", fact, MART_CHECKS["fact_visits"])) <= scans(fact)

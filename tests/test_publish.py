@@ -86,7 +86,7 @@ def test_write_audit_publish_gates(spark):
     assert spark.table(table).filter("stock_symbol IS NULL").count() == 0
 
 
-def test_partition_stable_merge_touches_only_source_days(spark):
+def test_merge_inserts_into_a_source_day(spark):
     from pyspark.sql import types as T
     schema = "k long, v string, p date"
     table = S.new_table_name("merge_s")
@@ -94,7 +94,7 @@ def test_partition_stable_merge_touches_only_source_days(spark):
     tgt = spark.createDataFrame([(1, "old", D(2024, 1, 1)), (2, "keep", D(2024, 1, 2))], schema)
     S.insert_overwrite_dynamic(spark, tgt, table)
     src = spark.createDataFrame([(1, "new", D(2024, 1, 1)), (3, "ins", D(2024, 1, 1))], schema)
-    P.merge_by_key(spark, table, src, "k", partition_col="p", partition_stable=True)
+    P.merge_by_key(spark, table, src, "k", partition_col="p")
     assert rows(spark.table(table), "k", "v", "p") == [
         (1, "new", D(2024, 1, 1)), (2, "keep", D(2024, 1, 2)), (3, "ins", D(2024, 1, 1))]
 
@@ -112,27 +112,94 @@ def test_merge_moves_key_out_of_a_partition(spark):
                                                        (2, "b", D(2024, 1, 2))]
 
 
-def test_table_survives_redeclaration(spark):
-    """A later application re-declaring the table finds the earlier partitions."""
+def test_explicit_location_keeps_its_partitions(spark, tmp_path):
+    """A later application that names the same folder finds its partitions."""
     bars = _bars(spark)
-    table = S.new_table_name("persist")
-    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    table, folder = S.new_table_name("persist"), str(tmp_path / "t")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",), location=folder)
     S.insert_overwrite_dynamic(spark, bars, table)
-    spark.sql(f"DROP TABLE {table}")              # external table: files stay
-    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.drop_table(spark, table)                     # a table of a given folder: files stay
+    S.ensure_table(spark, table, schemas.BARS, ("ds",), location=folder)
     assert spark.table(table).count() == 150
     assert spark.table(table).filter(F.col("ds") == F.lit(D(2024, 1, 3))).count() == 5
 
 
-def test_purged_staging_leaves_no_files(spark):
+def test_dropped_table_leaves_no_files(spark):
     import glob
-    table = S.new_table_name("purge")
+    table = S.new_table_name("gone")
     S.ensure_table(spark, table, schemas.BARS, ("ds",))
     S.insert_overwrite_dynamic(spark, _bars(spark), table)
-    loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect()
-           if r[0] == "Location"][0][1]
+    loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location"][0][1]
     path = loc.replace("file:", "")
     assert glob.glob(f"{path}/ds=*/*.parquet")
-    S.drop_table(spark, table, purge=True)
-    assert not spark.catalog.tableExists(table)
-    assert not glob.glob(f"{path}/ds=*/*.parquet")
+    S.drop_table(spark, table)
+    assert not spark.catalog.tableExists(table) and not glob.glob(f"{path}/ds=*/*.parquet")
+
+
+def _failing(df):
+    """The same rows, but evaluating them raises."""
+    return df.withColumn("trade_count", F.raise_error(F.lit("broken input")).cast("bigint"))
+
+
+@pytest.mark.parametrize("write", [
+    lambda s, df, t: P.publish_partition(s, df, t, "2024-01-05"),
+    lambda s, df, t: P.overwrite_table(s, df, t),
+    lambda s, df, t: S.insert_overwrite_table(s, df, t),
+    lambda s, df, t: S.insert_overwrite_dynamic(s, df, t),
+    lambda s, df, t: S.insert_overwrite_partition(s, df.drop("ds"), t, {"ds": "2024-01-05"}),
+    lambda s, df, t: P.merge_by_key(s, t, df, "stock_symbol", partition_col="ds", check_unique=False),
+])
+def test_a_failed_write_leaves_the_published_rows(spark, write):
+    from pyspark.errors import PySparkException
+    bars = _bars(spark)
+    table = S.new_table_name("prod")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, bars, table)
+    before, tables = rows(spark.table(table)), len(spark.catalog.listTables())
+    with pytest.raises(PySparkException, match="broken input"):
+        write(spark, _failing(bars), table)
+    assert rows(spark.table(table)) == before and len(before) == 150
+    assert len(spark.catalog.listTables()) == tables          # no staging copy left
+
+
+def test_overwrite_of_an_unpartitioned_table(spark):
+    from pyspark.errors import PySparkException
+    table = S.new_table_name("flat")
+    df = spark.createDataFrame([(1, "a"), (2, "b")], "k long, v string")
+    S.ensure_table(spark, table, df.schema)
+    S.insert_overwrite_table(spark, df, table)
+    with pytest.raises(PySparkException):
+        S.insert_overwrite_table(spark, df.withColumn("v", F.raise_error(F.lit("x")).cast("string")), table)
+    assert rows(spark.table(table)) == [(1, "a"), (2, "b")]
+    S.insert_overwrite_table(spark, spark.table(table).where("k = 2"), table)
+    assert rows(spark.table(table)) == [(2, "b")]
+
+
+def test_merge_null_partition_moves_and_inserts(spark):
+    from pyspark.sql import types as T
+    schema = "k long, v string, p date"
+    table = S.new_table_name("merge_n")
+    S.ensure_table(spark, table, T._parse_datatype_string(schema), ("p",))
+    S.insert_overwrite_dynamic(spark, spark.createDataFrame(
+        [(1, "a", D(2024, 1, 1)), (2, "b", None), (3, "c", None), (5, "e", D(2024, 2, 1)), (6, "f", D(2024, 3, 1))], schema), table)
+    src = spark.createDataFrame([(2, "b2", None), (4, "new", None), (5, "moved", D(2024, 1, 1))], schema)
+    P.merge_by_key(spark, table, src, "k", partition_col="p")
+    assert rows(spark.table(table), "k", "v", "p") == [
+        (1, "a", D(2024, 1, 1)), (2, "b2", None), (3, "c", None), (4, "new", None), (5, "moved", D(2024, 1, 1)), (6, "f", D(2024, 3, 1))]
+    src = spark.createDataFrame([(k, "dated", D(2024, 1, 9)) for k in (2, 3, 4)], schema)
+    P.merge_by_key(spark, table, src, "k", partition_col="p")         # the null partition ends empty
+    assert rows(spark.table(table).where("p IS NULL")) == [] and spark.table(table).count() == 6
+
+
+def test_writes_leave_the_session_mode_alone(spark):
+    mode = spark.conf.get("spark.sql.sources.partitionOverwriteMode", None)
+    table = S.new_table_name("mode")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, _bars(spark), table)
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode", None) == mode
+
+
+def test_literals():
+    assert S._literal(None) == "NULL" and S._literal(D(2024, 1, 2)) == "DATE '2024-01-02'"
+    assert S._literal(dt.datetime(2024, 1, 2, 3, 4)) == "TIMESTAMP_NTZ '2024-01-02 03:04:00'"
+    assert S._literal("a'b\\c") == "'a\\'b\\\\c'"

@@ -1,3 +1,6 @@
+import shutil
+from pathlib import Path
+
 from pyspark.sql import functions as F
 
 from kestrel.operators import bars as B
@@ -28,3 +31,29 @@ def test_available_now_processes_each_landed_day_once(spark, tmp_path):
     q2 = landed_bars.start(spark, landing, prod, cum, checkpoint=ckpt)
     q2.awaitTermination(600)
     assert spark.table(prod).count() == bars.count()
+
+
+def test_a_day_split_over_batches_keeps_all_rows(spark, tmp_path):
+    raw = fx.stock_bars_raw(spark, SF0001).where("ds <= date'2024-01-04'")
+    first = L.land_api_responses(spark, raw.where("stock_symbol in ('error', 'purchase')"), str(tmp_path / "landing"))
+    whole = L.land_api_responses(spark, raw, str(tmp_path / "whole"))
+    prod, cum, ckpt = S.new_table_name("prod"), S.new_table_name("cum"), str(tmp_path / "ckpt")
+
+    def run():
+        q = landed_bars.start(spark, first, prod, cum, checkpoint=ckpt, max_files_per_trigger=1)
+        q.awaitTermination(600)
+        assert q.exception() is None
+
+    run()
+    # files that arrive later, for days that are already published
+    late = str(tmp_path / "late")
+    L.land_api_responses(spark, raw.where("stock_symbol not in ('error', 'purchase')"), late)
+    for day in sorted(Path(late).glob("ds=*")):
+        for file in day.glob("*.json"):
+            shutil.copy(file, Path(first) / day.name / f"late-{file.name}")
+    run()
+    bars = L.ingest_bars(spark, whole)
+    assert rows(spark.table(prod).select(*bars.columns)) == rows(bars)
+    days = bars.agg(F.min("ds"), F.max("ds")).first()
+    expect = B.last7_backfill(bars, *days)
+    assert rows(spark.table(cum), "stock_symbol", "ds", "last_7_prices") == rows(expect, "stock_symbol", "ds", "last_7_prices")
