@@ -16,18 +16,21 @@ from kestrel.llm.common import stored
 MOST_ROUNDS = 64       # rounds needed grow with the logarithm of a component's size
 
 
+def _pairs(df: DataFrame, *pairs) -> DataFrame:
+    """A row (a, b) for each of ``pairs`` of columns of a row, from one pass."""
+    both = F.array(*[F.struct(F.col(x).alias("a"), F.col(y).alias("b")) for x, y in pairs])
+    return df.select(F.explode(both).alias("p")).select("p.a", "p.b")
+
+
 def _large_star(links: DataFrame) -> DataFrame:
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    both = _pairs(links, ("a", "b"), ("b", "a"))
     least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
-    return (both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b").distinct())
+    return both.join(least, "a").where("b > a").select(F.col("m").alias("a"), "b")
 
 
 def _small_star(links: DataFrame) -> DataFrame:
     least = links.groupBy("b").agg(F.min("a").alias("m"))
-    joined = links.join(least, "b")
-    return (joined.select(F.col("m").alias("a"), "b")
-            .unionByName(joined.where("a > m").select(F.col("m").alias("a"), F.col("a").alias("b")))
-            .distinct())
+    return _pairs(links.join(least, "b"), ("m", "b"), ("m", "a")).where("a < b").distinct()
 
 
 def components(links: DataFrame, path: str) -> DataFrame:

@@ -8,9 +8,8 @@
    values can match nobody.  Of the rest, sorted by how many classes share
    them, a class joins with its first ``shared - least + 1`` lists only: two
    classes with ``least`` values in common meet in one of those (prefix).
-3. Classes that meet, directly or through others, form a candidate group; its
-   members are dealt into blocks of bounded size, and a task takes two blocks.
-   There the short prefix lists are merged into candidates, and the long lists
+3. The lists that name the same least class form a candidate group; its members
+   are dealt into blocks of bounded size, and a task takes two blocks.  There the short prefix lists are merged into candidates, and the long lists
    are skipped: their collisions are counted by comparing the candidate's
    coordinates.  Candidates with ``least`` collisions are confirmed on the full
    sets; candidates already connected are not.  Tasks return the links of a
@@ -184,31 +183,30 @@ def near_duplicates(docs: DataFrame, words: int = 3, num: int = 85, den: int = 1
              .agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("lists")))
     prefix = stored(lists.where(F.size("lists") >= least).select("set_id", F.explode(F.expr(
         f"slice(lists, 1, size(lists) - {least} + 1)")).alias("l")).select("set_id", "l.value"), f"{path}/prefix")
-    hubs = prefix.groupBy("value").agg(F.min("set_id").alias("hub"), F.count("*").alias("n")).where("n > 1")
-    met = prefix.join(hubs, "value").select(F.col("hub").alias("a"), F.col("set_id").alias("b"))
-    groups = components(met, f"{path}/groups").select(F.col("node").alias("set_id"), F.col("root").alias("grp"))
+    # a list's group is named by its least class, so lists of one family share groups
+    hubs = prefix.groupBy("value").agg(F.min("set_id").alias("grp"), F.count("*").alias("n")).where("n > 1")
+    met = stored(prefix.join(hubs, "value").select("grp", "set_id").distinct(), f"{path}/groups")
 
     # shingle sets of the candidates, from one text of each class
-    wanted = groups.join(classes, "set_id").select(
-        "set_id", "grp", "signature", F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"))
+    wanted = classes.join(met.select("set_id").distinct(), "set_id").select(
+        "set_id", "signature", F.col("doc_id").alias("first_id"), F.col("text_hash").alias("first_hash"))
     texts = (given.join(wanted, (F.col("doc_id").eqNullSafe(F.col("first_id")))
                         & (F.col("text_hash") == F.col("first_hash")))
-             .groupBy("set_id").agg(F.first("grp").alias("grp"), F.first("signature").alias("signature"),
-                                    F.first("text").alias("text")))
+             .groupBy("set_id").agg(F.first("signature").alias("signature"), F.first("text").alias("text")))
 
     def shingled(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             sets = [np.unique(shingle_hashes(word_hashes(t), words)) for t in part.pop("text")]
             yield part.assign(size=[len(s) for s in sets], shingles=[s.tobytes() for s in sets])
 
-    member = stored(texts.mapInPandas(shingled, "set_id binary, grp binary, signature array<long>, "
-                                                "size long, shingles binary"), f"{path}/members")
-    blocks = member.groupBy("grp").agg(F.sum("size").alias("all")).select("grp", F.expr(
-        f"1 + all div {BLOCK_SHINGLES}").alias("blocks"))
-    dealt = member.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks"))
-    paired = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
-        "grp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"),
-        "block", "set_id", "signature", "shingles")
+    member = stored(texts.mapInPandas(shingled, "set_id binary, signature array<long>, size long, shingles binary"),
+                    f"{path}/members")
+    blocks = met.join(member.select("set_id", "size"), "set_id").groupBy("grp").agg(
+        F.sum("size").alias("all")).select("grp", F.expr(f"1 + all div {BLOCK_SHINGLES}").alias("blocks"))
+    dealt = met.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks"))
+    dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
+        "grp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "set_id")
+    paired = dealt.join(member.select("set_id", "signature", "shingles"), "set_id")
     links = paired.groupBy("grp", "x", "y").applyInPandas(_group_links(least, num, den), "a binary, b binary")
     found = components(links, f"{path}/links")
 
