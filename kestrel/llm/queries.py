@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import (
-    licenses, mixing, neardup, neighbours, quality, secret_scan, suffixes, tiling,
+    licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, suffixes, tiling,
     warc, wavelet)
 from kestrel.llm.common import read
 
@@ -73,4 +73,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f fo
     op9_quality_scores, op10_warc_archives)}
 
 ORACLE_SQL: dict[str, str] = {
-    "op3_minhash_postings": neardup.ORACLE, "op10_warc_archives": warc.ORACLE}
+    "op2_license_sentences": oracle.license_sql(), "op3_minhash_postings": neardup.ORACLE,
+    "op8_secret_entropy": oracle.secret_sql(), "op10_warc_archives": warc.ORACLE}
