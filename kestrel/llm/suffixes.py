@@ -90,11 +90,19 @@ def segments(data: bytes, length: int = LENGTH, seed: int = SEED) -> tuple[np.nd
         end = np.repeat(start + run, pieces)
         start = np.repeat(start, pieces) + nth * MOST_RUN
         run = np.minimum(end - start, MOST_RUN)
-    # a window can only repeat inside its own segment if the hash does
-    places = run + length - seed
-    at = np.cumsum(places) - places
-    same = seeds[np.arange(places.sum()) - np.repeat(at - start, places)] == np.repeat(least[start], places)
-    return start, run, least[start].view(np.int64), np.add.reduceat(same, at, dtype=np.int32) > 1
+    # a window can only repeat inside its own segment if the hash has two places
+    # there that are least in the window starting or in the one ending with them
+    span = length - seed + 1
+    edge = np.zeros(len(seeds), bool)
+    edge[:len(least)] = seeds[:len(least)] == least
+    edge[span - 1:] |= seeds[span - 1:] == least
+    edge = np.flatnonzero(edge)
+    low, high = np.searchsorted(edge, start), np.searchsorted(edge, start + run + span - 1)
+    near = high - low
+    at = np.cumsum(near) - near
+    same = seeds[edge[np.arange(near.sum()) - np.repeat(at - low, near)]] == np.repeat(least[start], near)
+    hits = np.bincount(np.repeat(np.arange(len(start)), near), same, len(start))
+    return start, run, least[start].view(np.int64), hits > 1
 
 
 # --- step 3: induced sorting ------------------------------------------------
@@ -190,7 +198,18 @@ class InducedSort:
         return np.minimum(out, self.cap).astype(np.uint8)
 
     def _induce(self, queues: Queues, state: tuple, position, common, small: bool) -> None:
-        """Queue the predecessors of scanned suffixes that are of the wanted type."""
+        """Queue the predecessors of scanned suffixes that are of the wanted type,
+        with common prefixes unless ``state`` is None."""
+        if state is None:
+            before = position.astype(np.int64) - 1
+            before = before[(before >= 0) & (self.small[before] == small)]
+            symbol = self.text[before]
+            order = np.argsort(symbol, kind="stable")
+            put, symbol = before[order].astype(np.uint32), symbol[order]
+            start = np.flatnonzero(np.concatenate([[True], symbol[1:] != symbol[:-1]])) if len(put) else ()
+            for s, e in zip(start, np.append(start[1:], len(put))):
+                queues.put(int(symbol[s]), put[s:e], np.zeros(e - s, np.uint8))
+            return
         least, touched = state
         before = position.astype(np.int64) - 1
         at = np.flatnonzero((before >= 0) & (self.small[before] == small))
@@ -234,10 +253,13 @@ class InducedSort:
             out[here] = np.minimum(table[low[here]], table[high[here] - width + 1])
         return out
 
-    def scan(self, lms: np.ndarray, common: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def scan(self, lms: np.ndarray, common: np.ndarray | None) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """All suffixes from the largest to the smallest, in batches, each with the
-        common prefix with the suffix before it, from LMS suffixes in order."""
-        fresh = lambda: (np.full(self.symbols, self.cap, np.int64), np.zeros(self.symbols, bool))
+        common prefix with the suffix before it, from LMS suffixes in order.
+        Without ``common`` no common prefixes are carried."""
+        plain = common is None
+        common = np.zeros(len(lms), np.uint8) if plain else common
+        fresh = lambda: None if plain else (np.full(self.symbols, self.cap, np.int64), np.zeros(self.symbols, bool))
         queue, large = Queues(f"{self.folder}/l", self.limit), Queues(f"{self.folder}/o", self.limit)
         bounds = np.searchsorted(self.text[lms], np.arange(self.symbols + 1))
         state = fresh()
@@ -250,13 +272,14 @@ class InducedSort:
             for at in range(bounds[c], bounds[c + 1], BATCH):
                 part = slice(at, min(at + BATCH, bounds[c + 1]))
                 shared = common[part].copy()
-                if at == bounds[c]:
+                if at == bounds[c] and not plain:
                     shared[0] = 0 if end is None else self.common(end.astype(np.int64), lms[at:at + 1])[0]
                 self._induce(queue, state, lms[part].astype(np.uint32), shared, False)
         queue.close()
         queue, state = Queues(f"{self.folder}/s", self.limit), fresh()
         queue.put(0, np.array([len(self.text) - 1], np.uint32), np.zeros(1, np.uint8))
-        state[1][0] = True
+        if not plain:
+            state[1][0] = True
         for c in range(self.symbols - 1, -1, -1):
             end = None
             for position, shared in queue.take(c):
@@ -266,7 +289,7 @@ class InducedSort:
             follow = None                              # common prefix with the larger L suffix
             for position, shared in large.take_back(c):
                 if follow is None:
-                    follow = 0 if end is None else self.common(end.astype(np.int64), position[-1:].astype(np.int64))[0]
+                    follow = 0 if end is None or plain else self.common(end.astype(np.int64), position[-1:].astype(np.int64))[0]
                 back = np.concatenate([[follow], shared[:0:-1]]).astype(np.uint8)
                 follow = shared[0]
                 position = position[::-1]
@@ -281,10 +304,10 @@ class InducedSort:
         first = lms[np.argsort(self.text[lms], kind="stable")]
         is_lms = np.zeros(len(self.text), bool)
         is_lms[lms] = True
-        found = [p[is_lms[p]] for p, _ in self.scan(first, np.zeros(len(first), np.uint8))]
+        found = [p[is_lms[p]] for p, _ in self.scan(first, None)]
         order = np.concatenate(found)[::-1].astype(np.int64)
         # substrings that are equal get one name
-        index = np.searchsorted(lms, order)
+        index = (np.cumsum(is_lms, dtype=np.int32) - 1)[order]
         length = np.append(np.diff(lms), 0)[index] + 1
         same = length[1:] == length[:-1]
         live = np.flatnonzero(same)
@@ -303,11 +326,11 @@ class InducedSort:
         # a name spans two bytes or more, so ``step`` names reach 2 * step bytes deep
         while 2 * step < self.cap + 2 and rank.max() + 1 < len(rank):
             key = rank * (len(rank) + 1) + np.append(rank[step:] + 1, np.zeros(min(step, len(rank)), np.int64))
-            order_now = np.argsort(key, kind="stable")
+            order_now = np.argsort(key)              # equal keys may come in any order
             fresh = np.concatenate([[0], np.cumsum(key[order_now][1:] != key[order_now][:-1])])
             rank[order_now] = fresh
             step *= 2
-        return lms[np.argsort(rank, kind="stable")]
+        return lms[np.argsort(rank)]
 
     def repeated(self) -> np.ndarray:
         """Whether each suffix shares its first ``cap`` symbols with another."""
@@ -376,10 +399,19 @@ def repeated_starts(docs: DataFrame, path: str, length: int = LENGTH) -> DataFra
                                     "start": np.concatenate(starts), "run": np.concatenate(runs),
                                     "several": np.concatenate(own)})
 
+    def hashed(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for part in parts:
+            found = [segments(data, length)[2:] for data in part["data"]]
+            if found:
+                # counted per batch, so that a text's many copies cost few rows
+                yield pd.DataFrame({"hash": np.concatenate([f[0] for f in found]), "several": np.concatenate(
+                    [f[1] for f in found])}).groupby("hash", as_index=False).agg(
+                    n=("several", "size"), several=("several", "max"))
+
     schema = "id long, key long, hash long, digest long, start int, run int, several boolean"
     cuts = docs.mapInPandas(cut, schema)
-    again = stored(cuts.select("hash", "several").groupBy("hash").agg(
-        F.count("*").alias("n"), F.max("several").alias("several")).where("n > 1 or several").select("hash"),
+    again = stored(docs.select("data").mapInPandas(hashed, "hash long, n long, several boolean").groupBy("hash").agg(
+        F.sum("n").alias("n"), F.max("several").alias("several")).where("n > 1 or several").select("hash"),
         f"{path}/again")
     met = stored(cuts.join(again, "hash", "left_semi"), f"{path}/met")
     one = met.groupBy("hash", "digest", "run").agg(

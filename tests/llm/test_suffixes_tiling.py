@@ -120,3 +120,17 @@ def test_op6_empty_tables(spark, docs_of, written):
     one = spark.createDataFrame([(1, ITEM)], "item_id long, text string")
     for docs, items in ((docs_of([]), one), (docs_of([(1, ITEM, "s")]), none)):
         assert op6_string_tiling(spark, written(documents=docs, benchmark=items)).count() == 0
+
+
+def test_segments_that_repeat_inside_are_marked():
+    rng = random.Random(9)
+    marked = 0
+    for _ in range(400):
+        unit = bytes(rng.choices(b"abcdefgh", k=rng.randrange(1, 30)))
+        data = bytes(rng.choices(b"abcdefgh", k=rng.randrange(30))) + unit * rng.randrange(1, 12) + unit[:3]
+        data += bytes(rng.choices(b"abcdefgh", k=rng.randrange(60)))
+        for s, r, _, several in zip(*suffixes.segments(data, 24, 8)):
+            windows = [data[w:w + 24] for w in range(s, s + r)]
+            assert several or len(set(windows)) == len(windows)
+            marked += several
+    assert marked
