@@ -46,19 +46,61 @@ CHUNK = 1 << 15                    # bytes of a packed plane that are compressed
 MAGIC = b"KWM1"
 CACHED_PIECES = 1 << 19            # pieces whose ids an encoder remembers
 
-# Within this alphabet the split below is the tokenizer's own; other texts
-# are handed to the library whole.
-_PLAIN = re.compile("[\t\n\r -~¡-ɏ]*")
-_L, _N, _S = "A-Za-zªµºÀ-ÖØ-öø-ɏ", "0-9²³¹¼-¾", "\t\n\r "
-# fixed value: the split pattern of the byte-level tokenizer, for that alphabet
-_PIECE = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{_L}]+| ?[{_N}]+| ?[^{_S}{_L}{_N}]+|[{_S}]+(?![^{_S}])|[{_S}]+")
+# Within this alphabet, and without apostrophes (contractions), the split below
+# is the tokenizer's own; other texts are handed to the library whole.
+_PLAIN = re.compile("[\t\n\r -&(-~¡-ɏ]*")
+_LETTER, _DIGIT, _SPACE, _OTHER, _END = range(5)
+GROUP_BYTES = 2 << 20              # of texts that are split together
+
+
+def _classes() -> tuple[np.ndarray, np.ndarray]:
+    """The class of each byte, and of each second byte after 0xC2."""
+    one = np.full(256, _OTHER, np.uint8)
+    for c in range(1, 128):
+        ch = chr(c)
+        one[c] = _LETTER if ch.isalpha() else _DIGIT if ch.isdigit() else _SPACE if ch in "\t\n\r " else _OTHER
+    one[0], one[128:] = _END, _LETTER
+    two = np.full(256, _OTHER, np.uint8)
+    for ch in "ªµº":
+        two[ch.encode()[1]] = _LETTER
+    for ch in "²³¹¼½¾":
+        two[ch.encode()[1]] = _DIGIT
+    return one, two
+
+
+_ONE, _TWO = _classes()
+_RANDOM = np.random.default_rng(9).integers(0, 1 << 63, 256, np.uint64) << np.uint64(1) | np.uint64(1)
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+
+
+def piece_starts(data: np.ndarray) -> np.ndarray:
+    """Where the pieces of plain texts start; ``data`` is their UTF-8, a zero after each.
+
+    A piece is a run of letters, digits or signs with one space before it if
+    there is one; white space before that is a piece, as is a last white-space
+    character that is no space; white space that ends a text is one piece."""
+    kind = _ONE[data]
+    at = np.flatnonzero(data == 0xC2)
+    kind[at] = kind[at + 1] = _TWO[data[at + 1]]
+    at = np.flatnonzero(data == 0xC3)
+    at = at[(data[at + 1] == 0x97) | (data[at + 1] == 0xB7)]          # × and ÷
+    kind[at] = kind[at + 1] = _OTHER
+    space = kind == _SPACE
+    start = np.empty(len(data), bool)
+    start[0] = True
+    np.not_equal(kind[1:], kind[:-1], out=start[1:])
+    start[1:] |= kind[1:] == _END
+    start[:-1] |= space[:-1] & ~space[1:] & (kind[1:] != _END)
+    start[1:] &= ~((data[:-1] == 0x20) & ~space[1:] & (kind[1:] != _END))
+    return np.flatnonzero(start)
 
 
 class Encoder:
     """Token ids of texts by a byte-level tokenizers file.
 
-    The library splits a text into pieces and encodes each by itself, so the
-    ids of a piece are remembered and the library is asked for new ones."""
+    The library splits a text into pieces and encodes each by itself.  Plain
+    texts are split here, many at a time; a piece's ids are remembered under
+    its 64-bit hash, and the library is asked for new pieces only."""
 
     def __init__(self, path: str, cached: int = CACHED_PIECES):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark's tasks fill the cores
@@ -69,42 +111,66 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.index: dict[str, int] = {}
+        self.index: dict[int, int] = {}
         self.flat = np.empty(1 << 16, np.uint32)
-        self.starts = np.zeros(self.cached + (1 << 16), np.int64)   # piece k: flat[starts[k]:starts[k + 1]]
+        self.starts = np.zeros(1 << 16, np.int64)        # piece k: flat[starts[k]:starts[k + 1]]
 
-    def _learn(self, pieces: list[str]) -> None:
-        new = [p for p in dict.fromkeys(pieces) if p not in self.index]
-        if not new:
-            return
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
+    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
         known = len(self.index)
-        if known + len(new) >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) + len(new), np.int64)])
+        if known + len(ids) >= len(self.starts):
+            self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) + len(ids), np.int64)])
         first = self.starts[known]
         ends = first + np.cumsum([len(i) for i in ids])
         if ends[-1] > len(self.flat):
             self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), ends[-1]), np.uint32)])
         self.flat[first:ends[-1]] = [x for i in ids for x in i]
-        self.starts[known + 1:known + 1 + len(new)] = ends
-        self.index.update(zip(new, range(known, known + len(new))))
-
-    def encode(self, text: str) -> np.ndarray:
-        if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
-            return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32)
-        pieces = _PIECE.findall(text)
-        try:
-            at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-        except KeyError:
-            if len(self.index) > self.cached:
-                self._forget()
-            self._learn(pieces)
-            at = np.fromiter(map(self.index.__getitem__, pieces), np.int64, len(pieces))
-        first = self.starts[at]
-        length = self.starts[at + 1] - first
-        into = np.cumsum(length)
-        out = np.arange(into[-1] if len(into) else 0) + np.repeat(first - into + length, length)
-        return self.flat[out]
+        self.starts[known + 1:known + 1 + len(ids)] = ends
+        self.index.update(zip(hashes, range(known, known + len(ids))))
+
+    def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
+        data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
+        starts = piece_starts(data)
+        length = np.diff(np.append(starts, len(data)))
+        power = np.multiply.accumulate(np.full(int(length.max()), _BASE))
+        place = np.arange(len(data)) - np.repeat(starts, length)
+        hashes = np.add.reduceat(_RANDOM[data] * power[place], starts) + length.astype(np.uint64) * _BASE
+        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
+        if len(self.index) > self.cached:
+            self._forget()
+        keys = distinct.tolist()
+        new = [k for k, h in enumerate(keys) if h not in self.index]
+        if new:
+            at = first[new]
+            self._learn([keys[k] for k in new], [
+                data[s:s + n].tobytes().decode().rstrip("\0") for s, n in zip(starts[at].tolist(), length[at].tolist())])
+        row = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))[back]
+        begin = self.starts[row]
+        count = self.starts[row + 1] - begin
+        into = np.cumsum(count)
+        ids = self.flat[np.arange(into[-1]) + np.repeat(begin - into + count, count)]
+        return np.split(ids, into[data[starts] == 0])[:-1]
+
+    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+        out: list[np.ndarray | None] = []
+        held, size = [], 0
+        for text in texts:
+            if not _PLAIN.fullmatch(text) or any(s in text for s in self.special):
+                out.append(np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, np.uint32))
+                continue
+            held.append((len(out), text.encode()))
+            size += len(held[-1][1])
+            out.append(None)
+            if size >= GROUP_BYTES:
+                self._fill(out, held)
+                held, size = [], 0
+        self._fill(out, held)
+        return out
+
+    def _fill(self, out: list, held: list[tuple[int, bytes]]) -> None:
+        if held:
+            for (k, _), ids in zip(held, self._plain([t for _, t in held])):
+                out[k] = ids
 
 
 @lru_cache(maxsize=1)
@@ -130,9 +196,9 @@ def pack(ids: np.ndarray, keys: list, lengths: list[int]) -> bytes:
         small = [packer.compress(c) for c in chunks]
         sizes += map(len, small)
         blobs += small
-        zero = ids[~plane]
+        zero = ids.compress(~plane)
         zeros.append(len(zero))
-        ids = np.concatenate([zero, ids[plane]])
+        ids = np.concatenate([zero, ids.compress(plane)])
     index = zlib.compress(np.asarray(lengths, "<i8").tobytes() + b"".join(
         struct.pack("<?q", k is not None, k or 0) for k in keys), 6)
     head = struct.pack("<4sBxxxqqq", MAGIC, bits, len(ids), len(lengths), len(index))
@@ -257,7 +323,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, id_col="doc
 
     def write(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         task = TaskContext.get()
-        encode, end = encoder(tokenizer_path).encode, np.asarray([end_id], np.uint32)
+        encode_all, end = encoder(tokenizer_path).encode_all, np.asarray([end_id], np.uint32)
         held, keys, lengths, done, tokens = [], [], [], [], 0
 
         def close() -> None:
@@ -268,8 +334,8 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, id_col="doc
             held.clear(), keys.clear(), lengths.clear()
 
         for part in parts:
-            for key, text in zip(part["key"].array, part["text"].array):
-                ids = np.concatenate([encode(text), end])
+            for key, ids in zip(part["key"].array, encode_all(part["text"].tolist())):
+                ids = np.concatenate([ids, end])
                 if lengths and tokens + len(ids) > shard_tokens:
                     close()
                     tokens = 0

@@ -21,12 +21,14 @@ def library():
 
 
 def test_encoder_equals_the_library(library):
-    encode = wavelet.Encoder(tokenizer_path(), cached=8).encode
+    encode_all = wavelet.Encoder(tokenizer_path(), cached=8).encode_all
     rng = random.Random(3)
     letters = "ab é'sTll19²\t\n .,!|日 \x1f"
-    texts = [t or "" for t in TEXTS] + ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(400)]
-    for text in texts:
-        assert encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    texts = [t or "" for t in TEXTS] + ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(3000)]
+    for size in (1, 7, len(texts)):
+        for at in range(0, len(texts), size):
+            for text, ids in zip(texts[at:at + size], encode_all(texts[at:at + size])):
+                assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
 def test_matrix_answers_from_its_file():
