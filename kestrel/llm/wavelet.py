@@ -70,7 +70,7 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
 
 _ONE, _TWO = _classes()
 _RANDOM = np.random.default_rng(9).integers(0, 1 << 63, 256, np.uint64) << np.uint64(1) | np.uint64(1)
-_BASE = np.uint64(0x9E3779B97F4A7C15)
+_BASE = 0x9E3779B97F4A7C15
 
 
 def piece_starts(data: np.ndarray) -> np.ndarray:
@@ -95,6 +95,45 @@ def piece_starts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
+class _Rows:
+    """Row numbers of 64-bit hashes: open addressing, looked up many at a time."""
+
+    def __init__(self, bits: int):
+        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
+        self.keys, self.rows = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
+        self.size = 0
+
+    def _slots(self, keys: np.ndarray) -> np.ndarray:
+        return ((keys * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).astype(np.int64)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """The rows of nonzero keys, -1 where there is none."""
+        slot, out = self._slots(keys), np.full(len(keys), -1, np.int32)
+        there = self.keys[slot]
+        hit = there == keys
+        out[hit] = self.rows[slot[hit]]
+        left = np.flatnonzero(~hit & (there != 0))
+        while len(left):
+            slot[left] = (slot[left] + 1) & self.mask
+            there = self.keys[slot[left]]
+            hit = there == keys[left]
+            out[left[hit]] = self.rows[slot[left[hit]]]
+            left = left[~hit & (there != 0)]
+        return out
+
+    def add(self, keys: np.ndarray) -> None:
+        """Give different, unknown keys the next rows."""
+        slot, left = self._slots(keys), np.arange(len(keys))
+        while len(left):
+            free = left[self.keys[slot[left]] == 0]
+            self.keys[slot[free]] = keys[free]
+            mine = free[self.keys[slot[free]] == keys[free]]      # of several for a slot one has it
+            self.rows[slot[mine]] = self.size + mine
+            left = left[self.keys[slot[left]] != keys[left]]
+            slot[left] = (slot[left] + 1) & self.mask
+        self.size += len(keys)
+
+
 class Encoder:
     """Token ids of texts by a byte-level tokenizers file.
 
@@ -108,16 +147,18 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.cached = cached
+        self.power = self.inverse = np.zeros(0, np.uint64)
         self._forget()
 
-    def _forget(self) -> None:
-        self.index: dict[int, int] = {}
+    def _forget(self, room: int = 0) -> None:
+        # at most half full with what is cached and ``room`` new pieces
+        self.known = _Rows((2 * (self.cached + room) + GROUP_BYTES // 4).bit_length())
         self.flat = np.empty(1 << 16, np.uint32)
         self.starts = np.zeros(1 << 16, np.int64)        # piece k: flat[starts[k]:starts[k + 1]]
 
-    def _learn(self, hashes: list[int], pieces: list[str]) -> None:
+    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
         ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        known = len(self.index)
+        known = self.known.size
         if known + len(ids) >= len(self.starts):
             self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) + len(ids), np.int64)])
         first = self.starts[known]
@@ -126,25 +167,31 @@ class Encoder:
             self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), ends[-1]), np.uint32)])
         self.flat[first:ends[-1]] = [x for i in ids for x in i]
         self.starts[known + 1:known + 1 + len(ids)] = ends
-        self.index.update(zip(hashes, range(known, known + len(ids))))
+        self.known.add(keys)
+
+    def _hashes(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
+        """Of each piece sum r[byte] * base ^ place, mod 2^64: summed at the places in
+        ``data`` and divided by the power of the piece's start. Never zero."""
+        if len(self.power) < len(data):
+            powers = lambda b: np.multiply.accumulate(np.full(len(data), b & (1 << 64) - 1, np.uint64))
+            self.power, self.inverse = powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
+        sums = np.add.reduceat(_RANDOM[data] * self.power[:len(data)], starts)
+        return sums * self.inverse[starts] | np.uint64(1)
 
     def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
         data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
         starts = piece_starts(data)
-        length = np.diff(np.append(starts, len(data)))
-        power = np.multiply.accumulate(np.full(int(length.max()), _BASE))
-        place = np.arange(len(data)) - np.repeat(starts, length)
-        hashes = np.add.reduceat(_RANDOM[data] * power[place], starts) + length.astype(np.uint64) * _BASE
-        distinct, first, back = np.unique(hashes, return_index=True, return_inverse=True)
-        if len(self.index) > self.cached:
-            self._forget()
-        keys = distinct.tolist()
-        new = [k for k, h in enumerate(keys) if h not in self.index]
-        if new:
-            at = first[new]
-            self._learn([keys[k] for k in new], [
-                data[s:s + n].tobytes().decode().rstrip("\0") for s, n in zip(starts[at].tolist(), length[at].tolist())])
-        row = np.fromiter(map(self.index.__getitem__, keys), np.int64, len(keys))[back]
+        hashes = self._hashes(data, starts)
+        if self.known.size > self.cached or 2 * (self.known.size + len(starts)) > len(self.known.keys):
+            self._forget(len(starts))
+        row = self.known.find(hashes)
+        new = np.flatnonzero(row < 0)
+        if len(new):
+            keys, first = np.unique(hashes[new], return_index=True)
+            at = new[first]
+            ends = np.append(starts[1:], len(data))[at]
+            self._learn(keys, [data[s:e].tobytes().decode().rstrip("\0") for s, e in zip(starts[at].tolist(), ends.tolist())])
+            row[new] = self.known.find(hashes[new])
         begin = self.starts[row]
         count = self.starts[row + 1] - begin
         into = np.cumsum(count)
@@ -189,16 +236,16 @@ def pack(ids: np.ndarray, keys: list, lengths: list[int]) -> bytes:
         ids = ids.astype(np.uint16)
     zeros, ones, sizes, blobs, packer = [], [], [], [], zstandard.ZstdCompressor(1)
     for level in range(bits - 1, -1, -1):
-        plane = (ids >> level) & 1 == 1
+        plane = ids & ids.dtype.type(1 << level) != 0
         packed = np.packbits(plane).tobytes()
         chunks = [packed[i:i + CHUNK] for i in range(0, len(packed), CHUNK)]
         ones += [int.from_bytes(c).bit_count() for c in chunks]
         small = [packer.compress(c) for c in chunks]
         sizes += map(len, small)
         blobs += small
-        zero = ids.compress(~plane)
+        zero = ids.take(np.flatnonzero(~plane))
         zeros.append(len(zero))
-        ids = np.concatenate([zero, ids.compress(plane)])
+        ids = np.concatenate([zero, ids.take(np.flatnonzero(plane))])
     index = zlib.compress(np.asarray(lengths, "<i8").tobytes() + b"".join(
         struct.pack("<?q", k is not None, k or 0) for k in keys), 6)
     head = struct.pack("<4sBxxxqqq", MAGIC, bits, len(ids), len(lengths), len(index))
