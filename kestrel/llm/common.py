@@ -8,10 +8,13 @@ on a cluster its absence is an error.
 
 from __future__ import annotations
 
+import ctypes
 import os
+import sys
 import tempfile
 import uuid
 
+import pyarrow as pa
 import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 
@@ -39,14 +42,32 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return fs.makeQualified(path).toString()
 
 
-def stored(df: DataFrame, path: str, files: int | None = None) -> DataFrame:
+ROWS_PER_FILE = 10_000
+
+
+def stored(df: DataFrame, path: str, files: int | None = None, rows: int | None = None) -> DataFrame:
     """Write ``df`` as Parquet and return it as read back: cuts the lineage,
-    and lost executors cost a re-read instead of a recomputation.  ``files``:
-    for tables of a row per task or source, so that each does not get a file."""
-    (df.repartition(files) if files else df).write.parquet(path)
+    and lost executors cost a re-read instead of a recomputation.
+
+    ``files``: for tables of a row per task or source, so that each does not
+    get a file.  ``rows``: about how many rows the tasks of the last stage work
+    on; it runs as no more tasks than one for each ``ROWS_PER_FILE`` of them."""
+    if files:
+        df = df.repartition(files)
+    elif rows is not None:
+        df = df.coalesce(1 + rows // ROWS_PER_FILE)
+    df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release() -> None:
+    """At the end of a task: give memory that was freed back to the system, since
+    the Python worker lives on beside the executor's other processes."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform.startswith("linux") and hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
+
+
 def filesystem(uri: str) -> tuple[pafs.FileSystem, str]:
     """The file system and path of a qualified URI, usable in tasks."""
     if uri.startswith("file:"):

@@ -33,17 +33,18 @@ def _small_star(links: DataFrame) -> DataFrame:
     return _pairs(links.join(least, "b"), ("m", "b"), ("m", "a")).where("a < b").distinct()
 
 
-def components(links: DataFrame, path: str) -> DataFrame:
+def components(links: DataFrame, path: str, rows: int | None = None) -> DataFrame:
     """(node, root) of every node of ``links`` (a, b): root is the component's
-    smallest node.  Links with a = b or repeated links change nothing."""
+    smallest node.  Links with a = b or repeated links change nothing.
+    ``rows``: about how many rows ``links`` are made from."""
     state = stored(links.where("a != b").select(F.least("a", "b").alias("a"),
-                                               F.greatest("a", "b").alias("b")).distinct(), f"{path}/links")
+                                               F.greatest("a", "b").alias("b")).distinct(), f"{path}/links", rows=rows)
     mark = lambda df: tuple(df.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b"))).first())
     seen = mark(state)
     for k in range(MOST_ROUNDS):
         if not seen[0]:
             break
-        state = stored(_small_star(_large_star(state)), f"{path}/round-{k}")
+        state = stored(_small_star(_large_star(state)), f"{path}/round-{k}", rows=2 * seen[0])
         if (now := mark(state)) == seen:
             break
         seen = now

@@ -38,13 +38,13 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import stored, work_dir
+from kestrel.llm.common import release, stored, work_dir
 from kestrel.llm.components import components
 
 COORDINATES = 48
 MISS = 1e-5
 BLOCK_SHINGLES = 1 << 20           # of all members of a block: 8 MB
-KNOWN_WORDS = 1 << 19              # word hashes that a Python worker remembers
+KNOWN_WORDS = 1 << 17              # word hashes that a task remembers
 SEED = 7
 
 
@@ -111,6 +111,8 @@ def features(docs: DataFrame, words: int, coordinates: int = COORDINATES, seed:
                 ids.append(hashlib.blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
                 signatures.append(_signature(shingles, masks, factors).view(np.int64) if len(shingles) else None)
             yield part.assign(n_shingles=sizes, set_id=ids, signature=signatures)
+        _hashes.clear()
+        release()
 
     return docs.mapInPandas(scan, "doc_id long, text_hash long, n_shingles long, set_id binary, "
                                   "signature array<long>")
@@ -172,20 +174,21 @@ def near_duplicates(docs: DataFrame, words: int = 3, num: int = 85, den: int = 1
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                         text.alias("text"))
     doc = stored(features(given, words), f"{path}/features")
+    count = doc.count()                 # from the files' footers
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     classes = stored(doc.where("set_id is not null").groupBy("set_id").agg(
         first.alias("first"), F.first("signature").alias("signature"))
-        .select("set_id", "signature", "first.doc_id", "first.text_hash"), f"{path}/classes")
+        .select("set_id", "signature", "first.doc_id", "first.text_hash"), f"{path}/classes", rows=count)
 
     posting = classes.select("set_id", F.explode("signature").alias("value"))
     often = posting.groupBy("value").agg(F.count("*").alias("often")).where("often > 1")
     lists = (posting.join(often, "value").groupBy("set_id")
              .agg(F.sort_array(F.collect_list(F.struct("often", "value"))).alias("lists")))
     prefix = stored(lists.where(F.size("lists") >= least).select("set_id", F.explode(F.expr(
-        f"slice(lists, 1, size(lists) - {least} + 1)")).alias("l")).select("set_id", "l.value"), f"{path}/prefix")
+        f"slice(lists, 1, size(lists) - {least} + 1)")).alias("l")).select("set_id", "l.value"), f"{path}/prefix", rows=count)
     # a list's group is named by its least class, so lists of one family share groups
     hubs = prefix.groupBy("value").agg(F.min("set_id").alias("grp"), F.count("*").alias("n")).where("n > 1")
-    met = stored(prefix.join(hubs, "value").select("grp", "set_id").distinct(), f"{path}/groups")
+    met = stored(prefix.join(hubs, "value").select("grp", "set_id").distinct(), f"{path}/groups", rows=count)
 
     # shingle sets of the candidates, from one text of each class
     wanted = classes.join(met.select("set_id").distinct(), "set_id").select(
@@ -198,9 +201,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, num: int = 85, den: int = 1
         for part in parts:
             sets = [np.unique(shingle_hashes(word_hashes(t), words)) for t in part.pop("text")]
             yield part.assign(size=[len(s) for s in sets], shingles=[s.tobytes() for s in sets])
+        _hashes.clear()
+        release()
 
     member = stored(texts.mapInPandas(shingled, "set_id binary, signature array<long>, size long, shingles binary"),
-                    f"{path}/members")
+                    f"{path}/members", rows=count)
     blocks = met.join(member.select("set_id", "size"), "set_id").groupBy("grp").agg(
         F.sum("size").alias("all")).select("grp", F.expr(f"1 + all div {BLOCK_SHINGLES}").alias("blocks"))
     dealt = met.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks"))
@@ -208,12 +213,12 @@ def near_duplicates(docs: DataFrame, words: int = 3, num: int = 85, den: int = 1
         "grp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "set_id")
     paired = dealt.join(member.select("set_id", "signature", "shingles"), "set_id")
     links = paired.groupBy("grp", "x", "y").applyInPandas(_group_links(least, num, den), "a binary, b binary")
-    found = components(links, f"{path}/links")
+    found = components(links, f"{path}/links", rows=count)
 
     cls = (classes.join(found.withColumnRenamed("node", "set_id"), "set_id", "left")
            .select("set_id", "doc_id", F.coalesce("root", "set_id").alias("root")))
     named = cls.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    named = stored(cls.join(named, "root").select("set_id", "component_id"), f"{path}/components")
+    named = stored(cls.join(named, "root").select("set_id", "component_id"), f"{path}/components", rows=count)
     doc = doc.select("doc_id", "text_hash", "n_shingles", "set_id")
     out = (doc.where("set_id is not null").join(named, "set_id")
            .select("doc_id", "text_hash", "n_shingles", "component_id")

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import stored, work_dir
+from kestrel.llm.common import release, stored, work_dir
 
 WORDS, DIMS, NONZEROS = 1 << 14, 64, 4
 AROUND = (1, 2)                   # distances of the words that give context
@@ -47,7 +47,7 @@ _TOKEN = re.compile(r"\w+|[^\w\s]+")
 
 class _Rows(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) % WORDS
         return value
@@ -93,8 +93,11 @@ def context_vectors(docs: DataFrame, path: str, text_col: str = "text") -> np.nd
                     size = 0
         if held:
             add()
-        table = total.reshape(-1, BLOCK_ROWS * DIMS)
-        yield pd.DataFrame({"block": np.arange(len(table)), "sums": [r.astype(np.float32).tobytes() for r in table]})
+        table = total.astype(np.float32).reshape(-1, BLOCK_ROWS * DIMS)
+        _rows.clear()
+        del total
+        release()
+        yield pd.DataFrame({"block": np.arange(len(table)), "sums": [r.tobytes() for r in table]})
 
     def add_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sums: dict[int, np.ndarray] = {}
@@ -233,6 +236,8 @@ def scored(docs: DataFrame, labels: DataFrame, path: str | None = None, id_col:
         for texts in parts:
             x = np.array([pooled(t, vectors) for t in texts], np.float64).reshape(len(texts), 2 * DIMS + 2)
             yield pd.Series(network.score(x))
+        _rows.clear()
+        release()
 
     out = docs.withColumn("score", score(F.coalesce(F.col(text_col), F.lit(""))))
     return out.withColumn("predicted", (F.col("score") >= threshold).cast("int"))

@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import stored, work_dir
+from kestrel.llm.common import release, stored, work_dir
 
 TILE = 5
 COVERAGE = 0.8
@@ -44,7 +44,7 @@ _BASE = np.uint64(0x9E3779B97F4A7C15)
 
 class _Hashes(dict):
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1 << 19:
+        if len(self) >= 1 << 17:
             self.clear()
         value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return value
@@ -148,6 +148,8 @@ def _seeds_in_tasks(docs: DataFrame, runs: pd.DataFrame) -> DataFrame:
                         out.append((doc_id, key, item, item_key, g["words"].iat[0], length, g["i"].to_numpy(), g["j"].to_numpy()))
             yield pd.DataFrame(out, columns=[c.split()[0] for c in SEEDS.split(", ")]).astype(
                 {"doc_id": "Int64", "item_id": "Int64"})
+        _hashes.clear()
+        release()
 
     return docs.mapInPandas(scan, SEEDS)
 

@@ -38,19 +38,19 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import open_in, open_out, stored, work_dir
+from kestrel.llm.common import open_in, open_out, release, stored, work_dir
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
 CHUNK = 1 << 15                    # bytes of a packed plane that are compressed together
 MAGIC = b"KWM1"
-CACHED_PIECES = 1 << 19            # pieces whose ids an encoder remembers
+CACHED_PIECES = 1 << 20            # pieces whose ids an encoder remembers
 
 # Within this alphabet, and without apostrophes (contractions), the split below
 # is the tokenizer's own; other texts are handed to the library whole.
 _PLAIN = re.compile("[\t\n\r -&(-~¡-ɏ]*")
 _LETTER, _DIGIT, _SPACE, _OTHER, _END = range(5)
-GROUP_BYTES = 2 << 20              # of texts that are split together
+GROUP_BYTES = 1 << 20              # of texts that are split together
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray]:
@@ -195,10 +195,12 @@ class Encoder:
         begin = self.starts[row]
         count = self.starts[row + 1] - begin
         into = np.cumsum(count)
-        ids = self.flat[np.arange(into[-1]) + np.repeat(begin - into + count, count)]
+        shift = (begin - into + count).astype(np.int32)
+        ids = self.flat[np.arange(into[-1], dtype=np.int32) + np.repeat(shift, count)]
         return np.split(ids, into[data[starts] == 0])[:-1]
 
-    def encode_all(self, texts: list[str]) -> list[np.ndarray]:
+    def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """The ids of each text, in order; ``GROUP_BYTES`` of texts are held at a time."""
         out: list[np.ndarray | None] = []
         held, size = [], 0
         for text in texts:
@@ -209,15 +211,15 @@ class Encoder:
             size += len(held[-1][1])
             out.append(None)
             if size >= GROUP_BYTES:
-                self._fill(out, held)
-                held, size = [], 0
-        self._fill(out, held)
-        return out
+                yield from self._filled(out, held)
+                out, held, size = [], [], 0
+        yield from self._filled(out, held)
 
-    def _fill(self, out: list, held: list[tuple[int, bytes]]) -> None:
+    def _filled(self, out: list, held: list[tuple[int, bytes]]) -> list[np.ndarray]:
         if held:
             for (k, _), ids in zip(held, self._plain([t for _, t in held])):
                 out[k] = ids
+        return out
 
 
 @lru_cache(maxsize=1)
@@ -237,9 +239,10 @@ def pack(ids: np.ndarray, keys: list, lengths: list[int]) -> bytes:
     zeros, ones, sizes, blobs, packer = [], [], [], [], zstandard.ZstdCompressor(1)
     for level in range(bits - 1, -1, -1):
         plane = ids & ids.dtype.type(1 << level) != 0
-        packed = np.packbits(plane).tobytes()
+        packed = np.packbits(plane)
+        ones += np.add.reduceat(np.bitwise_count(packed), np.arange(0, len(packed), CHUNK), dtype=np.int64).tolist() if len(packed) else []
+        packed = packed.tobytes()
         chunks = [packed[i:i + CHUNK] for i in range(0, len(packed), CHUNK)]
-        ones += [int.from_bytes(c).bit_count() for c in chunks]
         small = [packer.compress(c) for c in chunks]
         sizes += map(len, small)
         blobs += small
@@ -392,6 +395,7 @@ def write_shards(docs: DataFrame, tokenizer_path: str, out_dir: str, id_col="doc
                 lengths.append(len(ids))
         if lengths:
             close()
+        release()
         yield pd.DataFrame(done, columns=["part", "shard", "path", "docs", "tokens"])
 
     rows = docs.select(F.col(id_col).cast("long").alias("key"),
@@ -416,6 +420,7 @@ def read_shards(manifest: DataFrame, task_tokens: int = 4 * SHARD_TOKENS) -> Dat
                     "doc_id": pd.array(matrix.keys, "Int64"),
                     "start": int(base) + ends - matrix.lengths, "n_tokens": matrix.lengths,
                     "ids_crc32": [zlib.crc32(ids[e - n:e]) for e, n in zip(ends, matrix.lengths)]})
+        release()
 
     # ids before a shard: running sums inside its task's shards, and over the
     # sums of the writing tasks (one number each)
