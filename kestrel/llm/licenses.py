@@ -5,9 +5,10 @@ end), each normalised to lower-case ASCII letters and digits with single
 spaces.  A sentence that holds a known licence sentence between word borders
 becomes its identifier, any other ``-``; of several the first listed counts.
 The identifier sequence is matched against ordered rules: a rule claims its
-identifiers where they stand one after another, longer rules before their own
-beginnings, and claimed identifiers serve no later rule.  Identifiers that no
-rule claims are reported as unmatched.
+identifiers where they stand one after another, with any number of unknown
+sentences between them, longer rules before their own beginnings, and claimed
+identifiers serve no later rule.  Identifiers that no rule claims are reported
+as unmatched.
 
 Defined results: a null or empty text has no identifiers and no licence; line
 breaks inside a sentence do not matter; repeated notices are reported once in
@@ -97,9 +98,11 @@ def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     unknown sentences left out), n_sentences (known ones), unmatched."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     doc = docs.select(F.col(id_col).alias("doc_id"), identifiers(text, known).alias("ids"))
-    # every identifier stands between bars of its own, so rules match whole ones
+    seen = F.filter("ids", lambda i: i != "-")
+    # every identifier stands between bars of its own, so rules match whole ones;
+    # notices have unknown sentences between the known ones, which rules skip
     doc = doc.withColumn("left", F.array_join(F.transform(
-        "ids", lambda i: F.concat(F.lit("|"), i, F.lit("|"))), ""))
+        seen, lambda i: F.concat(F.lit("|"), i, F.lit("|"))), ""))
     names: dict[str, Column] = {}
     for k, (sequence, licence) in enumerate(rules):
         pattern = "".join(f"|{i}|" for i in sequence)
@@ -107,8 +110,7 @@ def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         doc = doc.withColumn("left", F.replace(F.col("left"), F.lit(pattern), F.lit("|*|")))
         names[licence] = names[licence] | F.col(f"hit_{k}") if licence in names else F.col(f"hit_{k}")
     found = F.concat_ws(",", *[F.when(hit, F.lit(name)) for name, hit in names.items()])
-    seen = F.filter("ids", lambda i: i != "-")
-    unclaimed = F.filter(F.split("left", r"\|+"), lambda i: ~i.isin("", "-", "*"))
+    unclaimed = F.filter(F.split("left", r"\|+"), lambda i: ~i.isin("", "*"))
     return doc.select("doc_id", found.alias("licenses"), F.array_join(seen, ",").alias("sentence_ids"),
                       F.size(seen).cast("long").alias("n_sentences"),
                       F.size(unclaimed).cast("long").alias("unmatched"))
