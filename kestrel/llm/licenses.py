@@ -1,9 +1,11 @@
 """Licence scans by sentence rules. DataFrame functions only.
 
 A text is cut into sentences (a mark of end followed by white space or the
-end), each normalised to lower-case ASCII letters and digits with single
-spaces.  A sentence that holds a known licence sentence between word borders
-becomes its identifier, any other ``-``; of several the first listed counts.
+end, but not the stop of ``v. 2.0``), each normalised to lower-case ASCII
+letters and digits with single spaces.  A sentence becomes the identifiers of
+all known licence sentences that it holds between word borders, in the order
+in which they begin, or ``-`` without any; of several that begin at one word
+the longest counts.
 The identifier sequence is matched against ordered rules: a rule claims its
 identifiers where they stand one after another, with any number of unknown
 sentences between them, longer rules before their own beginnings, and claimed
@@ -71,7 +73,8 @@ RULES = (
     (("BSDRedistribute", "BSDAsIs"), "BSD-2-Clause"),
     (("MPL2Grant",), "MPL-2.0"),
 )
-END = r"[.!?]+([ \t\n\r\f]+|\z)"
+# the stop of an abbreviated "version" before its number, in a comment or not, ends nothing
+END = r"[.!?]+(?!(?<=\b(?i:v|ver|vers)\.)[ \t\n\r\f#*/;-]+[0-9])([ \t\n\r\f]+|\z)"
 OTHER = r"[^A-Za-z0-9]+"
 
 
@@ -83,13 +86,17 @@ def sentences(text: Column) -> Column:
 
 
 def identifiers(text: Column, known=SENTENCES) -> Column:
-    """The identifier of each sentence, ``-`` for unknown ones."""
+    """The identifiers of each sentence in order, ``-`` for unknown ones."""
+    names = dict(reversed(known))
+    # looked at from the space before it, so that a match hides no other one
+    pattern = F.lit(f" (?=({'|'.join(sorted(names, key=len, reverse=True))}) )")
+    name_of = F.create_map(*[F.lit(x) for pair in names.items() for x in pair])
+
     def named(sentence: Column) -> Column:
-        out = F.lit("-")
-        for words, name in reversed(known):
-            out = F.when(F.contains(sentence, F.lit(f" {words} ")), F.lit(name)).otherwise(out)
-        return out
-    return F.transform(sentences(text), named)
+        found = F.regexp_extract_all(sentence, pattern, F.lit(1))
+        return F.when(F.size(found) > 0, F.transform(found, lambda words: F.element_at(name_of, words))
+                      ).otherwise(F.array(F.lit("-")))
+    return F.flatten(F.transform(sentences(text), named))
 
 
 def license_report(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",

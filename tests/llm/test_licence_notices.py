@@ -51,3 +51,45 @@ def test_rules_skip_unknown_sentences(spark, docs_of, written):
                    ("BSD-3-Clause", "BSDRedistribute,BSDEndorse,BSDAsIs", 3, 0),
                    ("GPL", "GPLFree,GPLWarranty,GPLReceived", 3, 0),
                    ("GPL,BSD-3-Clause", "BSDRedistribute,BSDEndorse,BSDAsIs,GPLFree,GPLWarranty,GPLReceived", 6, 0)]
+
+
+APACHE = """/*
+ * Licensed under the Apache License, Version 2.0 (the "License");
+ * you may not use this file except in compliance with the License.
+ * You may obtain a copy of the License at
+ *
+ *     http://www.apache.org/licenses/LICENSE-2.0
+ *
+ * Unless required by applicable law or agreed to in writing, software
+ * distributed under the License is distributed on an "AS IS" BASIS,
+ * WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+ * See the License for the specific language governing permissions and
+ * limitations under the License.
+ */
+"""
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED.
+"""
+MPL = """// This Source Code Form is subject to the terms of the Mozilla Public
+// License, v. 2.0. If a copy of the MPL was not distributed with this
+// file, You can obtain one at https://mozilla.org/MPL/2.0/.
+"""
+DUAL = "Released under the MIT License and, at your option, licensed under the Apache License, Version 2.0."
+
+
+def test_all_identifiers_of_a_sentence(spark, docs_of, written):
+    got = _reports(spark, docs_of, written, [APACHE, MIT, MPL, DUAL, MPL.replace("v. 2.0", "v.\n// 2.0"),
+                                             "It is at v. Licensed under CC BY 4.0, licensed under CC BY 4.0"])
+    assert got == [("Apache-2.0", "Apache2Grant,ApacheUse,ApacheCopy,ApacheAsIs,ApacheSee", 5, 0),
+                   ("MIT", "MITPermission,MITNotice,MITAsIs", 3, 0),
+                   ("MPL-2.0", "MPL2Grant", 1, 0),
+                   ("Apache-2.0,MIT", "MITGrant,Apache2Grant", 2, 0),
+                   ("MPL-2.0", "MPL2Grant", 1, 0),
+                   ("CC-BY-4.0", "CCBYGrant,CCBYGrant", 2, 0)]
