@@ -9,10 +9,13 @@ else is removed.  Two equal windows must meet, wherever they lie:
    several places of one, and equal segments are counted instead of kept: a
    segment that occurs twice is repeated throughout.  One owner of each
    different segment goes on, if its hash has others or repeats inside it.
-3. Segments are dealt by hash into shards; a shard's suffixes are sorted by
-   induction (below), which leaves with each suffix the length of the prefix
-   it shares with its neighbour.  Windows that share all ``length`` bytes with
-   a neighbour are repeated.
+3. Segments are dealt by hash to tasks, which take them, in the order of their
+   hashes, in shards of whole hashes and at most ``SHARD_BYTES`` positions; a
+   shard's suffixes are sorted by induction (below), which leaves with each
+   suffix the length of the prefix it shares with its neighbour.  Windows that
+   share all ``length`` bytes with a neighbour are repeated.  A hash with more
+   positions than a shard (a phrase in many contexts) is split: each of its
+   windows is filed again under a 128-bit hash of the whole window and counted.
 4. Windows found are joined back to the documents.
 
 Induced sorting: suffixes are of type L (larger than their successor) or S;
@@ -24,8 +27,9 @@ tuples and move to files of the shared folder when they outgrow
 before it is one more than the least between their sources.  LMS suffixes are
 sorted by the order that a first induction gives their substrings; the string
 of those names is then sorted by doubling, as deep as ``length`` bytes need
-(equal windows may stay in any order).  Of a shard, its text and one bit and
-one byte per position are in memory; tuples are not.
+(equal windows may stay in any order).  Tuples are in files; the text, types,
+LMS order and names of a shard are in memory: 46 bytes per position at the peak,
+measured on prose, so a shard of ``SHARD_BYTES`` takes about 400 MB.
 
 Defined results: a null text is an empty one; texts shorter than ``length``
 are kept whole; repeated rows count as other places; an empty table gives no
@@ -42,7 +46,7 @@ import numpy as np
 import pandas as pd
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import filesystem, open_in, open_out, stored, work_dir
@@ -50,6 +54,7 @@ from kestrel.llm.common import filesystem, open_in, open_out, stored, work_dir
 LENGTH = 200
 SEED = 32                        # bytes; windows share the least hash of these
 MOST_RUN = 1 << 14               # windows of one segment
+SHARD_BYTES = 8 << 20            # positions sorted at once
 QUEUE_BYTES = 64 << 20           # tuples that a sort holds in memory
 BATCH = 1 << 16                  # suffixes scanned at once
 
@@ -374,7 +379,29 @@ def _spans(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def repeated_starts(docs: DataFrame, path: str, length: int = LENGTH) -> DataFrame:
+def shards(parts: Iterator[pd.DataFrame], most: int = SHARD_BYTES) -> Iterator[pd.DataFrame]:
+    """Rows (hash, data, ...) in the order of their hashes, cut into frames of whole
+    hashes with up to ``most`` positions (more only for a single hash)."""
+    rest = None
+    for part in parts:
+        rows = part if rest is None else pd.concat([rest, part], ignore_index=True)
+        if not len(rows):
+            continue
+        hashes = rows["hash"].to_numpy()
+        first = np.flatnonzero(np.concatenate([[True], hashes[1:] != hashes[:-1]]))
+        sizes = np.add.reduceat(np.fromiter((len(d) + 1 for d in rows["data"]), np.int64, len(rows)), first)
+        start = held = 0
+        for at, size in zip(first.tolist(), sizes.tolist()):
+            if held and held + size > most:
+                yield rows.iloc[start:at]
+                start, held = at, 0
+            held += size
+        rest = rows.iloc[start:]
+    if rest is not None and len(rest):
+        yield rest
+
+
+def repeated_starts(docs: DataFrame, path: str, length: int = LENGTH, most: int = SHARD_BYTES) -> DataFrame:
     """(id, key, first, last): ranges of window starts (last excluded) in the
     documents (id, key, data) whose windows also start elsewhere."""
 
@@ -419,47 +446,72 @@ def repeated_starts(docs: DataFrame, path: str, length: int = LENGTH) -> DataFra
         F.max("several").alias("several"))
     one = stored(one.select("hash", "digest", "run", "copies", "several", "owner.*"), f"{path}/segments")
     contested = one.groupBy("hash").agg(F.count("*").alias("kinds"), F.max(
-        F.col("several") & (F.col("copies") == 1)).alias("several")).where("kinds > 1 or several").select("hash")
+        F.col("several") & (F.col("copies") == 1)).alias("several"), F.sum(F.col("run") + length).alias("positions"))
+    contested = stored(contested.where("kinds > 1 or several").select(
+        "hash", (F.col("positions") > most).alias("hot")), f"{path}/contested")
     owner = one.join(contested, "hash").groupBy("id", "key").agg(
-        F.collect_list(F.struct("hash", "start", "run", "copies")).alias("segments"))
+        F.collect_list(F.struct("hash", "start", "run", "copies", "hot")).alias("segments"))
 
     def slices(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for part in parts:
             yield pd.DataFrame(
-                [(i, key, s["hash"], s["start"], s["copies"], data[s["start"]:s["start"] + s["run"] + length - 1])
+                [(i, key, s["hash"], s["start"], s["copies"], s["hot"], data[s["start"]:s["start"] + s["run"] + length - 1])
                  for i, key, data, found in zip(part["id"], part["key"], part["data"], part["segments"]) for s in found],
-                columns=["id", "key", "hash", "start", "copies", "data"])
+                columns=["id", "key", "hash", "start", "copies", "hot", "data"])
 
     texts = docs.join(owner, ["id", "key"]).dropDuplicates(["id", "key"])
-    sliced = texts.mapInPandas(slices, "id long, key long, hash long, start int, copies long, data binary")
+    sliced = texts.mapInPandas(slices, "id long, key long, hash long, start int, copies long, hot boolean, data binary")
 
     def sort(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        rows = pd.concat(list(parts) or [pd.DataFrame({"data": []})], ignore_index=True)
-        if not len(rows):
-            return
         task = TaskContext.get()
-        found = repeated_windows(list(rows.pop("data")), f"{path}/spill/{task.stageId()}-{task.taskAttemptId()}", length)
-        out = []
-        for i, key, start, copies, flags in zip(rows["id"], rows["key"], rows["start"], rows["copies"], found):
-            if copies == 1:
-                out += [(i, key, start + a, start + b) for a, b in zip(*_spans(flags))]
-        yield pd.DataFrame(out, columns=["id", "key", "first", "last"])
+        for n, rows in enumerate(shards(parts, most)):
+            found = repeated_windows(list(rows["data"]),
+                                     f"{path}/spill/{task.stageId()}-{task.taskAttemptId()}-{n}", length)
+            out = []
+            for i, key, start, copies, flags in zip(rows["id"], rows["key"], rows["start"], rows["copies"], found):
+                if copies == 1:
+                    out += [(i, key, start + a, start + b) for a, b in zip(*_spans(flags))]
+            yield pd.DataFrame(out, columns=["id", "key", "first", "last"])
 
-    inside = sliced.repartition("hash").mapInPandas(sort, "id long, key long, first int, last int")
+    def windows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        names = ["id", "key", "hash", "copies", "at", "window"]
+        out = []
+        for part in parts:
+            for i, key, least, copies, start, data in zip(
+                    part["id"], part["key"], part["hash"], part["copies"], part["start"], part["data"]):
+                view = memoryview(data)
+                out += [(i, key, least, copies, start + k, xxhash.xxh3_128_digest(view[k:k + length]))
+                        for k in range(len(data) - length + 1)]
+                if len(out) >= BATCH:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
+        yield pd.DataFrame(out, columns=names)
+
+    inside = sliced.where("not hot").repartition("hash").sortWithinPartitions("hash").mapInPandas(
+        sort, "id long, key long, first int, last int")
+    if not contested.where("hot").isEmpty():
+        wide = stored(sliced.where("hot").mapInPandas(
+            windows, "id long, key long, hash long, copies long, at int, window binary"), f"{path}/windows")
+        twice = wide.groupBy("hash", "window").agg(F.sum("copies").alias("n")).where("n > 1")
+        hit = wide.where("copies = 1").join(twice, ["hash", "window"], "left_semi")
+        # neighbouring places become one range
+        hit = hit.withColumn("island", F.col("at") - F.row_number().over(Window.partitionBy("id", "key").orderBy("at")))
+        inside = inside.unionByName(hit.groupBy("id", "key", "island").agg(
+            F.min("at").alias("first"), (F.max("at") + 1).alias("last")).drop("island"))
     copied = met.join(one.where("copies > 1").select("hash", "digest", "run"), ["hash", "digest", "run"]).select(
         "id", "key", F.col("start").alias("first"), (F.col("start") + F.col("run")).alias("last"))
     return inside.unionByName(copied)
 
 
 def without_repeats(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text",
-                    path: str | None = None) -> DataFrame:
+                    path: str | None = None, most: int = SHARD_BYTES) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept (binary), kept_sha256: one row per document."""
     path = path or work_dir(docs.sparkSession, "suffixes")
     text = F.coalesce(F.col(text_col), F.lit(""))
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.encode(text, "UTF-8").alias("data"))
     given = given.select("doc_id", F.coalesce("doc_id", F.lit(0)).alias("id"),
                          F.xxhash64(F.col("doc_id").isNull(), "data").alias("key"), "data")
-    ranges = repeated_starts(given.select("id", "key", "data"), path, length)
+    ranges = repeated_starts(given.select("id", "key", "data"), path, length, most)
     marks = stored(ranges.groupBy("id", "key").agg(F.collect_set(F.struct("first", "last")).alias("ranges")),
                    f"{path}/ranges")
 
