@@ -13,8 +13,12 @@ operations only.
   seats below are granted outright and only those around it are ranked.
   A shard's quotas are the difference of the seats at its two ends, so they
   add up to the whole apportionment.
+* ``words``: a source keeps the blocks that lie within its target; what it
+  lacks, mostly less than a block, is apportioned in the same way in single
+  words.  So sources smaller than a block are in the mix, and every source is
+  within a few words of its target at every corpus size.
 * ``taken``: documents of a source in seeded order form one stream, repeated
-  as often as needed; the quota takes its first blocks.  The stream's offsets
+  as often as needed; the quota takes its first words.  The stream's offsets
   come from sums per (source, slice of the hash range) and running sums inside
   a slice, so a source with a third of all documents is spread over
   ``SLICES`` groups.
@@ -37,6 +41,7 @@ SEED = 20240101
 BLOCK_WORDS = 1024               # of a block, for corpora of ten million words and more
 LEAST_BLOCKS = 10_000            # smaller corpora get smaller blocks, so this many
 BLOCKS_PER_SHARD = 1 << 14
+ONE_SHARD = 1 << 62
 SLICE_BITS = 12                  # 2 ** bits hash slices of each source's documents
 
 
@@ -76,12 +81,14 @@ def block_words(total):
 
 
 def quotas(goals: DataFrame, max_repeats: int = MAX_REPEATS,
-           blocks_per_shard: int = BLOCKS_PER_SHARD) -> DataFrame:
+           blocks_per_shard: int = BLOCKS_PER_SHARD, words: int | None = None) -> DataFrame:
     """shard, source, first, blocks, block_words: each shard's quota per source.
 
-    ``first`` counts the blocks that earlier shards took of the source."""
+    ``first`` counts the blocks that earlier shards took of the source;
+    ``words``: of a block, by the corpus when not given."""
     every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    goal = goals.where("total > 0").withColumn("block_words", block_words("total"))
+    goal = goals.where("total > 0").withColumn(
+        "block_words", F.lit(words).cast("long") if words else block_words("total"))
     goal = goal.withColumns({"sources": F.count("*").over(every),
                              "all_blocks": F.expr("total div block_words"),
                              "most": F.expr(f"({max_repeats} * source_size) div block_words")})
@@ -107,6 +114,22 @@ def quotas(goals: DataFrame, max_repeats: int = MAX_REPEATS,
                        (F.col("upto") - earlier).alias("blocks"), "block_words")
 
 
+def source_words(goals: DataFrame, shares: DataFrame, path: str, max_repeats: int = MAX_REPEATS) -> DataFrame:
+    """``goals`` with ``words``, what the mix takes of each source: the blocks of its
+    quotas (``shares``) within its target, and its part of the other words."""
+    every = Window.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    blocks = shares.groupBy("source").agg(F.sum("blocks").alias("blocks"), F.max("block_words").alias("block_words"))
+    goal = goals.alias("g").join(blocks.alias("b"), F.expr("g.source <=> b.source"), "left").select(
+        "g.*", F.coalesce(F.expr("least(blocks, floor(target / block_words)) * block_words"), F.lit(0)).alias("whole"))
+    goal = stored(goal, f"{path}/whole", files=1)
+    lacking = goal.select("source", (F.col("target") - F.col("whole")).alias("target"),
+                          (max_repeats * F.col("source_size") - F.col("whole")).alias("source_size"),
+                          (F.col("total") - F.sum("whole").over(every)).alias("total"))
+    last = quotas(lacking, 1, ONE_SHARD, words=1)
+    return (goal.alias("g").join(last.alias("l"), F.expr("g.source <=> l.source"), "left")
+            .select("g.*", (F.col("whole") + F.coalesce("l.blocks", F.lit(0))).alias("words")).drop("whole"))
+
+
 def streamed(docs: DataFrame, seed: int = SEED, slice_bits: int = SLICE_BITS) -> DataFrame:
     """``docs`` (doc_id, text_hash, source, size) with ``start``: the words of the
     source's documents before it, in seeded order."""
@@ -131,10 +154,7 @@ def mixed(docs: DataFrame, path: str | None = None, seed: int = SEED, id_col="do
     sizes = stored(sized(docs, id_col, text_col, source_col), f"{path}/sizes")           # texts are read once
     goals = stored(targets(sizes), f"{path}/targets", files=1)      # a row per source
     shares = stored(quotas(goals), f"{path}/quotas")
-    words = shares.groupBy("source").agg(
-        F.sum(F.col("blocks") * F.col("block_words")).alias("words"))
-    goals = (goals.alias("g").join(words.alias("w"), F.expr("g.source <=> w.source"), "left")
-             .select("g.*", F.coalesce("words", F.lit(0)).alias("words")))
+    goals = stored(source_words(goals, shares, path), f"{path}/words", files=1)
     out = streamed(sizes, seed).alias("d").join(goals.alias("g"), F.expr("d.source <=> g.source")).select(
         "d.doc_id", "d.text_hash", "d.source", "d.size", "d.start", "g.source_size", "g.target", "g.words")
     out = out.withColumn("rounds", F.when(F.col("source_size") > 0, F.expr("words div source_size")).otherwise(0))
