@@ -3,8 +3,9 @@
 Base kinds, leftmost and not overlapping per kind: ``assign`` (a credential
 name, a sign and a value of 12 or more characters), ``access`` (``AKIA`` keys
 of 18 or more) and ``hex`` (runs of 16 or more).  ``entropy`` spans are added:
-maximal runs of key characters holding a digit, 20 or longer, are scanned with
-a window of ``WINDOW`` characters; the counts of the characters in the window
+maximal runs of key characters, 20 or longer, are scanned with a window of
+``WINDOW`` characters, those without a digit only in their stretches of letters
+and by a threshold of their own; the counts of the characters in the window
 are carried from one position to the next, and with them sum c * log2(c), so
 the Shannon entropy log2(w) - sum / w follows from the two characters that
 enter and leave.  The span runs from the first to the last window whose
@@ -31,7 +32,8 @@ HEX = r"[0-9a-f]+"
 LEAST_ASSIGN, LEAST_ACCESS, LEAST_HEX = 12, 18, 16
 KINDS = ("assign", "access", "hex", "entropy")
 
-RUN = r"(?<![A-Za-z0-9+/_=-])(?=[A-Za-z+/_=-]*+[0-9])[A-Za-z0-9+/_=-]{20,}+"
+RUN = r"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{20,}+"
+LETTER_RUN = r"(?<![A-Za-z])[A-Za-z]{20,}+"
 WINDOW = 20
 # character class: (pattern of a run, its characters, least entropy in bits)
 CLASSES = (
@@ -40,6 +42,7 @@ CLASSES = (
     ("^[0-9a-zA-Z]+$", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ", 3.6),
     (".", "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/_=-", 3.8),
 )
+LETTERS = ("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz", 3.8)   # of runs without a digit
 ALLOWED = (r"(?i)example|sample|dummy|placeholder|changeme|0123456789abcdef|abcdefghijklmnop"
            r"|^[0-9a-f]{8}(-[0-9a-f]{4}){3}-[0-9a-f]{12}$")
 SPAN = "array<struct<start:int,kind:int,end:int>>"
@@ -96,18 +99,26 @@ def _windows(run: Column, letters: str, least: float) -> Column:
                        lambda acc: F.struct(acc["first"].alias("first"), acc["last"].alias("last")))
 
 
+def _letter_runs(runs: Column) -> Column:
+    """(start, piece) of the stretches of letters inside ``runs``."""
+    return F.flatten(F.transform(runs, lambda x: F.transform(
+        _placed(x["piece"], LETTER_RUN, F.regexp_extract_all(x["piece"], F.lit(LETTER_RUN), F.lit(0))),
+        lambda y: F.struct((x["start"] + y["start"]).alias("start"), y["piece"].alias("piece")))))
+
+
 def _entropy(text: Column) -> Column:
     placed = F.filter(_placed(text, RUN, F.regexp_extract_all(text, F.lit(RUN), F.lit(0))),
                       lambda x: ~F.regexp_like(x["piece"], F.lit(ALLOWED)))
+    digit = lambda x: F.regexp_like(x["piece"], F.lit("[0-9]"))
+    runs = F.concat(F.filter(placed, digit), _letter_runs(F.filter(placed, lambda x: ~digit(x))))
 
     def scanned(x: Column) -> Column:
-        judged = F.lit(None)
-        for pattern, letters, least in reversed(CLASSES):
-            judged = F.when(F.regexp_like(x["piece"], F.lit(pattern)),
-                            _windows(x["piece"], letters, least)).otherwise(judged)
+        judged = F.when(~digit(x), _windows(x["piece"], *LETTERS))
+        for pattern, letters, least in CLASSES:
+            judged = judged.when(F.regexp_like(x["piece"], F.lit(pattern)), _windows(x["piece"], letters, least))
         return F.struct(x["start"].alias("start"), judged.alias("seen"))
 
-    hits = F.filter(F.transform(placed, scanned), lambda x: x["seen"]["first"] >= 0)
+    hits = F.filter(F.transform(runs, scanned), lambda x: x["seen"]["first"] >= 0)
     spans = F.transform(hits, lambda x: F.struct(
         (x["start"] + x["seen"]["first"]).alias("start"), F.lit(3).alias("kind"),
         (x["start"] + x["seen"]["last"] + WINDOW).alias("end")))
