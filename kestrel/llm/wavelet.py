@@ -39,18 +39,17 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.llm.common import open_in, open_out, release, stored, work_dir
+from kestrel.llm.pieces import CACHED, GROUP_BYTES, PieceIds
 
 END_ID = 0
 SHARD_TOKENS = 1 << 20
 CHUNK = 1 << 15                    # bytes of a packed plane that are compressed together
 MAGIC = b"KWM1"
-CACHED_PIECES = 1 << 20            # pieces whose ids an encoder remembers
 
 # Within this alphabet, and without apostrophes (contractions), the split below
 # is the tokenizer's own; other texts are handed to the library whole.
 _PLAIN = re.compile("[\t\n\r -&(-~¡-ɏ]*")
 _LETTER, _DIGIT, _SPACE, _OTHER, _END = range(5)
-GROUP_BYTES = 1 << 20              # of texts that are split together
 
 
 def _classes() -> tuple[np.ndarray, np.ndarray]:
@@ -69,8 +68,6 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
 
 
 _ONE, _TWO = _classes()
-_RANDOM = np.random.default_rng(9).integers(0, 1 << 63, 256, np.uint64) << np.uint64(1) | np.uint64(1)
-_BASE = 0x9E3779B97F4A7C15
 
 
 def piece_starts(data: np.ndarray) -> np.ndarray:
@@ -95,108 +92,30 @@ def piece_starts(data: np.ndarray) -> np.ndarray:
     return np.flatnonzero(start)
 
 
-class _Rows:
-    """Row numbers of 64-bit hashes: open addressing, looked up many at a time."""
-
-    def __init__(self, bits: int):
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.rows = np.zeros(1 << bits, np.uint64), np.zeros(1 << bits, np.int32)
-        self.size = 0
-
-    def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys * np.uint64(0xD6E8FEB86659FD93)) >> self.shift).astype(np.int64)
-
-    def find(self, keys: np.ndarray) -> np.ndarray:
-        """The rows of nonzero keys, -1 where there is none."""
-        slot, out = self._slots(keys), np.full(len(keys), -1, np.int32)
-        there = self.keys[slot]
-        hit = there == keys
-        out[hit] = self.rows[slot[hit]]
-        left = np.flatnonzero(~hit & (there != 0))
-        while len(left):
-            slot[left] = (slot[left] + 1) & self.mask
-            there = self.keys[slot[left]]
-            hit = there == keys[left]
-            out[left[hit]] = self.rows[slot[left[hit]]]
-            left = left[~hit & (there != 0)]
-        return out
-
-    def add(self, keys: np.ndarray) -> None:
-        """Give different, unknown keys the next rows."""
-        slot, left = self._slots(keys), np.arange(len(keys))
-        while len(left):
-            free = left[self.keys[slot[left]] == 0]
-            self.keys[slot[free]] = keys[free]
-            mine = free[self.keys[slot[free]] == keys[free]]      # of several for a slot one has it
-            self.rows[slot[mine]] = self.size + mine
-            left = left[self.keys[slot[left]] != keys[left]]
-            slot[left] = (slot[left] + 1) & self.mask
-        self.size += len(keys)
-
-
 class Encoder:
     """Token ids of texts by a byte-level tokenizers file.
 
     The library splits a text into pieces and encodes each by itself.  Plain
-    texts are split here, many at a time; a piece's ids are remembered under
-    its 64-bit hash, and the library is asked for new pieces only."""
+    texts are split here, many at a time, and the library is asked for pieces
+    that are not remembered only; other texts go to it whole.  ``special``:
+    whether the special tokens' strings in a text stand for these tokens."""
 
-    def __init__(self, path: str, cached: int = CACHED_PIECES):
+    def __init__(self, path: str, cached: int = CACHED, special: bool = True):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"   # Spark's tasks fill the cores
         from tokenizers import Tokenizer
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.cached = cached
-        self.power = self.inverse = np.zeros(0, np.uint64)
-        self._forget()
-
-    def _forget(self, room: int = 0) -> None:
-        # at most half full with what is cached and ``room`` new pieces
-        self.known = _Rows((2 * (self.cached + room) + GROUP_BYTES // 4).bit_length())
-        self.flat = np.empty(1 << 16, np.uint32)
-        self.starts = np.zeros(1 << 16, np.int64)        # piece k: flat[starts[k]:starts[k + 1]]
-
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        known = self.known.size
-        if known + len(ids) >= len(self.starts):
-            self.starts = np.concatenate([self.starts, np.zeros(len(self.starts) + len(ids), np.int64)])
-        first = self.starts[known]
-        ends = first + np.cumsum([len(i) for i in ids])
-        if ends[-1] > len(self.flat):
-            self.flat = np.concatenate([self.flat, np.empty(max(len(self.flat), ends[-1]), np.uint32)])
-        self.flat[first:ends[-1]] = [x for i in ids for x in i]
-        self.starts[known + 1:known + 1 + len(ids)] = ends
-        self.known.add(keys)
-
-    def _hashes(self, data: np.ndarray, starts: np.ndarray) -> np.ndarray:
-        """Of each piece sum r[byte] * base ^ place, mod 2^64: summed at the places in
-        ``data`` and divided by the power of the piece's start. Never zero."""
-        if len(self.power) < len(data):
-            powers = lambda b: np.multiply.accumulate(np.full(len(data), b & (1 << 64) - 1, np.uint64))
-            self.power, self.inverse = powers(_BASE), powers(pow(_BASE, -1, 1 << 64))
-        sums = np.add.reduceat(_RANDOM[data] * self.power[:len(data)], starts)
-        return sums * self.inverse[starts] | np.uint64(1)
+        self.tokenizer.encode_special_tokens = not special
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()] if special else []
+        self.pieces = PieceIds(self._learn, cached)
+
+    def _learn(self, pieces: list[bytes]) -> list[list[int]]:
+        return [e.ids for e in self.tokenizer.encode_batch_fast(
+            [p.decode().rstrip("\0") for p in pieces], add_special_tokens=False)]
 
     def _plain(self, texts: list[bytes]) -> list[np.ndarray]:
         data = np.frombuffer(b"\0".join(texts) + b"\0", np.uint8)
         starts = piece_starts(data)
-        hashes = self._hashes(data, starts)
-        if self.known.size > self.cached or 2 * (self.known.size + len(starts)) > len(self.known.keys):
-            self._forget(len(starts))
-        row = self.known.find(hashes)
-        new = np.flatnonzero(row < 0)
-        if len(new):
-            keys, first = np.unique(hashes[new], return_index=True)
-            at = new[first]
-            ends = np.append(starts[1:], len(data))[at]
-            self._learn(keys, [data[s:e].tobytes().decode().rstrip("\0") for s, e in zip(starts[at].tolist(), ends.tolist())])
-            row[new] = self.known.find(hashes[new])
-        begin = self.starts[row]
-        count = self.starts[row + 1] - begin
-        into = np.cumsum(count)
-        shift = (begin - into + count).astype(np.int32)
-        ids = self.flat[np.arange(into[-1], dtype=np.int32) + np.repeat(shift, count)]
+        ids, into = self.pieces.ids(data, starts)
         return np.split(ids, into[data[starts] == 0])[:-1]
 
     def encode_all(self, texts: list[str]) -> Iterator[np.ndarray]:

@@ -31,6 +31,28 @@ def test_encoder_equals_the_library(library):
                 assert ids.tolist() == library.encode(text, add_special_tokens=False).ids, text
 
 
+def test_pieces_are_told_apart_by_their_bytes(library):
+    """Thue-Morse words and their complements share every polynomial hash mod 2^64."""
+    word = "a"
+    swap = str.maketrans("ab", "ba")
+    while len(word) < 4096:
+        word += word.translate(swap)
+        twins = [word, word.translate(swap), word[:-1] + "c", word[:-1]]
+        for cached in (1, 1 << 10):
+            got = wavelet.Encoder(tokenizer_path(), cached=cached).encode_all(twins + twins[::-1])
+            assert [i.tolist() for i in got] == [
+                library.encode(t, add_special_tokens=False).ids for t in twins + twins[::-1]]
+
+
+def test_special_strings_as_plain_text():
+    from tokenizers import Tokenizer
+    plain = Tokenizer.from_file(tokenizer_path())
+    plain.encode_special_tokens = True
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "é日<|endoftext|>"]
+    got = wavelet.Encoder(tokenizer_path(), special=False).encode_all(texts)
+    assert [i.tolist() for i in got] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
 def test_matrix_answers_from_its_file():
     rng = np.random.default_rng(1)
     for n, top in ((0, 1), (1, 1), (300, 2), (70_000, 50_257), (300_000, 9), (5, 1 << 20)):
