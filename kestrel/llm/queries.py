@@ -11,11 +11,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import (
-    licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, suffixes, tiling,
+    licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, sentences, suffixes, tiling,
     warc, wavelet)
 from kestrel.llm.common import read
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def tokenizer_path(name: str = TOKENIZER) -> str:
@@ -67,10 +68,14 @@ def op10_warc_archives(spark, sf_dir):
     return warc.archived_pages(read(spark, sf_dir, "pages"))
 
 
+def op12_sentence_pieces(spark, sf_dir):
+    return sentences.encoding_report(read(spark, sf_dir, "documents"), tokenizer_path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_license_sentences, op3_minhash_postings, op4_sainte_lague_mix,
     op5_block_neighbours, op6_string_tiling, op7_induced_suffixes, op8_secret_entropy,
-    op9_quality_scores, op10_warc_archives)}
+    op9_quality_scores, op10_warc_archives, op12_sentence_pieces)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_sentences": oracle.license_sql(), "op3_minhash_postings": neardup.ORACLE,
