@@ -45,7 +45,8 @@ def work_dir(spark: SparkSession, name: str) -> str:
 ROWS_PER_FILE = 10_000
 
 
-def stored(df: DataFrame, path: str, files: int | None = None, rows: int | None = None) -> DataFrame:
+def stored(df: DataFrame, path: str, files: int | None = None, rows: int | None = None,
+           compression: str = "snappy") -> DataFrame:
     """Write ``df`` as Parquet and return it as read back: cuts the lineage,
     and lost executors cost a re-read instead of a recomputation.
 
@@ -56,7 +57,7 @@ def stored(df: DataFrame, path: str, files: int | None = None, rows: int | None
         df = df.repartition(files)
     elif rows is not None:
         df = df.coalesce(1 + rows // ROWS_PER_FILE)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

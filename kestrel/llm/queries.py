@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import (
-    licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, sentences, suffixes, tiling,
+    alignment, licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, sentences, suffixes, tiling,
     warc, wavelet)
 from kestrel.llm.common import read
 
@@ -72,10 +72,15 @@ def op12_sentence_pieces(spark, sf_dir):
     return sentences.encoding_report(read(spark, sf_dir, "documents"), tokenizer_path(PIECES))
 
 
+def op13_token_alignment(spark, sf_dir):
+    return alignment.alignment_report(read(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_path(PIECES))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_license_sentences, op3_minhash_postings, op4_sainte_lague_mix,
     op5_block_neighbours, op6_string_tiling, op7_induced_suffixes, op8_secret_entropy,
-    op9_quality_scores, op10_warc_archives, op12_sentence_pieces)}
+    op9_quality_scores, op10_warc_archives, op12_sentence_pieces,
+    op13_token_alignment)}
 
 ORACLE_SQL: dict[str, str] = {
     "op2_license_sentences": oracle.license_sql(), "op3_minhash_postings": neardup.ORACLE,
