@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import (
-    alignment, licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, sentences, suffixes, tiling,
+    alignment, conversations, licenses, mixing, neardup, neighbours, oracle, quality, secret_scan, sentences, suffixes, tiling,
     warc, wavelet)
 from kestrel.llm.common import read
 
@@ -68,6 +68,11 @@ def op10_warc_archives(spark, sf_dir):
     return warc.archived_pages(read(spark, sf_dir, "pages"))
 
 
+def op11_conversation_repair(spark, sf_dir):
+    rows = read(spark, sf_dir, "conversations")
+    return conversations.repair_report(conversations.damaged(rows), rows)
+
+
 def op12_sentence_pieces(spark, sf_dir):
     return sentences.encoding_report(read(spark, sf_dir, "documents"), tokenizer_path(PIECES))
 
@@ -79,7 +84,7 @@ def op13_token_alignment(spark, sf_dir):
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (
     op1_wavelet_tokens, op2_license_sentences, op3_minhash_postings, op4_sainte_lague_mix,
     op5_block_neighbours, op6_string_tiling, op7_induced_suffixes, op8_secret_entropy,
-    op9_quality_scores, op10_warc_archives, op12_sentence_pieces,
+    op9_quality_scores, op10_warc_archives, op11_conversation_repair, op12_sentence_pieces,
     op13_token_alignment)}
 
 ORACLE_SQL: dict[str, str] = {
