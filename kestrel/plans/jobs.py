@@ -45,12 +45,11 @@ def write_bars_by_day(spark: SparkSession, bars: DataFrame, table: str) -> None:
     Symbol and timestamp are required: a null in either refuses the batch.
     The batch is written once; the check reads that copy."""
     S.ensure_table(spark, table, schemas.BARS_BY_DAY, ("created_at_day",))
-    before = spark.table(table).select("created_at_day").limit(0)
     with S.staged(spark, _by_day(bars), table) as stage:
         bad = spark.table(stage).filter(F.col("stock_symbol").isNull() | F.col("created_ts").isNull())
         if not bad.isEmpty():
             raise P.GateFailed("bars with a null stock_symbol or created_ts")
-        S.swap_in(spark, stage, table, before)
+        S.publish_stage(spark, stage, table)
 
 
 def overwrite_bars_by_day(spark: SparkSession, bars: DataFrame, table: str) -> None:
@@ -72,11 +71,7 @@ def publish_bars_day(spark: SparkSession, bars: DataFrame, ds: str | dt.date,
     day = F.lit(str(ds)).cast("date")
     if history_before:
         S.insert_overwrite_dynamic(spark, bars.filter(F.col("ds") < day), prod)
-    staged = bars.filter(F.col("ds") == day)
-    result = P.write_audit_publish(
-        spark, staged, BAR_CHECKS,
-        publish=lambda rows: P.publish_partition(spark, rows, prod, ds),
-        audit_schema=schemas.BARS, partition_cols=("ds",), model="stock_bars")
+    result = P.audit_partitions(spark, bars.filter(F.col("ds") == day), BAR_CHECKS, prod, model="stock_bars")
     if not result.passed:
         raise P.GateFailed(f"audit failed for {ds}")
     return spark.table(prod).select(*schemas.BARS.fieldNames())
@@ -150,9 +145,9 @@ def run_day(spark: SparkSession, landing: str, ds: str | dt.date, prod: str, cum
 def ensure_state_table(spark: SparkSession, table: str, buckets: int) -> str:
     """P1 for the state table: partitioned by ds, each day bucketed by user_id.
 
-    ``buckets`` bounds the tasks of the daily join on the stored side, so size
-    it to the state: rows of a day / rows that a task should hold.  A day is
-    written as up to (write tasks x buckets) files."""
+    ``buckets`` is the number of tasks of the daily job, so size it to the
+    state: rows of a day / rows that a task should hold.  A day is one file a
+    bucket."""
     return S.ensure_table(spark, table, schemas.USER_STATE, ("ds",),
                           bucket_by=("user_id",), buckets=buckets)
 
@@ -162,18 +157,25 @@ def state_day(spark: SparkSession, daily: DataFrame, table: str, ds: str | dt.da
     """A5 as the daily job: yesterday's partition (+) today's activity ->
     today's partition of the state table.
 
-    Yesterday's partition is read bucketed by user_id, so the full outer
-    join shuffles only today's activity, never the state history.  A day
-    whose predecessor is missing is refused (everybody would be lost).  The
-    result is staged (cutting its lineage to the table it reads) and swapped
-    in; a rerun of the day gives the same rows.
+    Yesterday's partition is read bucketed by user_id, and the join's tasks, a
+    bucket each, write today's buckets as they are: only today's activity is
+    shuffled, and each state row is written once, a file per bucket.  A
+    day whose predecessor is missing is refused (everybody would be lost).  A
+    rerun of the day gives the same rows.
     """
     _require_previous(spark, table, ds)
-    day = F.lit(str(ds)).cast("date")
-    yesterday = spark.table(table).filter(F.col("ds") == F.date_sub(day, 1))
-    today = daily.filter(F.col("ds") == day)
-    step = ST.state_step(yesterday, today, ds, keep_stale)
-    S.insert_overwrite_partition(spark, step.drop("ds"), table, {"ds": str(ds)})
+    S.insert_overwrite_partition(spark, state_of_day(spark, daily, table, ds, keep_stale).drop("ds"),
+                                 table, {"ds": str(ds)}, aligned=True)
+
+
+def state_of_day(spark: SparkSession, daily: DataFrame, table: str, ds: str | dt.date,
+                 keep_stale: bool = False) -> DataFrame:
+    """The rows of ``ds`` from the stored day before and the day's activity, a bucket to a task.
+
+    The day before is given by its literal, so the catalog prunes to its folder."""
+    day = _day(ds)
+    yesterday = spark.table(table).filter(F.col("ds") == F.lit(day - dt.timedelta(1)))
+    return ST.state_step(yesterday, daily.filter(F.col("ds") == F.lit(day)), ds, keep_stale)
 
 
 def backfill_state_table(spark: SparkSession, daily: DataFrame, table: str,

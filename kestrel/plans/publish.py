@@ -1,9 +1,9 @@
 """Write-audit-publish, idempotent partition publish, snapshot overwrite and merge.
 
-Every publish writes its rows to a staging table first and checks that
-copy; the target's rows are replaced by an overwrite that touches them only
-when it commits (``plans.storage``), so a failure anywhere before leaves the
-published rows.  Reruns with the same input leave the same rows.
+Every publish writes its rows once, to a staging table below the target's
+folder, and checks that copy; the target is then pointed at it
+(``plans.storage``), so a failure anywhere before leaves the published rows and
+running readers keep theirs.  Reruns with the same input leave the same rows.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from kestrel.operators import quality as Q
 from kestrel.plans import storage as S
@@ -53,7 +53,8 @@ def overwrite_table(spark: SparkSession, df: DataFrame, table: str,
                     refuse: Callable[[DataFrame], str | None] | None = None) -> None:
     """Replace the whole table with ``df``; an empty batch is refused
     (it would otherwise publish an empty snapshot), as is one for whose
-    staged copy ``refuse`` gives a reason."""
+    staged copy ``refuse`` gives a reason.  The files of the snapshot before stay
+    for its readers until ``storage.remove_retired`` finds them old enough."""
     with S.staged(spark, df, table) as stage:
         if spark.table(stage).isEmpty():
             raise GateFailed(f"refusing to overwrite {table} with an empty batch")
@@ -69,6 +70,21 @@ class AuditResult:
     audit_table: str
 
 
+def _audited(spark: SparkSession, model: str, rows: DataFrame, checks: Sequence[Q.Check],
+             parents: dict[str, DataFrame] | None, require_rows: bool) -> tuple[bool, DataFrame]:
+    """Whether the written copy ``rows`` passes, and its results (one row per check)."""
+    results = Q.run_checks(model, rows, checks, parents)
+    if require_rows:
+        n = rows.agg(F.count(F.lit(1)).alias("failures"))
+        results = results.unionByName(n.select(
+            F.lit(model).alias("model"), F.lit("*").alias("column_name"),
+            F.lit("nonempty").alias("test"),
+            (F.col("failures") == 0).cast("bigint").alias("failures"),
+            F.when(F.col("failures") == 0, "fail").otherwise("pass").alias("status")))
+    collected = results.collect()
+    return all(r["status"] == "pass" for r in collected), spark.createDataFrame(collected, results.schema)
+
+
 def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.Check],
                         publish: Callable[[DataFrame], None], audit_schema,
                         partition_cols: Sequence[str] = (), model: str = "audit",
@@ -86,17 +102,7 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.C
     S.ensure_table(spark, audit, audit_schema, partition_cols)
     df.select(*S.table_columns(spark, audit)).write.insertInto(audit)
     rows = spark.table(audit)
-    results = Q.run_checks(model, rows, checks, parents)
-    if require_rows:
-        n = rows.agg(F.count(F.lit(1)).alias("failures"))
-        results = results.unionByName(n.select(
-            F.lit(model).alias("model"), F.lit("*").alias("column_name"),
-            F.lit("nonempty").alias("test"),
-            (F.col("failures") == 0).cast("bigint").alias("failures"),
-            F.when(F.col("failures") == 0, "fail").otherwise("pass").alias("status")))
-    collected = results.collect()          # one row per check
-    results = spark.createDataFrame(collected, results.schema)
-    passed = all(r["status"] == "pass" for r in collected)
+    passed, results = _audited(spark, model, rows, checks, parents, require_rows)
     if passed:
         publish(rows)
         if not keep_audit:
@@ -104,20 +110,38 @@ def write_audit_publish(spark: SparkSession, df: DataFrame, checks: Sequence[Q.C
     return AuditResult(passed, results, audit)
 
 
+def audit_partitions(spark: SparkSession, df: DataFrame, checks: Sequence[Q.Check], table: str,
+                     model: str = "audit", parents: dict[str, DataFrame] | None = None,
+                     require_rows: bool = True) -> AuditResult:
+    """P5 where the publish replaces whole partitions: the audit copy is staged as the
+    target stores it, tested there, and the target's partitions are pointed at it, so
+    each row is written once.  On failure the target is untouched and the audit
+    table stays for inspection (``storage.unstage`` ends it)."""
+    audit = S.stage(spark, df, table)
+    passed, results = _audited(spark, model, spark.table(audit), checks, parents, require_rows)
+    if passed:
+        S.publish_stage(spark, audit, table)
+        S.unstage(spark, audit)
+    return AuditResult(passed, results, audit)
+
+
 def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
                  partition_col: str | None = None, check_unique: bool = True) -> None:
     """Update target rows whose key is in ``source``, insert the rest.
 
     result = (target rows whose key is not in source) UNION ALL source,
-    rewritten only for the touched partitions: those holding a source
-    key in the target (a semi-join on the key column alone, so the scan
-    reads two columns) plus those the source writes to.  A key that changed
-    its partition therefore leaves the old one; a null partition value is a
-    partition like any other.  The source is written once to a staging table
-    (every later step reads the same rows), the new partition contents to a
-    second one (which also cuts the lineage to the target), and swapped in
-    with one overwrite that touches the target when it commits; partitions
-    left without rows are dropped in one catalog statement.  Without
+    rewritten only for the touched partitions: those holding a source key in the
+    target plus those the source writes to.  A key that changed its partition
+    therefore leaves the old one; a null partition value is a partition like
+    any other.
+
+    The target is looked up once: the source is written to a staging table, its
+    least and greatest key bound the scan of the target's key and partition
+    columns (row groups outside are skipped), and the target keys found are written
+    too (no more rows than the source).  Their partitions and the source's are the
+    touched ones: names only, at most the table's partitions, which prune the one
+    scan of whole rows.  The new contents are written once and the touched partitions
+    pointed at them; those left without rows leave the catalog.  Without
     ``partition_col`` the whole table is rewritten the same way.
 
     ``check_unique`` refuses a source whose key repeats (a merge would
@@ -131,18 +155,30 @@ def merge_by_key(spark: SparkSession, target: str, source: DataFrame, key: str,
         if partition_col is None:
             S.insert_overwrite_table(spark, tgt.join(src.select(key), key, "left_anti").unionByName(src), target)
             return
-        held = tgt.select(key, partition_col).join(src.select(key), key, "left_semi").select(partition_col)
-        touched = held.unionByName(src.select(partition_col)).distinct()
-        # values that are equal prune the target's folders at run time; the
-        # null partition is one folder of its own
-        names = touched.select(F.col(partition_col).alias("_touched"))
-        known = tgt.where(F.col(partition_col).isNotNull()).join(
-            names, F.col(partition_col) == F.col("_touched"), "left_semi")
-        null_touched = not names.where("_touched IS NULL").isEmpty()
-        if null_touched:
-            known = known.unionByName(tgt.where(F.col(partition_col).isNull()))
-        new = known.join(src.select(key), key, "left_anti").unionByName(src)
-        # only partitions that held a source key can end up empty; they are
-        # named before the swap, from a copy of their own
-        with S.staged(spark, new, target) as stage:
-            S.swap_in(spark, stage, target, held)
+        with S.staged(spark, matched_rows(tgt, src, key, partition_col), target) as found_stage:
+            found = spark.table(found_stage).select(key)
+            touched = sorted({*S.partitions(spark, found_stage), *S.partitions(spark, src_stage)})
+            known = in_partitions(tgt, partition_col, touched)
+            new = known.join(found, key, "left_anti").unionByName(src)
+            with S.staged(spark, new, target) as new_stage:
+                S.publish_stage(spark, new_stage, target, touched)
+
+
+def matched_rows(target: DataFrame, source: DataFrame, key: str, partition_col: str) -> DataFrame:
+    """The key and partition of the target rows whose key the source holds; other columns null.
+
+    Only these two columns are read, and only row groups that may hold a key between the
+    source's least and greatest."""
+    low, high = source.agg(F.min(key), F.max(key)).first()
+    held = target.select(key, partition_col).where(F.col(key).between(F.lit(low), F.lit(high)))
+    held = held.join(source.select(key), key, "left_semi")
+    return held.select(*[F.col(c) if c in (key, partition_col) else F.lit(None).cast(target.schema[c].dataType).alias(c)
+                         for c in target.columns])
+
+
+def in_partitions(df: DataFrame, partition_col: str, names: Sequence[str]) -> DataFrame:
+    """The rows of the named partitions (``column=value``), by a filter on the partition column."""
+    values = [unquote(n.partition("=")[2]) for n in names]
+    some = [F.lit(v).cast(df.schema[partition_col].dataType) for v in values if v != S.NULL_VALUE]
+    held = F.col(partition_col).isin(some) if some else F.lit(False)
+    return df.where(held | F.col(partition_col).isNull() if S.NULL_VALUE in values else held)

@@ -131,9 +131,9 @@ def test_dropped_table_leaves_no_files(spark):
     S.insert_overwrite_dynamic(spark, _bars(spark), table)
     loc = [r for r in spark.sql(f"DESCRIBE TABLE EXTENDED {table}").collect() if r[0] == "Location"][0][1]
     path = loc.replace("file:", "")
-    assert glob.glob(f"{path}/ds=*/*.parquet")
+    assert glob.glob(f"{path}/**/ds=*/*.parquet", recursive=True)
     S.drop_table(spark, table)
-    assert not spark.catalog.tableExists(table) and not glob.glob(f"{path}/ds=*/*.parquet")
+    assert not spark.catalog.tableExists(table) and not glob.glob(f"{path}/**", recursive=True)
 
 
 def _failing(df):
