@@ -38,11 +38,12 @@ from pyspark.sql import functions as F
 
 from kestrel.llm import sentences, wavelet
 from kestrel.llm.common import release, stored, work_dir
+from kestrel.llm.pieces import CACHED
 from kestrel.llm.sentences import _table, gathered
 
 GROUP_BYTES = 1 << 20              # of texts that are aligned together
 GROUP_ROWS = 1024                  # rows of a frame that a task returns
-HELD_LINKS = 1 << 21               # links that a task holds before it counts them
+HELD_LINKS = 1 << 20               # links that a task holds before it counts them
 
 
 def byte_level_bytes(path: str) -> list[bytes]:
@@ -64,7 +65,7 @@ class Aligner:
     """Both tokenizers, and the bytes of their tokens."""
 
     def __init__(self, path_a: str, path_b: str):
-        self.a, self.b = wavelet.Encoder(path_a, special=False), sentences.Encoder(path_b)
+        self.a, self.b = wavelet.Encoder(path_a, CACHED // 2, False), sentences.Encoder(path_b, CACHED // 2)
         self.bytes_a, self.starts_a = _table(byte_level_bytes(path_a))
         self.bytes_b, self.starts_b = self.b.model.bytes, self.b.model.byte_starts
 
@@ -109,94 +110,91 @@ def aligner(path_a: str, path_b: str) -> Aligner:
     return Aligner(path_a, path_b)
 
 
+def _groups(parts: Iterator[pd.DataFrame], both: Aligner) -> Iterator[tuple]:
+    """For texts of about ``GROUP_BYTES`` together: their keys, the ids of A and B of
+    each, how many tokens of A and of B the groups have, and how many groups each text has."""
+
+    def of(keys: list, pairs: list) -> tuple:
+        a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
+        of_a, of_b = both.groups(a, b)
+        groups = int(of_b[-1]) + 1 if len(of_b) else 0
+        # a text ends with a group: the one of its last token
+        ends = np.cumsum([len(p[1]) for p in pairs])
+        upto = np.append(0, of_b + 1)[ends]
+        return (pd.array(keys, "Int64"), pairs, a, b, np.bincount(of_a, minlength=groups),
+                np.bincount(of_b, minlength=groups), np.diff(np.append(0, upto)))
+
+    for part in parts:
+        keys, pairs, size = [], [], 0
+        for key, text, pair in zip(part["key"].array, part["text"], both.tokens(part["text"].tolist())):
+            keys.append(None if pd.isna(key) else int(key))
+            pairs.append(pair)
+            size += len(text)
+            if size >= GROUP_BYTES or len(keys) >= GROUP_ROWS:
+                yield of(keys, pairs)
+                keys, pairs, size = [], [], 0
+        if keys:
+            yield of(keys, pairs)
+    release()
+
+
+def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return docs.select(F.col(id_col).cast("long").alias("key"),
+                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+
+
 def aligned(docs: DataFrame, path_a: str, path_b: str, id_col="doc_id", text_col="text") -> DataFrame:
     """One row per document: ``doc_id``, the ids ``a_ids`` and ``b_ids``, and
     ``a_groups`` and ``b_groups``, how many tokens of each side a group has (all
     as little-endian unsigned 32-bit integers)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        both = aligner(path_a, path_b)
-
-        def rows(keys: list, pairs: list) -> pd.DataFrame:
-            a, b = (np.concatenate([p[k] for p in pairs]) for k in (0, 1))
-            of_a, of_b = both.groups(a, b)
-            groups = int(of_b[-1]) + 1 if len(of_b) else 0
-            in_a, in_b = np.bincount(of_a, minlength=groups), np.bincount(of_b, minlength=groups)
-            # texts end with a group: the group after a text's last token
-            ends = np.cumsum([len(p[1]) for p in pairs])
-            cuts = np.append(of_b + 1, 0)[ends - 1] if len(of_b) else np.zeros(len(pairs), np.int64)
-            cuts[ends == 0] = 0
-            cuts = np.maximum.accumulate(cuts)[:-1]
-            return pd.DataFrame({
-                "doc_id": pd.array(keys, "Int64"),
-                "a_ids": [p[0].astype("<u4").tobytes() for p in pairs],
-                "b_ids": [p[1].astype("<u4").tobytes() for p in pairs],
-                "a_groups": [x.astype("<u4").tobytes() for x in np.split(in_a, cuts)],
-                "b_groups": [x.astype("<u4").tobytes() for x in np.split(in_b, cuts)]})
+        packed = lambda rows: [x.astype("<u4").tobytes() for x in rows]
+        for keys, pairs, _, _, in_a, in_b, n in _groups(parts, aligner(path_a, path_b)):
+            cuts = np.cumsum(n)[:-1]
+            yield pd.DataFrame({
+                "doc_id": keys, "a_ids": packed(p[0] for p in pairs), "b_ids": packed(p[1] for p in pairs),
+                "a_groups": packed(np.split(in_a, cuts)), "b_groups": packed(np.split(in_b, cuts))})
 
-        for part in parts:
-            keys, pairs, size = [], [], 0
-            for key, text, pair in zip(part["key"].array, part["text"], both.tokens(part["text"].tolist())):
-                keys.append(None if pd.isna(key) else int(key))
-                pairs.append(pair)
-                size += len(text)
-                if size >= GROUP_BYTES or len(keys) >= GROUP_ROWS:
-                    yield rows(keys, pairs)
-                    keys, pairs, size = [], [], 0
-            if keys:
-                yield rows(keys, pairs)
-        release()
-
-    rows = docs.select(F.col(id_col).cast("long").alias("key"),
-                       F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    return rows.mapInPandas(run, "doc_id long, a_ids binary, b_ids binary, a_groups binary, b_groups binary")
-
-
-def _joined(column) -> tuple[np.ndarray, np.ndarray]:
-    """The numbers of a binary column one row after another, and each row's number of them."""
-    rows = [np.frombuffer(x, "<u4") for x in column]
-    return np.concatenate(rows).astype(np.int64), np.array([len(r) for r in rows])
+    return _texts(docs, id_col, text_col).mapInPandas(
+        run, "doc_id long, a_ids binary, b_ids binary, a_groups binary, b_groups binary")
 
 
 _DIGITS = _table([b"%d," % i for i in range(1 << 17)])
 
 
-def written_groups(a, b, in_a, in_b) -> list[bytes]:
-    """``a1,a2|b1;a3|b2,b3`` of each row; the columns of :func:`aligned`."""
-    (a, _), (b, _), (in_a, groups), (in_b, _) = map(_joined, (a, b, in_a, in_b))
+def written_groups(a: np.ndarray, b: np.ndarray, in_a: np.ndarray, in_b: np.ndarray, n: np.ndarray) -> list[bytes]:
+    """``a1,a2|b1;a3|b2,b3`` of each text, from the ids of all texts, their groups'
+    numbers of tokens and the texts' numbers of groups."""
     # the tokens in the order they are written: of each group A's, then B's
     ends_a, ends_b = np.cumsum(in_a), np.cumsum(in_b)
-    ids = np.empty(len(a) + len(b), np.int64)
+    ids = np.empty(len(a) + len(b), np.int32)
     ids[np.arange(len(a)) + np.repeat(ends_b - in_b, in_a)] = a
     ids[np.arange(len(b)) + np.repeat(ends_a, in_b)] = b
     text, into = gathered(*_DIGITS, ids)
     if len(ids):
         text[into[ends_a + ends_b - in_b - 1] - 1] = ord("|")
         text[into[ends_a + ends_b - 1] - 1] = ord(";")
-    last = np.append(0, into)[np.append(0, ends_a + ends_b)[np.append(0, np.cumsum(groups))]]
+    last = np.append(0, into)[np.append(0, ends_a + ends_b)[np.append(0, np.cumsum(n))]]
     return [text[s:max(s, e - 1)].tobytes() for s, e in zip(last[:-1].tolist(), last[1:].tolist())]
 
 
-def links(rows: DataFrame) -> DataFrame:
-    """Digests and links of :func:`aligned`: doc_id, n_a, n_b, n_groups,
+def links(docs: DataFrame, path_a: str, path_b: str, id_col="doc_id", text_col="text") -> DataFrame:
+    """Digests and links of the aligned documents: doc_id, n_a, n_b, n_groups,
     groups_sha256, and ``links``, of each group A's last id times 2^32 plus B's
     (little-endian 64-bit integers)."""
 
     def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for part in parts:
-            for at in range(0, len(part), GROUP_ROWS):
-                r = part.iloc[at:at + GROUP_ROWS]
-                (a, n_a), (b, n_b), (in_a, n), (in_b, _) = (
-                    _joined(r[c]) for c in ("a_ids", "b_ids", "a_groups", "b_groups"))
-                pairs = a[np.cumsum(in_a) - 1] << 32 | b[np.cumsum(in_b) - 1]
-                written = written_groups(*(r[c] for c in ("a_ids", "b_ids", "a_groups", "b_groups")))
-                yield pd.DataFrame({
-                    "doc_id": r["doc_id"].astype("Int64").array, "n_a": n_a, "n_b": n_b, "n_groups": n,
-                    "groups_sha256": [hashlib.sha256(w).hexdigest() if w else "" for w in written],
-                    "links": [x.astype("<i8").tobytes() for x in np.split(pairs, np.cumsum(n)[:-1])]})
-        release()
+        for keys, pairs, a, b, in_a, in_b, n in _groups(parts, aligner(path_a, path_b)):
+            last = a[np.cumsum(in_a) - 1].astype(np.int64) << 32 | b[np.cumsum(in_b) - 1]
+            yield pd.DataFrame({
+                "doc_id": keys, "n_a": [len(p[0]) for p in pairs], "n_b": [len(p[1]) for p in pairs], "n_groups": n,
+                "groups_sha256": [hashlib.sha256(w).hexdigest() if w else "" for w in
+                                  written_groups(a, b, in_a, in_b, n)],
+                "links": [x.astype("<i8").tobytes() for x in np.split(last, np.cumsum(n)[:-1])]})
 
-    return rows.mapInPandas(run, "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary")
+    return _texts(docs, id_col, text_col).mapInPandas(
+        run, "doc_id long, n_a long, n_b long, n_groups long, groups_sha256 string, links binary")
 
 
 def link_counts(linked: DataFrame) -> DataFrame:
@@ -259,7 +257,7 @@ def scored(linked: DataFrame, counts: DataFrame, most: int) -> DataFrame:
 def alignment_report(docs: DataFrame, path_a: str, path_b: str, out_dir: str | None = None) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256."""
     out_dir = out_dir or work_dir(docs.sparkSession, "alignment")
-    linked = stored(links(aligned(docs, path_a, path_b)), f"{out_dir}/links", compression="zstd")
+    linked = stored(links(docs, path_a, path_b), f"{out_dir}/links", compression="zstd")
     counts = stored(link_counts(linked), f"{out_dir}/counts", files=1)
     return scored(linked, counts, most_pairs(path_a, path_b)).select(
         "doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")

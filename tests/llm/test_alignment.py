@@ -66,6 +66,19 @@ def test_op13_against_brute_force(spark, docs_of, written):
     assert op13_token_alignment(spark, written(documents=docs_of([]))).count() == 0
 
 
+def test_ids_and_groups_of_the_operator(spark, docs_of):
+    docs = docs_of([(i, t, "s") for i, t in enumerate(TEXTS)])
+    got = {r.doc_id: r for r in alignment.aligned(docs, tokenizer_path(), tokenizer_path(PIECES)).collect()}
+    of = lambda x: np.frombuffer(x, "<u4").tolist()
+    for i, (n_a, n_b, n, *_, sha) in enumerate(brute(TEXTS)):
+        a, b, in_a, in_b = map(of, (got[i].a_ids, got[i].b_ids, got[i].a_groups, got[i].b_groups))
+        assert (len(a), len(b), len(in_a), len(in_b), sum(in_a), sum(in_b)) == (n_a, n_b, n, n, n_a, n_b)
+        at = np.cumsum([0, *in_a]), np.cumsum([0, *in_b])
+        text = ";".join(f"{','.join(map(str, a[s:e]))}|{','.join(map(str, b[t:f]))}" for s, e, t, f in zip(
+            at[0], at[0][1:], at[1], at[1][1:]))
+        assert (hashlib.sha256(text.encode()).hexdigest() if text else "") == sha
+
+
 def test_groups_of_random_cuts():
     rng = np.random.default_rng(5)
     for n in (1, 2, 17, 400):
