@@ -319,7 +319,9 @@ def remove_retired(spark: SparkSession, table: str, older_than: dt.timedelta) ->
     """
     root, depth = table_root(spark, table), len(partition_columns(spark, table))
     limit, gone = time.time() - older_than.total_seconds(), []
-    owner: dict[str, str] = _partition_folders(spark, root, depth) if depth else {"": root}
+    owner = _partition_folders(spark, root, depth)
+    if not depth and all(name.startswith("_") for name, _ in _listed(spark, root)):
+        owner = {}                               # an unpartitioned table without rows of its own
     for folder, mark in _marks(spark, root):
         if mark is None:
             if int(folder.rsplit("/v", 1)[1].split("-")[0]) / 1000 < limit:

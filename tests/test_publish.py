@@ -175,6 +175,115 @@ def test_overwrite_of_an_unpartitioned_table(spark):
     assert rows(spark.table(table)) == [(2, "b")]
 
 
+def _files(spark, table):
+    import glob
+    return set(glob.glob(S.table_root(spark, table).removeprefix("file:") + "/**/*.parquet", recursive=True))
+
+
+def test_a_publish_writes_each_row_once(spark):
+    bars = _bars(spark).cache()
+    table = S.new_table_name("once")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, bars, table)
+    before = _files(spark, table)
+    P.publish_partition(spark, bars, table, "2024-01-05")
+    new = _files(spark, table) - before
+    read = {r[0] for r in spark.table(table).where("ds = '2024-01-05'").select(F.input_file_name()).distinct().collect()}
+    assert new == {f.replace("file://", "") for f in read}       # the published file is the staged one
+    assert before < _files(spark, table)                         # and the old files are still there
+    bars.unpersist()
+
+
+def test_a_reader_opened_before_an_overwrite_finishes(spark):
+    """Its files stay until the clean-up step, which spares what is young or in use."""
+    bars = _bars(spark)
+    for columns in (("ds",), ()):
+        table = S.new_table_name("open")
+        S.ensure_table(spark, table, schemas.BARS, columns)
+        S.insert_overwrite_table(spark, bars, table)
+        reader = spark.table(table).toLocalIterator()              # a job for each of its tasks
+        read = [next(reader)]
+        P.overwrite_table(spark, bars.where("ds = '2024-01-05'"), table)
+        assert S.remove_retired(spark, table, dt.timedelta(hours=1)) == []
+        assert len([*read, *reader]) == 150
+        assert spark.table(table).count() == 5
+        gone = S.remove_retired(spark, table, dt.timedelta(0))
+        assert len(gone) == (30 if columns else 1)
+        assert S.remove_retired(spark, table, dt.timedelta(0)) == []
+        assert spark.table(table).count() == 5 and len(_files(spark, table)) >= 1
+        S.drop_table(spark, table)
+
+
+def test_a_staged_folder_that_was_never_published_goes(spark):
+    table = S.new_table_name("left")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, _bars(spark), table)
+    stage = S.stage(spark, _bars(spark).limit(3), table)
+    S.drop_table(spark, stage)                                   # as after a crash: the folder stays
+    assert S.remove_retired(spark, table, dt.timedelta(hours=1)) == []
+    assert len(S.remove_retired(spark, table, dt.timedelta(0))) == 1
+    assert spark.table(table).count() == 150
+
+
+def test_a_named_folder_gives_its_last_published_rows(spark, tmp_path):
+    bars = _bars(spark)
+    table, folder = S.new_table_name("again"), str(tmp_path / "t")
+    S.ensure_table(spark, table, schemas.BARS, ("ds",), location=folder)
+    S.insert_overwrite_dynamic(spark, bars, table)
+    S.insert_overwrite_partition(spark, bars.where("ds = '2024-01-05'").limit(2).drop("ds"), table, {"ds": "2024-01-05"})
+    S.insert_overwrite_partition(spark, bars.limit(0).drop("ds"), table, {"ds": "2024-01-06"})
+    S.stage(spark, bars.limit(1), table)                         # not published
+    before = rows(spark.table(table))
+    S.drop_table(spark, table)
+    S.ensure_table(spark, table, schemas.BARS, ("ds",), location=folder)
+    assert rows(spark.table(table)) == before and len(before) == 142
+    flat = str(tmp_path / "flat")
+    S.ensure_table(spark, f"{table}_flat", schemas.BARS, location=flat)
+    for n in (5, 3):
+        S.insert_overwrite_table(spark, bars.limit(n), f"{table}_flat")
+    S.drop_table(spark, f"{table}_flat")
+    S.ensure_table(spark, f"{table}_flat", schemas.BARS, location=flat)
+    assert spark.table(f"{table}_flat").count() == 3
+
+
+def test_partition_values_with_odd_characters(spark):
+    from pyspark.sql import types as T
+    table = S.new_table_name("odd")
+    S.ensure_table(spark, table, T._parse_datatype_string("k long, p string"), ("p",))
+    values = ["a/b", "c=d", "it's", "100%", "x y", "back\\slash", None]
+    df = spark.createDataFrame(list(enumerate(values)), "k long, p string")
+    S.insert_overwrite_dynamic(spark, df, table)
+    S.insert_overwrite_dynamic(spark, df.withColumn("k", F.col("k") + 10), table)
+    assert rows(spark.table(table), "k", "p") == [(10 + k, v) for k, v in enumerate(values)]
+    S.insert_overwrite_table(spark, df.where("k = 1"), table)
+    assert rows(spark.table(table), "k", "p") == [(1, "c=d")]
+
+
+def test_merge_reads_keys_once_and_touched_partitions_once(spark):
+    """Scans of the target: its key columns in the look-up, whole rows of the touched month."""
+    import contextlib
+    import io
+    from pyspark.sql import types as T
+    table = S.new_table_name("scan")
+    schema = "k long, v string, p date"
+    S.ensure_table(spark, table, T._parse_datatype_string(schema), ("p",))
+    S.insert_overwrite_dynamic(spark, spark.createDataFrame(
+        [(k, "x", D(2024, 1, 1 + k % 3)) for k in range(90)], schema), table)
+    src = spark.createDataFrame([(4, "new", D(2024, 1, 2)), (7, "new", D(2024, 1, 2))], schema)
+
+    def plan(df):
+        buf = io.StringIO()
+        with contextlib.redirect_stdout(buf):
+            df.explain("formatted")
+        return buf.getvalue()
+    look_up = plan(P.matched_rows(spark.table(table), src, "k", "p"))
+    assert "ReadSchema: struct<k:bigint>" in look_up and "GreaterThanOrEqual(k,4), LessThanOrEqual(k,7)" in look_up
+    whole = plan(P.in_partitions(spark.table(table), "p", ["p=2024-01-02", f"p={S.NULL_VALUE}"]))
+    assert "PartitionFilters" in whole and "2024-01-02" in whole
+    found = {r.p for r in P.matched_rows(spark.table(table), src, "k", "p").collect()}
+    assert found == {D(2024, 1, 2)}
+
+
 def test_merge_null_partition_moves_and_inserts(spark):
     from pyspark.sql import types as T
     schema = "k long, v string, p date"

@@ -103,6 +103,33 @@ def test_daily_job_on_bucketed_table_equals_backfill(spark):
     assert "Bucketed: true" in buf.getvalue()
 
 
+def test_the_daily_job_moves_only_todays_rows(spark, tmp_path):
+    """The whole write: one exchange (today's activity), a file per bucket and day."""
+    import re
+
+    from kestrel.plans import jobs as J
+    from kestrel.plans import storage as S
+    fx.web_events_daily(spark, SF001).write.parquet(str(tmp_path / "daily"))
+    daily = spark.read.schema(DAILY_SCHEMA).parquet(str(tmp_path / "daily"))
+    table = J.ensure_state_table(spark, S.new_table_name("state"), buckets=4)
+    J.backfill_state_table(spark, daily, table, "2024-01-01", "2024-01-05")
+    for day in (D(2024, 1, 6), D(2024, 1, 7), D(2024, 1, 7)):
+        J.state_day(spark, daily, table, day)
+    files = spark.table(table).select("ds", F.input_file_name().alias("f")).distinct().collect()
+    per_day = {}
+    for r in files:
+        per_day.setdefault(r.ds, []).append(re.search(r"_(\d{5})\.c\d+", r.f).group(1))
+    assert {d: sorted(b) for d, b in per_day.items()} == {
+        D(2024, 1, d): ["00000", "00001", "00002", "00003"] for d in range(1, 8)}
+    target = J.ensure_state_table(spark, S.new_table_name("state"), buckets=4)
+    J.state_of_day(spark, daily, table, D(2024, 1, 8)).createOrReplaceTempView("state_of_day")
+    plan = spark.sql(f"EXPLAIN INSERT INTO {target} SELECT user_id, first_active_date, last_active_date, "
+                     "current_state, lifetime_page_visits, ds FROM state_of_day").first()[0]
+    exchanges = [line for line in plan.splitlines() if "Exchange" in line]
+    assert len(exchanges) == 1 and "hashpartitioning(user_id" in exchanges[0], plan
+    assert "REBALANCE" not in plan and "Bucketed: true" in plan
+
+
 def test_backfill_then_daily_runs(spark):
     from kestrel.plans import jobs as J
     from kestrel.plans import storage as S
