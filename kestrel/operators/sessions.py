@@ -11,10 +11,12 @@ single task has to hold a hot user-day (``tests/test_skew.py`` shows the
 split on a user-day holding two thirds of all rows).
 
 The running frame (UNBOUNDED PRECEDING to CURRENT ROW) needs each
-event's position inside its user-day.  Positions come from a range
-partitioning of the events with a tie-breaker, whose ranges are numbered
-inside and offset by their counts (:func:`running_windows`), so no window
-partition and no task grows with a hot user-day or a hot timestamp.
+event's position inside its user-day.  Events of one user at one time are alike
+in every column of the result, so they are counted first; the different times
+are range-partitioned, which is decided by their key alone, and a user-day's
+ranges are offset by their counts (:func:`running_windows`).  No window
+partition and no task grows with a hot user-day or a hot timestamp, and a task
+that is run again deals every row as before.
 """
 
 from __future__ import annotations
@@ -86,18 +88,17 @@ def sessionize(mapped: DataFrame, frame: str = "full") -> DataFrame:
                           _minutes("first_action_on_date", "event_time"))
 
 
-TIE_SEED = 17
+PIECE = 100_000               # equal events that one row is expanded to at a time
 
 
 def event_ranges(mapped: DataFrame) -> DataFrame:
-    """The events in ranges of (user-day, event time, tie-breaker), numbered in
-    order inside each (``_range``, ``_no``); stored, so both stay as they are."""
+    """The different (user-day, event time) with their number of events ``_n``, in ranges
+    of that order (``_range``); written to the shared folder when called, so that the
+    ranges' bounds, which come from a sample, are one for every reader."""
     spark = mapped.sparkSession
     ev = _with_group_key(mapped.select(*KEY, "event_time").filter(F.col("event_time").isNotNull()))
-    order = [*NKEY, "event_time", "_tie"]
-    ranged = (ev.withColumn("_tie", F.rand(TIE_SEED)).repartitionByRange(*order)
-              .sortWithinPartitions(*order).drop("_tie")
-              .withColumns({"_no": F.monotonically_increasing_id(), "_range": F.spark_partition_id()}))
+    times = ev.groupBy(*NKEY, *KEY, "event_time").agg(F.count(F.lit(1)).alias("_n"))
+    ranged = (times.repartitionByRange(*NKEY, "event_time").withColumn("_range", F.spark_partition_id()))
     path = work_dir(spark, "running")
     ranged.write.parquet(path)
     return spark.read.schema(ranged.schema).parquet(path)
@@ -106,27 +107,34 @@ def event_ranges(mapped: DataFrame) -> DataFrame:
 def running_windows(mapped: DataFrame) -> DataFrame:
     """Running frame (ROWS UNBOUNDED PRECEDING .. CURRENT ROW) from ranges.
 
-    The events are range-partitioned and sorted by (user, day, event time, a
-    seeded tie-breaker) and written to the shared folder with their running
-    number inside the range.  The tie-breaker splits even a user-day whose
-    events share one timestamp over several ranges, so no task holds more
-    than a range.  A user-day's events stand together in a range, so its
-    count and first number there (a row per user-day and range) give every
-    position: events in earlier ranges + distance from the first number.
-    The join back is skew-splittable; events are exchanged twice in all.
+    Equal events (one user, one time) are counted map-side and the different
+    times range-partitioned by (user, day, time): a key that no two rows share, so
+    a row's range depends on nothing but its own values.  A user-day's count and
+    first time per range (a row per user-day and range) give the events before
+    each range; inside a range a window sums them up.  A row of ``n`` equal events
+    is expanded last, to positions that follow one another; more than ``PIECE``
+    are dealt out in pieces first.
     """
     ranged = event_ranges(mapped)
-    held = ranged.groupBy(*NKEY, "_range").agg(F.count(F.lit(1)).alias("_n"), F.min("_no").alias("_first"),
-                                               F.min("event_time").alias("_since"))
+    held = ranged.groupBy(*NKEY, "_range").agg(F.sum("_n").alias("_sum"), F.min("event_time").alias("_since"))
     ranges = Window.partitionBy(*NKEY).orderBy("_range")
     held = held.select(
-        *NKEY, "_range", "_first",
-        F.coalesce(F.sum("_n").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
+        *NKEY, "_range",
+        F.coalesce(F.sum("_sum").over(ranges.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"),
         F.min("_since").over(Window.partitionBy(*NKEY)).alias("first_action_on_date"))
-    j = ranged.join(held, [*NKEY, "_range"])
-    return j.select("user_id", "event_time", "first_action_on_date",
-                    F.col("event_time").alias("last_action_on_date"),
-                    (F.col("_before") + F.col("_no") - F.col("_first") + 1).alias("total_event_today"))
+    inside = Window.partitionBy(*NKEY, "_range").orderBy("event_time").rowsBetween(Window.unboundedPreceding, 0)
+    placed = ranged.join(held, [*NKEY, "_range"]).select(
+        "user_id", "event_time", "first_action_on_date", "_n",
+        (F.col("_before") + F.sum("_n").over(inside) - F.col("_n")).alias("_from"))
+    few = placed.where(F.col("_n") <= PIECE).select("*", F.lit(0).cast("bigint").alias("_piece"))
+    many = placed.where(F.col("_n") > PIECE).select(
+        "*", F.explode(F.sequence(F.lit(0).cast("bigint"), F.expr(f"(_n - 1) div {PIECE}"))).alias("_piece"))
+    many = many.repartition("user_id", "event_time", "_piece")
+    first, last = F.col("_piece") * PIECE + 1, F.least((F.col("_piece") + 1) * PIECE, F.col("_n"))
+    out = few.unionByName(many).select("*", F.explode(F.sequence(first, last)).alias("_k"))
+    return out.select("user_id", "event_time", "first_action_on_date",
+                      F.col("event_time").alias("last_action_on_date"),
+                      (F.col("_from") + F.col("_k")).alias("total_event_today"))
 
 
 def multi_event_days(mapped: DataFrame, min_events: int = 1) -> DataFrame:
