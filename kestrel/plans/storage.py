@@ -26,6 +26,7 @@ import urllib.parse
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 from contextlib import contextmanager
+from dataclasses import asdict, dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -107,16 +108,34 @@ def ensure_table(spark: SparkSession, name: str, schema: T.StructType,
     held = published(spark, root, len(partition_cols))
     # an unpartitioned table points at its last version itself
     place = held.get("", root) if not partition_cols else root
+    layout = Layout(root, location is None, tuple(partition_cols), tuple(bucket_by) if bucket else (), buckets if bucket else 0)
     spark.sql(f"CREATE TABLE IF NOT EXISTS {_ident(name)} ({ddl(T.StructType(fields))}) USING parquet{part}{bucket} "
-              f"LOCATION {_quoted(place)} TBLPROPERTIES ('kestrel.root' = {_quoted(root)}, "
-              f"'kestrel.owned' = '{str(location is None).lower()}')")
+              f"LOCATION {_quoted(place)} TBLPROPERTIES ('kestrel.layout' = {_quoted(json.dumps(asdict(layout)))})")
     if partition_cols and held:
         _add_partitions(spark, name, held)
     return name
 
 
-def _properties(spark: SparkSession, table: str) -> dict[str, str]:
-    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_ident(table)}").collect()}
+@dataclass(frozen=True)
+class Layout:
+    """How a table is stored: ``root`` holds all its versions; ``owned``: and goes with it."""
+
+    root: str
+    owned: bool
+    partitions: tuple[str, ...] = ()
+    bucket_by: tuple[str, ...] = ()
+    buckets: int = 0
+
+
+def layout(spark: SparkSession, table: str) -> Layout:
+    """The layout noted in the table's properties; of a table made elsewhere, what the catalog says."""
+    noted = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {_ident(table)}").collect()}
+    if "kestrel.layout" in noted:
+        held = json.loads(noted["kestrel.layout"])
+        return Layout(held["root"], held["owned"], tuple(held["partitions"]), tuple(held["bucket_by"]), held["buckets"])
+    columns, said = spark.catalog.listColumns(table), _described(spark, table)
+    return Layout(said["Location"], False, tuple(c.name for c in columns if c.isPartition),
+                  tuple(c.name for c in columns if c.isBucket), int(said.get("Num Buckets", 0)))
 
 
 def _described(spark: SparkSession, table: str, partition: str = "") -> dict[str, str]:
@@ -127,7 +146,7 @@ def _described(spark: SparkSession, table: str, partition: str = "") -> dict[str
 
 def table_root(spark: SparkSession, table: str) -> str:
     """The folder that holds all versions of a table."""
-    return _properties(spark, table).get("kestrel.root") or _described(spark, table)["Location"]
+    return layout(spark, table).root
 
 
 def drop_table(spark: SparkSession, name: str) -> None:
@@ -135,10 +154,10 @@ def drop_table(spark: SparkSession, name: str) -> None:
     folder goes too, unless the caller chose it."""
     if not spark.catalog.tableExists(name):
         return
-    properties = _properties(spark, name)
+    held = layout(spark, name)
     spark.sql(f"DROP TABLE IF EXISTS {_ident(name)}")
-    if properties.get("kestrel.owned") == "true":
-        _delete(spark, properties["kestrel.root"])
+    if held.owned:
+        _delete(spark, held.root)
 
 
 def table_columns(spark: SparkSession, name: str) -> list[str]:
@@ -146,7 +165,7 @@ def table_columns(spark: SparkSession, name: str) -> list[str]:
 
 
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
-    return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
+    return list(layout(spark, table).partitions)
 
 
 def partitions(spark: SparkSession, table: str) -> list[str]:
@@ -174,7 +193,7 @@ def partition_name(values: dict[str, object]) -> str:
 
 # --- staging -------------------------------------------------------------------
 
-def _dealt(spark: SparkSession, df: DataFrame, table: str, aligned: bool) -> DataFrame:
+def _dealt(df: DataFrame, layout: Layout, aligned: bool) -> DataFrame:
     """Deal rows to write tasks as the table stores them.
 
     Bucketed: a task writes one bucket, so a bucket of a partition is one
@@ -184,11 +203,9 @@ def _dealt(spark: SparkSession, df: DataFrame, table: str, aligned: bool) -> Dat
     of one per input task), and a table partition holding a large share of
     the rows is split over several tasks instead of landing in one.
     """
-    buckets = [c.name for c in spark.catalog.listColumns(table) if c.isBucket]
-    if buckets:
-        return df if aligned else df.repartition(int(_described(spark, table)["Num Buckets"]), *buckets)
-    parts = partition_columns(spark, table)
-    return df.hint("rebalance", *parts) if parts else df
+    if layout.buckets:
+        return df if aligned else df.repartition(layout.buckets, *layout.bucket_by)
+    return df.hint("rebalance", *layout.partitions) if layout.partitions else df
 
 
 def stage(spark: SparkSession, df: DataFrame, table: str, aligned: bool = False) -> str:
@@ -198,15 +215,12 @@ def stage(spark: SparkSession, df: DataFrame, table: str, aligned: bool = False)
     A failure leaves nothing behind and every other table as it was.  The
     staging table ends with :func:`unstage`.
     """
-    name = new_table_name("stage")
-    schema = spark.table(table).schema
-    columns = spark.catalog.listColumns(table)
-    buckets = [c.name for c in columns if c.isBucket]
-    folder = f"{table_root(spark, table)}/{VERSIONS}/v{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:10]}"
-    ensure_table(spark, name, schema, [c.name for c in columns if c.isPartition], location=folder, bucket_by=buckets,
-                 buckets=int(_described(spark, table)["Num Buckets"]) if buckets else 0)
+    name, schema, held = new_table_name("stage"), spark.table(table).schema, layout(spark, table)
+    folder = f"{held.root}/{VERSIONS}/v{int(time.time() * 1000):013d}-{uuid.uuid4().hex[:10]}"
+    ensure_table(spark, name, schema, held.partitions, location=folder,
+                 bucket_by=held.bucket_by, buckets=held.buckets)
     try:
-        _dealt(spark, df.select(*schema.fieldNames()), name, aligned).write.insertInto(name)
+        _dealt(df.select(*schema.fieldNames()), held, aligned).write.insertInto(name)
     except BaseException:
         unstage(spark, name)
         raise
@@ -216,7 +230,7 @@ def stage(spark: SparkSession, df: DataFrame, table: str, aligned: bool = False)
 def unstage(spark: SparkSession, name: str) -> None:
     """Drop a staging table, and its folder unless that was published."""
     folder = table_root(spark, name)
-    drop_table(spark, name)
+    spark.sql(f"DROP TABLE {_ident(name)}")
     if not _fs(spark, folder).exists(_path(spark, f"{folder}/{PUBLISHED}")):
         _delete(spark, folder)
 
@@ -249,8 +263,9 @@ def _drop_partitions(spark: SparkSession, table: str, names: Sequence[str]) -> N
 def publish_stage(spark: SparkSession, stage: str, table: str, covers: Iterable[str] = ()) -> None:
     """Point the partitions of ``stage`` (of an unpartitioned table: the table) at the
     staged files, and drop those partitions of ``covers`` that the stage lacks."""
-    folder = table_root(spark, stage)
-    if not partition_columns(spark, table):
+    held = layout(spark, stage)                  # the same partitions as the table's
+    folder = held.root
+    if not held.partitions:
         _mark(spark, folder, [])
         spark.sql(f"ALTER TABLE {_ident(table)} SET LOCATION {_quoted(folder)}")
         spark.catalog.refreshTable(table)
