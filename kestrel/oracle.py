@@ -346,6 +346,25 @@ SELECT h AS host, b AS browser_type, d AS device_type, o AS os_type, url FROM ma
     "stock_bars": _with([BARS], "SELECT * FROM bars"),
     "ingest_bars": _with([BARS], """
 SELECT * FROM bars WHERE trade_count % 7 <> 0 AND trade_count % 11 <> 0"""),
+    "ingest_quarantine": _with([BARS, """lines AS (
+  SELECT ds, trade_count AS n, CASE WHEN trade_count % 23 <> 0 THEN stock_symbol END AS stock_symbol,
+    created_ts + to_seconds(k) AS created_ts,
+    CASE WHEN trade_count % 17 = 0 THEN -closing_price ELSE closing_price END AS closing_price
+  FROM bars, range(2) r(k) WHERE k = 0 OR trade_count % 13 = 0
+), judged AS (
+  SELECT *, CASE WHEN n % 19 = 0 THEN 'malformed response' WHEN n % 7 = 0 OR n % 11 = 0 THEN 'skipped'
+    WHEN stock_symbol IS NULL THEN 'no symbol' WHEN closing_price <= 0 THEN 'price not positive' END AS fault
+  FROM lines
+), told AS (
+  SELECT *, COALESCE(fault, CASE WHEN EXISTS (SELECT 1 FROM judged later WHERE later.fault IS NULL AND later.ds = judged.ds
+    AND later.stock_symbol = judged.stock_symbol AND later.created_ts > judged.created_ts)
+    THEN 'repeated symbol' ELSE 'kept' END) AS outcome
+  FROM judged
+)"""], """
+SELECT ds, CASE WHEN outcome <> 'malformed response' THEN stock_symbol END AS stock_symbol,
+  CASE WHEN outcome = 'kept' THEN created_ts END AS created_ts,
+  CASE WHEN outcome = 'kept' THEN closing_price END AS closing_price, outcome, CAST(1 AS BIGINT) AS copies
+FROM told WHERE outcome <> 'skipped'"""),
     "bars_by_day": _with([BARS], f"SELECT {BAR_COLS}, ds AS created_at_day FROM bars"),
     "last7_backfill": _with([BARS, LAST7], LAST7_SELECT),
     "last7_job": _with([BARS, LAST7], LAST7_SELECT + f" AND ds >= DATE '{Qy.JOB_START}'"),

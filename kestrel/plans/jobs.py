@@ -122,18 +122,30 @@ def cumulate_through(spark: SparkSession, prod: str, cumulative: str, ds: str |
         cumulate_day(spark, prod, cumulative, first + dt.timedelta(k), keep)
 
 
+def reject(spark: SparkSession, rejected: DataFrame, prod: str, run: str) -> str:
+    """Put the dead letters of one run into the table beside ``prod``; returns its name.
+    A run that is repeated replaces its own."""
+    table = f"{prod}_rejected"
+    S.ensure_table(spark, table, schemas.REJECTED_BARS, ("run",))
+    S.insert_overwrite_partition(spark, rejected, table, {"run": run})
+    return table
+
+
 def run_day(spark: SparkSession, landing: str, ds: str | dt.date, prod: str, cumulative: str,
             keep: int = B.KEEP) -> bool:
-    """The daily bar job: ingest the landed day -> audit -> publish ->
+    """The daily bar job: ingest the landed day -> quarantine -> audit -> publish ->
     last-7 step, each a Spark job; rerunning a day rewrites the same
-    partitions.  A day without bars publishes nothing and carries the arrays
-    forward; returns whether the day had bars."""
-    from kestrel.sources.landed import ingest_bars
+    partitions.  Landed rows that cannot be used go to the dead letters of
+    :func:`reject`, the others are published.  A day without bars publishes
+    nothing and carries the arrays forward; returns whether the day had bars."""
+    from kestrel.sources import landed as L
     S.ensure_table(spark, prod, schemas.BARS, ("ds",))
-    with S.staged(spark, ingest_bars(spark, landing, ds), prod) as stage:
-        some = not spark.table(stage).isEmpty()
+    with S.scratch(spark, L.entries(L.read_landed(spark, landing, ds)), schemas.LANDED_ENTRY) as found:
+        kept, rejected = L.sort_out(spark.table(found))
+        reject(spark, rejected, prod, f"day-{ds}")
+        some = not kept.isEmpty()
         if some:
-            publish_bars_day(spark, spark.table(stage), ds, table=prod)
+            publish_bars_day(spark, kept, ds, table=prod)
     cumulate_through(spark, prod, cumulative, ds, keep)
     return some
 

@@ -246,6 +246,17 @@ def staged(spark: SparkSession, df: DataFrame, table: str, aligned: bool = False
         unstage(spark, name)
 
 
+@contextmanager
+def scratch(spark: SparkSession, df: DataFrame, schema: T.StructType) -> Iterator[str]:
+    """A table of its own for ``df``, written once and dropped at the end."""
+    name = ensure_table(spark, new_table_name("scratch"), schema)
+    try:
+        df.select(*schema.fieldNames()).write.insertInto(name)
+        yield name
+    finally:
+        drop_table(spark, name)
+
+
 # --- publish -------------------------------------------------------------------
 
 def _add_partitions(spark: SparkSession, table: str, folders: dict[str, str]) -> None:

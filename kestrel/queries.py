@@ -157,6 +157,22 @@ def ingest_bars(spark, sf):
     return _comparable_bars(L.ingest_bars(spark, landing))
 
 
+def ingest_quarantine(spark, sf):
+    """Damaged landed responses through the ingest: the bars that stay and, with the reason,
+    those that are rejected."""
+    landing = L.land_damaged_responses(spark, fx.stock_bars_raw(spark, sf))
+    with S.scratch(spark, L.entries(L.read_landed(spark, landing)), schemas.LANDED_ENTRY) as found:
+        kept, rejected = L.sort_out(spark.table(found))
+        prod = S.ensure_table(spark, S.new_table_name("stock_bars_prod"), schemas.BARS, ("ds",))
+        S.insert_overwrite_dynamic(spark, kept, prod)
+        letters = J.reject(spark, rejected, prod, "all")
+    bars = _comparable_bars(spark.table(prod)).select(
+        "ds", "stock_symbol", "created_ts", "closing_price", F.lit("kept").alias("outcome"), F.lit(1).cast("bigint").alias("copies"))
+    return bars.unionByName(spark.table(letters).select(
+        "ds", "stock_symbol", F.lit(None).cast("timestamp_ntz").alias("created_ts"),
+        F.lit(None).cast("double").alias("closing_price"), F.col("reason").alias("outcome"), "copies"))
+
+
 def bars_by_day(spark, sf):
     table = S.new_table_name("stock_prices")
     J.write_bars_by_day(spark, _bars(spark, sf), table)
@@ -410,6 +426,7 @@ QUERIES: dict[str, Query] = {
     # bars
     "stock_bars": stock_bars,
     "ingest_bars": ingest_bars,
+    "ingest_quarantine": ingest_quarantine,
     "bars_by_day": bars_by_day,
     "last7_step": last7_step,
     "last7_backfill": last7_backfill,

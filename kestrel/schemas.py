@@ -83,6 +83,22 @@ API_RESPONSE = T.StructType([
     T.StructField("results", T.ArrayType(API_BAR)),
 ])
 
+# what a landed file holds, bar by bar: the bar, its text and why it cannot be used
+LANDED_ENTRY = T.StructType(BARS.fields + [
+    T.StructField("record", T.StringType()),
+    T.StructField("reason", T.StringType()),
+])
+
+# dead letters of the bar ingest (partitioned by the run that found them)
+REJECTED_BARS = T.StructType([
+    T.StructField("ds", T.DateType()),
+    T.StructField("stock_symbol", T.StringType()),
+    T.StructField("reason", T.StringType()),
+    T.StructField("record", T.StringType()),
+    T.StructField("copies", T.LongType()),
+    T.StructField("run", T.StringType()),
+])
+
 # accepted e-mail domains seed
 VALID_DOMAINS = T.StructType([T.StructField("valid_domain", T.StringType())])
 

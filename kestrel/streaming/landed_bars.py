@@ -14,7 +14,10 @@ into the last-7 array, in date order.  The same contract as a stream:
   first; rows of a day that earlier batches published stay, and a late day
   is folded into the later arrays too.  Every write replaces a partition, so
   a batch replayed after a failure rewrites the same rows (at-least-once
-  delivery, exactly-once table contents).
+  delivery, exactly-once table contents);
+* a landed row that cannot be used (a line that is no response, no symbol or
+  time, a price that is not positive, a symbol twice) goes to the dead letters
+  beside the bar table and the stream goes on with the others.
 """
 
 from __future__ import annotations
@@ -28,28 +31,32 @@ from kestrel.operators import bars as B
 from kestrel.plans import jobs as J
 from kestrel.plans import storage as S
 from kestrel.session import checkpoint_dir
-from kestrel.sources.landed import LANDED, flatten_responses
+from kestrel.sources.landed import CORRUPT, LANDED_LINES, entries, sort_out
 
 
 def process_batch(spark: SparkSession, batch: DataFrame, prod: str, cumulative: str,
-                  keep: int = B.KEEP) -> list:
+                  keep: int = B.KEEP, run: str = "batch") -> list:
     """Run the daily job for each day present in a batch of landed responses.
 
     Only the batch's distinct load dates reach the driver (one row per
     day); all row work stays in Spark jobs.
     """
     S.ensure_table(spark, prod, schemas.BARS, ("ds",))
-    with S.staged(spark, flatten_responses(batch), prod) as stage:       # the batch, read once
-        bars = spark.table(stage)
-        days = sorted(r["ds"] for r in bars.select("ds").distinct().collect())
-        for ds in days:
-            day = bars.filter(F.col("ds") == F.lit(ds))
-            # a day may arrive in several batches: what is published stays,
-            # except the symbols that this batch brings again
-            held = spark.table(prod).filter(F.col("ds") == F.lit(ds)).join(day.select("stock_symbol"), "stock_symbol", "left_anti")
-            J.publish_bars_day(spark, day.unionByName(held.select(*day.columns)), ds, table=prod)
-        for ds in days:
-            J.cumulate_through(spark, prod, cumulative, ds, keep)
+    with S.scratch(spark, entries(batch), schemas.LANDED_ENTRY) as found:       # the batch, read once
+        kept, rejected = sort_out(spark.table(found))
+        J.reject(spark, rejected, prod, run)
+        with S.staged(spark, kept, prod) as stage:
+            bars = spark.table(stage)
+            days = S.partition_dates(spark, stage)
+            for ds in days:
+                day = bars.filter(F.col("ds") == F.lit(ds))
+                # a day may arrive in several batches: what is published stays,
+                # except the symbols that this batch brings again
+                held = spark.table(prod).filter(F.col("ds") == F.lit(ds)).join(
+                    day.select("stock_symbol"), "stock_symbol", "left_anti")
+                J.publish_bars_day(spark, day.unionByName(held.select(*day.columns)), ds, table=prod)
+            for ds in days:
+                J.cumulate_through(spark, prod, cumulative, ds, keep)
     return days
 
 
@@ -69,12 +76,12 @@ def start(spark: SparkSession, landing: str, prod: str, cumulative: str,
     the shared checkpoint folder.
     """
     S.ensure_table(spark, prod, schemas.BARS, ("ds",))
-    reader = spark.readStream.schema(LANDED)
+    reader = spark.readStream.schema(LANDED_LINES).option("columnNameOfCorruptRecord", CORRUPT)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     stream = reader.json(landing)
     writer = (stream.writeStream
-              .foreachBatch(lambda df, _epoch: process_batch(spark, df, prod, cumulative))
+              .foreachBatch(lambda df, epoch: process_batch(spark, df, prod, cumulative, run=f"batch-{epoch}"))
               .option("checkpointLocation", checkpoint or default_checkpoint(spark, prod, cumulative)))
     writer = (writer.trigger(availableNow=True) if available_now
               else writer.trigger(processingTime=processing_time))
