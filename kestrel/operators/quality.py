@@ -15,7 +15,7 @@ from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from dataclasses import field as dc_field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kestrel.functions.email import invalid_email
@@ -106,6 +106,35 @@ def day_counts(df: DataFrame, start: str | dt.date, end: str | dt.date,
                     F.when(n == 0, "fail").otherwise("pass").alias("dq_check"))
 
 
+def unit_difference(actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """The rows in which a model's output differs from the expected rows, as multisets:
+    its columns, ``side`` ('unexpected' or 'missing') and ``copies``.  Zero rows is a pass.
+
+    Both sides are counted by row in one grouped pass (map-side first), so it works on
+    tables of any size, and a row that is repeated without end is one row of each task."""
+    columns = expected.columns
+    both = actual.select(*columns, F.lit(1).alias("_n")).unionByName(expected.select(*columns, F.lit(-1).alias("_n")))
+    n = F.col("_n")
+    return (both.groupBy(*columns).agg(F.sum("_n").alias("_n")).where(n != 0)
+            .select(*columns, F.when(n > 0, "unexpected").otherwise("missing").alias("side"),
+                    F.abs(n).cast("bigint").alias("copies")))
+
+
+def unit_result(test: str, actual: DataFrame, expected: DataFrame) -> DataFrame:
+    """:func:`unit_difference` as one row: test, missing, unexpected, status."""
+    count = lambda side: F.coalesce(F.sum(F.when(F.col("side") == side, F.col("copies"))), F.lit(0)).cast("bigint").alias(side)
+    out = unit_difference(actual, expected).agg(count("missing"), count("unexpected"))
+    return out.select(F.lit(test).alias("test"), "missing", "unexpected",
+                      F.when(F.col("missing") + F.col("unexpected") == 0, "pass").otherwise("fail").alias("status"))
+
+
+def with_position(report: DataFrame) -> DataFrame:
+    """A sorted report with the place of each row (``position``, from 1), so that its order
+    can be tested.  For reports: the rows are numbered by one task."""
+    numbered = report.withColumn("_at", F.monotonically_increasing_id())
+    return numbered.withColumn("position", F.row_number().over(Window.orderBy("_at")).cast("bigint")).drop("_at")
+
+
 # ---------------------------------------------------------------------------
 # declared checks, evaluated together
 # ---------------------------------------------------------------------------

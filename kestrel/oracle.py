@@ -148,6 +148,20 @@ FACT = """fact_visits AS (
 AUDIT = f"""audit_fact_visits AS (
   SELECT * FROM fact_visits WHERE purchase_date = DATE '{Qy.AUDIT_DATE}')"""
 
+# the declared layout of three tables, as the catalog must give it back
+LAYOUTS = (
+    [("bars", "column", name, kind) for name, kind in (
+        ("stock_symbol", "string"), ("created_ts", "timestamp_ntz"), ("opening_price", "float"), ("high_price", "float"),
+        ("low_price", "float"), ("closing_price", "float"), ("trade_volume", "bigint"), ("trade_count", "bigint"),
+        ("ds", "date"))]
+    + [("state", "column", name, kind) for name, kind in (
+        ("user_id", "bigint"), ("first_active_date", "date"), ("last_active_date", "date"), ("current_state", "string"),
+        ("lifetime_page_visits", "bigint"), ("ds", "date"))]
+    + [("domains", "column", "valid_domain", "string"), ("bars", "partitioned by", "ds", "0"),
+       ("state", "partitioned by", "ds", "0"), ("state", "bucketed by", "user_id", str(Qy.STATE_BUCKETS)),
+       ("gone", "exists", "false", "")])
+
+
 def _with(ctes: list[str], body: str, recursive: bool = False) -> str:
     head = "WITH RECURSIVE " if recursive else "WITH "
     return head + ",\n".join(ctes) + "\n" + body
@@ -321,9 +335,13 @@ FROM hist WHERE rn <= 7"""
 ORACLE: dict[str, str] = {
     "os_monthly_active": _with([ACTIVITY, ACTIVITY_DEVICES, MONTHLY], "SELECT * FROM monthly"),
     "os_growth_mom_yoy": OS_GROWTH,
+    "os_growth_order": f"""SELECT *, ROW_NUMBER() OVER (ORDER BY activity_year DESC, activity_month DESC, os) AS position
+FROM ({OS_GROWTH}) report""",
     "user_first_activity": _with([ACTIVITY], """
 SELECT user_id, MIN(CAST(event_time AS DATE)) AS first_active_date FROM activity GROUP BY user_id"""),
     "retention_monthly": RETENTION,
+    "retention_order": f"""SELECT *, ROW_NUMBER() OVER (ORDER BY first_year DESC, first_month DESC) AS position
+FROM ({RETENTION}) report""",
     "user_state_step": STATE_STEP,
     "user_state_backfill": STATE_BACKFILL,
     "user_state_job": f"SELECT * FROM ({STATE_BACKFILL}) WHERE ds >= DATE '{Qy.JOB_START}'",
@@ -368,12 +386,36 @@ FROM told WHERE outcome <> 'skipped'"""),
     "bars_by_day": _with([BARS], f"SELECT {BAR_COLS}, ds AS created_at_day FROM bars"),
     "last7_backfill": _with([BARS, LAST7], LAST7_SELECT),
     "last7_job": _with([BARS, LAST7], LAST7_SELECT + f" AND ds >= DATE '{Qy.JOB_START}'"),
+    "cumulative_clear": _with([BARS, LAST7], LAST7_SELECT + f" AND ds <= DATE '{Qy.STEP_DAY}'"),
     "last7_step": _with([BARS, LAST7], LAST7_SELECT + f" AND ds = DATE '{Qy.STEP_DAY}'"),
     # mart
     "stg_customers": _with(STG, "SELECT * FROM stg_haunted_customers"),
     "stg_feedbacks": _with(STG, "SELECT * FROM stg_customer_feedbacks"),
     "stg_houses": _with(STG, "SELECT * FROM stg_haunted_houses"),
     "stg_tickets": _with(STG, "SELECT * FROM stg_haunted_house_tickets"),
+    "valid_domains": _with(STG, """
+SELECT split_part(email, '@', 2) AS valid_domain, COUNT(*) AS customers, CAST(NULL AS VARCHAR) AS bad_line
+FROM stg_haunted_customers WHERE email LIKE '%@%' GROUP BY 1
+UNION ALL
+SELECT NULL, NULL, email || ',' || CAST(customer_id AS VARCHAR)
+FROM stg_haunted_customers WHERE email NOT LIKE '%@%' AND customer_id % 100 = 3"""),
+    "dq_unit_dim_customers": _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS], """
+SELECT 'as expected' AS test, CAST(0 AS BIGINT) AS missing, CAST(0 AS BIGINT) AS unexpected, 'pass' AS status
+UNION ALL
+SELECT 'every seventh flag wrong', COUNT(*), COUNT(*), CASE WHEN COUNT(*) = 0 THEN 'pass' ELSE 'fail' END
+FROM dim_customers WHERE customer_id % 7 = 0"""),
+    "fact_audit_job": _with(STG + [FACT], f"""
+SELECT * FROM fact_visits WHERE purchase_date IS DISTINCT FROM DATE '{Qy.FAILED_DATE}'
+UNION ALL
+SELECT NULL, NULL, NULL, day, NULL, NULL, NULL, NULL, passed
+FROM (VALUES (DATE '{Qy.AUDIT_DATE}', 'true'), (DATE '{Qy.FAILED_DATE}', 'false')) audits(day, passed)"""),
+    "table_layouts": _with([BARS], f"""
+SELECT * FROM (VALUES {", ".join(str(r) for r in LAYOUTS)}) declared(table_name, kind, name, detail)
+UNION ALL
+SELECT 'bars', 'partition', 'ds=' || CAST(ds AS VARCHAR), '' FROM (SELECT DISTINCT ds FROM bars)
+UNION ALL
+SELECT 'state', 'partition', 'ds=' || CAST(CAST(d AS DATE) AS VARCHAR), ''
+FROM range(DATE '{Qy.DAY_START}', DATE '{Qy.STEP_DAY}' + 1, INTERVAL 1 DAY) days(d)"""),
     "dim_customers": _with(STG + [VALID_DOMAINS, DIM_CUSTOMERS], "SELECT * FROM dim_customers"),
     "dim_houses": _with(STG + [DIM_HOUSES], "SELECT * FROM dim_haunted_houses"),
     "feet_to_meters": _with(STG, """

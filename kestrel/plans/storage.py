@@ -379,6 +379,26 @@ def _points_at(spark: SparkSession, table: str, partition: str, folder: str) ->
         _path(spark, place)).toString()
 
 
+def leftovers(spark: SparkSession, table: str) -> list[str]:
+    """Staging tables of ``table`` that still stand, and its staged folders that were never published."""
+    root = f"{table_root(spark, table)}/{VERSIONS}/"
+    staging = [t.name for t in spark.catalog.listTables() if t.name.startswith("stage_")
+               and layout(spark, t.name).root.startswith(root)]
+    return sorted(staging) + [folder for folder, mark in _marks(spark, root.rsplit("/", 2)[0]) if mark is None]
+
+
+def read_back(spark: SparkSession, table: str) -> DataFrame:
+    """What the catalog holds of a table, as rows (kind, name, detail): its columns with
+    their types, partition and bucket columns, partitions, and what staging left behind."""
+    held = layout(spark, table)
+    rows = [("column", c.name, c.dataType) for c in spark.catalog.listColumns(table)]
+    rows += [("partitioned by", c, str(k)) for k, c in enumerate(held.partitions)]
+    rows += [("bucketed by", c, str(held.buckets)) for c in held.bucket_by]
+    rows += [("partition", p, "") for p in (partitions(spark, table) if held.partitions else ())]
+    rows += [("left behind", name, "") for name in leftovers(spark, table)]
+    return spark.createDataFrame(rows, "kind string, name string, detail string")
+
+
 def replace_partition(spark: SparkSession, stage: str, table: str, partition: dict[str, object]) -> None:
     """Make ``partition`` of ``table`` the rows of the staged copy ``stage``;
     an empty copy empties it."""

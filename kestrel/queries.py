@@ -28,7 +28,7 @@ from kestrel.plans import publish as P
 from kestrel.plans import storage as S
 from kestrel.sources import fixtures as fx
 from kestrel.sources import landed as L
-from kestrel.sources.seeds import valid_domains
+from kestrel.sources.seeds import land_domains, read_seed, valid_domains
 
 # --- query parameters (dates inside the driver tables' ranges) -------------
 WEB_START, WEB_END = "2024-01-01", "2024-12-31"      # web window (literal last-day bound)
@@ -62,6 +62,16 @@ def os_growth_mom_yoy(spark, sf):
     return G.order_growth(G.growth(os_monthly_active(spark, sf)))
 
 
+def os_growth_order(spark, sf):
+    """The growth report with the place of each row."""
+    return Q.with_position(os_growth_mom_yoy(spark, sf))
+
+
+def retention_order(spark, sf):
+    """The retention report with the place of each row."""
+    return Q.with_position(retention_monthly(spark, sf))
+
+
 def user_first_activity(spark, sf):
     return R.first_activity(fx.activity(spark, sf))
 
@@ -211,6 +221,18 @@ def stg_tickets(spark, sf):
     return M.stg_tickets(fx.raw_haunted_house_tickets(spark, sf))
 
 
+def valid_domains_seed(spark, sf):
+    """A seed written from the customers' addresses and read with its declared schema: each
+    domain with its customers, each line that does not fit."""
+    customers = stg_customers(spark, sf)
+    seed = read_seed(spark, land_domains(spark, customers), schemas.VALID_DOMAINS, header=False)
+    counted = customers.groupBy(F.split_part("email", F.lit("@"), F.lit(2)).alias("valid_domain")).agg(
+        F.count(F.lit(1)).alias("customers"))
+    good = seed.where("bad_line IS NULL").select("valid_domain").join(counted, "valid_domain", "left")
+    return good.select("valid_domain", "customers", F.lit(None).cast("string").alias("bad_line")).unionByName(
+        seed.where("bad_line IS NOT NULL").select("valid_domain", F.lit(None).cast("bigint").alias("customers"), "bad_line"))
+
+
 def dim_customers(spark, sf):
     return M.dim_customers(stg_customers(spark, sf), valid_domains(spark))
 
@@ -266,6 +288,40 @@ def mart_build(spark, sf):
             .select(*M.FACT_COLUMNS, "is_valid_email_address", "house_name", "house_size_in_m2"))
 
 
+FAILED_DATE = "1995-06-19"                           # purchase date whose audit fails
+
+
+def fact_audit_job(spark, sf):
+    """P7's audit variant: one purchase day passes its tests and is merged into a fact that
+    lacks it, another one, whose houses are not among the dimension's, is refused."""
+    days = [F.lit(d).cast("date") for d in (AUDIT_DATE, FAILED_DATE)]
+    table = J.ensure_fact_table(spark, S.new_table_name("fact_visits"))
+    stored = fact_visits(spark, sf).where(~F.coalesce(F.col("purchase_date").isin(*days), F.lit(False)))
+    S.insert_overwrite_dynamic(spark, J.with_fact_partition(stored), table)
+    models = J.mart_models(spark, sf)
+    without_houses = {**models, "dim_haunted_houses": models["dim_haunted_houses"].where("haunted_house_id < 0")}
+    results = [J.build_fact_visits(spark, sf, AUDIT_DATE, table, models),
+               J.build_fact_visits(spark, sf, FAILED_DATE, table, without_houses)]
+    S.drop_table(spark, results[1].audit_table)
+    passed = spark.createDataFrame([(d, r.passed) for d, r in zip((AUDIT_DATE, FAILED_DATE), results)], "day string, passed boolean")
+    fact = spark.table(table).select(*M.FACT_COLUMNS)
+    audits = passed.select(F.col("day").cast("date").alias("purchase_date"), F.col("passed").cast("string").alias("comments"))
+    return fact.unionByName(audits, allowMissingColumns=True)
+
+
+def dq_unit_dim_customers(spark, sf):
+    """T8 over every customer: the expected flag follows from the address's kind; then the same
+    rows with the flag of every seventh customer wrong."""
+    customers = stg_customers(spark, sf)
+    actual = dim_customers(spark, sf)
+    flag = F.coalesce(F.col("email").rlike("^[^@]*@example[.](com|io)$"), F.lit(False))
+    expected = customers.withColumn("is_valid_email_address", flag).select(*actual.columns)
+    seventh = F.col("customer_id") % 7 == 0
+    wrong = expected.withColumn("is_valid_email_address", F.col("is_valid_email_address") != seventh)
+    return Q.unit_result("as expected", actual, expected).unionByName(
+        Q.unit_result("every seventh flag wrong", actual, wrong))
+
+
 def dq_audit_checks(spark, sf):
     """The six declared tests of the audit day, foreign keys to both dimensions
     included; houses hold only the larger ones, so one of them fails."""
@@ -319,6 +375,41 @@ def user_state_late_backfill(spark, sf):
     return spark.table(table).select(*schemas.USER_STATE.fieldNames())
 
 
+def cumulative_clear(spark, sf):
+    """A cumulative day that holds other rows is cleared and inserted again; the other days stay."""
+    prod, cum = S.new_table_name("stock_bars_prod"), S.new_table_name("last7")
+    S.ensure_table(spark, prod, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, _bars(spark, sf), prod)
+    J.backfill_cumulative(spark, prod, cum, DAY_START, STEP_DAY)
+    day = spark.table(cum).where(F.col("ds") == F.lit(STEP_DAY).cast("date"))
+    other = day.withColumn("stock_symbol", F.concat(F.lit("old_"), "stock_symbol"))
+    S.insert_overwrite_partition(spark, day.unionByName(other).drop("ds"), cum, {"ds": STEP_DAY})
+    J.cumulate_day(spark, prod, cum, STEP_DAY)
+    return B.explode_prices(spark.table(cum)).withColumn("price", F.col("price").cast("double"))
+
+
+def table_layouts(spark, sf):
+    """Tables as jobs declare and fill them, read back from the catalog; a day is
+    published twice, a bucketed day run, a staging table dropped."""
+    bars, state, flat = (S.new_table_name(n) for n in ("bars", "state", "dim"))
+    S.ensure_table(spark, bars, schemas.BARS, ("ds",))
+    S.insert_overwrite_dynamic(spark, _bars(spark, sf), bars)
+    for _ in range(2):
+        P.publish_partition(spark, _bars(spark, sf), bars, STEP_DAY)
+    J.ensure_state_table(spark, state, STATE_BUCKETS)
+    J.backfill_state_table(spark, _daily(spark, sf), state, DAY_START, STEP_DAY)
+    S.ensure_table(spark, flat, schemas.VALID_DOMAINS)
+    S.insert_overwrite_table(spark, valid_domains(spark), flat)
+    dropped = S.ensure_table(spark, S.new_table_name("gone"), schemas.BARS, ("ds",))
+    S.drop_table(spark, dropped)
+    out = None
+    for name, table in (("bars", bars), ("state", state), ("domains", flat)):
+        rows = S.read_back(spark, table).select(F.lit(name).alias("table_name"), "kind", "name", "detail")
+        out = rows if out is None else out.unionByName(rows)
+    gone = spark.createDataFrame([("gone", "exists", str(spark.catalog.tableExists(dropped)).lower(), "")], out.schema)
+    return out.unionByName(gone)
+
+
 # --- publish ------------------------------------------------------------------
 
 def wap_gate(spark, sf):
@@ -406,8 +497,10 @@ QUERIES: dict[str, Query] = {
     # analytical patterns
     "os_monthly_active": os_monthly_active,
     "os_growth_mom_yoy": os_growth_mom_yoy,
+    "os_growth_order": os_growth_order,
     "user_first_activity": user_first_activity,
     "retention_monthly": retention_monthly,
+    "retention_order": retention_order,
     "user_state_step": user_state_step,
     "user_state_backfill": user_state_backfill,
     "user_state_job": user_state_job,
@@ -431,11 +524,13 @@ QUERIES: dict[str, Query] = {
     "last7_step": last7_step,
     "last7_backfill": last7_backfill,
     "last7_job": last7_job,
+    "cumulative_clear": cumulative_clear,
     # mart
     "stg_customers": stg_customers,
     "stg_feedbacks": stg_feedbacks,
     "stg_houses": stg_houses,
     "stg_tickets": stg_tickets,
+    "valid_domains": valid_domains_seed,
     "dim_customers": dim_customers,
     "dim_houses": dim_houses,
     "feet_to_meters": feet_to_meters,
@@ -443,6 +538,8 @@ QUERIES: dict[str, Query] = {
     "audit_fact_visits": audit_fact_visits,
     "fact_visits_merge": fact_visits_merge,
     "mart_build": mart_build,
+    "fact_audit_job": fact_audit_job,
+    "table_layouts": table_layouts,
     # publish
     "wap_gate": wap_gate,
     "wap_publish": wap_publish,
@@ -458,4 +555,5 @@ QUERIES: dict[str, Query] = {
     "dq_nonempty": dq_nonempty,
     "dq_mart_checks": dq_mart_checks,
     "dq_audit_checks": dq_audit_checks,
+    "dq_unit_dim_customers": dq_unit_dim_customers,
 }

@@ -78,3 +78,63 @@ def test_day_counts_marks_empty_days(spark):
     df = spark.createDataFrame([(D(2024, 1, 1),), (D(2024, 1, 3),)], "ds date")
     out = rows(Q.day_counts(df, "2024-01-01", "2024-01-03"), "ds", "dq_check")
     assert [c for _, c in out] == ["pass", "fail", "pass"]
+
+
+def test_seed_reports_the_lines_that_do_not_fit(spark, tmp_path):
+    from pyspark.sql import types as T
+
+    from kestrel.sources.seeds import read_seed
+    (tmp_path / "seed.csv").write_text("domain,rank\nexample.com,1\nexample.io,two\na,2,3\nb\n\nlast.org,4\n")
+    schema = T._parse_datatype_string("domain string, rank long")
+    got = rows(read_seed(spark, str(tmp_path / "seed.csv"), schema))
+    assert got == [("example.com", 1, None), ("last.org", 4, None), (None, None, "a,2,3"), (None, None, "b"),
+                   (None, None, "example.io,two")]
+
+
+def test_unit_difference_is_of_multisets(spark):
+    schema = "k long, v string"
+    actual = spark.createDataFrame([(1, "a"), (1, "a"), (2, None), (3, "c")], schema)
+    expected = spark.createDataFrame([(1, "a"), (2, None), (3, "d"), (3, "d")], schema)
+    assert rows(Q.unit_difference(actual, expected)) == [
+        (1, "a", "unexpected", 1), (3, "c", "unexpected", 1), (3, "d", "missing", 2)]
+    assert Q.unit_difference(actual, actual).isEmpty()
+
+
+def test_unit_check_turns_red_for_one_wrong_flag(spark):
+    from pyspark.sql import functions as F
+
+    from kestrel.queries import dim_customers
+    from tests.conftest import SF0001
+    actual = dim_customers(spark, SF0001)
+    wrong = actual.withColumn("is_valid_email_address", F.col("is_valid_email_address") != (F.col("customer_id") == 5))
+    assert rows(Q.unit_result("t", actual, actual)) == [("t", 0, 0, "pass")]
+    assert rows(Q.unit_result("t", wrong, actual)) == [("t", 1, 1, "fail")]
+
+
+def test_positions_tell_a_report_without_its_sort(spark):
+    from kestrel import queries as Qy
+    from kestrel.operators import growth as G
+    from kestrel.operators import retention as R
+    from kestrel.sources import fixtures as fx
+    from tests.conftest import SF0001
+    for sorted_, plain in (
+            (Qy.os_growth_mom_yoy(spark, SF0001), G.growth(Qy.os_monthly_active(spark, SF0001))),
+            (Qy.retention_monthly(spark, SF0001), R.retention(fx.activity(spark, SF0001)))):
+        assert rows(sorted_) == rows(plain)                  # the rows are the same
+        assert rows(Q.with_position(sorted_)) != rows(Q.with_position(plain))
+        places = sorted(r.position for r in Q.with_position(sorted_).collect())
+        assert places == list(range(1, len(places) + 1))
+
+
+def test_read_back_tells_what_staging_left(spark):
+    from kestrel import schemas
+    from kestrel.plans import storage as S
+    table = S.ensure_table(spark, S.new_table_name("layout"), schemas.VALID_DOMAINS)
+    S.insert_overwrite_table(spark, valid_domains(spark), table)
+    before = rows(S.read_back(spark, table))
+    assert before == [("column", "valid_domain", "string")]
+    stage = S.stage(spark, valid_domains(spark), table)
+    kinds = [r[0] for r in rows(S.read_back(spark, table))]
+    assert kinds == ["column", "left behind", "left behind"]     # the staging table and its folder
+    S.unstage(spark, stage)
+    assert rows(S.read_back(spark, table)) == before
