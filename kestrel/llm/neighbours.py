@@ -9,14 +9,16 @@ k-th largest of the query's lowest possible ones, so none of the true nearest
 is lost; survivors are computed again in double precision on the given
 vectors.  The tiles' sorted lists are merged by heaps, a query at a time.
 
-Every candidate meets every query: the result is exact.  Tiles bound the
+Vectors are multiplied by powers of two first, so components of any finite size
+give finite products.  Every candidate meets every query: the result is exact.  Tiles bound the
 memory of a task, and their number is the product of the numbers of blocks.
 
 Defined results: vectors that are null, empty, all zero or hold a null or
 non-finite component take no part, as query or candidate; vectors of another
 length are never compared; a row without vec_id takes no part; rows sharing
 the query's vec_id are the query's own; equal scores go to the smaller vec_id;
-with fewer candidates all are returned.
+with fewer candidates all are returned; an empty table, or one without
+queries, gives no rows; only the id and the vector are read.
 """
 
 from __future__ import annotations
@@ -49,16 +51,16 @@ def vectors(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding"
         F.exists("vector", lambda x: x != 0))
 
 
-def _length(x: np.ndarray) -> np.ndarray:
-    # scaled first, so that neither large nor small components leave the range
-    top = np.abs(x).max(axis=1)
-    return top * np.sqrt(np.square(x / top[:, None]).sum(axis=1))
+def _scaled(x: np.ndarray) -> np.ndarray:
+    """Each vector times a power of two that brings its largest component near one: exact, no
+    cosine changes, and neither large nor small components leave the range when squared."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
 def _pack(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("vec_id", ignore_index=True)
-    given = np.vstack(rows["vector"].to_numpy())
-    unit = given / _length(given)[:, None]
+    given = _scaled(np.vstack(rows["vector"].to_numpy()))
+    unit = given / np.sqrt(np.square(given).sum(axis=1))[:, None]
     scale = np.abs(unit).max(axis=1) / 127
     codes = np.rint(unit / scale[:, None]).astype(np.int8)
     lost = np.sqrt(np.square(unit - codes * scale[:, None]).sum(axis=1)) + 1e-9

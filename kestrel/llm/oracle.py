@@ -45,20 +45,35 @@ def secret_sql() -> str:
       FROM texts WHERE regexp_matches(t, {p})))
   WHERE keep"""
     assign, access, hexes = secret_scan.ASSIGN, "AKIA[A-Z0-9]+", "[0-9a-f]+"
-    runs = "[A-Za-z0-9+/_=-]{20,}"
-    long_enough = lambda p, n: f"list_transform(regexp_extract_all(t, {_quoted(p)}), lambda f: length(f) >= {n})"
-    least = "CASE " + " ".join(f"WHEN regexp_matches(piece, {_quoted(p)}) THEN {bits}" for p, _, bits in secret_scan.CLASSES) + " END"
     w = secret_scan.WINDOW
+    runs, stretch = f"[A-Za-z0-9+/_=-]{{{w},}}", _quoted(f"[A-Za-z]{{{w},}}")
+    long_enough = lambda p, n: f"list_transform(regexp_extract_all(t, {_quoted(p)}), lambda f: length(f) >= {n})"
+    least = "CASE " + " ".join(f"WHEN regexp_matches(piece, {_quoted(p)}) THEN {bits}" for p, bits in secret_scan.CLASSES) + " END"
+
+    def cut(pattern: str, what: str, start: str, table: str, where: str) -> str:
+        """A row for each gap (or find) of ``piece`` and its place in the text."""
+        inside = "" if what == "gaps" else " + length(gaps[i])"
+        return f"""
+  SELECT doc_id, start + CAST(coalesce(list_sum(list_transform(gaps[:i - 1], lambda g: length(g))), 0)
+      + coalesce(list_sum(list_transform(found[:i - 1], lambda f: length(f))), 0){inside} AS BIGINT) AS start, piece
+  FROM (SELECT doc_id, start, gaps, found, unnest(range(1, len({what}) + 1)) AS i, unnest({what}) AS piece
+    FROM (SELECT doc_id, start, string_split_regex(piece, {pattern}) AS gaps, regexp_extract_all(piece, {pattern}) AS found
+      FROM {table} WHERE {where}))
+  WHERE length(piece) >= {w}"""
     return f"""
 WITH texts AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
 base AS ({spans(0, assign, f"list_transform(regexp_extract_all(t, {_quoted(assign)}, 2), lambda f: length(f) >= {secret_scan.LEAST_ASSIGN})")}
   UNION ALL {spans(1, access, long_enough(access, secret_scan.LEAST_ACCESS))}
   UNION ALL {spans(2, hexes, long_enough(hexes, secret_scan.LEAST_HEX))}),
-runs AS ({spans(3, runs, long_enough(runs, 20))}),
+runs AS ({spans(3, runs, long_enough(runs, w))}),
+parts AS ({cut(_quoted(secret_scan.ALLOWED), "gaps", "start", "runs", f"NOT regexp_matches(piece, {_quoted(secret_scan.UUID)})")}),
+scanned AS (
+  SELECT doc_id, start, piece, {least} AS least FROM parts WHERE regexp_matches(piece, '[0-9]')
+  UNION ALL
+  SELECT doc_id, start, piece, {secret_scan.LETTERS_LEAST} FROM ({cut(stretch, "found", "start", "parts", "NOT regexp_matches(piece, '[0-9]')")})),
 windows AS (
-  SELECT doc_id, start, {least} AS least, k, string_split(substring(piece, k + 1, {w}), '') AS chars
-  FROM (SELECT *, unnest(range(0, length(piece) - {w} + 1)) AS k FROM runs
-    WHERE regexp_matches(piece, '[0-9]') AND NOT regexp_matches(piece, {_quoted(secret_scan.ALLOWED)}))),
+  SELECT doc_id, start, least, k, string_split(substring(piece, k + 1, {w}), '') AS chars
+  FROM (SELECT *, unnest(range(0, length(piece) - {w} + 1)) AS k FROM scanned)),
 entropy AS (
   SELECT doc_id, 3 AS kind, start + min(k) AS start, start + max(k) + {w} AS stop FROM windows
   WHERE list_sum(list_transform(list_distinct(chars), lambda c: -(len(list_filter(chars, lambda x: x = c)) / {w}.0)

@@ -14,10 +14,22 @@ one.  So each record is read by exactly one task, wherever ranges are cut.
 File names carry the task attempt and only files in the stored manifest are
 read, so retried or speculative tasks leave at most unused files.
 
+Archives of other writers are read too: record types other than response and
+revisit (warcinfo, request, metadata and so on) are passed over, as is anything that is no
+record, and a response without a SHA-256 gets its own.
+
+Damage is never silent.  A member that has decoded to ``WARC/1.`` is a record: if
+the rest of it is cut off, does not decode or does not parse, the reader raises
+:class:`DamagedRecord`, or with ``damaged="report"`` gives a row of record_type
+``damaged`` with the file and place and goes on behind it.  A record whose very first bytes
+are damaged cannot be told from other data; :func:`verified` finds it, by comparing
+the records of each file with the manifest's number.
+
 Defined results: a null html is an empty payload; rows with a null page_id
 become revisits if an equal payload has a page_id, else responses; repeated
 rows that share the smallest page_id are all responses; an empty table gives
-no archives and no rows; control characters in a url are percent-encoded.
+no archives and no rows; control characters in a url are percent-encoded; a payload of
+any length is one record, decoded whole by one task; other columns are not read.
 """
 
 from __future__ import annotations
@@ -45,7 +57,11 @@ OPENING = b"WARC/1."
 RECORD_DATE = "2024-01-01T00:00:00Z"
 
 RECORD_SCHEMA = ("page_id long, url string, record_type string, refers_to long, "
-                 "payload_bytes long, payload_digest string, payload binary")
+                 "payload_bytes long, payload_digest string, payload binary, path string, offset long")
+
+
+class DamagedRecord(ValueError):
+    """A record that starts as one and cannot be read to its end."""
 
 
 def with_revisits(pages: DataFrame, id_col="page_id", url_col="url", html_col="html",
@@ -120,8 +136,9 @@ def write_archives(pages: DataFrame, out_dir: str, file_bytes: int = FILE_BYTES)
                   f"{out_dir}/manifest", files=4)
 
 
-def _members(uri: str, start: int, end: int) -> Iterator[bytes]:
-    """The decoded members whose first byte lies in [start, end)."""
+def _members(uri: str, start: int, end: int) -> Iterator[tuple[int, bytes | None]]:
+    """(offset, decoded bytes) of the records whose first byte lies in [start, end); None
+    instead of the bytes of a record that cannot be decoded to its end."""
     with open_in(uri) as file:
         at, held = start, b""                      # held: bytes from file offset `at`
         file.seek(start)
@@ -138,56 +155,76 @@ def _members(uri: str, start: int, end: int) -> Iterator[bytes]:
             at, held = at + found, held[found:]
             if at >= end:
                 return
-            member, used, held = _decode(file, held)
-            if member is None:                     # not a record: go on one byte later
-                at, held = at + 1, held[1:]
-            else:
-                yield member
-                at, held = at + used, held[used:]
-
-
-def _decode(file, held: bytes) -> tuple[bytes | None, int, bytes]:
-    """Decode the member at the start of ``held``, reading on as needed:
-    (decoded bytes or None if it is no record, bytes it takes, all bytes held)."""
-    unpack, out, fed, pieces, seen = zlib.decompressobj(31), [], 0, [held], 0
+            record, member, used, held = _decode(file, held)
+            if record:
+                yield at, member
+            # no record, or a damaged one: go on one byte later
+            step = used if member is not None else 1
+            at, held = at + step, held[step:]
+
+
+def _decode(file, held: bytes) -> tuple[bool, bytes | None, int, bytes]:
+    """Decode the member at the start of ``held``, reading on as needed: (whether it starts as a
+    record, decoded bytes or None, bytes it takes, all bytes held)."""
+    unpack, out, fed, pieces, seen, record = zlib.decompressobj(31), [], 0, [held], 0, False
     try:
         chunk = held
         while True:
-            # a small first bite: most false candidates fail here
-            bite = chunk[:256] if fed == 0 else chunk
+            # small bites first: most false candidates fail here, and an error hides
+            # what its own bite has decoded
+            bite = chunk if record else chunk[:16]
             out.append(unpack.decompress(bite))
             fed += len(bite)
             seen += len(out[-1])
-            if seen >= len(OPENING) and not b"".join(out[:4])[:len(OPENING)] == OPENING:
-                return None, 0, b"".join(pieces)
+            if not record and seen >= len(OPENING):
+                record = b"".join(out)[:len(OPENING)] == OPENING
+                if not record:
+                    break
             if unpack.eof:
-                return b"".join(out), fed - len(unpack.unused_data), b"".join(pieces)
+                return record, b"".join(out) if record else None, fed - len(unpack.unused_data), b"".join(pieces)
             chunk = chunk[len(bite):]
             if not chunk:
                 chunk = file.read(READ_BYTES)
                 if not chunk:
-                    return None, 0, b"".join(pieces)
+                    break
                 pieces.append(chunk)
     except zlib.error:
-        return None, 0, b"".join(pieces)
+        pass
+    return record, None, 0, b"".join(pieces)
 
 
 _PAGE = re.compile(r"<urn:page:(-?\d+)>")
 
 
-def _parse(member: bytes) -> tuple:
-    head, _, rest = member.partition(b"\r\n\r\n")
+def _parse(member: bytes) -> tuple | None:
+    """The first seven columns of a response or revisit; None for other record types."""
+    head, end, rest = member.partition(b"\r\n\r\n")
     fields = {}
     for line in head.decode("utf-8").split("\r\n")[1:]:
         key, _, value = line.partition(":")
         fields[key.strip().lower()] = value.strip()
-    block = rest[:int(fields["content-length"])]
-    http, _, payload = block.partition(b"\r\n\r\n")
-    size = int(re.search(rb"(?i)content-length:\s*(\d+)", http)[1])
-    digest = fields["warc-payload-digest"].removeprefix("sha256:")
-    kind = fields["warc-type"]
-    if kind == "response" and (len(payload) != size or hashlib.sha256(payload).hexdigest() != digest):
-        raise ValueError(f"payload of {fields['warc-record-id']} does not match its digest")
+    kind = fields.get("warc-type")
+    if kind not in ("response", "revisit"):
+        if not kind:
+            raise DamagedRecord("a record without a type")
+        return None
+    length = int(fields["content-length"])
+    if len(rest) < length:
+        raise DamagedRecord(f"{fields.get('warc-record-id')} is shorter than its length says")
+    block = rest[:length]
+    http, payload = b"", block
+    if block.startswith(b"HTTP/"):
+        http, _, payload = block.partition(b"\r\n\r\n")
+    said = re.search(rb"(?i)\r\ncontent-length:\s*(\d+)", http)
+    algorithm, _, digest = fields.get("warc-payload-digest", "").partition(":")
+    own = algorithm.lower() == "sha256" and re.fullmatch("[0-9a-f]{64}", digest) is not None
+    if kind == "response":
+        actual = hashlib.sha256(payload).hexdigest()
+        if own and digest != actual:
+            raise DamagedRecord(f"payload of {fields.get('warc-record-id')} does not match its digest")
+        size, digest = len(payload), actual
+    else:
+        size, digest = int(said[1]) if said else None, digest or None
     number = lambda s: int(m[1]) if (m := _PAGE.fullmatch(s or "")) else None
     return (number(fields.get("warc-record-id")), fields.get("warc-target-uri"), kind,
             number(fields.get("warc-refers-to")), size, digest,
@@ -195,20 +232,34 @@ def _parse(member: bytes) -> tuple:
 
 
 def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, task_bytes: int = TASK_BYTES,
-                  with_payload: bool = True) -> DataFrame:
-    """Records (``RECORD_SCHEMA``) of the archives in ``manifest`` (path, file_bytes)."""
+                  with_payload: bool = True, damaged: str = "raise") -> DataFrame:
+    """Records (``RECORD_SCHEMA``) of the archives in ``manifest`` (path, file_bytes).
+    ``damaged``: "raise", or "report" for a row of each record that cannot be read."""
+    if damaged not in ("raise", "report"):
+        raise ValueError(f"damaged must be 'raise' or 'report', not {damaged!r}")
+
+    def record(uri: str, at: int, member: bytes | None) -> tuple | None:
+        try:
+            if member is None:
+                raise DamagedRecord("a record that is cut off or does not decode")
+            return _parse(member)
+        except (ValueError, KeyError, TypeError) as error:
+            if damaged == "raise":
+                raise DamagedRecord(f"{uri} at byte {at}: {error}") from error
+            return (None, None, "damaged", None, None, None, None)
 
     def scan(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = [c.split()[0] for c in RECORD_SCHEMA.split(", ")]
         frame = lambda rows: pd.DataFrame(rows, columns=names).astype(
-            {"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "int64"})
+            {"page_id": "Int64", "refers_to": "Int64", "payload_bytes": "Int64"})
         for part in parts:
             for uri, start, end in zip(part.path, part.start, part.end):
                 rows, held = [], 0
-                for member in _members(uri, int(start), int(end)):
-                    row = _parse(member)
-                    rows.append(row if with_payload else (*row[:-1], None))
-                    held += len(member)
+                for at, member in _members(uri, int(start), int(end)):
+                    row = record(uri, at, member)
+                    if row is not None:
+                        rows.append((*(row if with_payload else (*row[:-1], None)), uri, at))
+                        held += len(member or b"")
                     if held >= 8 << 20:
                         yield frame(rows)
                         rows, held = [], 0
@@ -224,11 +275,22 @@ def read_archives(manifest: DataFrame, split_bytes: int = SPLIT_BYTES, task_byte
     return splits.repartition(tasks).mapInPandas(scan, RECORD_SCHEMA)
 
 
+def verified(records: DataFrame, manifest: DataFrame) -> DataFrame:
+    """``records``, after comparing their number in each file with the manifest's; both are
+    read twice, so give stored ones.  One row per differing file reaches the driver."""
+    found = records.groupBy("path").agg(F.count(F.lit(1)).alias("found"))
+    lost = manifest.join(found, "path", "left").where(F.coalesce("found", F.lit(0)) != F.col("records"))
+    if first := lost.select("path", "records", F.coalesce("found", F.lit(0)).alias("found")).first():
+        raise DamagedRecord(f"{first.path} has {first.found} of {first.records} records")
+    return records
+
+
 def archived_pages(pages: DataFrame, out_dir: str | None = None) -> DataFrame:
     """Write the archives of ``pages`` and read the records back."""
     out_dir = out_dir or work_dir(pages.sparkSession, "warc")
     manifest = write_archives(with_revisits(pages), out_dir)
-    return read_archives(manifest, with_payload=False).select(
+    records = stored(read_archives(manifest, with_payload=False).drop("payload", "url"), f"{out_dir}/records")
+    return verified(records, manifest).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 

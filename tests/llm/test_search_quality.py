@@ -48,6 +48,20 @@ def test_op5_against_all_pairs(spark, written):
     assert op5_block_neighbours(spark, written(embeddings=frame.limit(0))).count() == 0
 
 
+def test_op5_components_of_any_finite_size(spark, written):
+    rows = [(0, [1e200, 1e200]), (1, [1e200, 0.0]), (2, [1.0, 2.0]), (3, [-1.7e308, 1.7e308]), (4, [1e-300, 3e-300]),
+            (5, [5e-324, 0.0]), (50, [1.7e308, 1.7e308]), (100, [5e-324, 5e-324])]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {(r.query_id, r["rank"]): (r.vec_id, r.score) for r in op5_block_neighbours(spark, written(embeddings=frame)).collect()}
+    # the cosines by hand: vectors scaled to a largest component of one
+    unit = {i: np.array(v) / max(map(abs, v)) for i, v in rows}
+    cosine = lambda a, b: float(a @ b / np.sqrt((a @ a) * (b @ b)))
+    for q in (0, 50, 100):
+        want = sorted((-round(cosine(unit[q], unit[i]), 9), i) for i in unit if i != q)[:5]
+        assert [round(got[q, k][1], 9) for k in range(1, 6)] == [-s for s, _ in want]
+        assert all(round(cosine(unit[q], unit[i]), 9) == round(s, 9) for i, s in (got[q, k] for k in range(1, 6)))
+
+
 def test_op9_on_held_out_documents(spark):
     rows = op9_quality_scores(spark, SF001).collect()
     docs = duckdb.sql(f"select doc_id from '{SF001}/documents.parquet'").fetchall()

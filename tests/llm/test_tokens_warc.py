@@ -144,3 +144,57 @@ def test_false_magic_is_not_a_record(tmp_path):
     path.write_bytes(other + b"\x1f\x8b\x08" + record + b"junk\x1f\x8b" + record)
     assert len(list(warc._members(f"file:{path}", 0, path.stat().st_size))) == 2
     assert len(list(warc._members(f"file:{path}", len(other) + 4, path.stat().st_size))) == 1
+
+
+def test_damage_is_never_silent(spark, tmp_path):
+    rows = [(i, f"http://h/{i}", f"page {i} " * 50, "t", "p") for i in range(3)]
+    manifest = warc.write_archives(warc.with_revisits(_pages(spark, rows).coalesce(1)), str(tmp_path))
+    listed = manifest.collect()
+    assert len(listed) == 1 and listed[0].records == 3
+    path = listed[0].path.removeprefix("file:")
+    whole = open(path, "rb").read()
+    third = whole.rindex(b"\x1f\x8b\x08")
+
+    def read(data, **options):
+        open(path, "wb").write(data)
+        files = spark.createDataFrame([(listed[0].path, len(data), 3)], "path string, file_bytes long, records long")
+        return warc.read_archives(files, **options), files
+
+    flipped = lambda at: whole[:at] + bytes([whole[at] ^ 0xFF]) + whole[at + 1:]
+    for data in (whole[:-5], whole[:third + 200], flipped(third + 200), flipped(len(whole) - 6)):
+        records, _ = read(data)
+        with pytest.raises(Exception, match="DamagedRecord"):
+            records.collect()
+        got = read(data, damaged="report")[0].collect()
+        assert sorted(r.record_type for r in got) == ["damaged", "response", "response"]
+        assert [r.offset for r in got if r.record_type == "damaged"] == [third]
+    # a record whose first bytes are gone is found by its number
+    for data in (flipped(third), flipped(third + 20), whole[:third + 30]):
+        records, files = read(data)
+        assert records.count() == 2
+        with pytest.raises(warc.DamagedRecord, match="2 of 3"):
+            warc.verified(records, files)
+    records, files = read(whole)
+    assert warc.verified(records, files).count() == 3
+
+
+def test_records_of_other_writers(spark, tmp_path):
+    def member(kind, block, *fields):
+        raw = "\r\n".join(["WARC/1.0", f"WARC-Type: {kind}", "WARC-Record-ID: <urn:uuid:1>", *fields,
+                           f"Content-Length: {len(block)}"]).encode() + b"\r\n\r\n" + block + b"\r\n\r\n"
+        packer = zlib.compressobj(6, zlib.DEFLATED, 31)
+        return packer.compress(raw) + packer.flush()
+
+    page = b"HTTP/1.1 200 OK\r\nContent-Type: text/html\r\n\r\n<p>hi</p>"
+    data = (member("warcinfo", b"software: x\r\n") + member("request", b"GET / HTTP/1.1\r\n\r\n")
+            + member("response", page, "WARC-Target-URI: http://a/", "WARC-Payload-Digest: sha1:ABCDEFGH")
+            + member("response", b"20240101 dns", "Content-Type: text/dns") + member("metadata", b"")
+            + member("revisit", b"HTTP/1.1 304 Not Modified\r\n\r\n", "WARC-Target-URI: http://a/"))
+    (tmp_path / "x.warc.gz").write_bytes(data)
+    files = spark.createDataFrame([(f"file:{tmp_path}/x.warc.gz", len(data))], "path string, file_bytes long")
+    got = [(r.record_type, r.url, r.payload_bytes, r.payload_digest, r.payload and bytes(r.payload))
+           for r in warc.read_archives(files, split_bytes=100).orderBy("offset").collect()]
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert got == [("response", "http://a/", 9, sha(b"<p>hi</p>"), b"<p>hi</p>"),
+                   ("response", None, 12, sha(b"20240101 dns"), b"20240101 dns"),
+                   ("revisit", "http://a/", None, None, None)]
