@@ -100,6 +100,43 @@ def test_quotas_are_sainte_lague_in_every_shard(spark, monkeypatch):
     assert all(r.blocks >= 0 for r in rows)
 
 
+def test_shards_hold_their_quotas(spark, docs_of, monkeypatch, tmp_path):
+    """The words that a shard takes of a source are its blocks, and a document's parts add up."""
+    monkeypatch.setattr(mixing, "LEAST_BLOCKS", 300)
+    docs = docs_of(_rows(random.Random(9), 400))
+    sizes = mixing.stored(mixing.sized(docs), f"{tmp_path}/sizes")
+    goals = mixing.stored(mixing.targets(sizes), f"{tmp_path}/goals")
+    blocks = mixing.stored(mixing.seats(goals, str(tmp_path), blocks_per_shard=50), f"{tmp_path}/held")
+    words = mixing.stored(mixing.source_words(goals, blocks, str(tmp_path)), f"{tmp_path}/given")
+    stream = mixing.stored(mixing.streamed(sizes), f"{tmp_path}/stream")
+    rows = mixing.selected(stream, words, blocks).collect()
+    block = blocks.first().block_words
+    whole = {r.source: r.whole for r in words.collect()}
+    quota = Counter()
+    for r in blocks.collect():
+        if (r.block + 1) * block <= whole[r.source]:
+            quota[r.shard, r.source] += block
+    got = Counter()
+    for r in rows:
+        if r.shard is not None:
+            got[r.shard, r.source] += r.words
+    assert got == quota and len({k for k, _ in quota}) > 3
+    assert sum(r.words for r in rows) == sum(r.words for r in words.collect())
+    assert all(0 < r.words <= r.size for r in rows)
+
+
+def test_very_many_sources(spark, tmp_path):
+    """Tens of thousands of sources, nearly all of one size: seats by divisor, ties ranked in ranges."""
+    n = 30_000
+    frame = spark.range(n).select(F.format_string("s%06d", F.col("id")).alias("source"),
+                                  (50 + F.when(F.col("id") < 9, F.col("id") * 100_000).otherwise(0)).alias("size"))
+    goals = mixing.stored(mixing.targets(frame), f"{tmp_path}/goals")
+    total = goals.first().total
+    rows = mixing.apportioned(goals.withColumn("cap", 3 * F.col("source_size")), total, str(tmp_path)).collect()
+    assert sum(r.seats for r in rows) == total and len(rows) == n
+    assert all(abs(r.seats - r.target) < 1 + 1e-6 and r.seats <= r.cap for r in rows)
+
+
 def test_drawn_rows(spark, docs_of):
     rows = _rows(random.Random(5), 120)
     docs = docs_of(rows)
