@@ -10,27 +10,34 @@ def _quoted(text: str) -> str:
 
 
 def license_sql() -> str:
-    names = " ".join(f"WHEN contains(s, {_quoted(f' {words} ')}) THEN {_quoted(name)}" for words, name in licenses.SENTENCES)
+    """The same sentences and rules; a sentence's end and its version stop without lookaround."""
+    names = " ".join(f"WHEN regexp_full_match(w, {_quoted(licenses.pattern(s))}) THEN {_quoted(name)}"
+                     for s, name in licenses.SENTENCES)
     steps, hits = [], {}
     for k, (sequence, licence) in enumerate(licenses.RULES):
-        pattern = _quoted("".join(f"|{i}|" for i in sequence))
+        pattern = _quoted(licenses.sequence_pattern(sequence))
         hits.setdefault(licence, []).append(f"hit_{k}")
-        steps.append(f"r{k + 1} AS (SELECT * REPLACE (replace(rest, {pattern}, '|*|') AS rest), "
-                     f"contains(rest, {pattern}) AS hit_{k} FROM r{k})")
+        steps.append(f"r{k + 1} AS MATERIALIZED (SELECT * REPLACE (regexp_replace(rest, {pattern}, '|*|', 'g') AS rest), "
+                     f"regexp_matches(rest, {pattern}) AS hit_{k} FROM r{k})")
     found = ", ".join(f"CASE WHEN {' OR '.join(h)} THEN {_quoted(name)} END" for name, h in hits.items())
-    return f"""
-WITH cut AS (
-  SELECT doc_id, string_split(regexp_replace(coalesce(text, ''), '[.!?]+([ \\t\\n\\r\\f]+|\\z)', chr(1), 'g'), chr(1)) AS parts
-  FROM documents),
+    stop = r"[ \t\n\r\f]"
+    return rf"""
+WITH kept AS (
+  SELECT doc_id, regexp_replace(coalesce(text, ''), '\b((?i:v|ver|vers))\.([ \t\n\r\f#*/;-]+[0-9])', '\1 \2', 'g') AS t FROM documents),
+cut AS (
+  SELECT doc_id, string_split(regexp_replace(t, '[.!?]+({stop}+|\z)', chr(1), 'g'), chr(1)) AS parts FROM kept),
 norm AS (
-  SELECT doc_id, list_transform(parts, lambda p: ' ' || lower(trim(regexp_replace(p, '[^A-Za-z0-9]+', ' ', 'g'))) || ' ') AS ss FROM cut),
-named AS (SELECT doc_id, list_transform(ss, lambda s: CASE {names} ELSE '-' END) AS ids FROM norm),
-r0 AS (SELECT doc_id, list_filter(ids, lambda i: i <> '-') AS seen,
+  SELECT doc_id, list_transform(parts, lambda p: ' ' || regexp_replace(lower(trim(regexp_replace(p, '[^A-Za-z0-9]+', ' ', 'g'))),
+    {_quoted(licenses.NEGATED)}, 'negated', 'g') || ' ') AS ss FROM cut),
+found AS (SELECT doc_id, list_transform(ss, lambda s: regexp_extract_all(s, {_quoted(licenses.one_of())})) AS ws FROM norm),
+named AS (SELECT doc_id, flatten(list_transform(ws, lambda f: CASE WHEN len(f) = 0 THEN ['-'] ELSE
+  list_transform(f, lambda w: CASE {names} END) END)) AS ids FROM found),
+r0 AS MATERIALIZED (SELECT doc_id, list_filter(ids, lambda i: i <> '-') AS seen,
   array_to_string(list_transform(ids, lambda i: '|' || i || '|'), '') AS rest FROM named),
 {", ".join(steps)}
 SELECT doc_id, concat_ws(',', {found}) AS licenses, array_to_string(seen, ',') AS sentence_ids,
   CAST(len(seen) AS BIGINT) AS n_sentences,
-  CAST(len(list_filter(string_split_regex(rest, '\\|+'), lambda i: i NOT IN ('', '-', '*'))) AS BIGINT) AS unmatched
+  CAST(len(list_filter(string_split_regex(rest, '\|+'), lambda i: i NOT IN ('', '-', '*'))) AS BIGINT) AS unmatched
 FROM r{len(licenses.RULES)}"""
 
 

@@ -103,17 +103,36 @@ def test_very_long_runs_and_very_many(spark, docs_of, written):
 
 
 def _licence(text):
+    """Sentence by sentence, and rules by walking the identifiers."""
     ids = []
-    for sentence in re.split("[.!?]+(?:[ \t\n\r\f]+|\\Z)", text):
-        norm = f" {re.sub('[^A-Za-z0-9]+', ' ', sentence).strip().lower()} "
-        ids.append(next((name for words, name in licenses.SENTENCES if f" {words} " in norm), "-"))
-    seen, left, names = [i for i in ids if i != "-"], list(ids), []
+    known = [(re.compile(rf"{licenses.pattern(s)}\b"), name) for s, name in licenses.SENTENCES]
+    for sentence in re.split("[.!?]+(?:[ \t\n\r\f]+|\\Z)", re.sub(r"(?i)\b(v|ver|vers)\.([ \t\n\r\f#*/;-]+[0-9])", r"\1 \2", text, flags=re.A)):
+        words = f" {re.sub('[^A-Za-z0-9]+', ' ', sentence).strip().lower()} "
+        words, at, found = re.sub(licenses.NEGATED, "negated", words), 0, []
+        while at < len(words):
+            hit = next(((m, name) for p, name in known if (m := p.match(words, at))), None)
+            if hit and words[at - 1] == " ":
+                found.append(hit[1])
+                at = hit[0].end()
+            else:
+                at = words.find(" ", at) + 1 or len(words)
+        ids += found or ["-"]
+    seen, left, names = [i for i in ids if i != "-"], list(ids), set()
     for sequence, licence in licenses.RULES:
-        k, n = 0, len(sequence)
-        while k + n <= len(left):
-            if tuple(left[k:k + n]) == sequence:
-                left[k:k + n] = ["*"]
-                names.append(licence)
+        k = 0
+        while k < len(left):
+            at, ends = k, []
+            for want in sequence:
+                gap = 0
+                while ends and gap < licenses.GAP and at < len(left) and left[at] == "-":
+                    at, gap = at + 1, gap + 1
+                if at >= len(left) or left[at] != want:
+                    break
+                at += 1
+                ends.append(at)
+            if len(ends) == len(sequence):
+                left[k:at] = ["*"]
+                names.add(licence)
             k += 1
     order = list(dict.fromkeys(licence for _, licence in licenses.RULES))
     return (",".join(n for n in order if n in names), ",".join(seen), len(seen), sum(i not in "-*" for i in left))
@@ -121,13 +140,17 @@ def _licence(text):
 
 def test_op2_against_brute_force(spark, docs_of, written):
     rng = random.Random(7)
-    sentences = [words.capitalize() for words, _ in licenses.SENTENCES] + ["Some prose", "relicensed under the MIT licensed", "x"]
+    filled = lambda words: re.sub(r"\{\d+\}", lambda m: rng.choice(["", "some ", "of Foo Inc "]), words)
+    sentences = [filled(words).capitalize() for words, _ in licenses.SENTENCES] + ["Some prose", "relicensed under the MIT licensed", "x"]
     header = ("Licensed under the Apache License, Version 2.0 (the License); you go.\nYou may not use this file except in compliance "
               "with\nthe License. You may obtain a copy of the License at\n\n http://x.org/LICENSE-2.0 . Distributed on an \"AS IS\" BASIS, WITHOUT "
               "WARRANTIES\nOR CONDITIONS OF ANY KIND! See the License for the specific language governing permissions.")
     texts = [None, "", "...", header, header + " " + header, "Released under the MIT License.", "Junk*** Released\tunder the MIT License",
              "This work is licensed under the GNU General Public License, version 3.", "Licensed under CC BY-NC 4.0.", "é. " * 20_000]
-    texts += [rng.choice([". ", "!\n", "? "]).join(rng.choices(sentences, k=rng.randrange(1, 9))) for _ in range(150)]
+    texts += [rng.choice([". ", "!\n", "? "]).join(rng.choices(sentences, k=rng.randrange(1, 9))) for _ in range(300)]
+    texts += ["Redistribution and use in source and binary forms. " + "Prose. " * n + "This software is provided by X as is."
+              for n in (0, 19, 20, 21, 200)]
+    texts += [". ".join(filled(dict((n, w) for w, n in licenses.SENTENCES)[i]) for i in sequence) for sequence, _ in licenses.RULES]
     rows = [(k, t, "s") for k, t in enumerate(texts)]
     got = {r[0]: tuple(r)[1:] for r in op2_license_sentences(spark, written(documents=docs_of(rows))).collect()}
     assert got.pop(None) == _licence("")
