@@ -42,6 +42,17 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return fs.makeQualified(path).toString()
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, with underscores behind those that a table's columns have already."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 ROWS_PER_FILE = 10_000
 
 

@@ -29,7 +29,7 @@ Defined results: a null or empty text has size 0, is never taken and has its
 source's target; texts of any length are counted whole; a null doc_id is a
 document like any other; repeated rows are separate documents; without any
 words every target is 0; an empty table gives no rows; columns that are not named
-are not read (``drawn`` returns them as they are, and refuses names that start with "__").
+are not read (``drawn`` returns them as they are, whatever their names).
 """
 
 from __future__ import annotations
@@ -37,7 +37,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import WORD, stored, work_dir
+from kestrel.llm.common import WORD, stored, unused, work_dir
 
 MAX_REPEATS = 3
 SEED = 20240101
@@ -256,23 +256,23 @@ def drawn(docs: DataFrame, id_col="doc_id", text_col="text", source_col="source"
     """The rows of the mix, with the columns of ``docs``: a row for each whole copy
     that the mix takes of a document, and one, its text cut, for a last part.
     Repeated rows are drawn together."""
-    if clash := [c for c in docs.columns if c.startswith("__")]:
-        raise ValueError(f"columns of these names are in the way: {clash}")
     path = work_dir(docs.sparkSession, "drawn")
+    key, digest, name, rounds, rests, own, words = unused(
+        docs.columns, "__id", "__hash", "__source", "__rounds", "__rests", "__text", "__words")
     plan = mixed(docs, f"{path}/plan", id_col=id_col, text_col=text_col, source_col=source_col)
     plan = stored(plan.where("taken > 0").groupBy(
-        F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash"), F.col("source").alias("__source")).agg(
-        F.sum("rounds").alias("__rounds"), F.collect_list(F.when(F.col("rest") > 0, F.col("rest"))).alias("__rests")),
+        F.col("doc_id").alias(key), F.col("text_hash").alias(digest), F.col("source").alias(name)).agg(
+        F.sum("rounds").alias(rounds), F.collect_list(F.when(F.col("rest") > 0, F.col("rest"))).alias(rests)),
         f"{path}/taken")
     columns = docs.columns
-    rows = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    rows = rows.dropDuplicates([id_col, "__text", source_col]).join(
-        plan, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash"))
-        & F.col(source_col).eqNullSafe(F.col("__source")))
-    rows = rows.withColumn("__words", F.explode(F.concat(
-        F.array_repeat(F.lit(-1).cast("long"), F.col("__rounds").cast("int")), "__rests")))
-    rows = rows.withColumn(text_col, F.when(F.col("__words") < 0, F.col(text_col)).otherwise(
-        first_words(F.col(text_col), F.col("__words").cast("int"))))
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    rows = rows.dropDuplicates([id_col, own, source_col]).join(
+        plan, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(digest))
+        & F.col(source_col).eqNullSafe(F.col(name)))
+    rows = rows.withColumn(words, F.explode(F.concat(
+        F.array_repeat(F.lit(-1).cast("long"), F.col(rounds).cast("int")), rests)))
+    rows = rows.withColumn(text_col, F.when(F.col(words) < 0, F.col(text_col)).otherwise(
+        first_words(F.col(text_col), F.col(words).cast("int"))))
     if length_col in columns:
         rows = rows.withColumn(length_col, F.length(text_col).cast(docs.schema[length_col].dataType))
     return rows.select(*columns)

@@ -1,7 +1,8 @@
 """Near-duplicate documents by an inverted join of signature coordinates.
 
 1. Each text becomes the set of its hashed word shingles and ``COORDINATES``
-   min-hash values of the set.  Documents with equal sets are one class, which
+   min-hash values of the set, whose lowest bits hold the coordinate: so one
+   number names a coordinate-value pair.  Documents with equal sets are one class, which
    stands for all its copies from here on.
 2. Every class is posted under each of its coordinate values.  Values that one
    class holds alone are dropped; a class left with fewer than ``least``
@@ -23,7 +24,9 @@ Defined results: a null text, or one without words, has no shingles, is linked
 with nothing and is its own component; texts with fewer words than a shingle
 have one shingle, the whole sequence; a component's id is the smallest doc_id
 that is not null (null if all are); a document is kept if its doc_id is that
-id, nulls being equal.
+id, nulls being equal.  Texts of any length are read whole; repeated rows are copies of
+one another; an empty table gives no rows; only the key and the text are read
+(``one_of_each`` returns all columns, whatever their names).
 """
 
 from __future__ import annotations
@@ -38,7 +41,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import release, stored, work_dir
+from kestrel.llm.common import release, stored, unused, work_dir
 from kestrel.llm.components import components
 
 COORDINATES = 48
@@ -93,7 +96,8 @@ def _signature(shingles: np.ndarray, masks: np.ndarray, factors: np.ndarray) ->
     out = np.full(len(masks), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(shingles), 4096):
         out = np.minimum(out, ((shingles[at:at + 4096, None] ^ masks) * factors).min(axis=0))
-    return out
+    low = np.uint64((1 << (len(masks) - 1).bit_length()) - 1)
+    return out & ~low | np.arange(len(masks), dtype=np.uint64)
 
 
 def features(docs: DataFrame, words: int, coordinates: int = COORDINATES, seed: int = SEED) -> DataFrame:
@@ -174,7 +178,8 @@ def near_duplicates(docs: DataFrame, words: int = 3, num: int = 85, den: int = 1
     given = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.xxhash64(text).alias("text_hash"),
                         text.alias("text"))
     doc = stored(features(given, words), f"{path}/features")
-    count = doc.count()                 # from the files' footers
+    # tasks by what they hold: about as many of these as of documents of a hundred shingles
+    count, shingles = doc.agg(F.count(F.lit(1)), F.coalesce(F.sum("n_shingles"), F.lit(0))).first()
     first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash"))
     classes = stored(doc.where("set_id is not null").groupBy("set_id").agg(
         first.alias("first"), F.first("signature").alias("signature"))
@@ -205,9 +210,11 @@ def near_duplicates(docs: DataFrame, words: int = 3, num: int = 85, den: int = 1
         release()
 
     member = stored(texts.mapInPandas(shingled, "set_id binary, signature array<long>, size long, shingles binary"),
-                    f"{path}/members", rows=count)
+                    f"{path}/members", rows=max(count, shingles // 100))
     blocks = met.join(member.select("set_id", "size"), "set_id").groupBy("grp").agg(
         F.sum("size").alias("all")).select("grp", F.expr(f"1 + all div {BLOCK_SHINGLES}").alias("blocks"))
+    # stored, so that a hot group's rows meet it by a broadcast or a join that AQE splits
+    blocks = stored(blocks, f"{path}/blocks", rows=count)
     dealt = met.join(blocks, "grp").withColumn("block", F.pmod(F.xxhash64("set_id"), "blocks"))
     dealt = dealt.withColumn("other", F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         "grp", F.least("block", "other").alias("x"), F.greatest("block", "other").alias("y"), "block", "set_id")
@@ -232,10 +239,11 @@ def one_of_each(docs: DataFrame, words: int = 5, num: int = 4, den: int = 5,
     """The rows of ``docs`` without near copies: one document of each component,
     repeated rows once.  All columns stay."""
     marked = near_duplicates(docs, words, num, den, id_col, text_col)
-    kept = marked.where("kept").select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct()
-    rows = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return (rows.join(kept, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")), "left_semi")
-            .dropDuplicates([id_col, "__text"]).drop("__text"))
+    key, digest, own = unused(docs.columns, "__id", "__hash", "__text")
+    kept = marked.where("kept").select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)).distinct()
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return (rows.join(kept, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(digest)), "left_semi")
+            .dropDuplicates([id_col, own]).drop(own))
 
 
 ORACLE = r"""

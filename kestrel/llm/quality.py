@@ -30,6 +30,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,6 +39,7 @@ from kestrel.llm.common import release, stored, work_dir
 WORDS, DIMS, NONZEROS = 1 << 14, 64, 4
 AROUND = (1, 2)                   # distances of the words that give context
 BLOCK_ROWS = 512                  # of the context table, summed together
+LANES = 256                        # in which the tasks' tables are first added up
 TRAINING_ROWS = 20_000
 HIDDEN, EPOCHS, BATCH, RATE, DECAY = 32, 40, 256, 3e-3, 1e-4
 SEED = 11
@@ -93,22 +95,27 @@ def context_vectors(docs: DataFrame, path: str, text_col: str = "text") -> np.nd
                     size = 0
         if held:
             add()
-        table = total.astype(np.float32).reshape(-1, BLOCK_ROWS * DIMS)
+        table = total.reshape(-1, BLOCK_ROWS * DIMS)
         _rows.clear()
-        del total
         release()
-        yield pd.DataFrame({"block": np.arange(len(table)), "sums": [r.tobytes() for r in table]})
+        yield pd.DataFrame({"block": np.arange(len(table)), "lane": TaskContext.get().partitionId() % LANES,
+                            "sums": [r.tobytes() for r in table]})
 
     def add_up(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        # sums of whole numbers: exact, in whatever order they come
         sums: dict[int, np.ndarray] = {}
         for part in parts:
             for block, raw in zip(part["block"], part["sums"]):
-                sums[block] = sums.get(block, 0) + np.frombuffer(raw, np.float32).astype(np.float64)
+                if block in sums:
+                    sums[block] += np.frombuffer(raw)
+                else:
+                    sums[block] = np.frombuffer(raw).copy()
         yield pd.DataFrame({"block": list(sums), "sums": [s.tobytes() for s in sums.values()]})
 
     text = docs.select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    sums = text.mapInPandas(gather, "block int, sums binary").repartition("block").mapInPandas(
-        add_up, "block int, sums binary")
+    # in two levels, so that the tables of very many tasks do not meet in a few
+    sums = text.mapInPandas(gather, "block int, lane int, sums binary").repartition("block", "lane").mapInPandas(
+        add_up, "block int, sums binary").repartition("block").mapInPandas(add_up, "block int, sums binary")
     table = np.zeros((WORDS // BLOCK_ROWS, BLOCK_ROWS * DIMS))
     for row in stored(sums, f"{path}/context").collect():      # WORDS x DIMS numbers in all
         table[row["block"]] += np.frombuffer(row["sums"])

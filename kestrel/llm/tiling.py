@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import release, stored, work_dir
+from kestrel.llm.common import release, stored, unused, work_dir
 
 TILE = 5
 COVERAGE = 0.8
@@ -209,8 +209,8 @@ def contaminated(docs: DataFrame, items: DataFrame, tile: int = TILE, coverage:
 def without_contaminated(docs: DataFrame, items: DataFrame, id_col="doc_id", text_col="text", **kw) -> DataFrame:
     """The rows of ``docs`` that hold no item; all columns stay."""
     bad = contaminated(docs, items, id_col=id_col, text_col=text_col, **kw)
-    bad = stored(bad.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__hash")).distinct(),
+    key, digest, own = unused(docs.columns, "__id", "__hash", "__text")
+    bad = stored(bad.select(F.col("doc_id").alias(key), F.col("text_hash").alias(digest)).distinct(),
                  f"{work_dir(docs.sparkSession, 'contaminated')}/ids")
-    rows = docs.withColumn("__text", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    return rows.join(bad, F.col(id_col).eqNullSafe(F.col("__id")) & (F.col("__text") == F.col("__hash")),
-                     "left_anti").drop("__text")
+    rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
+    return rows.join(bad, F.col(id_col).eqNullSafe(F.col(key)) & (F.col(own) == F.col(digest)), "left_anti").drop(own)

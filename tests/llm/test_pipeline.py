@@ -113,3 +113,20 @@ def test_run_on_odd_documents(spark, docs_of, written):
     assert {r.doc_id for r in got} <= {3, 4} and got
     empty = written(documents=docs.limit(0), labels=labels, benchmark=items)
     assert corpus_pipeline.run(spark, empty).count() == 0
+
+
+def test_stages_keep_columns_of_any_name(spark, docs_of, written):
+    """Names that the stages use themselves, and a null in every column."""
+    from pyspark.sql import functions as F
+
+    names = ["score", "Predicted", "__id", "__hash", "__text", "__source", "__rounds", "__rests", "__words", "score_", "y", "place"]
+    rows = [(k, " ".join(f"w{(k * 7 + i) % 50}" for i in range(40)), "s" if k % 3 else None) for k in range(40)]
+    docs = docs_of(rows).drop("score", "kept", "size")
+    docs = docs.withColumns({n: F.lit(f"own {n}") for n in names})
+    folder = written(labels=spark.createDataFrame([(k, k % 2, 0) for k in range(40)], "doc_id long, quality int, toxic int"),
+                     benchmark=spark.createDataFrame([(1, rows[0][1])], "item_id long, text string"))
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, folder)
+        assert out.columns == docs.columns, name
+        assert all(r[n] in (f"own {n}", None) for r in out.collect() for n in names), name
+        assert stage(spark, docs.limit(0), folder).count() == 0, name
