@@ -12,6 +12,18 @@ Five stages, each over all that the one before it kept:
 
 A stage's rows are written as Parquet and read again as the next one's
 documents, so a lost executor costs at most a stage.
+
+Every stage takes documents with nulls in any column, empty and very long texts,
+repeated rows and columns of any other names, and an empty table, which gives one:
+
+* ``classify`` scores a null or empty text like any other and drops it if the
+  classifier rejects it; a null doc_id is scored too; repeated rows stay.
+* ``drop_near_copies`` keeps every document without words (it is linked with
+  nothing) and one row of repeated ones; ties go to the smallest doc_id, nulls last.
+* ``decontaminate`` keeps null and empty texts; rows that share a doc_id are judged by
+  their own text.
+* ``mix`` draws no document without words; a null source is a source of its own.
+* ``encode`` gives a null text the end id alone; null keys come first.
 """
 
 from __future__ import annotations
@@ -19,15 +31,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import mixing, neardup, quality, tiling, wavelet
-from kestrel.llm.common import read, stored, work_dir
+from kestrel.llm.common import read, stored, unused, work_dir
 from kestrel.llm.queries import tokenizer_path
 
 
 def classify(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    marked = quality.scored(docs.withColumnsRenamed({c: f"__{c}" for c in ("score", "predicted") if c in docs.columns}),
-                            read(spark, sf_dir, "labels"))
+    # the classifier adds these two columns; those of the table that have their names wait
+    added = [c for c in docs.columns if c.lower() in ("score", "predicted")]
+    other = dict(zip(added, unused(docs.columns, *added)))
+    marked = quality.scored(docs.withColumnsRenamed(other), read(spark, sf_dir, "labels"))
     kept = marked.where("predicted = 1").drop("score", "predicted")
-    return kept.withColumnsRenamed({f"__{c}": c for c in ("score", "predicted")}).select(*docs.columns)
+    return kept.withColumnsRenamed({v: k for k, v in other.items()}).select(*docs.columns)
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
