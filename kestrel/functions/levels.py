@@ -18,12 +18,3 @@ def agg_level(dims: Sequence[str], sep: str = LEVEL_SEP) -> Column:
     ``concat_ws`` skips the nulls of the non-grouped columns.
     """
     return F.concat_ws(sep, *[F.when(F.grouping(d) == 0, F.lit(d)) for d in dims])
-
-
-def level_of(cols: Sequence[str], dims: Sequence[str], sep: str = LEVEL_SEP) -> str:
-    """The level name for a set of kept columns (driver-side helper)."""
-    kept = set(cols)
-    unknown = kept - set(dims)
-    if unknown:
-        raise ValueError(f"not a cube dimension: {sorted(unknown)}")
-    return sep.join(d for d in dims if d in kept)

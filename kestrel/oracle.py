@@ -19,7 +19,7 @@ half-up rounding for the growth percentages.
 from __future__ import annotations
 
 from kestrel import queries as Qy
-from kestrel.functions.rules import DEVICE_RULES, HOST_RULES
+from kestrel.functions.rules import DEVICE_RULES, HOST_RULES, OS_RULES, OTHER
 from kestrel.sources.fixtures import EVENT_HOSTS
 
 # ---------------------------------------------------------------------------
@@ -171,11 +171,12 @@ def _with(ctes: list[str], body: str, recursive: bool = False) -> str:
 # analytical patterns
 # ---------------------------------------------------------------------------
 
-MONTHLY = """monthly AS (
+OS_CASE = "CASE " + " ".join(
+    "WHEN " + " OR ".join(f"d.os_type LIKE '{p}'" for p in ((patterns,) if isinstance(patterns, str) else patterns))
+    + f" THEN '{name}'" for patterns, name in OS_RULES) + f" ELSE '{OTHER}' END"
+MONTHLY = f"""monthly AS (
   SELECT CAST(DATE_TRUNC('month', event_time) AS DATE) AS activity_month,
-    CASE WHEN d.os_type LIKE '%ndroid%' THEN 'Android'
-         WHEN d.os_type LIKE '%ios%' OR d.os_type LIKE '%iOS' THEN 'iOS'
-         ELSE 'other' END AS os,
+    {OS_CASE} AS os,
     COUNT(DISTINCT w.user_id) AS monthly_users_active
   FROM activity w JOIN activity_devices d ON w.device_id = d.device_id
   GROUP BY 1, 2)"""
