@@ -41,8 +41,8 @@ from kestrel.llm.common import release, stored, work_dir
 from kestrel.llm.pieces import CACHED
 from kestrel.llm.sentences import _table, gathered
 
-GROUP_BYTES = 1 << 20              # of texts that are aligned together
-GROUP_ROWS = 1024                  # rows of a frame that a task returns
+GROUP_BYTES = 1 << 19              # of texts that are aligned together
+GROUP_ROWS = 512                   # rows of a frame that a task returns
 HELD_LINKS = 1 << 20               # links that a task holds before it counts them
 
 
@@ -125,17 +125,19 @@ def _groups(parts: Iterator[pd.DataFrame], both: Aligner) -> Iterator[tuple]:
                 np.bincount(of_b, minlength=groups), np.diff(np.append(0, upto)))
 
     for part in parts:
-        keys, pairs, size = [], [], 0
-        for key, text, pair in zip(part["key"].array, part["text"], both.tokens(part["text"].tolist())):
-            keys.append(None if pd.isna(key) else int(key))
-            pairs.append(pair)
-            size += len(text)
-            if size >= GROUP_BYTES or len(keys) >= GROUP_ROWS:
+        for at in range(0, len(part), GROUP_ROWS):
+            rows = part.iloc[at:at + GROUP_ROWS]
+            keys, pairs, size = [], [], 0
+            for key, text, pair in zip(rows["key"].array, rows["text"], both.tokens(rows["text"].tolist())):
+                keys.append(None if pd.isna(key) else int(key))
+                pairs.append(pair)
+                size += len(text)
+                if size >= GROUP_BYTES:
+                    yield of(keys, pairs)
+                    keys, pairs, size = [], [], 0
+            if keys:
                 yield of(keys, pairs)
-                keys, pairs, size = [], [], 0
-        if keys:
-            yield of(keys, pairs)
-    release()
+        release()
 
 
 def _texts(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:

@@ -13,6 +13,8 @@ import os
 import sys
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import pyarrow.fs as pafs
@@ -26,9 +28,30 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{table}.parquet")
 
 
+_WORKSPACES: list[str] = []
+
+
+@contextmanager
+def workspace(spark: SparkSession, name: str) -> Iterator[str]:
+    """A folder in which all folders of :func:`work_dir` lie meanwhile, deleted at the end: for jobs
+    whose result is written elsewhere."""
+    path = work_dir(spark, name)
+    _WORKSPACES.append(path)
+    try:
+        yield path
+    finally:
+        _WORKSPACES.remove(path)
+        delete(spark, path)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def work_dir(spark: SparkSession, name: str) -> str:
     """A fresh, fully qualified folder for one run, in the shared folder."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    base = _WORKSPACES[-1] if _WORKSPACES else spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
         master = spark.sparkContext.master
         if not master.startswith("local") or master.startswith("local-cluster"):

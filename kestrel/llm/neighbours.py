@@ -36,6 +36,7 @@ from kestrel.llm.common import stored, work_dir
 
 QUERY_BLOCK = 1024
 BLOCK = 4096
+MOST_TASKS = 20_000              # of the tiles' stage
 EXACT_AT_ONCE = 1 << 16          # pairs computed in double precision at a time
 DIMS_AT_ONCE = 1024              # of a code product that single precision holds exactly
 
@@ -57,6 +58,13 @@ def _scaled(x: np.ndarray) -> np.ndarray:
     return np.ldexp(x, -np.frexp(np.abs(x).max(axis=1))[1][:, None])
 
 
+def _short(given: np.ndarray) -> np.ndarray:
+    """The vectors in single precision if that is exact, as for tables of floats."""
+    with np.errstate(over="ignore", under="ignore"):
+        single = given.astype(np.float32)
+    return single if (single == given).all() else given
+
+
 def _pack(rows: pd.DataFrame) -> pd.DataFrame:
     rows = rows.sort_values("vec_id", ignore_index=True)
     given = _scaled(np.vstack(rows["vector"].to_numpy()))
@@ -65,7 +73,7 @@ def _pack(rows: pd.DataFrame) -> pd.DataFrame:
     codes = np.rint(unit / scale[:, None]).astype(np.int8)
     lost = np.sqrt(np.square(unit - codes * scale[:, None]).sum(axis=1)) + 1e-9
     return pd.DataFrame({"dim": [given.shape[1]], "block": [rows["block"].iat[0]],
-                         "ids": [rows["vec_id"].to_numpy()], "given": [given.tobytes()],
+                         "ids": [rows["vec_id"].to_numpy()], "given": [_short(given).tobytes()],
                          "codes": [codes.tobytes()], "scale": [scale.tobytes()], "lost": [lost.tobytes()]})
 
 
@@ -81,7 +89,8 @@ class _Block:
     def __init__(self, row):
         self.ids = np.asarray(row.ids)
         shape = (len(self.ids), row.dim)
-        self.given = np.frombuffer(row.given).reshape(shape)
+        single = len(row.given) == 4 * shape[0] * shape[1]
+        self.given = np.frombuffer(row.given, np.float32 if single else np.float64).reshape(shape).astype(np.float64)
         self.codes = np.frombuffer(row.codes, np.int8).reshape(shape).astype(np.float32)
         self.scale, self.lost = np.frombuffer(row.scale), np.frombuffer(row.lost)
         self.length = np.sqrt(np.square(self.given).sum(axis=1))
@@ -154,6 +163,9 @@ def nearest(queries: DataFrame, candidates: DataFrame, k: int = 5, path: str | N
         other, F.explode(F.expr("sequence(0, blocks - 1)"))).select(
         F.lit(flag).alias("query"), F.col("block").alias(mine), other, "dim", "ids", "given", "codes", "scale", "lost")
     tiles = both(quer, cand_blocks, "q", "c", True).unionByName(both(cand, quer_blocks, "c", "q", False))
+    # as many tasks as tiles, up to a bound: their work, not their bytes, is what counts
+    count = cand_blocks.alias("a").join(quer_blocks.alias("b"), "dim").agg(F.sum(F.expr("a.blocks * b.blocks"))).first()[0]
+    tiles = tiles.repartition(int(max(1, min(count or 1, MOST_TASKS))), "dim", "q", "c")
     lists = tiles.groupBy("dim", "q", "c").applyInPandas(
         _tile(k), "query_id long, scores array<double>, vec_ids array<long>")
     return (lists.repartition("query_id").sortWithinPartitions("query_id")

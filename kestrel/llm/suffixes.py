@@ -29,11 +29,13 @@ sorted by the order that a first induction gives their substrings; the string
 of those names is then sorted by doubling, as deep as ``length`` bytes need
 (equal windows may stay in any order).  Tuples are in files; the text, types,
 LMS order and names of a shard are in memory: 46 bytes per position at the peak,
-measured on prose, so a shard of ``SHARD_BYTES`` takes about 400 MB.
+measured on prose, so a shard of ``SHARD_BYTES`` takes about 400 MB.  The tuples of such
+a shard are up to 40 MB, of which ``QUEUE_BYTES`` stay in memory.
 
 Defined results: a null text is an empty one; texts shorter than ``length``
-are kept whole; repeated rows count as other places; an empty table gives no
-rows.
+are kept whole, longer ones of any size are cut into segments; repeated rows
+count as other places; an empty table gives no rows; only the key and the text
+are read.
 """
 
 from __future__ import annotations
@@ -55,7 +57,7 @@ LENGTH = 200
 SEED = 32                        # bytes; windows share the least hash of these
 MOST_RUN = 1 << 14               # windows of one segment
 SHARD_BYTES = 8 << 20            # positions sorted at once
-QUEUE_BYTES = 64 << 20           # tuples that a sort holds in memory
+QUEUE_BYTES = 8 << 20            # tuples that a queue holds in memory: a full shard has up to five times as many
 BATCH = 1 << 16                  # suffixes scanned at once
 
 _rng = np.random.default_rng(5)

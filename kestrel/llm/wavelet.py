@@ -19,7 +19,8 @@ only files in the stored manifest are read.
 
 Defined results: a null text is an empty one and yields the end id alone; a
 null key sorts first; rows that share a key are ordered by the hash of their
-text; an empty table gives no shards and no rows.
+text; texts of any length are one document of one shard; an empty table gives no
+shards and no rows; only the key and the text are read.
 """
 
 from __future__ import annotations
@@ -217,13 +218,17 @@ class WaveletMatrix:
         part = self._chunk(level, c)[:(at + 7) >> 3].tobytes()
         return int(self.ones[level, c]) + (int.from_bytes(part) >> (-at % 8)).bit_count()
 
-    def _find(self, level: int, bit: int, k: int) -> int:
-        """Position of the k-th (from 0) given bit of a plane."""
+    def _find(self, level: int, bit: int, ks: np.ndarray) -> np.ndarray:
+        """Positions of the k-th (from 0) given bits of a plane; each chunk is unpacked once."""
         before = self.ones[level] if bit else np.minimum(
             np.arange(self.chunks + 1) * 8 * CHUNK, self.n) - self.ones[level]
-        c = int(np.searchsorted(before, k, side="right")) - 1
-        there = np.flatnonzero(np.unpackbits(self._chunk(level, c)) == bit)
-        return c * 8 * CHUNK + int(there[k - int(before[c])])
+        chunk = np.searchsorted(before, ks, side="right") - 1
+        out = np.empty(len(ks), np.int64)
+        for c in np.unique(chunk).tolist():
+            mine = chunk == c
+            there = np.flatnonzero(np.unpackbits(self._chunk(level, c)) == bit)
+            out[mine] = c * 8 * CHUNK + there[ks[mine] - before[c]]
+        return out
 
     def access(self, i: int) -> int:
         if not 0 <= i < self.n:
@@ -256,18 +261,22 @@ class WaveletMatrix:
     def count(self, c: int) -> int:
         return self.rank(c, self.n)
 
-    def select(self, c: int, k: int) -> int:
-        low, high = self._range(c, self.n)
-        if not 0 <= k < high - low:
-            raise IndexError(k)
-        at = low + k
+    def _select(self, c: int, first: int, last: int) -> np.ndarray:
+        """Positions of the occurrences of c from ``first`` to before ``last``, up the planes together."""
+        low, _ = self._range(c, self.n)
+        at = np.arange(low + first, low + last)
         for level in range(self.bits - 1, -1, -1):
             bit = c >> (self.bits - 1 - level) & 1
             at = self._find(level, bit, at - int(self.zeros[level]) if bit else at)
         return at
 
+    def select(self, c: int, k: int) -> int:
+        if not 0 <= k < self.count(c):
+            raise IndexError(k)
+        return int(self._select(c, k, k + 1)[0])
+
     def positions(self, c: int) -> list[int]:
-        return [self.select(c, k) for k in range(self.count(c))]
+        return self._select(c, 0, self.count(c)).tolist()
 
     def ids(self) -> np.ndarray:
         """All ids, by undoing the planes from the last to the first."""

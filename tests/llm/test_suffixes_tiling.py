@@ -28,6 +28,25 @@ def test_induced_sort_against_counting(tmp_path):
     assert not [p for p in tmp_path.rglob("*") if p.is_file()]
 
 
+def test_a_shard_of_the_shipped_limits_spills(tmp_path, monkeypatch):
+    """Four of the eight megabytes of a shard: queues move to files, and the result is that of counting."""
+    rng = np.random.default_rng(4)
+    words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) + b" " for _ in range(3000)]
+    text = b"".join(words[k] for k in rng.integers(0, 3000, 640_000))[:4 << 20]
+    text = text[:2 << 20] + text[100:5000] + text[2 << 20:]
+    spilled, spill = [], suffixes.Queues._spill
+    monkeypatch.setattr(suffixes.Queues, "_spill", lambda self: (spilled.append(self.held), spill(self)))
+    got, = suffixes.repeated_windows([text], str(tmp_path), 64)
+    assert len(text) < suffixes.SHARD_BYTES and len(spilled) > 0 and min(spilled) > suffixes.QUEUE_BYTES
+    assert max(spilled) < suffixes.QUEUE_BYTES + (4 << 20)
+    data = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), 64)
+    weights = rng.integers(1, 1 << 62, 64, np.int64) | 1
+    sums = np.concatenate([(data[at:at + 100_000].astype(np.int64) * weights).sum(axis=1) for at in range(0, len(data), 100_000)])
+    _, which, count = np.unique(sums, return_inverse=True, return_counts=True)
+    assert (got == (count[which] > 1)).all() and got.sum() > 9000
+    assert not [p for p in tmp_path.rglob("*") if p.is_file()]
+
+
 def test_segments_cover_each_window_once():
     rng = random.Random(2)
     for size in (0, 199, 200, 201, 5000, 40_000):
@@ -84,6 +103,31 @@ def _tiles(item, doc, least):
         used_j |= set(range(best[1], best[1] + best[2]))
 
 
+def test_very_long_repetitive_documents(spark, docs_of):
+    """Two hundred equal words against a hundred thousand: twenty million seeds, a few matches."""
+    items = spark.createDataFrame([(1, "tick " * 200), (2, " ".join(f"w{k}" for k in range(40)))], "item_id long, text string")
+    doc = "tick " * 100_000 + " ".join(f"w{k}" for k in range(40))
+    got = tiling.contaminated(docs_of([(7, doc, "s"), (8, "tick " * 150, "s"), (9, "tock " * 500, "s")]), items).collect()
+    assert sorted((r.doc_id, r.item_id, r.tiles, r.matched_words) for r in got) == [(7, 1, 1, 200), (7, 2, 1, 40)]
+
+
+def test_matches_of_any_cut(monkeypatch):
+    """Seeds read in pieces of any size give the same matches."""
+    rng = np.random.default_rng(6)
+    for trial in range(60):
+        words, runs = rng.integers(0, 3, 60), rng.integers(0, 3, 25)
+        hashes = np.sort(runs)
+        places = np.argsort(runs, kind="stable")
+        of = rng.integers(0, 2, 25)
+        of = of[places]
+        found = []
+        for at_once in (1, 7, 1 << 20):
+            monkeypatch.setattr(tiling, "SEEDS_AT_ONCE", at_once)
+            found.append([x.tolist() for x in tiling._met(hashes, words, of, places)])
+        assert found[0] == found[1] == found[2]
+        assert sum(found[0][3]) == sum((runs == w).sum() for w in words)
+
+
 def test_tiles_against_all_places():
     rng = random.Random(5)
     for _ in range(200):

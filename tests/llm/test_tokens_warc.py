@@ -65,7 +65,7 @@ def test_matrix_answers_from_its_file():
             assert m.rank(c, i) == (ids[:i] == c).sum() and m.count(c) == (ids == c).sum()
             assert m.select(c, m.rank(c, i)) == i
         assert m.count(1 << 21) == 0
-        if 0 < n < 1000:
+        if n:
             assert m.positions(int(ids[0])) == np.flatnonzero(ids == ids[0]).tolist()
         with pytest.raises(IndexError):
             m.access(n)
