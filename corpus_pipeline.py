@@ -31,7 +31,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from kestrel.llm import mixing, neardup, quality, tiling, wavelet
-from kestrel.llm.common import read, stored, unused, work_dir
+from kestrel.llm.common import delete, read, stored, unused, work_dir, workspace
 from kestrel.llm.queries import tokenizer_path
 
 
@@ -76,5 +76,9 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = work_dir(spark, "pipeline")
     docs = read(spark, sf_dir, "documents")
     for k, (_, stage) in enumerate(STAGES):
-        docs = stored(stage(spark, docs, sf_dir), f"{path}/{k}")
+        # what a stage writes on the way goes with its end, its input with the next one's
+        with workspace(spark, f"pipeline-stage-{k}"):
+            docs = stored(stage(spark, docs, sf_dir), f"{path}/{k}")
+        if k:
+            delete(spark, f"{path}/{k - 1}")
     return docs
