@@ -4,8 +4,9 @@
   rows.  Each row has a sparse random index vector (``NONZEROS`` entries of
   +1 or -1 in ``DIMS`` places); a row's context vector is the sum of the index
   vectors around its occurrences, over all documents.  Tasks sum their own
-  documents; the sums of all tasks are added block by block.  The table has
-  WORDS x DIMS numbers at any size of the corpus (4 MB), which bounds what is
+  documents; the sums of all tasks are added block by block, in ``LANES`` first.
+  They are whole numbers, so their order changes nothing and reruns agree.  The
+  table has WORDS x DIMS numbers at any size of the corpus (4 MB), which bounds what is
   broadcast.
 * A document is pooled into the mean and the spread of the vectors of its
   words, with its length and its share of different words.
@@ -19,7 +20,9 @@ Labels, language, source and id are no inputs of a score.
 Defined results: a null text is an empty one, pooled into zeros and scored; a
 null doc_id counts as the empty text for ``held_out``; several labels of a
 document count as their mean, half or more being 1; without labels every score
-is 0.5, and with labels of one kind it is their smoothed share.
+is 0.5, and with labels of one kind it is their smoothed share; texts of any length
+are read whole; repeated rows are scored alike; an empty table gives no rows; other
+columns are not read (``scored`` returns them all).
 """
 
 from __future__ import annotations
