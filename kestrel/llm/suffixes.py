@@ -29,8 +29,7 @@ sorted by the order that a first induction gives their substrings; the string
 of those names is then sorted by doubling, as deep as ``length`` bytes need
 (equal windows may stay in any order).  Tuples are in files; the text, types,
 LMS order and names of a shard are in memory: 46 bytes per position at the peak,
-measured on prose, so a shard of ``SHARD_BYTES`` takes about 400 MB.  The tuples of such
-a shard are up to 40 MB, of which ``QUEUE_BYTES`` stay in memory.
+measured on prose, so a shard of ``SHARD_BYTES`` takes about 400 MB.
 
 Defined results: a null text is an empty one; texts shorter than ``length``
 are kept whole, longer ones of any size are cut into segments; repeated rows
@@ -51,13 +50,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kestrel.llm.common import filesystem, open_in, open_out, stored, work_dir
+from kestrel.llm.common import filesystem, open_in, open_out, release, stored, work_dir
 
 LENGTH = 200
 SEED = 32                        # bytes; windows share the least hash of these
 MOST_RUN = 1 << 14               # windows of one segment
 SHARD_BYTES = 8 << 20            # positions sorted at once
-QUEUE_BYTES = 8 << 20            # tuples that a queue holds in memory: a full shard has up to five times as many
+QUEUE_BYTES = 64 << 20           # tuples that a sort holds in memory
 BATCH = 1 << 16                  # suffixes scanned at once
 
 _rng = np.random.default_rng(5)
@@ -474,6 +473,7 @@ def repeated_starts(docs: DataFrame, path: str, length: int = LENGTH, most: int
                 if copies == 1:
                     out += [(i, key, start + a, start + b) for a, b in zip(*_spans(flags))]
             yield pd.DataFrame(out, columns=["id", "key", "first", "last"])
+            release()
 
     def windows(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         names = ["id", "key", "hash", "copies", "at", "window"]

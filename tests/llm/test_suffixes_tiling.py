@@ -28,17 +28,18 @@ def test_induced_sort_against_counting(tmp_path):
     assert not [p for p in tmp_path.rglob("*") if p.is_file()]
 
 
-def test_a_shard_of_the_shipped_limits_spills(tmp_path, monkeypatch):
-    """Four of the eight megabytes of a shard: queues move to files, and the result is that of counting."""
+def test_a_large_shard_spills_below_its_limit(tmp_path, monkeypatch):
+    """Four megabytes with queues of eight: they move to files, and the result is that of counting."""
+    limit = 8 << 20
     rng = np.random.default_rng(4)
     words = [bytes(rng.integers(97, 123, rng.integers(2, 9)).astype(np.uint8)) + b" " for _ in range(3000)]
     text = b"".join(words[k] for k in rng.integers(0, 3000, 640_000))[:4 << 20]
     text = text[:2 << 20] + text[100:5000] + text[2 << 20:]
     spilled, spill = [], suffixes.Queues._spill
     monkeypatch.setattr(suffixes.Queues, "_spill", lambda self: (spilled.append(self.held), spill(self)))
-    got, = suffixes.repeated_windows([text], str(tmp_path), 64)
-    assert len(text) < suffixes.SHARD_BYTES and len(spilled) > 0 and min(spilled) > suffixes.QUEUE_BYTES
-    assert max(spilled) < suffixes.QUEUE_BYTES + (4 << 20)
+    got, = suffixes.repeated_windows([text], str(tmp_path), 64, limit)
+    assert len(text) < suffixes.SHARD_BYTES and len(spilled) > 0 and min(spilled) > limit
+    assert max(spilled) < limit + (4 << 20)
     data = np.lib.stride_tricks.sliding_window_view(np.frombuffer(text, np.uint8), 64)
     weights = rng.integers(1, 1 << 62, 64, np.int64) | 1
     sums = np.concatenate([(data[at:at + 100_000].astype(np.int64) * weights).sum(axis=1) for at in range(0, len(data), 100_000)])
