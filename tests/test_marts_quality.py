@@ -1,4 +1,6 @@
+import contextlib
 import datetime as dt
+import io
 from decimal import Decimal
 
 from kestrel.operators import marts as M
@@ -41,6 +43,29 @@ def test_fact_visits_left_join_fan_out(spark):
     assert [(r.unique_field, r.n_records) for r in dup] == [(2, 2)]
 
 
+def test_values_of_the_fact_broadcast_neither_side(spark, tmp_path):
+    """Tickets and feedbacks grow with the data; the keys of either look small as files."""
+    import __spark_entry__ as E
+    key = "CASE WHEN id % 97 = 0 THEN NULL ELSE id % 4000 END"     # null keys, and tickets that come twice
+    spark.range(5000).selectExpr(
+        f"{key} AS o_orderkey", "id AS o_custkey", "TIMESTAMP_NTZ'1996-01-01' AS o_orderdate",
+        "'1-URGENT' AS o_orderpriority", "1D AS o_totalprice").write.parquet(f"{tmp_path}/orders.parquet")
+    spark.range(6000).selectExpr(
+        f"{key} AS l_orderkey", "CAST(id % 5 AS DOUBLE) AS l_quantity", "IF(id % 2 = 0, 'R', 'N') AS l_returnflag",
+        "TIMESTAMP_NTZ'1996-02-01' AS l_shipdate").write.parquet(f"{tmp_path}/lineitem.parquet")
+    keys = lambda n: [(i, i % 4000) for i in range(n) if i % 97]
+    quantity = {}
+    for i, k in keys(6000):
+        if i % 2 == 0:
+            quantity[k] = quantity.get(k, 0) + i % 5
+    df = E.queries()["dq_accepted_values"](spark, str(tmp_path))
+    assert rows(df) == [("5", sum(quantity.get(k, 0) % 5 == 4 for _, k in keys(5000)))]
+    buf = io.StringIO()
+    with contextlib.redirect_stdout(buf):
+        df.explain()
+    assert "SortMergeJoin" in buf.getvalue() and "Broadcast" not in buf.getvalue()
+
+
 def test_audit_day_semi_join(spark):
     t = spark.createDataFrame([(1, 1, 1, D(2024, 11, 6), None, "x", 1.0),
                                (2, 1, 1, D(2024, 11, 5), None, "x", 1.0)], TICKETS)
